@@ -162,7 +162,7 @@ def soft_update(
         if list_mode != "override":
             have, more = _as_list(old), _as_list(new)
             if list_mode == "set":
-                seen = F.transform(have, F.to_json)
+                seen = F.transform(have, lambda x: F.to_json(x))
                 more = F.filter(more, lambda x: ~F.array_contains(seen, F.to_json(x)))
             result = result.when(
                 (_kind(old) == "ARRAY") & (_kind(new) == "ARRAY"),

@@ -8,12 +8,13 @@ before) comes from a table with one row per hot key and slice.
 
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from gleanfield.session import small_side
+from gleanfield.session import cut_lineage, small_side
 
 HOT_ROWS = 5_000_000
 _QUANTILES = 64  # slice borders taken from the distribution of the order column
@@ -21,15 +22,11 @@ _STEPS = 64  # even steps between two such borders
 _SLICE = "_slice"
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def _lookup(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Left join that also matches NULL keys; `dim` is unique on `keys`."""
     dim = dim.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                      *[c for c in dim.columns if c not in keys])
-    on = reduce(lambda a, b: a & b, [df[k].eqNullSafe(dim[f"_r_{k}"]) for k in keys])
+    on = reduce(and_, [df[k].eqNullSafe(dim[f"_r_{k}"]) for k in keys])
     return df.join(small_side(dim), on, "left").drop(*[f"_r_{k}" for k in keys])
 
 
@@ -45,19 +42,13 @@ def _number(df: DataFrame, column: str) -> Column:
 
 
 def _slice_number(x: Column, marks: Column) -> Column:
-    """Binary search for the quantile below `x`, then even steps up to the next one."""
-    mark = lambda i: F.get(marks, F.lit(i))
-
-    def locate(low, high):
-        if high - low == 1:
-            span = mark(high) - mark(low)
-            share = F.when(span > 0, (x - mark(low)) / span).otherwise(0.0)
-            step = F.least(F.greatest(F.floor(share * _STEPS), F.lit(0)), F.lit(_STEPS - 1))
-            return (low * _STEPS + step).cast("int")
-        middle = (low + high) // 2
-        return F.when(x < mark(middle), locate(low, middle)).otherwise(locate(middle, high))
-
-    return F.coalesce(locate(0, _QUANTILES), F.lit(-1))
+    """The quantile `x` lies in, cut into even steps up to the next one."""
+    below = F.size(F.filter(marks, lambda m: m <= x)) - 1
+    low = F.least(F.greatest(below, F.lit(0)), F.lit(_QUANTILES - 1))
+    span = F.get(marks, low + 1) - F.get(marks, low)
+    share = F.when(span > 0, (x - F.get(marks, low)) / span).otherwise(0.0)
+    step = F.least(F.greatest(F.floor(share * _STEPS), F.lit(0)), F.lit(_STEPS - 1))
+    return F.coalesce((low * _STEPS + step).cast("int"), F.lit(-1))
 
 
 @dataclass
@@ -67,27 +58,25 @@ class _Sliced:
     keys: list[str]
 
     def hot_slices(self, *aggregates: Column) -> DataFrame:
-        """One row per hot key and slice."""
-        hot = small_side(self.hot)
-        return (
-            self.df.join(hot, _same(self.df, hot, self.keys), "left_semi")
-            .groupBy(*self.keys, _SLICE)
-            .agg(*aggregates)
+        """One row per hot key and slice, worked out once."""
+        hot = small_side(self.hot.select(*self.keys))
+        on = reduce(and_, [self.df[k].eqNullSafe(hot[k]) for k in self.keys])
+        return cut_lineage(
+            self.df.join(hot, on, "left_semi").groupBy(*self.keys, _SLICE).agg(*aggregates)
         )
 
 
 def _cut_hot_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> _Sliced:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = counts.where(F.col("_rows") > hot_rows).select(*keys)
+    hot = cut_lineage(counts.where(F.col("_rows") > hot_rows).select(*keys))
     if hot.isEmpty():
         return _Sliced(df.withColumn(_SLICE, F.lit(0)), None, keys)
     x = _number(df, order[0])
-    marks = df.agg(
-        F.percentile_approx(x, [i / _QUANTILES for i in range(_QUANTILES + 1)], 10_000)
-    ).scalar()
-    flagged = _lookup(df, hot.withColumn("_hot", F.lit(True)), keys)
-    cut = F.when(F.col("_hot"), _slice_number(x, marks)).otherwise(0)
-    return _Sliced(flagged.withColumn(_SLICE, cut).drop("_hot"), hot, keys)
+    marks = F.percentile_approx(x, [i / _QUANTILES for i in range(_QUANTILES + 1)], 10_000)
+    hot = cut_lineage(hot.withColumn("_marks", df.agg(marks).scalar()))
+    flagged = _lookup(df, hot, keys)
+    cut = F.when(F.col("_marks").isNotNull(), _slice_number(x, F.col("_marks"))).otherwise(0)
+    return _Sliced(flagged.withColumn(_SLICE, cut).drop("_marks"), hot, keys)
 
 
 def pairwise(
