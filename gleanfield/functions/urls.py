@@ -14,10 +14,24 @@ AUTHORITY_SCHEMES = (
 ).split()
 
 _URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+_IS_URL = (
+    r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#\[\]]+(?=[/?#]|$)|(?=[^/?#]*\[)(?=[^/?#]*\]))"
+)
+_CUT = r"(?s)^([^:]*)(:[^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+_EMPTY_PARAMS = r"(?s)^(://[^/]+/(?:.*/)?[^/;]*);$"
 _LAST_SEGMENT = r"(?s)^((?:.*/)?[^/;]*)(?:;([^/]*))?$"
 _LEADING = "".join(map(chr, range(0x21)))
 
 
+def let(value: Column, body) -> Column:
+    """`body(value)` with `value` worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _tail(mark: str, text: Column) -> Column:
+    return F.when(text != "", F.concat(F.lit(mark), text)).otherwise("")
+
+
 def _clean(url: Column) -> Column:
     return F.ltrim(F.translate(url, "\t\r\n", ""), F.lit(_LEADING))
 
@@ -43,9 +57,18 @@ def _query_pairs(query: Column) -> Column:
             _decode(F.regexp_replace(p, "(?s)^[^=]*=", "")).alias("v"),
         ),
     )
-    return F.filter(
+    return let(
         pairs,
-        lambda x, i: F.array_position(F.transform(pairs, lambda y: y["k"]), x["k"]) == i + 1,
+        lambda all_: F.filter(
+            all_,
+            lambda x, i: F.array_position(F.transform(all_, lambda y: y["k"]), x["k"]) == i + 1,
+        ),
+    )
+
+
+def _query_text(pairs: Column) -> Column:
+    return F.array_join(
+        F.transform(pairs, lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))), "&"
     )
 
 
@@ -74,12 +97,7 @@ def unpack_url(url: Column) -> Column:
 
 def pack_url(parts: Column) -> Column:
     """Inverse of `unpack_url`; the query is re-encoded in its own order."""
-    query = F.array_join(
-        F.transform(parts["query"], lambda p: F.concat(_encode(p["k"]), F.lit("="), _encode(p["v"]))),
-        "&",
-    )
-    tail = lambda mark, text: F.when(text != "", F.concat(F.lit(mark), text)).otherwise("")
-    path = F.concat(parts["path"], tail(";", parts["params"]))
+    path = F.concat(parts["path"], _tail(";", parts["params"]))
     authority = (
         F.when(
             parts["netloc"] != "",
@@ -96,22 +114,63 @@ def pack_url(parts: Column) -> Column:
         .otherwise("")
     )
     scheme = F.when(parts["scheme"] != "", F.concat(parts["scheme"], F.lit(":"))).otherwise("")
-    return F.concat(scheme, authority, path, tail("?", query), tail("#", parts["fragment"]))
+    return F.concat(
+        scheme, authority, path,
+        _tail("?", _query_text(parts["query"])), _tail("#", parts["fragment"]),
+    )
 
 
 def is_url(text: Column) -> Column:
     """Scheme and authority both present, brackets of the authority paired."""
-    netloc = F.regexp_extract(_clean(text), r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)
-    return (netloc != "") & (netloc.contains("[") == netloc.contains("]"))
-
-
-def clean_url(text: Column, prefix: str = "utm") -> Column:
-    """N6 for one column: drop query keys starting with `prefix`; other text unchanged."""
-    parts = unpack_url(text)
-    kept = parts.withField(
-        "query", F.filter(parts["query"], lambda p: ~F.startswith(p["k"], F.lit(prefix)))
+    return text.contains("://") & _clean(text).rlike(_IS_URL)
+
+
+_CLEANED = "trim(LEADING '{leading}' FROM translate({c}, '\\t\\r\\n', ''))"
+_CLEAN_URL = """
+CASE WHEN contains({c}, '://') AND {cleaned} RLIKE r'{is_url}' THEN
+  transform(
+    array(split(regexp_replace({cleaned}, r'{cut}', '$1\\u0001$2\\u0001$3\\u0001$4'), '\\u0001')),
+    part -> concat(
+      lower(part[0]),
+      regexp_replace(part[1], r'{empty_params}', '$1'),
+      transform(
+        array(array_join(
+          transform(
+            array(transform(
+              filter(split(part[2], '&'), p -> p RLIKE '(?s)^[^=]*=.'),
+              p -> transform(
+                array(split_part(p, '=', 1), regexp_replace(p, '(?s)^[^=]*=', '')),
+                t -> url_decode(regexp_replace(t, '%(?![0-9A-Fa-f]{{2}})', '%25'))))),
+            kvs -> array_join(
+              transform(
+                filter(kvs, (kv, i) ->
+                  array_position(transform(kvs, o -> o[0]), kv[0]) = i + 1
+                  AND NOT startswith(kv[0], '{prefix}')),
+                kv -> array_join(
+                  transform(kv, t -> replace(replace(url_encode(t), '%7E', '~'), '*', '%2A')),
+                  '=')),
+              '&')),
+          '')),
+        query -> if(query = '', '', concat('?', query)))[0],
+      if(part[3] = '', '', concat('#', part[3]))))[0]
+ELSE {c} END
+"""
+
+
+def clean_url(column: str, prefix: str = "utm") -> Column:
+    """N6 for one column: drop query keys starting with `prefix`; other text unchanged.
+
+    Gives what unpacking, dropping the keys and packing again gives. It is one SQL
+    expression because it is applied to every text column of a record.
+    """
+    c = "`" + column.replace("`", "``") + "`"
+    leading = "".join(f"\\u{code:04x}" for code in range(0x21))
+    return F.expr(
+        _CLEAN_URL.format(
+            c=c, cleaned=_CLEANED.format(c=c, leading=leading), is_url=_IS_URL, cut=_CUT,
+            empty_params=_EMPTY_PARAMS, prefix=prefix,
+        )
     )
-    return F.when(is_url(text), pack_url(kept)).otherwise(text)
 
 
 def absolutise(base: Column | str, path: Column) -> Column:

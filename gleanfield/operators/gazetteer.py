@@ -6,7 +6,7 @@ the join and broadcast only when small.
 """
 
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,13 +103,33 @@ class Gazetteer:
             F.explode(F.array(*forms)).alias("token"), "name", "alpha_2", "ord"
         ).where(F.col("token") != "")
 
-    def subdivision_tokens(self) -> DataFrame:
-        """Name and code suffix of each subdivision with its country: `token`, `state`, ..."""
+    @cached_property
+    def _country_codes(self) -> DataFrame:
+        tokens = self.country_tokens().where(F.length("token") <= 3)
+        return small_side(_first(tokens, F.lower("token"), "name", "alpha_2"))
+
+    @cached_property
+    def _state_codes(self) -> DataFrame:
+        codes = self.subdivisions.groupBy(F.lower("code").alias("_code"))
+        return small_side(codes.agg(F.min_by("name", "ord").alias("_state")))
+
+    @cached_property
+    def _state_tokens(self) -> DataFrame:
+        """Name and code suffix of each subdivision with its country."""
         country = self.countries.select("alpha_2", F.col("name").alias("country"))
-        return self.subdivisions.join(small_side(country), "alpha_2").select(
+        tokens = self.subdivisions.join(small_side(country), "alpha_2").select(
             F.explode(F.array("name", F.element_at(F.split("code", "-"), -1))).alias("token"),
             F.col("name").alias("state"), "country", "ord",
-        ).where(F.col("token") != "")
+        )
+        return small_side(
+            _first(tokens.where(F.col("token") != ""), F.col("token"), "state", "country")
+        )
+
+    @cached_property
+    def _last_tokens(self) -> DataFrame:
+        """Each written form with the last country it stands for."""
+        forms = self.country_tokens().groupBy("token")
+        return small_side(forms.agg(F.max_by("name", "ord").alias("name"), F.max("ord").alias("ord")))
 
 
 def _first(tokens: DataFrame, key: Column, *values: str) -> DataFrame:
@@ -126,35 +146,25 @@ def normalize_place(df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     characters (within the country found) or `CC-SS` by code; what is not found is
     capitalised. Longer values stay.
     """
-    tokens = gazetteer.country_tokens().where(F.length("token") <= 3)
-    countries = _first(tokens, F.lower("token"), "name", "alpha_2")
-    states = (
-        gazetteer.subdivisions.groupBy(F.lower("code").alias("_code"))
-        .agg(F.min_by("name", "ord").alias("_state"))
-    )
-    country, state = F.col("country"), F.lower(F.col("state"))
+    country = F.col("country")
     short = F.length(country).between(1, 3)
     found = df.join(
-        small_side(countries), F.when(short, F.lower(country)) == F.col("_token"), "left"
+        gazetteer._country_codes, F.when(short, F.lower(country)) == F.col("_token"), "left"
     )
+    named = F.when(short, F.coalesce("_hit.name", capitalize(country))).otherwise(country)
+    if "state" not in df.columns:
+        return found.withColumn("country", named).select(*df.columns)
+    state = F.lower("state")
     query = F.when(
         (F.length(state) == 2) & F.col("_hit").isNotNull() & ~state.contains("-"),
         F.concat(F.lower("_hit.alpha_2"), F.lit("-"), state),
     ).when((F.length(state) == 2) | ((F.length(state) == 5) & state.contains("-")), state)
     found = found.withColumn("_query", query)
-    found = found.join(small_side(states), F.col("_query") == F.col("_code"), "left")
-    return found.select(
-        *[
-            {
-                "country": F.when(short, F.coalesce("_hit.name", capitalize(country)))
-                .otherwise(country).alias("country"),
-                "state": F.when(
-                    F.col("_query").isNotNull(), F.coalesce("_state", capitalize(F.col("state")))
-                ).otherwise(F.col("state")).alias("state"),
-            }.get(c, F.col(c))
-            for c in df.columns
-        ]
-    )
+    found = found.join(gazetteer._state_codes, F.col("_query") == F.col("_code"), "left")
+    stated = F.when(
+        F.col("_query").isNotNull(), F.coalesce("_state", capitalize(F.col("state")))
+    ).otherwise(F.col("state"))
+    return found.withColumns({"country": named, "state": stated}).select(*df.columns)
 
 
 def city_state_or_country(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFrame:
@@ -166,9 +176,8 @@ def city_state_or_country(df: DataFrame, column: str, gazetteer: Gazetteer) -> D
     one = F.size(parts) == 1
     where = F.when(one, F.col(column)).when(F.size(parts) == 2, strip(F.get(parts, F.lit(1))))
     city = F.when(one, F.col(column)).otherwise(strip(F.get(parts, F.lit(0))))
-    states = _first(gazetteer.subdivision_tokens(), F.col("token"), "state", "country")
     found = df.withColumn("_where", where).join(
-        small_side(states), F.col("_where") == F.col("_token"), "left"
+        gazetteer._state_tokens, F.col("_where") == F.col("_token"), "left"
     )
     place = F.struct(
         city.alias("city"), F.col("_hit.state").alias("state"),
@@ -184,8 +193,7 @@ def country_in_text(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFra
     Distinct texts are cut into all pieces as long as some written form and joined on
     equality, so no text is compared with every form.
     """
-    tokens = gazetteer.country_tokens().groupBy("token").agg(F.max_by("name", "ord").alias("name"),
-                                                             F.max("ord").alias("ord"))
+    tokens = gazetteer._last_tokens
     lengths = tokens.agg(F.array_sort(F.collect_set(F.length("token")))).scalar()
     text = F.col("_text")
     texts = df.select(F.col(column).alias("_text")).where(text.isNotNull()).distinct()
@@ -202,7 +210,7 @@ def country_in_text(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFra
         ).alias("token"),
     )
     last = (
-        pieces.join(small_side(tokens), "token")
+        pieces.join(tokens, "token")
         .groupBy("_text")
         .agg(F.max_by("name", "ord").alias("_country"))
     )

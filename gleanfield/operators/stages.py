@@ -15,7 +15,7 @@ from gleanfield.functions import text
 from gleanfield.functions.dates import duration_days, format_date
 from gleanfield.functions.urls import clean_url
 from gleanfield.operators.gazetteer import Gazetteer, normalize_place
-from gleanfield.schema import DATE_COLUMNS, REJECT
+from gleanfield.schema import DATE_COLUMNS, REJECT, field_or_null
 
 Stage = Callable[[DataFrame], DataFrame]
 
@@ -49,7 +49,9 @@ def event_type_of(
 
 def guess_event_type(df: DataFrame, types: list[str] = EVENT_TYPES) -> DataFrame:
     """N1. A record without a name is rejected."""
-    kind = event_type_of(F.col("event_type"), F.col("name"), F.col("description"), types)
+    kind = event_type_of(
+        field_or_null(df, "event_type"), F.col("name"), field_or_null(df, "description"), types
+    )
     return reject(df.withColumn("event_type", kind), "no_name", F.col("name").isNull())
 
 
@@ -66,10 +68,12 @@ def normalize_dates(df: DataFrame) -> DataFrame:
     kinds = dict(df.dtypes)
     dated = [c for c in DATE_COLUMNS if kinds.get(c) in ("date", "timestamp")]
     out = reject(df, "no_start", F.col("start").isNull())
-    if "end" in dated and "start" in dated:
-        out = out.withColumn("end", F.coalesce("end", "start")).withColumn(
+    if "start" in dated and kinds.get("end") != "string":
+        end = F.coalesce(field_or_null(df, "end"), F.col("start"))
+        out = out.withColumn("end", end).withColumn(
             "length_in_days", duration_days(F.col("start"), F.col("end"))
         )
+        dated = list(dict.fromkeys([*dated, "end"]))
     return out.withColumns({c: format_date(F.col(c)) for c in dated})
 
 
@@ -78,32 +82,34 @@ def add_metadata(source: str) -> Stage:
 
     def stage(df: DataFrame) -> DataFrame:
         made = text.event_id(F.col("name"), F.col("city"), F.col("start"))
-        out = df.withColumn("source", F.coalesce("source", F.lit(source))).withColumn(
-            "id", F.coalesce("id", made)
+        out = df.withColumns(
+            {
+                "source": F.coalesce(field_or_null(df, "source"), F.lit(source)),
+                "id": F.coalesce(field_or_null(df, "id"), made),
+            }
         )
         return reject(out, "no_city", F.col("id").isNull())
 
     return stage
 
 
-def _on_strings(df: DataFrame, fn, columns=None) -> DataFrame:
-    texts = [c for c, t in df.dtypes if t == "string" and c != REJECT]
-    return df.withColumns({c: fn(F.col(c)) for c in (columns or texts)})
+def _texts(df: DataFrame, columns: list[str] | None) -> list[str]:
+    return columns or [c for c, t in df.dtypes if t == "string" and c != REJECT]
 
 
 def clean_urls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """N6 on all text columns."""
-    return _on_strings(df, clean_url, columns)
+    return df.withColumns({c: clean_url(c) for c in _texts(df, columns)})
 
 
 def strip_strings(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """N7 on all text columns."""
-    return _on_strings(df, text.strip, columns)
+    return df.withColumns({c: text.strip(F.col(c)) for c in _texts(df, columns)})
 
 
 def blank_newlines(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """N8 on all text columns."""
-    return _on_strings(df, text.blank_newlines, columns)
+    return df.withColumns({c: text.blank_newlines(F.col(c)) for c in _texts(df, columns)})
 
 
 def compose(stages: dict[Stage, Number | list[Number] | None]) -> Stage:

@@ -101,9 +101,7 @@ def _calendar(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
 
 
 def _calendar_venue_is_city(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    return _calendar(site, df, gazetteer).withColumns(
-        {"city": F.col("venue"), "venue": F.lit(None).cast("string")}
-    )
+    return _calendar(site, df, gazetteer).drop("city").withColumnRenamed("venue", "city")
 
 
 CALENDAR = Site(
