@@ -12,6 +12,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from gleanfield.functions.text import strip
 from gleanfield.operators import markup
 from gleanfield.operators.markup import Field, Rule
 
@@ -90,7 +91,7 @@ def row_cells(df: DataFrame, html_col: str, row: tuple[Rule, ...], cell: Rule) -
         "links": Field((Rule("a"),), "all_attr:href"),
     }
     rows = extract_entries(df, html_col, row, fields)
-    return rows.withColumn("cells", F.transform("cells", lambda c: F.btrim(c["text"])))
+    return rows.withColumn("cells", F.transform("cells", lambda c: strip(c["text"])))
 
 
 def fragment_text(fragment: Column) -> Column:
