@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanfield.functions.binding import let
+
 
 def map_values(m: Column, fn) -> Column:
     """apply `fn` to every value."""
@@ -25,26 +27,34 @@ def afilter(a: Column, fn=None, kind: str = "string") -> Column:
     return F.filter(a, fn or (lambda x: truthy(x, kind)))
 
 
-def _cut_to_shortest(arrays):
-    shortest = F.least(*[F.size(a) for a in arrays])
-    return [F.slice(a, F.lit(1), shortest) for a in arrays]
+def _together(arrays, body) -> Column:
+    """`body` of the arrays, each cut to the shortest."""
+
+    def cut(boxed):
+        each = [boxed[f"a{n}"] for n in range(len(arrays))]
+        shortest = F.least(*[F.size(a) for a in each])
+        return body(*[F.slice(a, F.lit(1), shortest) for a in each])
+
+    return let(F.struct(*[a.alias(f"a{n}") for n, a in enumerate(arrays)]), cut)
 
 
 def zip_positional(a: Column, b: Column, names=("first", "second")) -> Column:
     """Pair elements by position, cut to the shorter array."""
-    a, b = _cut_to_shortest([a, b])
-    return F.zip_with(a, b, lambda x, y: F.struct(x.alias(names[0]), y.alias(names[1])))
+    pair = lambda x, y: F.struct(x.alias(names[0]), y.alias(names[1]))
+    return _together([a, b], lambda a, b: F.zip_with(a, b, pair))
 
 
 def amap(fn, *arrays: Column) -> Column:
     """map over one or more arrays, cut to the shortest."""
     if len(arrays) == 1:
         return F.transform(arrays[0], fn)
-    if len(arrays) == 2:
-        return F.zip_with(*_cut_to_shortest(arrays), fn)
-    cut = _cut_to_shortest(arrays)
-    return F.transform(
-        cut[0], lambda x, i: fn(x, *[F.get(a, i) for a in cut[1:]])
+    names = [f"a{n}" for n in range(len(arrays))]
+    return _together(
+        arrays,
+        lambda *cut: F.transform(
+            F.arrays_zip(*[c.alias(n) for c, n in zip(cut, names)]),
+            lambda row: fn(*[row[n] for n in names]),
+        ),
     )
 
 
@@ -66,14 +76,17 @@ def flatten(a: Column) -> Column:
 def chunk_array(a: Column, n: int, fill: Column) -> Column:
     """F5 for arrays: chunks of `n`, the last one padded with `fill`."""
 
-    def chunk(i):
-        part = F.slice(a, i * n + 1, F.lit(n))
-        return F.concat(part, F.array_repeat(fill, n - F.size(part)))
+    def chunked(a):
+        def chunk(i):
+            part = F.slice(a, i * n + 1, F.lit(n))
+            return F.concat(part, F.array_repeat(fill, n - F.size(part)))
 
-    count = F.ceil(F.size(a) / n).cast("int")
-    return F.when(F.size(a) > 0, F.transform(F.sequence(F.lit(0), count - 1), chunk)).when(
-        F.size(a) == 0, F.array_repeat(a, 0)
-    )
+        count = F.ceil(F.size(a) / n).cast("int")
+        return F.when(F.size(a) > 0, F.transform(F.sequence(F.lit(0), count - 1), chunk)).when(
+            F.size(a) == 0, F.array_repeat(a, 0)
+        )
+
+    return let(a, chunked)
 
 
 def first_link_with_prefix(links: Column, prefix: str) -> Column:
@@ -96,14 +109,16 @@ def dol_pairs(m: Column) -> Column:
 
 def pairs_dol(pairs: Column) -> Column:
     """F12 within a record: `ARRAY<STRUCT<k, v>>` to map of arrays, keys in first-seen order."""
-    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
-    return F.map_from_arrays(
-        keys,
-        F.transform(
-            keys,
-            lambda k: F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]),
-        ),
-    )
+
+    def grouped(pairs):
+        keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+        values = lambda k: F.transform(
+            F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]
+        )
+        entries = F.transform(keys, lambda k: F.struct(k.alias("key"), values(k).alias("value")))
+        return F.map_from_entries(entries)
+
+    return let(pairs, grouped)
 
 
 def _kind(v: Column) -> Column:
@@ -120,22 +135,22 @@ def _as_list(v: Column) -> Column:
 
 def _overlay(a: Column, b: Column, merge) -> Column:
     """Entries of `a` then those only in `b`; shared keys get `merge(old, new)`."""
-    return F.map_from_entries(
-        F.concat(
-            F.transform(
-                F.map_entries(a),
-                lambda e: F.struct(
-                    e["key"],
-                    F.when(
-                        F.map_contains_key(b, e["key"]), merge(e["value"], b[e["key"]])
-                    )
-                    .otherwise(e["value"])
-                    .alias("value"),
-                ),
+
+    def overlaid(boxed):
+        a, b = boxed["a"], boxed["b"]
+        kept = F.transform(
+            F.map_entries(a),
+            lambda e: F.struct(
+                e["key"],
+                F.when(F.map_contains_key(b, e["key"]), merge(e["value"], b[e["key"]]))
+                .otherwise(e["value"])
+                .alias("value"),
             ),
-            F.filter(F.map_entries(b), lambda e: ~F.map_contains_key(a, e["key"])),
         )
-    )
+        added = F.filter(F.map_entries(b), lambda e: ~F.map_contains_key(a, e["key"]))
+        return F.map_from_entries(F.concat(kept, added))
+
+    return let(F.struct(a.alias("a"), b.alias("b")), overlaid)
 
 
 def soft_update(
@@ -161,12 +176,14 @@ def soft_update(
             )
         if list_mode != "override":
             have, more = _as_list(old), _as_list(new)
+            joined = F.concat(have, more)
             if list_mode == "set":
-                seen = F.transform(have, lambda x: F.to_json(x))
-                more = F.filter(more, lambda x: ~F.array_contains(seen, F.to_json(x)))
+                unseen = lambda seen: F.filter(
+                    more, lambda x: ~F.array_contains(seen, F.to_json(x))
+                )
+                joined = F.concat(have, let(F.transform(have, lambda x: F.to_json(x)), unseen))
             result = result.when(
-                (_kind(old) == "ARRAY") & (_kind(new) == "ARRAY"),
-                F.to_variant_object(F.concat(have, more)),
+                (_kind(old) == "ARRAY") & (_kind(new) == "ARRAY"), F.to_variant_object(joined)
             )
         return new if result is F else result.otherwise(new)
 

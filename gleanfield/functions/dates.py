@@ -7,6 +7,7 @@ Each form is one pattern whose groups are filled in from each other and handed t
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanfield.functions.binding import let
 from gleanfield.functions.text import strip
 
 _SEP = "\x01"
@@ -16,14 +17,17 @@ def _tidy(text: Column) -> Column:
     return F.regexp_replace(strip(text), r"(?U)\s+", " ")
 
 
-def _groups(text: Column, pattern: str, count: int) -> list[Column]:
-    """Groups of a whole-text match from a single regex pass; NULL when absent."""
+def _groups(text: Column, pattern: str, count: int, body) -> Column:
+    """`body` of the groups of a whole-text match, each NULL when absent.
+
+    One regex pass per value: the groups are written side by side and split again.
+    """
     marks = _SEP.join(f"${i}" for i in range(1, count + 1))
-    parts = F.split(F.regexp_replace(text, f"^{pattern}$", marks), _SEP)
-    return [
-        F.when(F.size(parts) == count, F.nullif(F.get(parts, F.lit(i)), F.lit("")))
-        for i in range(count)
-    ]
+    found = F.split(F.regexp_replace(text, f"^{pattern}$", marks), _SEP)
+    return let(
+        F.transform(F.when(F.size(found) == count, found), lambda g: F.nullif(g, F.lit(""))),
+        lambda groups: body(*[F.get(groups, F.lit(i)) for i in range(count)]),
+    )
 
 
 def _date(fmt: str, *parts: Column) -> Column:
@@ -32,12 +36,17 @@ def _date(fmt: str, *parts: Column) -> Column:
 
 def _pivot(date: Column) -> Column:
     """Two-digit years 69-99 belong to the last century."""
-    return F.when(F.year(date) >= 2069, F.add_months(date, -1200).cast("date")).otherwise(date)
+    return let(
+        date,
+        lambda d: F.when(F.year(d) >= 2069, F.add_months(d, -1200).cast("date")).otherwise(d),
+    )
 
 
 def _range(start: Column, end: Column) -> Column:
-    both = start.isNotNull() & end.isNotNull()
-    return F.when(both, F.struct(start.alias("start"), end.alias("end")))
+    return let(
+        F.struct(start.alias("start"), end.alias("end")),
+        lambda r: F.when(r["start"].isNotNull() & r["end"].isNotNull(), r),
+    )
 
 
 def iso_date(text: Column) -> Column:
@@ -56,14 +65,16 @@ def us_abbrev_range(text: Column) -> Column:
 
 
 def _month_first(text, month, fmt):
-    m1, d1, y1, m2, d2, y2 = _groups(
+    def span(m1, d1, y1, m2, d2, y2):
+        start = _date(fmt, m1, d1, F.coalesce(y1, y2, F.lit("")))
+        end = _date(fmt, F.coalesce(m2, m1), F.coalesce(d2, d1), F.coalesce(y2, y1, F.lit("")))
+        return _range(start, end)
+
+    return _groups(
         _tidy(text),
         rf"{month} (\d{{1,2}})(?:, (\d{{4}}))?(?: ?- ?(?:{month} )?(\d{{1,2}}), (\d{{4}}))?",
-        6,
+        6, span,
     )
-    start = _date(fmt, m1, d1, F.coalesce(y1, y2, F.lit("")))
-    end = _date(fmt, F.coalesce(m2, m1), F.coalesce(d2, d1), F.coalesce(y2, y1, F.lit("")))
-    return _range(start, end)
 
 
 def two_digit_year(text: Column) -> Column:
@@ -73,10 +84,16 @@ def two_digit_year(text: Column) -> Column:
 
 def two_digit_year_pair(text: Column) -> Column:
     """T3 for `25 Jun 19-27 Jun 19`: exactly one dash."""
-    sides = F.split(text, "-")
-    return F.when(
-        F.size(sides) == 2,
-        _range(two_digit_year(F.get(sides, F.lit(0))), two_digit_year(F.get(sides, F.lit(1)))),
+    return _sides(text, lambda n: n == 2)
+
+
+def _sides(text: Column, count_ok) -> Column:
+    return let(
+        F.split(text, "-"),
+        lambda sides: F.when(
+            count_ok(F.size(sides)),
+            _range(two_digit_year(F.get(sides, F.lit(0))), two_digit_year(F.element_at(sides, -1))),
+        ),
     )
 
 
@@ -89,15 +106,21 @@ def day_month_range(text: Column) -> Column:
     cut = F.regexp_replace(
         F.regexp_replace(_tidy(text), r"^\p{L}\S* ", ""), r"(?s) [^ :]*:.*$", ""
     )
-    d1, m1, y1, d2, m2, y2 = _groups(
+    read = lambda *p: let(
+        F.concat_ws(" ", *p),
+        lambda day: F.coalesce(F.try_to_date(day, "d MMMM yyyy"), F.try_to_date(day, "d MMM yyyy")),
+    )
+
+    def span(d1, m1, y1, d2, m2, y2):
+        start = read(d1, F.coalesce(m1, m2), F.coalesce(y1, y2))
+        end = read(F.coalesce(d2, d1), F.coalesce(m2, m1), F.coalesce(y2, y1))
+        return _range(start, end)
+
+    return _groups(
         cut,
         r"(\d{1,2})(?: (\p{L}+) (\d{4}))?(?: ?- ?(\d{1,2}) (\p{L}+) (\d{4}))?",
-        6,
+        6, span,
     )
-    read = lambda *p: F.coalesce(_date("d MMMM yyyy", *p), _date("d MMM yyyy", *p))
-    start = read(d1, F.coalesce(m1, m2), F.coalesce(y1, y2))
-    end = read(F.coalesce(d2, d1), F.coalesce(m2, m1), F.coalesce(y2, y1))
-    return _range(start, end)
 
 
 def long_us_date(text: Column) -> Column:
@@ -122,11 +145,7 @@ def dotted_date(text: Column) -> Column:
 
 def uk_meeting_date(text: Column) -> Column:
     """`09:00-17:00, 25 Jun 19`, `25 Jun 19`, `25 Jun 19 - 27 Jun 19`."""
-    sides = F.split(F.substring_index(text, ",", -1), "-")
-    return F.when(
-        F.size(sides) <= 2,
-        _range(two_digit_year(F.get(sides, F.lit(0))), two_digit_year(F.element_at(sides, -1))),
-    )
+    return _sides(F.substring_index(text, ",", -1), lambda n: n <= 2)
 
 
 def deadline(text: Column) -> Column:

@@ -3,30 +3,35 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanfield.functions.binding import let
 from gleanfield.functions.text import strip
 
 
 def address_tail(text: Column) -> Column:
     """Last comma part is the country, the one before it the city."""
-    parts = F.split(text, ",")
-    return F.when(
-        text.isNotNull(),
-        F.struct(
-            F.when(F.size(parts) > 1, F.get(parts, F.size(parts) - 2)).otherwise("").alias("city"),
-            F.element_at(parts, -1).alias("country"),
+    return let(
+        F.split(text, ","),
+        lambda parts: F.when(
+            parts.isNotNull(),
+            F.struct(
+                F.coalesce(F.get(parts, F.size(parts) - 2), F.lit("")).alias("city"),
+                F.element_at(parts, -1).alias("country"),
+            ),
         ),
     )
 
 
 def city_state_country(text: Column) -> Column:
     """P5: `City, State, Country` or `City, Country`."""
-    parts = F.split(text, ", ")
-    return F.when(
-        text.isNotNull(),
-        F.struct(
-            F.get(parts, F.lit(0)).alias("city"),
-            F.when(F.size(parts) > 2, F.get(parts, F.lit(1))).alias("state"),
-            F.element_at(parts, -1).alias("country"),
+    return let(
+        F.split(text, ", "),
+        lambda parts: F.when(
+            parts.isNotNull(),
+            F.struct(
+                F.get(parts, F.lit(0)).alias("city"),
+                F.when(F.size(parts) > 2, F.get(parts, F.lit(1))).alias("state"),
+                F.element_at(parts, -1).alias("country"),
+            ),
         ),
     )
 
@@ -46,10 +51,13 @@ def city_paren_country(text: Column) -> Column:
 
 def venue_city(text: Column) -> Column:
     """`Venue, City` or `Venue`; NULL with more than one comma."""
-    parts = F.split(text, ",")
-    return F.when(
-        F.size(parts) == 2,
-        F.struct(
-            strip(F.get(parts, F.lit(0))).alias("venue"), strip(F.get(parts, F.lit(1))).alias("city")
-        ),
-    ).when(F.size(parts) == 1, F.struct(text.alias("venue"), F.lit("").alias("city")))
+    one = lambda parts: F.struct(
+        F.get(parts, F.lit(0)).alias("venue"), F.lit("").alias("city")
+    )
+    two = lambda parts: F.struct(
+        strip(F.get(parts, F.lit(0))).alias("venue"), strip(F.get(parts, F.lit(1))).alias("city")
+    )
+    return let(
+        F.split(text, ","),
+        lambda parts: F.when(F.size(parts) == 1, one(parts)).when(F.size(parts) == 2, two(parts)),
+    )

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
+from gleanfield.functions.binding import let
+
 # The characters Python's str.strip() removes.
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -119,31 +121,38 @@ def _spaced(values: Column) -> Column:
     return strip(F.array_join(values, " "))
 
 
+def _pick(lists: Column, i: int) -> Column:
+    return F.transform(lists, lambda p: F.get(p, F.lit(i)))
+
+
 def contact_blocks(desc: Column) -> Column:
     """`STRUCT<description, names, emails, phones, ok>`.
 
     `ok` is false without a block, or where a block has not exactly three parts.
     """
-    blocks = F.regexp_extract_all(desc, F.lit(CONTACT_BLOCK), F.lit(0))
-    parts = F.transform(
-        blocks,
-        lambda b: F.transform(
-            F.split(F.split_part(b, F.lit("Contact Info: "), F.lit(2)), r"\|"), strip
+    found = F.transform(
+        F.regexp_extract_all(desc, F.lit(CONTACT_BLOCK), F.lit(0)),
+        lambda b: F.struct(
+            b.alias("block"),
+            F.transform(
+                F.split(F.split_part(b, F.lit("Contact Info: "), F.lit(2)), r"\|"), strip
+            ).alias("parts"),
         ),
     )
-    nth = lambda i: _spaced(F.transform(parts, lambda p: F.get(p, F.lit(i))))
-    return F.when(
-        desc.isNotNull(),
-        F.struct(
-            F.when(F.size(blocks) > 0, F.split_part(desc, F.get(blocks, F.lit(0)), F.lit(1)))
-            .otherwise(desc)
-            .alias("description"),
-            nth(0).alias("names"),
-            nth(1).alias("emails"),
-            nth(2).alias("phones"),
+
+    def struct(blocks):
+        parts = blocks["parts"]
+        return F.struct(
+            F.coalesce(
+                F.split_part(desc, F.get(blocks, F.lit(0))["block"], F.lit(1)), desc
+            ).alias("description"),
+            _spaced(_pick(parts, 0)).alias("names"),
+            _spaced(_pick(parts, 1)).alias("emails"),
+            _spaced(_pick(parts, 2)).alias("phones"),
             ((F.size(blocks) > 0) & F.forall(parts, lambda p: F.size(p) == 3)).alias("ok"),
-        ),
-    )
+        )
+
+    return let(found, lambda blocks: F.when(blocks.isNotNull(), struct(blocks)))
 
 
 def labelled_contacts(desc: Column) -> Column:
@@ -152,42 +161,42 @@ def labelled_contacts(desc: Column) -> Column:
     Values are lower-cased and lose all white space; `ok` is false where a value
     holds a second `:`.
     """
-    pairs = F.transform(
+    found = F.transform(
         F.regexp_extract_all(desc, F.lit(CONTACT_LABEL), F.lit(0)),
         lambda m: F.split(F.regexp_replace(F.lower(m), r"(?U)\s+", ""), ":"),
     )
-    of = lambda key: F.array_join(
-        F.transform(
-            F.filter(pairs, lambda p: F.get(p, F.lit(0)) == key), lambda p: F.get(p, F.lit(1))
-        ),
-        " ",
-    )
-    return F.when(
-        desc.isNotNull(),
-        F.struct(
+
+    def struct(pairs):
+        of = lambda key: F.array_join(
+            _pick(F.filter(pairs, lambda p: F.get(p, F.lit(0)) == key), 1), " "
+        )
+        return F.struct(
             of("email").alias("emails"),
             of("phone").alias("phones"),
             of("fax").alias("faxes"),
             F.forall(pairs, lambda p: F.size(p) == 2).alias("ok"),
-        ),
-    )
+        )
+
+    return let(found, lambda pairs: F.when(pairs.isNotNull(), struct(pairs)))
 
 
 def info_names(desc: Column) -> Column:
     """`STRUCT<description, organizer, names, ok>` from `Info: Organizer, Name, Name`."""
-    infos = F.regexp_extract_all(desc, F.lit(CONTACT_NAMES), F.lit(0))
-    parts = F.transform(infos, lambda i: F.transform(F.split(i, ","), strip))
-    first = F.get(infos, F.lit(0))
-    return F.when(
-        desc.isNotNull(),
-        F.struct(
-            F.when(F.size(infos) > 0, F.split_part(desc, first, F.lit(1)))
-            .otherwise(desc)
-            .alias("description"),
-            F.array_join(F.transform(parts, lambda p: F.get(p, F.lit(0))), " ").alias("organizer"),
-            F.array_join(
-                F.flatten(F.transform(parts, lambda p: F.slice(p, 2, F.size(p)))), " "
-            ).alias("names"),
-            ((F.size(infos) == 0) | (first != "")).alias("ok"),
-        ),
+    found = F.transform(
+        F.regexp_extract_all(desc, F.lit(CONTACT_NAMES), F.lit(0)),
+        lambda i: F.struct(i.alias("info"), F.transform(F.split(i, ","), strip).alias("parts")),
     )
+
+    def struct(infos):
+        first = F.get(infos, F.lit(0))["info"]
+        rest = F.transform(infos["parts"], lambda p: F.slice(p, 2, F.size(p)))
+        return F.struct(
+            F.coalesce(F.split_part(desc, F.nullif(first, F.lit("")), F.lit(1)), desc).alias(
+                "description"
+            ),
+            F.array_join(_pick(infos["parts"], 0), " ").alias("organizer"),
+            F.array_join(F.flatten(rest), " ").alias("names"),
+            F.coalesce(first != "", F.lit(True)).alias("ok"),
+        )
+
+    return let(found, lambda infos: F.when(infos.isNotNull(), struct(infos)))

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gleanfield.functions.binding import let
+
 # Schemes whose last path segment may carry `;params`, and schemes
 # written with `//` even when the authority is empty (Python's urllib.parse).
 PARAM_SCHEMES = (
@@ -23,11 +25,6 @@ _LAST_SEGMENT = r"(?s)^((?:.*/)?[^/;]*)(?:;([^/]*))?$"
 _LEADING = "".join(map(chr, range(0x21)))
 
 
-def let(value: Column, body) -> Column:
-    """`body(value)` with `value` worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _tail(mark: str, text: Column) -> Column:
     return F.when(text != "", F.concat(F.lit(mark), text)).otherwise("")
 
@@ -74,25 +71,25 @@ def _query_text(pairs: Column) -> Column:
 
 def unpack_url(url: Column) -> Column:
     """`STRUCT<scheme, netloc, path, params, query ARRAY<STRUCT<k, v>>, fragment>`."""
-    u = _clean(url)
-    part = lambda n: F.regexp_extract(u, _URL, n)
-    scheme, path = F.lower(part(1)), part(3)
-    has_params = scheme.isin(PARAM_SCHEMES) & path.contains(";")
-    return F.when(
-        url.isNotNull(),
-        F.struct(
+
+    def struct(parts):
+        part = lambda n: F.get(parts, F.lit(n))
+        scheme, path = F.lower(part(0)), part(2)
+        has_params = scheme.isin(PARAM_SCHEMES) & path.contains(";")
+        segment = lambda n, other: F.when(
+            has_params, F.regexp_extract(path, _LAST_SEGMENT, n)
+        ).otherwise(other)
+        return F.struct(
             scheme.alias("scheme"),
-            part(2).alias("netloc"),
-            F.when(has_params, F.regexp_extract(path, _LAST_SEGMENT, 1))
-            .otherwise(path)
-            .alias("path"),
-            F.when(has_params, F.regexp_extract(path, _LAST_SEGMENT, 2))
-            .otherwise("")
-            .alias("params"),
-            _query_pairs(part(4)).alias("query"),
-            part(5).alias("fragment"),
-        ),
-    )
+            part(1).alias("netloc"),
+            segment(1, path).alias("path"),
+            segment(2, "").alias("params"),
+            _query_pairs(part(3)).alias("query"),
+            part(4).alias("fragment"),
+        )
+
+    cut = F.regexp_replace(_clean(url), _URL, "$1\x01$2\x01$3\x01$4\x01$5")
+    return let(F.split(cut, "\x01"), lambda parts: F.when(parts.isNotNull(), struct(parts)))
 
 
 def pack_url(parts: Column) -> Column:

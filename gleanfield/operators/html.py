@@ -30,11 +30,12 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
     """One STRUCT column with a value per field; NULL where the page is NULL."""
     result = _struct(fields)
     arrow_type = to_arrow_type(result)
-    read = markup.read_fields
+    page_reader = markup.page_reader
 
     @arrow_udf(result)
     def extract(pages: pa.Array) -> pa.Array:
-        records = [read(p.as_py(), fields) if p.is_valid else None for p in pages]
+        read = page_reader(fields)
+        records = [read(p.as_py()) if p.is_valid else None for p in pages]
         return pa.array(records, type=arrow_type)
 
     return extract(html)

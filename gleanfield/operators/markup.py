@@ -72,82 +72,77 @@ CLOSES.update(
 RANK = {"div": 150, "td": 160, "th": 160, "tr": 170, "thead": 180, "tbody": 180, "tfoot": 180,
         "table": 190, "head": 200, "body": 200, "html": 220}
 
+_ATTRS = r"((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)"
-    r"(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>",
-    re.S,
+    rf"|<(script|style)(?=[\s>]){_ATTRS}>(.*?)(?=</(?:script|style)|\Z)"
+    rf"|<(/)?([a-z][^\s/>]*){_ATTRS}>",
+    re.S | re.I,
 )
 _ATTR = re.compile(r"([^\s=>/\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-_RAW_END = re.compile("</(?:script|style)", re.I)
 _BLANKS = re.compile("[ \t\r\n]+")
 
+# Positions within an element's entry.
+TAG, PARENT, ATTRS, BEGIN, END, LAST, FIRST_RUN, END_RUN = range(8)
+
 
 class Page:
-    """Elements of one page in document order, index 0 being the page itself."""
+    """Elements of one page in document order; element 0 is the page itself.
+
+    `runs` are the pieces of text as (begin, end, owning element).
+    """
 
     def __init__(self, text):
         self.text = text
-        self.tags, self.parents, self.attrs = [""], [-1], [""]
-        self.begins, self.ends = [0], [len(text)]
-        self.lasts, self.first_runs, self.last_runs = [0], [0], [0]
-        self.runs, self.run_owner = [], []
+        self.elements = [["", -1, "", 0, len(text), 0, 0, 0]]
+        self.runs = []
         self.by_tag = {}
-        self._attr_cache = {}
+        self.found = {}  # elements by path prefix and context, shared by the fields
+        self._attributes, self._texts = {}, {}
         self._read()
 
     def _read(self):
-        text, pos, open_ = self.text, 0, [0]
-        while True:
-            token = _TOKEN.search(text, pos)
-            begin = token.start() if token else len(text)
+        text, elements, runs, by_tag = self.text, self.elements, self.runs, self.by_tag
+        open_, pos = [0], 0
+        for token in _TOKEN.finditer(text):
+            begin = token.start()
             if begin > pos:
-                self.runs.append(text[pos:begin])
-                self.run_owner.append(open_[-1])
-            if token is None:
-                break
+                runs.append((pos, begin, open_[-1]))
             pos = token.end()
-            if token["tag"] is None:
+            raw, raw_attrs, _, end, tag, attrs = token.groups()
+            if raw is not None:
+                tag, attrs = raw, raw_attrs
+            elif tag is None:
                 continue
-            tag = token["tag"].lower()
-            if token["end"]:
+            tag = tag.lower()
+            if end:
                 self._end(open_, tag, begin, pos)
                 continue
-            while self.tags[open_[-1]] in CLOSES.get(tag, ()):
+            closes = CLOSES.get(tag)
+            while closes and elements[open_[-1]][TAG] in closes:
                 self._close(open_, begin)
-            index = len(self.tags)
-            self.tags.append(tag)
-            self.parents.append(open_[-1])
-            self.attrs.append(token["attrs"])
-            self.begins.append(begin)
-            self.ends.append(pos)
-            self.lasts.append(index)
-            self.first_runs.append(len(self.runs))
-            self.last_runs.append(len(self.runs))
-            self.by_tag.setdefault(tag, []).append(index)
-            if tag in VOID:
-                continue
-            open_.append(index)
-            if tag in ("script", "style"):
-                found = _RAW_END.search(text, pos)
-                close = found.start() if found else len(text)
-                if close > pos:
-                    self.runs.append(text[pos:close])
-                    self.run_owner.append(index)
-                pos = close
+            index = len(elements)
+            elements.append([tag, open_[-1], attrs, begin, pos, index, len(runs), len(runs)])
+            by_tag.setdefault(tag, []).append(index)
+            if tag not in VOID:
+                open_.append(index)
+                if raw is not None and token.start(3) < pos:
+                    runs.append((token.start(3), pos, index))
+        if pos < len(text):
+            runs.append((pos, len(text), open_[-1]))
         while open_:
             self._close(open_, len(text))
 
     def _close(self, open_, end):
-        index = open_.pop()
-        self.ends[index] = end
-        self.lasts[index] = len(self.tags) - 1
-        self.last_runs[index] = len(self.runs)
+        element = self.elements[open_.pop()]
+        element[END] = end
+        element[LAST] = len(self.elements) - 1
+        element[END_RUN] = len(self.runs)
 
     def _end(self, open_, tag, at, pos):
-        rank = RANK.get(tag, 100)
+        elements, rank = self.elements, RANK.get(tag, 100)
         for depth in range(len(open_) - 1, 0, -1):
-            name = self.tags[open_[depth]]
+            name = elements[open_[depth]][TAG]
             if name == tag:
                 while len(open_) > depth + 1:
                     self._close(open_, at)
@@ -156,124 +151,198 @@ class Page:
             if RANK.get(name, 100) > rank:
                 return
 
-    # -- what rules ask about an element ------------------------------------------
-
     def attributes(self, i):
-        found = self._attr_cache.get(i)
+        found = self._attributes.get(i)
         if found is None:
-            found = self._attr_cache[i] = {}
-            for name, value in _ATTR.findall(self.attrs[i]):
+            found = self._attributes[i] = {}
+            for name, value in _ATTR.findall(self.elements[i][ATTRS]):
                 if value[:1] in ("'", '"'):
                     value = value[1:-1]
                 found.setdefault(name.lower(), unescape(value) if "&" in value else value)
         return found
 
     def own_texts(self, i):
-        return [
-            self._decoded(k)
-            for k in range(self.first_runs[i], self.last_runs[i])
-            if self.run_owner[k] == i
-        ]
-
-    def _decoded(self, k):
-        run = self.runs[k]
-        if "&" in run and self.tags[self.run_owner[k]] not in ("script", "style"):
-            return unescape(run)
-        return run
+        texts = self._texts.get(i)
+        if texts is None:
+            element = self.elements[i]
+            texts = self._texts[i] = [
+                self._decoded(run)
+                for run in self.runs[element[FIRST_RUN] : element[END_RUN]]
+                if run[2] == i
+            ]
+        return texts
 
     def string(self, i):
-        return "".join(self._decoded(k) for k in range(self.first_runs[i], self.last_runs[i]))
+        element = self.elements[i]
+        return "".join(map(self._decoded, self.runs[element[FIRST_RUN] : element[END_RUN]]))
+
+    def _decoded(self, run):
+        piece = self.text[run[0] : run[1]]
+        if "&" in piece and self.elements[run[2]][TAG] not in ("script", "style"):
+            return unescape(piece)
+        return piece
+
+    def markup(self, i):
+        return self.text[self.elements[i][BEGIN] : self.elements[i][END]]
 
     def siblings_before(self, i):
-        parent = self.parents[i]
-        return [j for j in range(parent + 1, i) if self.parents[j] == parent]
-
-    def matches(self, rule, i):
-        if rule.tag is not None and self.tags[i] != rule.tag:
-            return False
-        if rule.any_class or rule.all_class or rule.class_like or rule.class_eq:
-            value = self.attributes(i).get("class", "") if "class" in self.attrs[i].lower() else ""
-            tokens = _BLANKS.split(value)
-            if rule.any_class and not any(c in tokens for c in rule.any_class):
-                return False
-            if not all(c in tokens for c in rule.all_class):
-                return False
-            if rule.class_like and rule.class_like not in value:
-                return False
-            if rule.class_eq and rule.class_eq != value:
-                return False
-        if rule.attr:
-            name, test, wanted = rule.attr
-            value = self.attributes(i).get(name)
-            if value is None:
-                return False
-            if test == "equals" and value != wanted:
-                return False
-            if test == "prefix" and not value.startswith(wanted):
-                return False
-            if test == "contains" and wanted not in value:
-                return False
-        if rule.own_text is not None and rule.own_text not in self.own_texts(i):
-            return False
-        if rule.no_text and self.own_texts(i):
-            return False
-        if rule.nth is not None:
-            before = sum(self.tags[j] == self.tags[i] for j in self.siblings_before(i))
-            if before + 1 != rule.nth:
+        """Earlier siblings, in document order."""
+        parent, found = self.elements[i][PARENT], []
+        j = parent + 1
+        while j < i:
+            found.append(j)
+            j = self.elements[j][LAST] + 1
+        return found
+
+
+def _tests(rule):
+    """What an element of the right tag must satisfy, as functions of page and element."""
+    tests = []
+    if rule.any_class or rule.all_class or rule.class_like or rule.class_eq:
+
+        def has_class(page, i):
+            if "class" not in page.elements[i][ATTRS].lower():
                 return False
-        if rule.has is not None and not self.select((rule.has,), i):
-            return False
-        return rule.after is None or any(
-            self.matches(rule.after, j) for j in self.siblings_before(i)
-        )
-
-    def select(self, path, context=0, own=False):
-        """Elements a path leads to, in document order; `own` admits the context itself."""
-        found = [context]
-        for step, rule in enumerate(path):
-            hits = set()
-            for c in found:
-                low = c if own and step == 0 and not rule.child else c + 1
-                if rule.tag is None:
-                    candidates = range(low, self.lasts[c] + 1)
+            value = page.attributes(i).get("class", "")
+            tokens = _BLANKS.split(value)
+            return (
+                (not rule.any_class or any(c in tokens for c in rule.any_class))
+                and all(c in tokens for c in rule.all_class)
+                and (not rule.class_like or rule.class_like in value)
+                and (not rule.class_eq or rule.class_eq == value)
+            )
+
+        tests.append(has_class)
+    if rule.attr:
+        name, how, wanted = rule.attr
+        compare = {
+            "exists": lambda value: True,
+            "equals": lambda value: value == wanted,
+            "prefix": lambda value: value.startswith(wanted),
+            "contains": lambda value: wanted in value,
+        }[how]
+
+        def has_attr(page, i):
+            value = page.attributes(i).get(name) if page.elements[i][ATTRS] else None
+            return value is not None and compare(value)
+
+        tests.append(has_attr)
+    if rule.own_text is not None:
+        tests.append(lambda page, i: rule.own_text in page.own_texts(i))
+    if rule.no_text:
+        tests.append(lambda page, i: not page.own_texts(i))
+    if rule.nth is not None:
+
+        def is_nth(page, i):
+            tag = page.elements[i][TAG]
+            same = [j for j in page.siblings_before(i) if page.elements[j][TAG] == tag]
+            return len(same) + 1 == rule.nth
+
+        tests.append(is_nth)
+    if rule.has is not None:
+        inner = _step(rule.has)
+        tests.append(lambda page, i: bool(inner(page, [i], False)))
+    if rule.after is not None:
+        earlier, tag = _tests(rule.after), rule.after.tag
+
+        def is_after(page, i):
+            return any(
+                tag in (None, page.elements[j][TAG]) and all(t(page, j) for t in earlier)
+                for j in page.siblings_before(i)
+            )
+
+        tests.append(is_after)
+    return tests
+
+
+def _step(rule):
+    """One step of a path: from some elements to those the rule finds, in document order."""
+    tests, tag, child = _tests(rule), rule.tag, rule.child
+
+    def step(page, contexts, own):
+        elements, found = page.elements, []
+        tagged = page.by_tag.get(tag, ()) if tag else ()
+        if tag and not tagged:
+            return found
+        for c in contexts:
+            low, high = c if own and not child else c + 1, elements[c][LAST] + 1
+            if not tag:
+                candidates = range(low, high)
+            elif c == 0:
+                candidates = tagged
+            else:
+                candidates = tagged[bisect_left(tagged, low) : bisect_left(tagged, high)]
+            for i in candidates:
+                if child and elements[i][PARENT] != c:
+                    continue
+                for test in tests:
+                    if not test(page, i):
+                        break
                 else:
-                    all_ = self.by_tag.get(rule.tag, [])
-                    candidates = all_[bisect_left(all_, low) : bisect_left(all_, self.lasts[c] + 1)]
-                for i in candidates:
-                    if i in hits or (rule.child and self.parents[i] != c):
-                        continue
-                    if self.matches(rule, i):
-                        hits.add(i)
-            found = sorted(hits)
-            if rule.first is not None:
-                found = found[rule.first - 1 : rule.first]
-        return found
+                    found.append(i)
+        if len(contexts) > 1:
+            found = sorted(set(found))
+        return found if rule.first is None else found[rule.first - 1 : rule.first]
+
+    return step
+
 
-    def take(self, field, context=0):
-        own = context != 0
-        found = self.select(field.path, context, own)
-        what, _, name = field.take.partition(":")
+def reader(field, prefixes=None):
+    """The field as a function of page and context element.
+
+    Fields made with the same `prefixes` look up a common beginning of their paths once.
+    """
+    prefixes = {} if prefixes is None else prefixes
+    steps = []
+    for n, rule in enumerate(field.path):
+        number = len(prefixes)
+        steps.append(prefixes.setdefault(field.path[: n + 1], (number, _step(rule))))
+    what, _, name = field.take.partition(":")
+    default = field.default
+    sub = {k: reader(f, prefixes) for k, f in field.sub.items()} if what == "rows" else None
+
+    def read(page, context=0):
+        found, own = [context], context != 0
+        for number, step in steps:
+            known = page.found.get((number, context))
+            if known is None:
+                known = page.found[number, context] = step(page, found, own)
+            found, own = known, False
+            if not found:
+                break
         if what == "rows":
-            return [{k: self.take(f, i) for k, f in field.sub.items()} for i in found]
+            return [{k: r(page, i) for k, r in sub.items()} for i in found]
+        if what == "first_text":
+            for i in found:
+                texts = page.own_texts(i)
+                if texts:
+                    return texts[0]
+            return default
         if what == "all_text":
-            return [t for i in found for t in self.own_texts(i)]
+            return [t for i in found for t in page.own_texts(i)]
         if what == "all_html":
-            return [self.text[self.begins[i] : self.ends[i]] for i in found]
-        if what in ("all_attr", "attr"):
-            values = [self.attributes(i).get(name) for i in found]
-            values = [v for v in values if v is not None]
-            return values if what == "all_attr" else (values[0] if values else field.default)
-        if what == "first_text":
-            texts = (t for i in found for t in self.own_texts(i))
-            return next(texts, field.default)
+            return [page.markup(i) for i in found]
         if what == "html":
-            return self.text[self.begins[found[0]] : self.ends[found[0]]] if found else field.default
-        string = self.string(found[0]) if found else ""
-        if what == "norm_text":
-            string = _BLANKS.sub(" ", string).strip(" ")
-        return string if found or field.default is None else field.default
+            return page.markup(found[0]) if found else default
+        if what in ("attr", "all_attr"):
+            values = [page.attributes(i).get(name) for i in found]
+            values = [v for v in values if v is not None]
+            return values if what == "all_attr" else (values[0] if values else default)
+        if not found and default is not None:
+            return default
+        string = page.string(found[0]) if found else ""
+        return _BLANKS.sub(" ", string).strip(" ") if what == "norm_text" else string
+
+    return read
+
+
+def page_reader(fields):
+    """All fields of a page in one reading of it."""
+    prefixes = {}
+    readers = {name: reader(field, prefixes) for name, field in fields.items()}
 
+    def read(text):
+        page = Page(text)
+        return {name: r(page) for name, r in readers.items()}
 
-def read_fields(text, fields):
-    page = Page(text)
-    return {name: page.take(field) for name, field in fields.items()}
+    return read

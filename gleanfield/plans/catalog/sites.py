@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gleanfield.plans.catalog.registry import BOOKINGS, query
 from gleanfield.plans.harvest import harvest, harvest_details, merge_sources
 from gleanfield.schema import REJECT
-from gleanfield.sources.io import spread
 from gleanfield.sources.sites import SITES, map_site
 
 _WITH = "with " + BOOKINGS
@@ -33,11 +32,10 @@ def _events(df):
     return out.select(*[F.when(good, F.col(c)).alias(c) if c not in keys else F.col(c) for c in out.columns])
 
 
-def _written(t, markup, key="k"):
+def _written(t, markup):
     """One page per booking."""
-    rows = t.bookings().select("k", F.expr(f"'http://site/' || k || '?utm_x=1&id=' || k").alias("url"),
-                               F.expr(markup).alias("body"))
-    return spread(rows, "k")
+    url = F.expr("'http://site/' || k || '?utm_x=1&id=' || k")
+    return t.bookings().select("k", url.alias("url"), F.expr(markup).alias("body"))
 
 
 def _listing(t, markup, head, foot, size=20):
@@ -45,10 +43,8 @@ def _listing(t, markup, head, foot, size=20):
     from gleanfield.plans.catalog.tables import _paged
 
     pages = _paged(t.bookings(), "k", F.expr(markup), "page", size)
-    return spread(
-        pages.select("page", F.lit("http://site/list").alias("url"), F.concat(F.lit(head), "rows", F.lit(foot)).alias("body")),
-        "page",
-    )
+    body = F.concat(F.lit(head), "rows", F.lit(foot))
+    return pages.select("page", F.lit("http://site/list").alias("url"), body.alias("body"))
 
 
 def _calendar_page():

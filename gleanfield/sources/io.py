@@ -33,7 +33,7 @@ def page_source(
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Repartition small input whose few splits would leave cores idle."""
+    """Repartition a plain scan whose few splits would leave cores idle."""
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
@@ -73,8 +73,7 @@ def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
     header = F.split(F.btrim(F.split_part(body, F.lit("\n"), F.lit(1)), F.lit(" \t\r\n")), ",")
     lines = F.transform(F.split(body, "\n"), lambda x: F.regexp_replace(x, "\r$", ""))
     plain = F.transform(
-        F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: x != ""),
-        lambda x: F.split(x, ","),
+        F.filter(lines, lambda x, i: (i > 0) & (x != "")), lambda x: F.split(x, ",")
     )
     hard = body.contains('"') | body.rlike("\r(?!\n)")
     rows = F.when(hard, _quoted_rows(F.when(hard, body))).otherwise(plain)
