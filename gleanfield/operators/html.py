@@ -27,7 +27,11 @@ def _type(field: Field):
 
 
 def fields_of(html: Column, fields: dict[str, Field]) -> Column:
-    """One STRUCT column with a value per field; NULL where the page is NULL."""
+    """One STRUCT column with a value per field; NULL where the page is NULL.
+
+    The UDF is declared nondeterministic: a filter on a field then stays above it, where
+    pushing it down would have the page read once for the filter and once for the fields.
+    """
     result = _struct(fields)
     arrow_type = to_arrow_type(result)
     page_reader = markup.page_reader
@@ -38,7 +42,7 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
         records = [read(p.as_py()) if p.is_valid else None for p in pages]
         return pa.array(records, type=arrow_type)
 
-    return extract(html)
+    return extract.asNondeterministic()(html)
 
 
 def extract_fields(df: DataFrame, html_col: str, fields: dict[str, Field]) -> DataFrame:

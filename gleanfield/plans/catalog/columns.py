@@ -116,7 +116,7 @@ select doc_id, regexp_replace(strip_accents(replace(replace(text, 'ß', ''), '
 from documents""")
 def q_strip_accents(t):
     """F10"""
-    return t.documents.select("doc_id", text.strip_accents(F.col("text")).alias("plain"))
+    return t.bodies("documents", "doc_id").select("doc_id", text.strip_accents(F.col("text")).alias("plain"))
 
 
 @query(r"""
@@ -175,7 +175,7 @@ def q_contacts(t):
         "o_orderpriority || '. Contact Info: Clerk ' || o_custkey || ' | ' || o_custkey || '@x.org | +1-'"
         " || o_orderkey || if(o_orderkey % 3 = 0, ' Contact Info: Second | b@y.org | ', '') || ' | Site'"
     )
-    found = t.orders.select("o_orderkey", text.contact_blocks(written).alias("c"))
+    found = t.bodies("orders", "o_orderkey").select("o_orderkey", text.contact_blocks(written).alias("c"))
     return found.select("o_orderkey", "c.*")
 
 
@@ -188,7 +188,7 @@ def q_labelled(t):
         "o_orderpriority || ' Phone: +49-' || o_custkey || ' - ' || o_orderkey || ', Fax: +49-'"
         " || o_orderkey || ', eMail: C' || o_custkey || '@X.org'"
     )
-    found = t.orders.select("o_orderkey", text.labelled_contacts(written).alias("c"))
+    found = t.bodies("orders", "o_orderkey").select("o_orderkey", text.labelled_contacts(written).alias("c"))
     return found.select("o_orderkey", "c.*")
 
 
@@ -203,7 +203,7 @@ def q_info_names(t):
         "if(o_orderkey % 7 = 0, o_orderpriority,"
         " 'About. Info: Org ' || o_custkey || ', Ann Lee, ' || o_orderstatus || ' Phone: 1')"
     )
-    found = t.orders.select("o_orderkey", text.info_names(written).alias("c"))
+    found = t.bodies("orders", "o_orderkey").select("o_orderkey", text.info_names(written).alias("c"))
     return found.select("o_orderkey", "c.*")
 
 
@@ -213,7 +213,7 @@ from documents""")
 def q_event_id(t):
     """N5"""
     made = text.event_id(F.col("text"), F.col("lang"), F.lit("2019-06-03"))
-    return t.documents.select("doc_id", made.alias("id"))
+    return t.bodies("documents", "doc_id").select("doc_id", made.alias("id"))
 
 
 _KINDS = ["ring", "widget", "bolt", "gear"]
@@ -246,7 +246,7 @@ select o_orderkey, case when not unreadable then strftime(s, '%Y-%m-%d') end as
 
 def _spans(t, written):
     """Orders with a written span; low-priority ones cannot be read."""
-    spans = t.orders.selectExpr(
+    spans = t.bodies("orders", "o_orderkey").selectExpr(
         "o_orderkey", "o_orderpriority", "cast(o_orderdate as date) s",
         "date_add(cast(o_orderdate as date), cast(o_orderkey % 40 as int)) e",
     )

@@ -37,13 +37,13 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def bodies(self, name: str, key: str) -> DataFrame:
-        """A table on its way to Python, on all cores."""
+        """A table for heavy work per row, on all cores."""
         return spread(getattr(self, name), key)
 
     def bookings(self) -> DataFrame:
         """Orders as raw material for events: who, where, from when to when."""
         joined = (
-            self.orders.join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
+            self.bodies("orders", "o_orderkey").join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(self.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         )
         return joined.selectExpr(*BOOKING)

@@ -216,7 +216,7 @@ def q_flatten_json(t):
         "'{\"a\": [' || props || ', \"' || event_type || '\"], \"b\": {\"c\": {\"user\": ' || user_id"
         " || '}, \"n\": null, \"none\": [], \"e\": {}}}'"
     )
-    return rows.flatten_json(t.events.select("event_id", doc.alias("doc")), "doc", max_depth=4)
+    return rows.flatten_json(t.bodies("events", "event_id").select("event_id", doc.alias("doc")), "doc", max_depth=4)
 
 
 # -- documents in a column ----------------------------------------------------------------
@@ -282,7 +282,7 @@ def _json(t, broken=False):
     if broken:
         doc = F.when(F.col("event_type") == "error", F.left(doc, F.lit(20))).otherwise(doc)
     entry = StructType([StructField("title", StringType()), StructField("k", StringType())])
-    return io.json_list_rows(t.events.select("event_id", doc.alias("body")), "body", entry)
+    return io.json_list_rows(t.bodies("events", "event_id").select("event_id", doc.alias("body")), "body", entry)
 
 
 @query("""

@@ -76,10 +76,11 @@ def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
         F.filter(lines, lambda x, i: (i > 0) & (x != "")), lambda x: F.split(x, ",")
     )
     hard = body.contains('"') | body.rlike("\r(?!\n)")
-    rows = F.when(hard, _quoted_rows(F.when(hard, body))).otherwise(plain)
-    parsed = df.where(body.isNotNull()).select(*keep, header.alias("_names"), rows.alias("_rows"))
-    exploded = parsed.where(F.col("_rows").isNull() | (F.size("_rows") > 0)).select(
-        *keep, "_names", F.posexplode_outer("_rows").alias("row_no", "_v")
+    unreadable = F.array(F.lit(None).cast("array<string>"))
+    quoted = F.coalesce(_quoted_rows(F.when(hard, body)), unreadable)
+    rows = F.when(hard, quoted).otherwise(plain)
+    exploded = df.where(body.isNotNull()).select(
+        *keep, header.alias("_names"), F.posexplode(rows).alias("row_no", "_v")
     )
     width = F.size("_names")
     last = lambda i: F.array_position(F.reverse("_names"), F.get("_names", i)) == width - i
@@ -95,7 +96,8 @@ def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
         )
     )
     return exploded.select(
-        *keep, "row_no", F.when(F.col("_v").isNotNull(), record).alias("rec"),
+        *keep, F.when(F.col("_v").isNotNull(), F.col("row_no")).alias("row_no"),
+        F.when(F.col("_v").isNotNull(), record).alias("rec"),
         F.when(F.size("_v") > width, F.slice("_v", width + 1, F.size("_v"))).alias("overflow"),
     )
 
