@@ -4,6 +4,9 @@ A plain window puts all rows of a key into one task. Keys with more than `hot_ro
 are therefore cut into consecutive slices of the order; the window runs per slice, and
 what has to cross a slice border (the first row of the next slice, the number of rows
 before) comes from a table with one row per hot key and slice.
+
+Finding hot keys takes a pass over the keys, so the input should be a stored table or a
+checkpoint, not a costly plan.
 """
 
 from dataclasses import dataclass
@@ -57,6 +60,11 @@ class _Sliced:
     hot: DataFrame | None  # hot keys, None when there are none
     keys: list[str]
 
+    @property
+    def parts(self) -> list[str]:
+        """What a window over consecutive rows is partitioned by."""
+        return self.keys if self.hot is None else [*self.keys, _SLICE]
+
     def hot_slices(self, *aggregates: Column) -> DataFrame:
         """One row per hot key and slice, worked out once."""
         hot = small_side(self.hot.select(*self.keys))
@@ -88,7 +96,7 @@ def pairwise(
     `order` must make the rows of a key distinct.
     """
     cut = _cut_hot_keys(df, keys, order, hot_rows)
-    within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    within = Window.partitionBy(*cut.parts).orderBy(*order)
     boxed = F.struct(F.col(column).alias("v"))
     rows = cut.df.withColumn("_next", F.lead(boxed).over(within))
     if cut.hot is not None:
@@ -118,7 +126,7 @@ def positions(
 ) -> DataFrame:
     """Zero-based place of each row within its key."""
     cut = _cut_hot_keys(df, keys, order, hot_rows)
-    within = Window.partitionBy(*keys, _SLICE).orderBy(*order)
+    within = Window.partitionBy(*cut.parts).orderBy(*order)
     rows = cut.df.withColumn(out, F.row_number().over(within).cast("long") - 1)
     if cut.hot is not None:
         slices = cut.hot_slices(F.count(F.lit(1)).alias("_rows"))
@@ -139,7 +147,7 @@ def chunks(
     """rows of a key to arrays of `n` values (`chunk`, `items`), the last one padded."""
     placed = positions(df, keys, order, "_pos", hot_rows)
     boxed = F.struct(F.col("_pos").alias("p"), F.col(column).alias("v"))
-    grouped = placed.groupBy(*keys, F.floor(F.col("_pos") / n).alias("chunk")).agg(
+    grouped = placed.groupBy(*keys, F.expr(f"_pos div {n}").alias("chunk")).agg(
         F.sort_array(F.collect_list(boxed)).alias("_items")
     )
     items = F.transform("_items", lambda x: x["v"])

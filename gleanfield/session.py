@@ -52,7 +52,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
     """Hint `df` for broadcast when a count that stops at `max_rows` proves it small.
 
     A larger side gets no hint: the join then shuffles, and adaptive execution
@@ -60,5 +60,8 @@ def small_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    rows = df.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    seen = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
+    ).first()
+    return F.broadcast(df) if seen.rows <= max_rows and seen.bytes <= max_bytes else df

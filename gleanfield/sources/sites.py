@@ -50,6 +50,12 @@ def _bad(written: Column, read: Column) -> Column:
     return written.isNotNull() & read.isNull()
 
 
+def _worked_out(df: DataFrame, **values: Column) -> tuple[DataFrame, *tuple[Column, ...]]:
+    """`df` with helper columns, and those columns: each is used several times."""
+    columns = {f"_{name}": value for name, value in values.items()}
+    return df.withColumns(columns), *map(F.col, columns)
+
+
 def _record(df: DataFrame, rejects: dict[str, Column], **values: Column) -> DataFrame:
     """Event columns and `reject_reason`; other columns of the input are kept in front."""
     keep = [c for c in df.columns if not c.startswith("_") and c not in
@@ -85,7 +91,9 @@ CALENDAR_FIELDS = {
 
 
 def _calendar(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    start, end = dates.iso_date(_raw("start")), dates.iso_date(_raw("end"))
+    df, start, end = _worked_out(
+        df, start=dates.iso_date(_raw("start")), end=dates.iso_date(_raw("end"))
+    )
     values = {k: strip(_raw(k)) for k in CALENDAR_FIELDS if k not in ("start", "end")}
     values["event_type"] = F.lower(values["event_type"])
     return _record(
@@ -130,8 +138,8 @@ def _cell(*classes: str) -> Field:
 
 
 def _bio(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    placed = city_state_or_country(df.withColumn("_location", _raw("location")), "_location", gazetteer)
-    when = dates.us_range(_raw("date"))
+    df, _, when = _worked_out(df, location=_raw("location"), when=dates.us_range(_raw("date")))
+    placed = city_state_or_country(df, "_location", gazetteer)
     return _record(
         placed,
         {"bad_date": when.isNull(), "bad_location": F.col("place").isNull()},
@@ -168,7 +176,9 @@ _GRID_CELLS = Field(
 
 def _global_science_meetings(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     cell = lambda i: strip(F.get(_raw("cells"), F.lit(i))["text"])
-    when, contacts = dates.us_abbrev_range(cell(2)), text.contact_blocks(cell(5))
+    df, when, contacts = _worked_out(
+        df, when=dates.us_abbrev_range(cell(2)), contacts=text.contact_blocks(cell(5))
+    )
     return _record(
         df,
         {
@@ -212,10 +222,13 @@ def grid_row(body: Column, row_index: Column) -> Column:
 
 
 def _uk_biotech_database(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    parts, contact = text.br_parts(_raw("description")), text.br_parts(_raw("contact"))
+    df, parts, contact, when = _worked_out(
+        df,
+        parts=text.br_parts(_raw("description")), contact=text.br_parts(_raw("contact")),
+        when=dates.two_digit_year_pair(_raw("date")),
+    )
     part = lambda i: F.get(parts, F.lit(i))
     placed = country_in_text(df.withColumn("_location", part(1)), "_location", gazetteer)
-    when = dates.two_digit_year_pair(_raw("date"))
     person = F.when(F.size(contact) > 1, text.after_last_tag(F.get(contact, F.lit(0)))).otherwise("")
     return _record(
         placed,
@@ -259,8 +272,11 @@ def _label(label: str) -> Field:
 
 
 def _label_list(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    when = dates.day_month_range(text.after_label(_raw("date")))
-    closes = dates.day_month_range(text.after_label(_raw("deadline")))
+    df, when, closes = _worked_out(
+        df,
+        when=dates.day_month_range(text.after_label(_raw("date"))),
+        closes=dates.day_month_range(text.after_label(_raw("deadline"))),
+    )
     return _record(
         df,
         {"bad_date": when.isNull(), "bad_deadline": closes.isNull()},
@@ -315,8 +331,11 @@ def _either(first: str, second: str) -> Column:
 
 
 def _bio_partner(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    start, end = dates.iso_date(_raw("start_date")), dates.iso_date(_raw("end_date"))
-    closes = dates.deadline(_raw("last_registration_date"))
+    df, start, end, closes = _worked_out(
+        df,
+        start=dates.iso_date(_raw("start_date")), end=dates.iso_date(_raw("end_date")),
+        closes=dates.deadline(_raw("last_registration_date")),
+    )
     return _record(
         df,
         {
@@ -355,9 +374,12 @@ def _icon(box: str, icon: str, take: str = "first_text", default: str | None = N
 
 
 def _swiss_biotech(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    start = dates.long_us_date(dates.before_hour(_raw("start")))
-    end = dates.long_us_date(_raw("end"))
-    place = places.address_tail(F.get(_raw("location"), F.size(_raw("location")) - 1))
+    df, start, end, place = _worked_out(
+        df,
+        start=dates.long_us_date(dates.before_hour(_raw("start"))),
+        end=dates.long_us_date(_raw("end")),
+        place=places.address_tail(F.get(_raw("location"), F.size(_raw("location")) - 1)),
+    )
     listed = [F.col("organizer")] if "organizer" in df.columns else []
     return _record(
         df,
@@ -398,8 +420,11 @@ SWISS_BIOTECH = Site(
 
 
 def _solebury_trout(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    start, end = dates.month_d_y_tokens(_raw("Start")), dates.month_d_y_tokens(_raw("End"))
-    place = places.city_state_country(_raw("Location"))
+    df, start, end, place = _worked_out(
+        df,
+        start=dates.month_d_y_tokens(_raw("Start")), end=dates.month_d_y_tokens(_raw("End")),
+        place=places.city_state_country(_raw("Location")),
+    )
     return _record(
         df,
         {
@@ -422,9 +447,13 @@ SOLEBURY_TROUT = Site(
 
 
 def _european_biotechnology(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    start, end = dates.dotted_date(_raw("start")), dates.dotted_date(_raw("end"))
-    contacts, info = text.labelled_contacts(_raw("description")), text.info_names(_raw("description"))
-    place = places.city_paren_country(_raw("location"))
+    df, start, end, contacts, info, place = _worked_out(
+        df,
+        start=dates.dotted_date(_raw("start")), end=dates.dotted_date(_raw("end")),
+        contacts=text.labelled_contacts(_raw("description")),
+        info=text.info_names(_raw("description")),
+        place=places.city_paren_country(_raw("location")),
+    )
     return _record(
         df,
         {
@@ -470,7 +499,10 @@ def _meta_item(group: int, item: int, default: str | None = None) -> Field:
 
 
 def _bia(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
-    when, place = dates.uk_meeting_date(_raw("date")), places.venue_city(_raw("location"))
+    df, when, place = _worked_out(
+        df,
+        when=dates.uk_meeting_date(_raw("date")), place=places.venue_city(_raw("location")),
+    )
     return _record(
         df,
         {"bad_date": when.isNull(), "bad_location": place.isNull()},
