@@ -79,26 +79,30 @@ def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
     unreadable = F.array(F.lit(None).cast("array<string>"))
     quoted = F.coalesce(_quoted_rows(F.when(hard, body)), unreadable)
     rows = F.when(hard, quoted).otherwise(plain)
-    exploded = df.where(body.isNotNull()).select(
-        *keep, header.alias("_names"), F.posexplode(rows).alias("row_no", "_v")
+    # The document itself stays below the explode; its field names travel with each record.
+    parsed = df.where(body.isNotNull()).select(
+        *keep, header.alias("_header"), rows.alias("_rows")
     )
-    width = F.size("_names")
-    last = lambda i: F.array_position(F.reverse("_names"), F.get("_names", i)) == width - i
-    record = F.map_from_entries(
-        F.filter(
-            F.transform(
-                F.col("_names"),
-                lambda n, i: F.when(
-                    last(i), F.struct(n.alias("key"), F.get("_v", i).alias("value"))
-                ),
-            ),
-            lambda e: e.isNotNull(),
-        )
+    width = F.size("_header")
+    # Of fields with the same name the last one counts.
+    lasting = F.filter(
+        F.sequence(F.lit(0), width - 1),
+        lambda i: F.array_position(F.reverse("_header"), F.get("_header", i)) == width - i,
     )
+    parsed = parsed.select(
+        *keep, "_rows", width.alias("_width"), lasting.alias("_at"),
+        F.transform(lasting, lambda i: F.get("_header", i)).alias("_names"),
+    )
+    exploded = parsed.select(
+        *keep, "_width", "_at", "_names", F.posexplode("_rows").alias("row_no", "_v")
+    )
+    record = F.map_from_arrays("_names", F.transform("_at", lambda i: F.get("_v", i)))
+    read = F.col("_v").isNotNull()
     return exploded.select(
-        *keep, F.when(F.col("_v").isNotNull(), F.col("row_no")).alias("row_no"),
-        F.when(F.col("_v").isNotNull(), record).alias("rec"),
-        F.when(F.size("_v") > width, F.slice("_v", width + 1, F.size("_v"))).alias("overflow"),
+        *keep, F.when(read, F.col("row_no")).alias("row_no"), F.when(read, record).alias("rec"),
+        F.when(
+            F.size("_v") > F.col("_width"), F.slice("_v", F.col("_width") + 1, F.size("_v"))
+        ).alias("overflow"),
     )
 
 
