@@ -38,6 +38,10 @@ AU: ACT Australian Capital Territory|NSW New South Wales|NT Northern Territory|Q
 AU: SA South Australia|TAS Tasmania|VIC Victoria|WA Western Australia
 CA: AB Alberta|BC British Columbia|MB Manitoba|NB New Brunswick|NL Newfoundland and Labrador|NS Nova Scotia
 CA: NT Northwest Territories|NU Nunavut|ON Ontario|PE Prince Edward Island|QC Quebec|SK Saskatchewan|YT Yukon
+CH: AG Aargau|AI Appenzell Innerrhoden|AR Appenzell Ausserrhoden|BE Bern|BL Basel-Landschaft
+CH: BS Basel-Stadt|FR Fribourg|GE Genève|GL Glarus|GR Graubünden|JU Jura|LU Luzern|NE Neuchâtel
+CH: NW Nidwalden|OW Obwalden|SG Sankt Gallen|SH Schaffhausen|SO Solothurn|SZ Schwyz|TG Thurgau
+CH: TI Ticino|UR Uri|VD Vaud|VS Valais|ZG Zug|ZH Zürich
 DE: BB Brandenburg|BE Berlin|BW Baden-Württemberg|BY Bayern|HB Bremen|HE Hessen|HH Hamburg
 DE: MV Mecklenburg-Vorpommern|NI Niedersachsen|NW Nordrhein-Westfalen|RP Rheinland-Pfalz
 DE: SH Schleswig-Holstein|SL Saarland|SN Sachsen|ST Sachsen-Anhalt|TH Thüringen

@@ -58,13 +58,14 @@ def attach_listing_context(
 
 
 def follow_pagination(
-    links: DataFrame, seeds: DataFrame, max_depth: int = 10_000
+    links: DataFrame, seeds: DataFrame, max_depth: int | None = None
 ) -> DataFrame:
     """L4: pages reached from each seed through next links: `seed`, `url`, `depth`.
 
     `links` holds `url`, `next_url` (NULL at the end), `seeds` holds `seed`. Each round
     doubles the jump length, so a chain of n pages takes log2(n) rounds, and every round
-    is cut off by a checkpoint. A page met again ends the chain.
+    is cut off by a checkpoint. A page met again ends the chain, and so does `max_depth`
+    where given.
     """
     jump = cut_lineage(
         links.where(F.col("next_url").isNotNull())
@@ -76,12 +77,12 @@ def follow_pagination(
         .distinct()
     )
     length, pages = 1, reached.count()
-    while length <= max_depth:
-        further = (
-            reached.join(jump, "url")
-            .select("seed", F.col("next_url").alias("url"), (F.col("depth") + length).alias("depth"))
-            .where(F.col("depth") <= max_depth)
+    while max_depth is None or length <= max_depth:
+        further = reached.join(jump, "url").select(
+            "seed", F.col("next_url").alias("url"), (F.col("depth") + length).alias("depth")
         )
+        if max_depth is not None:
+            further = further.where(F.col("depth") <= max_depth)
         reached = cut_lineage(
             reached.unionByName(further).groupBy("seed", "url").agg(F.min("depth").alias("depth"))
         )

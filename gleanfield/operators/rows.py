@@ -80,11 +80,11 @@ def _cut_hot_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: in
     if hot.isEmpty():
         return _Sliced(df.withColumn(_SLICE, F.lit(0)), None, keys)
     x = _number(df, order[0])
-    marks = F.percentile_approx(x, [i / _QUANTILES for i in range(_QUANTILES + 1)], 10_000)
-    hot = cut_lineage(hot.withColumn("_marks", df.agg(marks).scalar()))
-    flagged = _lookup(df, hot, keys)
-    cut = F.when(F.col("_marks").isNotNull(), _slice_number(x, F.col("_marks"))).otherwise(0)
-    return _Sliced(flagged.withColumn(_SLICE, cut).drop("_marks"), hot, keys)
+    shares = [i / _QUANTILES for i in range(_QUANTILES + 1)]
+    marks = df.agg(F.percentile_approx(x, shares, 10_000)).first()[0] or [0.0] * len(shares)
+    flagged = _lookup(df, hot.withColumn("_hot", F.lit(True)), keys)
+    cut = F.when(F.col("_hot"), _slice_number(x, F.array(*map(F.lit, marks)))).otherwise(0)
+    return _Sliced(flagged.withColumn(_SLICE, cut).drop("_hot"), hot, keys)
 
 
 def pairwise(

@@ -180,8 +180,9 @@ def q_chunks(t):
 
 
 @query("""
-select user_id, 0::bigint as chunk, string_agg(cast(event_id as varchar), '|' order by ts, event_id) as items
-from events group by 1""")
+select user_id, pos // 100000 as chunk, string_agg(cast(event_id as varchar), '|' order by pos) as items
+from (select *, row_number() over (partition by user_id order by ts, event_id) - 1 as pos from events)
+group by 1, 2""")
 def q_lot2dol(t):
     """F12"""
     events = t.events.select("event_id", "user_id", "ts")
@@ -223,7 +224,7 @@ def q_flatten_json(t):
 
 
 @query("""
-select n_nationkey, row_number() over (partition by n_nationkey order by s_suppkey) - 1 as row_no,
+select n_nationkey, row_number() over (partition by n_nationkey, s_suppkey // 100000 order by s_suppkey) - 1 as row_no,
   s_name || ', "' || s_suppkey || '"' as name, s_name || chr(10) || n_name as note, cast(s_suppkey as varchar) as number
 from supplier join nation on s_nationkey = n_nationkey""")
 def q_csv_rows(t):
@@ -232,7 +233,7 @@ def q_csv_rows(t):
 
 
 @query("""
-select n_nationkey, row_number() over (partition by n_nationkey order by s_suppkey) - 1 as row_no,
+select n_nationkey, row_number() over (partition by n_nationkey, s_suppkey // 100000 order by s_suppkey) - 1 as row_no,
   s_name as name, case when s_suppkey % 4 <> 0 then n_name end as note,
   case when s_suppkey % 4 <> 0 then cast(s_suppkey as varchar) end as number
 from supplier join nation on s_nationkey = n_nationkey""")

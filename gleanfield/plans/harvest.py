@@ -45,7 +45,7 @@ def next_links(pages: DataFrame, path: tuple[Rule, ...], base_url: str = "") ->
 
 def harvest_details(
     name: str, pages: DataFrame, gazetteer: Gazetteer, seeds: DataFrame | None = None,
-    max_depth: int = 10_000,
+    max_depth: int | None = None,
 ) -> DataFrame:
     """Listing pages, their pagination and links, then the detail pages joined by URL.
 
