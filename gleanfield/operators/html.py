@@ -5,6 +5,9 @@ and returns a struct: the page is read once and the other columns stay in the JV
 Filter and prune before, and drop the page text right after.
 """
 
+from functools import reduce
+from operator import and_
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +48,21 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
     return extract.asNondeterministic()(html)
 
 
+def may_hold(html: Column, path: tuple[Rule, ...]) -> Column:
+    """False only for pages that cannot have a match, by plain text search in the JVM.
+
+    A class or attribute value a rule asks for must be in the markup as it is, unless
+    letters are written as character references.
+    """
+    words = []
+    for rule in path:
+        words += rule.all_class
+        words += rule.any_class if len(rule.any_class) == 1 else ()
+        words += [rule.attr[2]] if rule.attr and rule.attr[1] != "exists" else ()
+    there = [html.contains(w) for w in words if w.replace("-", "").isalnum() and w.isascii()]
+    return reduce(and_, there, F.lit(True)) | html.contains("&#")
+
+
 def extract_fields(df: DataFrame, html_col: str, fields: dict[str, Field]) -> DataFrame:
     """Add one column per field."""
     return df.withColumn("_fields", fields_of(F.col(html_col), fields)).select(

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from gleanfield.functions.collections import zip_positional
 from gleanfield.functions.urls import absolutise
 from gleanfield.operators.gazetteer import Gazetteer
-from gleanfield.operators.html import fields_of
+from gleanfield.operators.html import fields_of, may_hold
 from gleanfield.operators.listing import (
     attach_listing_context,
-    dedupe_requests,
     follow_pagination,
 )
 from gleanfield.operators.markup import Field, Rule
+from gleanfield.session import cut_lineage, small_side
 from gleanfield.sources.io import merge_by_name
 from gleanfield.sources.sites import SITES, map_site
 
@@ -35,7 +35,8 @@ def harvest(name: str, pages: DataFrame, gazetteer: Gazetteer) -> DataFrame:
 
 
 def next_links(pages: DataFrame, path: tuple[Rule, ...], base_url: str = "") -> DataFrame:
-    """`url`, `next_url` of every page, NULL on the last one."""
+    """`url`, `next_url` of the pages that have a next one; others may be missing or NULL."""
+    pages = pages.where(may_hold(F.col("body"), path))
     href = fields_of(F.col("body"), {"n": Field(path, "attr:href")})["n"]
     return pages.select(
         "url",
@@ -61,7 +62,7 @@ def harvest_details(
         listed = listed.select("url").distinct()
     else:
         listed = seeds.select(F.col("seed").alias("url")).distinct()
-    listing = pages.join(listed, "url", "left_semi")
+    listing = pages.join(small_side(listed), "url", "left_semi")
     found = {"href": Field(site.links, "all_attr:href")}
     if name == "swiss_biotech":
         found["organizer"] = Field(
@@ -78,14 +79,12 @@ def harvest_details(
     else:
         links = links.select(F.explode("_f.href").alias("href"))
     target = F.when(F.col("href").startswith("/"), absolutise(site.base_url, F.col("href")))
-    links = links.withColumn("url", F.coalesce(target, "href")).drop("href")
+    # Listing pages are read once; what they list is narrow.
+    links = cut_lineage(links.withColumn("url", F.coalesce(target, "href")).drop("href"))
+    wanted = cut_lineage(links.select("url").distinct())
+    details = pages.join(small_side(wanted), "url", "left_semi")
     if "organizer" in links.columns:
-        details = attach_listing_context(
-            pages.join(links.select("url").distinct(), "url", "left_semi"),
-            links, ["organizer"], order=["organizer"],
-        )
-    else:
-        details = pages.join(dedupe_requests(links), "url", "left_semi")
+        details = attach_listing_context(details, links, ["organizer"], order=["organizer"])
     return site.stages(gazetteer)(map_site(name, details, gazetteer))
 
 

@@ -65,3 +65,12 @@ def test_spark_operators(spark):
     assert [(r.id, r.cells) for r in got] == [(1, ["1", "2"]), (1, ["3"])]
     got = spark.createDataFrame([("<p> a <b>b</b>\n",), ("",), (None,)], "f string")
     assert [r.t for r in got.select(h.fragment_text(F.col("f")).alias("t")).collect()] == ["a b", "", ""]
+
+
+def test_may_hold(spark):
+    path = (Rule("a", attr=("rel", "equals", "next")), Rule("b", any_class=("x-y",)))
+    pages = ["<a rel=next><b class='x-y'>", "<a rel=next>", "<a rel='&#110;ext'>", ""]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    got = df.select(h.may_hold(F.col("html"), path).alias("m")).collect()
+    assert [r.m for r in got] == [True, False, True, False]
+    assert df.where(h.may_hold(F.col("html"), (Rule("a"),))).count() == 4
