@@ -7,10 +7,7 @@ from gleanfield.functions.collections import zip_positional
 from gleanfield.functions.urls import absolutise
 from gleanfield.operators.gazetteer import Gazetteer
 from gleanfield.operators.html import fields_of, may_hold
-from gleanfield.operators.listing import (
-    attach_listing_context,
-    follow_pagination,
-)
+from gleanfield.operators.listing import attach_listing_context, follow_pagination
 from gleanfield.operators.markup import Field, Rule
 from gleanfield.session import cut_lineage, small_side
 from gleanfield.sources.io import merge_by_name
@@ -34,10 +31,15 @@ def harvest(name: str, pages: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     return site.stages(gazetteer)(events)
 
 
-def next_links(pages: DataFrame, path: tuple[Rule, ...], base_url: str = "") -> DataFrame:
+def next_links(
+    pages: DataFrame, path: tuple[Rule, ...], base_url: str = "", number: tuple[str, str] = ()
+) -> DataFrame:
     """`url`, `next_url` of the pages that have a next one; others may be missing or NULL."""
     pages = pages.where(may_hold(F.col("body"), path))
-    href = fields_of(F.col("body"), {"n": Field(path, "attr:href")})["n"]
+    attr, before = number or ("href", "")
+    href = fields_of(F.col("body"), {"n": Field(path, f"attr:{attr}")})["n"]
+    if before:
+        return pages.select("url", F.concat(F.lit(before), href).alias("next_url"))
     return pages.select(
         "url",
         F.when(href.startswith("/"), absolutise(base_url, href)).otherwise(href).alias("next_url"),
@@ -58,7 +60,8 @@ def harvest_details(
     if seeds is None:
         seeds = spark.createDataFrame([(site.base_url + site.events_path,)], "seed string")
     if site.next_page:
-        listed = follow_pagination(next_links(pages, site.next_page, site.base_url), seeds, max_depth)
+        following = next_links(pages, site.next_page, site.base_url, site.next_number)
+        listed = follow_pagination(following, seeds, max_depth)
         listed = listed.select("url").distinct()
     else:
         listed = seeds.select(F.col("seed").alias("url")).distinct()
@@ -69,13 +72,15 @@ def harvest_details(
             (Rule("ul", any_class=("details-list",)), Rule("span")), "rows",
             sub={"text": Field((), "string")},
         )
-    links = listing.select(fields_of(F.col("body"), found).alias("_f"))
+    links = listing.select(F.col("url").alias("_page"), fields_of(F.col("body"), found).alias("_f"))
     if name == "swiss_biotech":
         organizers = F.transform(
             "_f.organizer", lambda o: F.substring_index(o["text"], ":", -1)
         )
         pairs = zip_positional(F.col("_f.href"), organizers, ("href", "organizer"))
-        links = links.select(F.inline(pairs))
+        links = links.select("_page", F.posexplode(pairs).alias("_pos", "_l")).select(
+            "_page", "_pos", "_l.*"
+        )
     else:
         links = links.select(F.explode("_f.href").alias("href"))
     target = F.when(F.col("href").startswith("/"), absolutise(site.base_url, F.col("href")))
@@ -84,7 +89,7 @@ def harvest_details(
     wanted = cut_lineage(links.select("url").distinct())
     details = pages.join(small_side(wanted), "url", "left_semi")
     if "organizer" in links.columns:
-        details = attach_listing_context(details, links, ["organizer"], order=["organizer"])
+        details = attach_listing_context(details, links, ["organizer"], order=["_page", "_pos"])
     return site.stages(gazetteer)(map_site(name, details, gazetteer))
 
 

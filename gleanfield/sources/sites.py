@@ -34,6 +34,7 @@ class Site:
     entry: tuple[Rule, ...] = ()  # records on the listing page itself
     links: tuple[Rule, ...] = ()  # links to detail pages
     next_page: tuple[Rule, ...] = ()  # link to the next listing page
+    next_number: tuple[str, str] = ()  # its attribute with a page number, address before that
     keeps_newlines: bool = False
     constants: dict[str, str] = field(default_factory=dict)
 
@@ -414,6 +415,11 @@ SWISS_BIOTECH = Site(
         Rule("div", attr=("id", "equals", "finderListings")),
         Rule("div", any_class=("grid-item",)), Rule("div", any_class=("lf-item",)), Rule("a"),
     ),
+    next_page=(
+        Rule("nav", any_class=("job-manager-pagination",)),
+        Rule("a", attr=("data-page", "exists", ""), own_text="\u2192"),
+    ),
+    next_number=("data-page", "https://www.swissbiotech.org/events/?pg="),
 )
 
 # -- CSV ------------------------------------------------------------------------------

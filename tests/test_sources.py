@@ -236,11 +236,15 @@ def test_listing_to_details(spark, gazetteer):
 
     item = '<div id="finderListings"><div class="grid-item"><div class="lf-item"><a href="http://s/1">x</a></div></div></div>'
     listing = item + '<ul class="details-list"><li><span>Host: Someone</span></li></ul>'
+    first = "https://www.swissbiotech.org/events/"
+    more = '<nav class="job-manager-pagination"><a data-page="1">1</a><a data-page="2">→</a></nav>'
+    second = listing.replace("http://s/1", "http://s/2").replace("Someone", "Other")
     df = spark.createDataFrame(
-        [("https://www.swissbiotech.org/events/", listing), ("http://s/1", SWISS)], "url string, body string"
+        [(first, listing + more), (first + "?pg=2", second + listing), ("http://s/1", SWISS), ("http://s/2", SWISS)],
+        "url string, body string",
     )
     out = accepted(harvest_details("swiss_biotech", df, gazetteer)).collect()
-    assert [(r.name, r.organizer) for r in out] == [("Swiss Day", "Someone")]
+    assert sorted((r.name, r.organizer) for r in out) == [("Swiss Day", "Other"), ("Swiss Day", "Someone")]
 
 
 def test_csv_bodies(spark):
