@@ -10,11 +10,12 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from gleanfield.plans.catalog import QUERIES
 
 FOLDER = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 PART = os.environ.get("QUERY", "")
-NAMES = [n for n in queries() if PART in n]
+NAMES = [n for n in QUERIES if PART in n]
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test data")
 
@@ -36,7 +37,7 @@ def comparable(columns, rows):
 @pytest.mark.parametrize("name", NAMES)
 def test_query(spark, duck, name):
     start = time.time()
-    df = queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = comparable(df.columns, df.collect())
     took = time.time() - start
     expected = duck.sql(oracle_sql()[name])
