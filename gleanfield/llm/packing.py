@@ -124,28 +124,33 @@ def byte_slices(texts: list[bytes], most: int):
 def pack_patterns(histogram: dict[int, int], size: int) -> list[tuple[int, list[int]]]:
     """(count, lengths) of packs that hold every length of `histogram` as often as it occurs.
 
-    Lengths are placed longest first, each into the packs with the most room
-    left, a whole group of like packs at a time; a group is split where fewer
-    pieces are left than packs. Work and result depend on the number of
+    Lengths are placed longest first, each into the shortest packs, a whole group of like packs at a
+    time; a group is split where fewer pieces are left than packs. When the shortest pack is too
+    long, as many packs are opened as the rest of all pieces needs beyond the room there is, but
+    no more than pieces of this length are left. Work and result depend on the number of
     distinct lengths, at most `size`, not on the number of pieces.
     """
     room: list[list[tuple[int, list[int]]]] = [[] for _ in range(size + 1)]
-    most = -1
+    most, free = -1, 0
+    rest = sum(length * n for length, n in histogram.items())
     for length in sorted(histogram, reverse=True):
         left = histogram[length]
         while left:
             while most >= 0 and not room[most]:
                 most -= 1
             if most < length:
-                room[size - length].append((left, [length]))
-                most = max(most, size - length)
-                break
-            count, lengths = room[most].pop()
-            take = min(count, left)
+                take = max(1, min(left, -(-(rest - free) // size)))
+                free += take * size
+                count, lengths, most = take, [], size
+            else:
+                count, lengths = room[most].pop()
+                take = min(count, left)
             if count > take:
                 room[most].append((count - take, lengths))
             room[most - length].append((take, lengths + [length]))
             left -= take
+            free -= take * length
+            rest -= take * length
     return [group for groups in room for group in groups]
 
 
