@@ -65,8 +65,7 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             h = h * np.uint64(0x100000001B3) + points[j : j + m] + np.uint64(1)
             if 0 < j < n - 1:
                 inner &= is_letter[j : j + m]
-        inner &= is_letter[:m] | is_letter[n - 1 :]
-        if n == 2:  # a border and a letter
+        if n == 2:
             inner = is_letter[:m] | is_letter[1:]
         hashes.append(mixed(h[inner]))
         # the border before a word may stand at the end of the text before

@@ -47,11 +47,13 @@ SECTIONS = set("header section div table ul ol dl figure".split())
 class Weights:
     """Scores of tags (at most `LEAST`) and the names whose words are no main text."""
 
-    tags: dict[str, float] = field(default_factory=dict)
+    tags: dict[str, float] = field(default_factory=lambda: dict(LISTED))
     outside: set[str] = field(default_factory=set)
 
 
-LEAST, UNSEEN, WORST = -0.05, -0.5, -4.0
+LEAST, UNSEEN, WORST = -0.05, -0.25, -4.0
+# Before anything is learned: lists and cells are more often outside.
+LISTED = {name: -1.0 for tag in ("ul", "ol", "li", "td", "th", "option") for name in (tag, "/" + tag)}
 
 
 def names_of(tag: str, attributes: str) -> list[str]:
