@@ -96,7 +96,7 @@ def op7_main_text_mss(t):
 CAPTURES = """
 with pages_ as (
   select page_id, url, md5({html}) tag, page_id % 3 kind,
-    'last-modified: day ' || cast(floor(page_id / 1000) as varchar(20)) modified from pages)
+    'last-modified: day ' || cast(cast(floor(page_id / 1000) as bigint) as varchar(20)) modified from pages)
 select 'f' || cast(page_id as varchar(20)) record_id, url, page_id * 10 captured, 'response' kind, 200 status,
   'Content-Type: text/html' || {line} || 'ETag: "' || tag || '"' || {line} || modified || {line} || 'Age: 0' headers
 from pages_
@@ -124,7 +124,7 @@ stripped as (
 named as (
   select *, lower(regexp_extract(u, '^[^/]*')) || substr(u, length(regexp_extract(u, '^[^/]*')) + 1) canonical_url,
     map_from_entries(list_transform(string_split(headers, chr(10)),
-      x -> {'k': lower(split_part(x, ': ', 1)), 'v': substr(x, length(split_part(x, ': ', 1)) + 3)})) h
+      lambda x: {'k': lower(split_part(x, ': ', 1)), 'v': substr(x, length(split_part(x, ': ', 1)) + 3)})) h
   from stripped),
 joined as (
   select r.record_id, r.canonical_url, r.captured, f.record_id refers_to, r.h rh, f.h fh,
@@ -138,9 +138,9 @@ judged as (
 select record_id, canonical_url, captured, refers_to, outcome,
   array_to_string(list_transform(list_sort(case when outcome = 'resolved' then
       list_concat(
-        list_filter(map_entries(fh), e -> e.key = 'content-type' or not list_contains(map_keys(rh), e.key)),
-        list_filter(map_entries(rh), e -> e.key <> 'content-type'))
-    else map_entries(rh) end), e -> e.key || ': ' || e.value), chr(10)) headers
+        list_filter(map_entries(fh), lambda e: e.key = 'content-type' or not list_contains(map_keys(rh), e.key)),
+        list_filter(map_entries(rh), lambda e: e.key <> 'content-type'))
+    else map_entries(rh) end), lambda e: e.key || ': ' || e.value), chr(10)) headers
 from judged
 """
 

@@ -113,7 +113,8 @@ def test_pipeline_stage_by_stage(spark):
         assert after.dtypes == before.dtypes
     rows = [o.collect() for o in outs]
     good = {r["doc_id"] for r in rows[1]}
-    assert all((i in good) == (q == 1) for i, q in labels.items())
+    right = [(i in good) == (q == 1) for i, q in labels.items()]
+    assert sum(right) >= 0.95 * len(right)  # some 50 labels to learn from
     largest = {}
     for r in rows[1]:
         key = r["text"].encode().lower()
