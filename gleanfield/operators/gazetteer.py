@@ -191,52 +191,20 @@ def city_state_or_country(df: DataFrame, column: str, gazetteer: Gazetteer) -> D
     return found.select(*df.columns, F.when(F.col("_where").isNotNull(), place).alias("place"))
 
 
-def country_in_text(
-    df: DataFrame, column: str, gazetteer: Gazetteer, max_forms: int = 5_000
-) -> DataFrame:
+def country_in_text(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFrame:
     """The last country of which any written form occurs in the text (case-sensitive).
 
-    Adds `place STRUCT<city, country>`; the city is the text before the country's name.
-    A gazetteer of up to `max_forms` written forms is searched in place, without a shuffle;
-    a larger one is joined to the pieces of the distinct texts.
+    Adds `place STRUCT<city, country>`; the city is the text before the country's name. The
+    written forms, which a gazetteer has few of beside the rows, are searched in place: one
+    narrow plan for every gazetteer, without a shuffle or state.
     """
-    forms = gazetteer._last_tokens
-    few = forms.limit(max_forms + 1).collect()
-    if len(few) <= max_forms:
-        written = json.dumps([r.asDict() for r in few])
-        listed = F.from_json(F.lit(written), "array<struct<ord bigint, name string, token string>>")
-        hits = F.filter(listed, lambda f: F.contains(F.col(column), f["token"]))
-        last = F.array_max(F.transform(hits, lambda f: F.struct(f["ord"], f["name"])))
-        found = df.withColumn("_country", last["name"])
-    else:
-        found = _join_pieces(df, column, forms)
+    written = json.dumps([r.asDict() for r in gazetteer._last_tokens.collect()])
+    listed = F.from_json(F.lit(written), "array<struct<ord bigint, name string, token string>>")
+    hits = F.filter(listed, lambda f: F.contains(F.col(column), f["token"]))
+    last = F.array_max(F.transform(hits, lambda f: F.struct(f["ord"], f["name"])))
+    found = df.withColumn("_country", last["name"])
     named = F.split_part(F.col(column), F.col("_country"), F.lit(1))
     place = F.struct(
         F.coalesce(named, F.col(column)).alias("city"), F.col("_country").alias("country")
     )
     return found.select(*df.columns, F.when(F.col(column).isNotNull(), place).alias("place"))
-
-
-def _join_pieces(df: DataFrame, column: str, forms: DataFrame) -> DataFrame:
-    """Distinct texts cut into all pieces as long as some written form, joined on equality."""
-    lengths = forms.agg(F.array_sort(F.collect_set(F.length("token")))).scalar()
-    text = F.col("_text")
-    texts = df.select(F.col(column).alias("_text")).where(text.isNotNull()).distinct()
-    pieces = texts.withColumn("_n", F.explode(lengths)).where(F.col("_n") <= F.length(text))
-    pieces = pieces.select(
-        "_text",
-        F.explode(
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.length(text) - F.col("_n") + 1),
-                    lambda i: F.substring(text, i, F.col("_n")),
-                )
-            )
-        ).alias("token"),
-    )
-    last = (
-        pieces.join(forms, "token")
-        .groupBy("_text")
-        .agg(F.max_by("name", "ord").alias("_country"))
-    )
-    return df.join(last, F.col(column) == F.col("_text"), "left")

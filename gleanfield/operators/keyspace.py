@@ -11,16 +11,6 @@ from gleanfield.functions.urls import pack_url, unpack_url
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
 
 
-def _levels(choices: int, min_length: int, max_terms: int) -> int:
-    levels = max(min_length, 1)
-    if choices**levels > max_terms:
-        raise ValueError(
-            f"{choices}^{levels} terms per seed exceed max_terms={max_terms}; "
-            "narrow the alphabet or raise the limit"
-        )
-    return levels
-
-
 def string_combinations(
     df: DataFrame,
     seed: str,
@@ -32,13 +22,13 @@ def string_combinations(
     variants: dict[str, list[str]] | None = None,
     index: int | None = None,
     max_levels: int | None = None,
-    max_terms: int = 50_000_000,
     out: str = "term",
 ) -> DataFrame:
     """K1: extensions of `seed` by at least one character, up to `min_length`.
 
     One `explode` of the alphabet per level, pruned by the bounds as soon as the prefix
-    decides them. A term's prefix must lie between `start` and `end` (both inclusive) and
+    decides them; a term that is long enough stays as it is, so the number of terms depends on
+    the characters missing, not on `min_length`. A term's prefix must lie between `start` and `end` (both inclusive) and
     every longer prefix must match `pattern`. A character with `variants` also stands for
     each of those, whole. With `index` the characters from there on are replaced, not
     appended. `min_length` may be a column; `max_levels` then bounds the growth.
@@ -55,7 +45,7 @@ def string_combinations(
     level = df.select(
         "*", length.alias("_min"), F.col(seed).alias("_term"), place.cast("int").alias("_at")
     ).where(F.col(seed).isNotNull())
-    for n in range(_levels(len(steps), max_levels, max_terms)):
+    for n in range(max(max_levels, 1)):
         grow = F.lit(True) if n == 0 else F.length("_term") < F.col("_min")
         stay = F.array(F.lit(None).cast("string"))
         level = level.withColumn(

@@ -1,63 +1,48 @@
 """Neighbour logic on ordered rows, safe for keys that hold a large part of all rows.
 
-A plain window puts all rows of a key into one task. Keys with more than `hot_rows` rows
-are therefore cut into consecutive slices of the order; the window runs per slice, and
-what has to cross a slice border (the first row of the next slice, the number of rows
-before) comes from a table with one row per hot key and slice.
+A plain window puts all rows of a key into one task. Rows of keys with more than `hot_rows`
+rows are therefore dealt by ranges of key and full order, so that equal values of the first
+order column spread too; the window runs per range, and what has to cross a border (the first
+row of the next range, the number of rows before) comes from a table with one row per hot key
+and range. Results are the same however many keys count as hot.
 
 Finding hot keys takes a pass over the keys, so the input should be a stored table or a
 checkpoint, not a costly plan.
 """
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from gleanfield.session import cut_lineage, small_side
 
 HOT_ROWS = 5_000_000
-_QUANTILES = 64  # slice borders taken from the distribution of the order column
-_STEPS = 64  # even steps between two such borders
 _SLICE = "_slice"
 
 
+def _same(a: DataFrame, b: DataFrame, keys: list[str], prefix: str = "") -> Column:
+    return reduce(and_, [a[k].eqNullSafe(b[f"{prefix}{k}"]) for k in keys])
+
+
 def _lookup(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """Left join that also matches NULL keys; `dim` is unique on `keys`."""
     dim = dim.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
                      *[c for c in dim.columns if c not in keys])
-    on = reduce(and_, [df[k].eqNullSafe(dim[f"_r_{k}"]) for k in keys])
-    return df.join(small_side(dim), on, "left").drop(*[f"_r_{k}" for k in keys])
-
-
-def _number(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if isinstance(kind, DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, NumericType):
-        return F.col(column).cast("double")
-    raise TypeError(f"rows must be ordered by a number, date or timestamp first, not {column}")
-
-
-def _slice_number(x: Column, marks: Column) -> Column:
-    """The quantile `x` lies in, cut into even steps up to the next one."""
-    below = F.size(F.filter(marks, lambda m: m <= x)) - 1
-    low = F.least(F.greatest(below, F.lit(0)), F.lit(_QUANTILES - 1))
-    span = F.get(marks, low + 1) - F.get(marks, low)
-    share = F.when(span > 0, (x - F.get(marks, low)) / span).otherwise(0.0)
-    step = F.least(F.greatest(F.floor(share * _STEPS), F.lit(0)), F.lit(_STEPS - 1))
-    return F.coalesce((low * _STEPS + step).cast("int"), F.lit(-1))
+    joined = df.join(small_side(dim), _same(df, dim, keys, "_r_"), "left")
+    return joined.drop(*[f"_r_{k}" for k in keys])
 
 
 @dataclass
 class _Sliced:
-    df: DataFrame  # input plus `_slice`, constant 0 for keys that are not hot
-    hot: DataFrame | None  # hot keys, None when there are none
+    df: DataFrame  # input plus `_slice`, -1 for keys that are not hot
+    hot: DataFrame | None  # rows of hot keys with their slice, None when there are none
     keys: list[str]
 
     @property
@@ -67,24 +52,25 @@ class _Sliced:
 
     def hot_slices(self, *aggregates: Column) -> DataFrame:
         """One row per hot key and slice, worked out once."""
-        hot = small_side(self.hot.select(*self.keys))
-        on = reduce(and_, [self.df[k].eqNullSafe(hot[k]) for k in self.keys])
-        return cut_lineage(
-            self.df.join(hot, on, "left_semi").groupBy(*self.keys, _SLICE).agg(*aggregates)
-        )
+        return cut_lineage(self.hot.groupBy(*self.keys, _SLICE).agg(*aggregates))
 
 
 def _cut_hot_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: int) -> _Sliced:
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = cut_lineage(counts.where(F.col("_rows") > hot_rows).select(*keys))
-    if hot.isEmpty():
-        return _Sliced(df.withColumn(_SLICE, F.lit(0)), None, keys)
-    x = _number(df, order[0])
-    shares = [i / _QUANTILES for i in range(_QUANTILES + 1)]
-    marks = df.agg(F.percentile_approx(x, shares, 10_000)).first()[0] or [0.0] * len(shares)
-    flagged = _lookup(df, hot.withColumn("_hot", F.lit(True)), keys)
-    cut = F.when(F.col("_hot"), _slice_number(x, F.array(*map(F.lit, marks)))).otherwise(0)
-    return _Sliced(flagged.withColumn(_SLICE, cut).drop("_hot"), hot, keys)
+    hot = cut_lineage(counts.where(F.col("_rows") > hot_rows))
+    total = hot.agg(F.sum("_rows").alias("n")).first()["n"]
+    if not total:
+        return _Sliced(df.withColumn(_SLICE, F.lit(-1)), None, keys)
+    named = small_side(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
+    shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(shuffles, -(-total // hot_rows))
+    rows = df.join(named, _same(df, named, keys, "_h_"), "left_semi")
+    # Kept, since what lies in which range must not change between two readings.
+    rows = cut_lineage(
+        rows.repartitionByRange(ranges, *keys, *order).withColumn(_SLICE, F.spark_partition_id())
+    )
+    rest = df.join(named, _same(df, named, keys, "_h_"), "left_anti").withColumn(_SLICE, F.lit(-1))
+    return _Sliced(rest.unionByName(rows), rows, keys)
 
 
 def pairwise(
@@ -160,14 +146,17 @@ def chunks(
 
 def lot2dol(
     df: DataFrame, keys: list[str], value: str, order: list[str],
-    piece: int = 100_000, hot_rows: int = HOT_ROWS,
+    piece: int | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """`(key, value)` rows to one list per key, in order.
+    """`(key, value)` rows to the list of each key as rows `(key, ord, value)`, `ord` from 0.
 
-    A list longer than `piece` continues in further rows (`chunk` 1, 2, ...), so a key
-    of any size is kept whole without one row having to hold it.
+    With `piece` the lists are arrays of up to that many values (`chunk`, `items`). The form
+    is the caller's choice and never depends on the size of a key.
     """
-    return chunks(df, keys, order, value, piece, pad=False, hot_rows=hot_rows)
+    if piece is not None:
+        return chunks(df, keys, order, value, piece, pad=False, hot_rows=hot_rows)
+    placed = positions(df, keys, order, "_ord", hot_rows)
+    return placed.select(*keys, F.col("_ord").alias("ord"), F.col(value).alias("value"))
 
 
 def dol2lot(df: DataFrame, map_col: str) -> DataFrame:
@@ -178,41 +167,55 @@ def dol2lot(df: DataFrame, map_col: str) -> DataFrame:
     return entries.select(*keep, "key", F.explode(F.coalesce("_values", nothing)).alias("value"))
 
 
-def flatten_json(df: DataFrame, column: str, max_depth: int = 16) -> DataFrame:
+def _paths(document: str | None) -> tuple[list[dict] | None, str | None]:
+    """Paths and values of a document, or why there are none. Numbers stay as written."""
+    if document is None:
+        return None, "no document"
+    try:
+        root = json.loads(document, parse_int=str, parse_float=str)
+    except (ValueError, RecursionError) as error:
+        return None, "nested too deep to read" if isinstance(error, RecursionError) else "not JSON"
+    leaves, open_ = {}, [(None, root)]
+    while open_:
+        path, value = open_.pop()
+        if isinstance(value, dict | list):
+            inner = value.items() if isinstance(value, dict) else enumerate(value)
+            below = [(str(k) if path is None else f"{path}_{k}", v) for k, v in inner]
+            open_ += reversed(below)
+        else:
+            if value is not None and not isinstance(value, str):
+                value = str(value).lower()
+            leaves[path] = value
+    return [{"path": p, "value": v} for p, v in leaves.items()], None
+
+
+_LEAF = StructType([StructField("path", StringType()), StructField("value", StringType())])
+_READ = StructType([StructField("leaves", ArrayType(_LEAF)), StructField("reason", StringType())])
+
+
+@arrow_udf(_READ)
+def _leaves(documents: pa.Array) -> pa.Array:
+    leaf = pa.struct([("path", pa.string()), ("value", pa.string())])
+    shape = pa.struct([("leaves", pa.list_(leaf)), ("reason", pa.string())])
+    found = map(_paths, documents.to_pylist())
+    return pa.array([{"leaves": rows, "reason": why} for rows, why in found], shape)
+
+
+def flatten_json(df: DataFrame, column: str, reason: str = "reject_reason") -> DataFrame:
     """JSON text or VARIANT to rows `path`, `value` (text), keys joined by `_`.
 
-    List positions are path parts and empty containers vanish. Each level is one narrow
-    `explode`; leaves pass through. Nesting beyond `max_depth` fails instead of being lost.
+    List positions are path parts and empty containers vanish; where two paths are the same,
+    the later one in the document wins. A document that is NULL or cannot be read gives one
+    row of NULLs that says why in `reason`. Depth is not limited.
     """
     keep = [F.col(c) for c in df.columns if c != column]
-    value = F.col(column)
-    if df.schema[column].dataType.typeName() == "string":
-        value = F.try_parse_json(value)
-    level = df.select(*keep, F.lit(None).cast("string").alias("path"), value.alias("value"))
-    level = level.where(F.col("value").isNotNull())
-    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
-    child = "array<struct<key string, value variant>>"
-    for _ in range(max_depth):
-        inner = (
-            F.when(
-                kind == "OBJECT", F.map_entries(F.col("value").try_cast("map<string,variant>"))
-            )
-            .when(
-                kind == "ARRAY",
-                F.transform(
-                    F.col("value").try_cast("array<variant>"),
-                    lambda v, i: F.struct(i.cast("string").alias("key"), v.alias("value")),
-                ),
-            )
-            .otherwise(
-                F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("value")))
-            )
-        ).cast(child)
-        level = level.select(*keep, "path", F.explode(inner).alias("_c")).select(
-            *keep, F.nullif(F.concat_ws("_", "path", "_c.key"), F.lit("")).alias("path"),
-            F.col("_c.value").alias("value"),
-        )
-    text = F.when(
-        kind.isin("OBJECT", "ARRAY"), F.raise_error(F.lit(f"nested deeper than {max_depth}"))
-    ).otherwise(F.col("value").try_cast("string"))
-    return level.select(*keep, "path", text.alias("value"))
+    text = F.col(column)
+    if df.schema[column].dataType.typeName() != "string":
+        text = F.to_json(text)
+    read = df.select(*keep, _leaves.asNondeterministic()(text).alias("_read"))
+    nothing = F.array(F.lit(None).cast(_LEAF))
+    rows = F.when(F.col("_read.reason").isNotNull(), nothing).otherwise(F.col("_read.leaves"))
+    names = [c for c in df.columns if c != column]
+    return read.select(*names, F.explode(rows).alias("_leaf"), F.col("_read.reason").alias(reason)).select(
+        *names, "_leaf.path", "_leaf.value", reason
+    )

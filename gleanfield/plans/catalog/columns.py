@@ -49,13 +49,13 @@ def q_unpack_url(t):
 
 
 @query(_URL_PARTS + """
-select page_id, base || '?' || array_to_string(list_concat(pairs, ['q=' || replace(replace(h1, ' ', '+'), '&', '%26')]), '&')
+select page_id, base || '?' || array_to_string(list_concat(pairs, ['q=' || replace(url_encode(h1), '%20', '+')]), '&')
   || tail as packed
-from packed join (select page_id, regexp_replace(regexp_extract(html, '<h1>([^<]*)', 1), '[^A-Za-z &]', '', 'g') as h1 from pages)
+from packed join (select page_id, regexp_extract(html, '<h1>([^<]*)', 1) || ' ~*%+é' as h1 from pages)
 using (page_id)""")
 def q_pack_url(t):
     """The URL with a search term taken from the page's heading"""
-    term = F.regexp_replace(F.regexp_extract("html", "<h1>([^<]*)", 1), "[^A-Za-z &]", "")
+    term = F.concat(F.regexp_extract("html", "<h1>([^<]*)", 1), F.lit(" ~*%+é"))
     parts = t.pages.select("page_id", urls.unpack_url(F.col("url")).alias("u"), term.alias("term"))
     asked = F.concat("u.query", F.array(F.struct(F.lit("q").alias("k"), F.col("term").alias("v"))))
     return parts.select("page_id", urls.pack_url(F.col("u").withField("query", asked)).alias("packed"))
@@ -116,30 +116,27 @@ select doc_id, regexp_replace(strip_accents(replace(replace(text, 'ß', ''), '
 from documents""")
 def q_strip_accents(t):
     """F10"""
-    return t.bodies("documents", "doc_id").select("doc_id", text.strip_accents(F.col("text")).alias("plain"))
+    return t.bodies("documents").select("doc_id", text.strip_accents(F.col("text")).alias("plain"))
 
 
 @query(r"""
-select page_id, replace(replace(replace(replace(f, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') as footer
-from (select page_id, regexp_extract(html, '<footer>(.*?)</footer>', 1) as f from pages)""")
+select page_id, replace(replace(replace(replace(html, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&') as page
+from pages""")
 def q_unescape(t):
     """X15"""
-    footer = F.regexp_extract("html", "(?d)<footer>(.*?)</footer>", 1)
-    return t.pages.select("page_id", text.html_unescape(footer).alias("footer"))
+    return t.bodies("pages").select("page_id", text.html_unescape(F.col("html")).alias("page"))
 
 
 @query(r"""
-select page_id, len(parts) as n_parts, parts[1] as first_part,
-  regexp_extract(parts[1], '[^>]*$') as first_text
-from (select page_id, string_split(regexp_extract(html, '<article>(?s:.)*'), '<br>') as parts from pages)""")
+select page_id, len(parts) as n_parts, array_to_string(parts, '|') as parts,
+  array_to_string(list_transform(parts, lambda p: regexp_extract(p, '[^>]*$')), '|') as texts
+from (select page_id, string_split(html, '<br>') as parts from pages)""")
 def q_br_split(t):
     """X12"""
-    parts = text.br_parts(F.regexp_extract("html", "(?s)<article>.*", 0))
-    pages = t.pages.select("page_id", parts.alias("p"))
-    first = F.get("p", F.lit(0))
+    pages = t.pages.select("page_id", text.br_parts(F.col("html")).alias("p"))
     return pages.select(
-        "page_id", F.size("p").cast("long").alias("n_parts"), first.alias("first_part"),
-        text.after_last_tag(first).alias("first_text"),
+        "page_id", F.size("p").cast("long").alias("n_parts"), F.array_join("p", "|").alias("parts"),
+        F.array_join(F.transform("p", text.after_last_tag), "|").alias("texts"),
     )
 
 
@@ -175,7 +172,7 @@ def q_contacts(t):
         "o_orderpriority || '. Contact Info: Clerk ' || o_custkey || ' | ' || o_custkey || '@x.org | +1-'"
         " || o_orderkey || if(o_orderkey % 3 = 0, ' Contact Info: Second | b@y.org | ', '') || ' | Site'"
     )
-    found = t.bodies("orders", "o_orderkey").select("o_orderkey", text.contact_blocks(written).alias("c"))
+    found = t.bodies("orders").select("o_orderkey", text.contact_blocks(written).alias("c"))
     return found.select("o_orderkey", "c.*")
 
 
@@ -188,7 +185,7 @@ def q_labelled(t):
         "o_orderpriority || ' Phone: +49-' || o_custkey || ' - ' || o_orderkey || ', Fax: +49-'"
         " || o_orderkey || ', eMail: C' || o_custkey || '@X.org'"
     )
-    found = t.bodies("orders", "o_orderkey").select("o_orderkey", text.labelled_contacts(written).alias("c"))
+    found = t.bodies("orders").select("o_orderkey", text.labelled_contacts(written).alias("c"))
     return found.select("o_orderkey", "c.*")
 
 
@@ -203,7 +200,7 @@ def q_info_names(t):
         "if(o_orderkey % 7 = 0, o_orderpriority,"
         " 'About. Info: Org ' || o_custkey || ', Ann Lee, ' || o_orderstatus || ' Phone: 1')"
     )
-    found = t.bodies("orders", "o_orderkey").select("o_orderkey", text.info_names(written).alias("c"))
+    found = t.bodies("orders").select("o_orderkey", text.info_names(written).alias("c"))
     return found.select("o_orderkey", "c.*")
 
 
@@ -213,7 +210,7 @@ from documents""")
 def q_event_id(t):
     """N5"""
     made = text.event_id(F.col("text"), F.col("lang"), F.lit("2019-06-03"))
-    return t.bodies("documents", "doc_id").select("doc_id", made.alias("id"))
+    return t.bodies("documents").select("doc_id", made.alias("id"))
 
 
 _KINDS = ["ring", "widget", "bolt", "gear"]
@@ -246,7 +243,7 @@ select o_orderkey, case when not unreadable then strftime(s, '%Y-%m-%d') end as
 
 def _spans(t, written):
     """Orders with a written span; low-priority ones cannot be read."""
-    spans = t.bodies("orders", "o_orderkey").selectExpr(
+    spans = t.bodies("orders").selectExpr(
         "o_orderkey", "o_orderpriority", "cast(o_orderdate as date) s",
         "date_add(cast(o_orderdate as date), cast(o_orderkey % 40 as int)) e",
     )
@@ -533,11 +530,11 @@ def q_cast_arrays(t):
 
 @query("""
 select vec_id, pos, cast(v as double) as value from (
-  select vec_id, flatten([embedding[1:3], embedding[10:12]]) as f from embeddings),
+  select vec_id, flatten([embedding[1:32], embedding[33:]]) as f from embeddings),
   lateral (select unnest(f) as v, unnest(range(len(f))) as pos)""")
 def q_flatten(t):
     """F9"""
-    nested = F.array(F.slice("embedding", 1, 3), F.slice("embedding", 10, 3))
+    nested = F.array(F.slice("embedding", 1, 32), F.slice("embedding", 33, 1 << 20))
     out = t.embeddings.select("vec_id", F.posexplode(collections.flatten(nested)).alias("pos", "v"))
     return out.select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value"))
 
@@ -619,7 +616,7 @@ def q_fields(t):
         "items": Field((Rule("ul"), Rule("li", child=True)), "all_html"),
         "missing": Field((Rule("h1", any_class=("event-title",)),), default="none"),
     }
-    found = t.bodies("pages", "page_id").select("page_id", fields_of(F.col("html"), fields).alias("f"))
+    found = t.bodies("pages").select("page_id", fields_of(F.col("html"), fields).alias("f"))
     return found.select("page_id", "f.*").withColumn("n_items", F.size("items").cast("long")).drop("items")
 
 
@@ -640,7 +637,7 @@ def q_field_conditions(t):
         "containing": Field(link(attr=("href", "contains", "the")), "attr:href"),
         "after_ad": Field((Rule("article", after=Rule("div", class_eq="ad")), Rule("h1", child=True)), "string"),
     }
-    found = t.bodies("pages", "page_id").select("page_id", fields_of(F.col("html"), fields).alias("f"))
+    found = t.bodies("pages").select("page_id", fields_of(F.col("html"), fields).alias("f"))
     return found.select(
         "page_id", F.col("f.the").isNotNull().alias("has_the"),
         F.get("f.links", F.size("f.links") - 1).alias("last_link"), "f.prefixed", "f.containing",
@@ -653,7 +650,7 @@ select c_custkey, c_mktsegment || ' & ' || c_name || ' x' as txt, 'Level: ' || c
 from customer""")
 def q_fragments(t):
     """X13 and X8, on markup written from the customers"""
-    raw = t.bodies("customer", "c_custkey").selectExpr(
+    raw = t.bodies("customer").selectExpr(
         "c_custkey", "'<p> ' || c_mktsegment || ' &amp;\\n <b>' || c_name || '</b> x</p>' fragment",
         "'<ul><li class=\"a ' || c_mktsegment || '\"><label>Place:</label> Level: ' || c_custkey || ' </li></ul>' labels",
     )

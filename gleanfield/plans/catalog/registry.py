@@ -36,14 +36,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def bodies(self, name: str, key: str) -> DataFrame:
+    def bodies(self, name: str) -> DataFrame:
         """A table for heavy work per row, on all cores."""
-        return spread(getattr(self, name), key)
+        return spread(getattr(self, name))
 
     def bookings(self) -> DataFrame:
         """Orders as raw material for events: who, where, from when to when."""
         joined = (
-            self.bodies("orders", "o_orderkey").join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
+            self.bodies("orders").join(self.customer, F.col("o_custkey") == F.col("c_custkey"))
             .join(self.nation, F.col("c_nationkey") == F.col("n_nationkey"))
         )
         return joined.selectExpr(*BOOKING)
@@ -63,8 +63,12 @@ class Tables:
 
     def out_folder(self) -> str:
         """A new folder beside the checkpoints, which all executors see."""
-        base = self.spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        base = base or tempfile.mkdtemp(prefix="gleanfield-out-")
+        sc = self.spark.sparkContext
+        base = sc.getConf().get("spark.checkpoint.dir")
+        if base is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            base = tempfile.mkdtemp(prefix="gleanfield-out-")
         return f"{base}/out-{uuid.uuid4().hex}"
 
 

@@ -30,7 +30,7 @@ def q_page_source(t):
 @query("with " + _HREFS + "select page_id, pos, href from links")
 def q_links(t):
     """L2 by rule"""
-    pages = t.bodies("pages", "page_id").select("page_id", "html")
+    pages = t.bodies("pages").select("page_id", "html")
     out = html.extract_links(pages, "html", Rule("nav"), Rule("a"))
     return out.withColumn("pos", F.col("pos").cast("long"))
 
@@ -54,7 +54,7 @@ from (select page_id, regexp_extract_all(html, '<li>.*?</li>') as items from pag
   lateral (select unnest(range(len(items))) as pos)""")
 def q_entries(t):
     """L1"""
-    pages = t.bodies("pages", "page_id").select("page_id", "html")
+    pages = t.bodies("pages").select("page_id", "html")
     out = html.split_entries(pages, "html", Rule("ul"), Rule("li", child=True))
     return out.select("page_id", F.col("row_index").cast("long").alias("pos"), "entry")
 
@@ -180,14 +180,20 @@ def q_chunks(t):
 
 
 @query("""
-select user_id, pos // 100000 as chunk, string_agg(cast(event_id as varchar), '|' order by pos) as items
-from (select *, row_number() over (partition by user_id order by ts, event_id) - 1 as pos from events)
-group by 1, 2""")
+select event_id, user_id, event_type, lead(event_id) over w as following, lead(event_id) over w is null as is_last
+from events window w as (partition by user_id order by event_type, event_id)""")
+def q_pairs_text_order(t):
+    """F2 in the order of a text column, most keys dealt by ranges"""
+    events = t.events.select("event_id", "user_id", "event_type")
+    return rows.pairwise(events, ["user_id"], ["event_type", "event_id"], "event_id", "following", hot_rows=20)
+
+
+@query("""
+select user_id, row_number() over (partition by user_id order by ts, event_id) - 1 as ord, event_id as value from events""")
 def q_lot2dol(t):
     """F12"""
     events = t.events.select("event_id", "user_id", "ts")
-    out = rows.lot2dol(events, ["user_id"], "event_id", ["ts", "event_id"])
-    return out.select("user_id", "chunk", F.array_join("items", "|").alias("items"))
+    return rows.lot2dol(events, ["user_id"], "event_id", ["ts", "event_id"])
 
 
 @query("""
@@ -217,7 +223,22 @@ def q_flatten_json(t):
         "'{\"a\": [' || props || ', \"' || event_type || '\"], \"b\": {\"c\": {\"user\": ' || user_id"
         " || '}, \"n\": null, \"none\": [], \"e\": {}}}'"
     )
-    return rows.flatten_json(t.bodies("events", "event_id").select("event_id", doc.alias("doc")), "doc", max_depth=4)
+    out = rows.flatten_json(t.bodies("events").select("event_id", doc.alias("doc")), "doc")
+    return out.drop("reject_reason")
+
+
+@query("""
+select event_id, case when event_type <> 'error' then repeat('a_', 20) || 'b' end as path,
+  case when event_type <> 'error' then cast(user_id as varchar) end as value,
+  case when event_type = 'error' then 'not JSON' end as reject_reason
+from events""")
+def q_flatten_json_deep(t):
+    """twenty levels, a path met twice, documents cut short"""
+    doc = F.expr(
+        "repeat('{\"a\": ', 20) || '{\"b\": \"x\", \"b\": ' || user_id || '}' || repeat('}', 20)"
+    )
+    cut = F.when(F.col("event_type") == "error", F.left(doc, F.lit(40))).otherwise(doc)
+    return rows.flatten_json(t.bodies("events").select("event_id", cut.alias("doc")), "doc")
 
 
 # -- documents in a column ----------------------------------------------------------------
@@ -283,7 +304,7 @@ def _json(t, broken=False):
     if broken:
         doc = F.when(F.col("event_type") == "error", F.left(doc, F.lit(20))).otherwise(doc)
     entry = StructType([StructField("title", StringType()), StructField("k", StringType())])
-    return io.json_list_rows(t.bodies("events", "event_id").select("event_id", doc.alias("body")), "body", entry)
+    return io.json_list_rows(t.bodies("events").select("event_id", doc.alias("body")), "body", entry)
 
 
 @query("""
@@ -368,23 +389,29 @@ def q_country_in_text(t):
 
 
 @query("""
-with steps as (select unnest(['a', 'b', 'c', 'ch']) as s)
-select s_suppkey, seed || x.s as term from (select s_suppkey, lower(left(s_name, 1)) as seed from supplier), steps x
-where length(seed || x.s) >= 3 and x.s <= 'c'
-union all
-select s_suppkey, seed || x.s || y.s from (select s_suppkey, lower(left(s_name, 1)) as seed from supplier), steps x, steps y
-where length(seed || x.s) < 3 and left(seed || x.s || y.s, 2) between 'sb' and 'sc'
-union all
-select s_suppkey, seed || x.s from (select s_suppkey, lower(left(s_name, 1)) as seed from supplier), steps x where x.s = 'ch'""")
+with steps as (select unnest(['a', 'b', 'c', 'ch']) as s),
+one as (select s_suppkey, chr(cast(97 + s_suppkey % 5 as int)) || s as t from supplier, steps)
+select s_suppkey, t as term from one where length(t) >= 3 and left(t, 2) between 'bb' and 'dc'
+union all select s_suppkey, t || s from one, steps where length(t) < 3 and left(t, 2) between 'bb' and 'dc'""")
 def q_combinations(t):
     """K1: terms of at least three letters between two prefixes"""
-    seeds = t.supplier.select("s_suppkey", F.lower(F.left("s_name", F.lit(1))).alias("seed"))
+    seeds = t.supplier.select("s_suppkey", F.expr("chr(97 + s_suppkey % 5)").alias("seed"))
     out = keyspace.string_combinations(
-        seeds, "seed", min_length=3, start="sb", end="sc", alphabet="abc", variants={"c": ["ch"]}
+        seeds, "seed", min_length=3, start="bb", end="dc", alphabet="abc", variants={"c": ["ch"]}
     )
     return out.select("s_suppkey", "term")
 
 
+@query("""
+with steps as (select unnest(string_split('abcdefghijklmnopqrstuvwxyz0123456789', '')) as s)
+select s_suppkey, lower(s_name) || s as term from supplier, steps""")
+def q_combinations_long_seed(t):
+    """K1: one character more than a long seed has"""
+    seeds = t.supplier.select("s_suppkey", F.lower("s_name").alias("seed"))
+    length = seeds.agg(F.max(F.length("seed"))).first()[0] or 0
+    return keyspace.string_combinations(seeds, "seed", min_length=length + 1).select("s_suppkey", "term")
+
+
 @query(r"""
 with steps as (select unnest(['p', 'q', 'r']) as s),
 capped as (select page_id, url, regexp_extract(url, '[?&](page|ref)=([^&#]*)', 2) as old from pages
@@ -418,32 +445,34 @@ def q_compose(t):
 @query(f"""
 with e as (select page_id, url,
     replace(replace(translate(trim(regexp_extract(html, '<h1>([^<]*)', 1), ' ' || chr(10)), chr(10) || chr(13), '  '), '&quot;', '"'), '&amp;', '&') as name,
-    replace(replace(trim(regexp_replace(regexp_extract(html, '<div class=.ad.>([^<]*)', 1), '[ \\t\\r\\n]+', ' ', 'g')), '&quot;', '"'), '&amp;', '&') as description,
-    regexp_extract(html, 'lang="([^"]*)"', 1) as city,
+    replace(replace(trim(regexp_replace(regexp_replace(regexp_extract(html, '<article>(?s:(.*?))</article>', 1), '<[^>]*>', '', 'g'), '[ \\t\\r\\n]+', ' ', 'g'), ' ' || chr(10)), '&quot;', '"'), '&amp;', '&') as description,
+    regexp_extract(html, 'lang="([^"]*)"', 1) as country_, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) as city,
+    strftime(date '2019-06-03' + cast(page_id % 400 as int), '%Y-%m-%d') as day,
     regexp_extract(url, '^([^?#]*)', 1) as base,
     [p for p in string_split(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '&') if regexp_matches(p, '^[^=]*=.') and not starts_with(p, 'utm')] as kept,
     regexp_extract(url, '#(.*)$', 1) as fragment
   from pages)
-select page_id, name, regexp_replace(lower(name), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') || '__' || city || '__2019-06-03' as id,
+select page_id, name, regexp_replace(lower(name), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') || '__' || regexp_replace(lower(city), '[^\\p{{L}}\\p{{N}}_]+', '', 'g') || '__' || day as id,
   base || case when len(kept) > 0 then '?' || array_to_string(kept, '&') else '' end
     || case when fragment <> '' then '#' || fragment else '' end as event_url,
   description, case {" ".join(f"when contains(lower(name), '{k}') then '{k}'" for k in stages.EVENT_TYPES)}
     {" ".join(f"when contains(description, '{k}') then '{k}'" for k in stages.EVENT_TYPES)} end as event_type,
-  '2019-06-03' as start_date, '2019-06-03' as end_date, 1.0::double as length_in_days,
-  case when length(city) <= 3 then upper(left(city, 1)) || lower(substr(city, 2)) else city end as country, city,
+  day as start_date, day as end_date, 1.0::double as length_in_days,
+  case when length(country_) <= 3 then upper(left(country_, 1)) || lower(substr(country_, 2)) else country_ end as country, city,
   'Captured' as source, null::varchar as reject_reason
 from e""")
 def q_pages_to_events(t):
     """The whole chain over the captured pages"""
     fields = {
         "name": Field((Rule("article"), Rule("h1"))),
-        "description": Field((Rule("div", any_class=("ad",)),), "norm_text"),
-        "city": Field((Rule("html"),), "attr:lang"),
+        "description": Field((Rule("article"),), "norm_text"),
+        "country": Field((Rule("html"),), "attr:lang"),
     }
-    pages = t.bodies("pages", "page_id").select("page_id", "url", "html")
+    pages = t.bodies("pages").select("page_id", "url", "html")
     found = pages.select("page_id", F.col("url").alias("event_url"), html.fields_of(F.col("html"), fields).alias("f"))
+    start = F.expr("date_add(date '2019-06-03', cast(page_id % 400 as int))")
     events = found.select("page_id", "event_url", "f.*").withColumns(
-        {"start": F.lit("2019-06-03").cast("date"), "country": F.col("city")}
+        {"start": start, "city": urls.unpack_url(F.col("event_url"))["netloc"]}
     )
     out = stages.standard_stages("Captured", t.gazetteer())(events)
     return out.withColumnRenamed("start", "start_date").withColumnRenamed("end", "end_date")

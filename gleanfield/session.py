@@ -53,15 +53,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:
-    """Hint `df` for broadcast when a count that stops at `max_rows` proves it small.
+    """Hint `df` for broadcast when its rows and bytes, counted in full, prove it small.
 
-    A larger side gets no hint: the join then shuffles, and adaptive execution
-    splits its hot keys.
+    Each partition is reduced to one row of sums, so nothing large meets in one task. A larger
+    side gets no hint: the join then shuffles, and adaptive execution splits its hot keys.
     """
     if df.isStreaming:
         return df
     width = F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    seen = df.limit(max_rows + 1).agg(
+    seen = df.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
     return F.broadcast(df) if seen.rows <= max_rows and seen.bytes <= max_bytes else df

@@ -21,8 +21,8 @@ def test_combinations(spark):
     deep = terms(spark, "", alphabet="abc", min_length=3, start="ab", end="bca")
     everything = [x + y + z for x in "abc" for y in "abc" for z in "abc"]
     assert deep == [t for t in everything if "ab" <= t[:2] and t[:3] <= "bca"]
-    with pytest.raises(ValueError, match="max_terms"):
-        terms(spark, "", min_length=9)
+    assert len(terms(spark, "abcde", min_length=6)) == 36
+    assert terms(spark, "", min_length=5, start="aaaaa", end="aaaaa") == ["aaaaa"]
 
 
 def test_combinations_from_index(spark):

@@ -61,20 +61,29 @@ def test_chunks_and_lists(events, hot_rows):
     for x in sorted(whole, key=lambda x: x.chunk):
         lists.setdefault(x.k, []).extend(x["items"])
     assert lists == {k: [x[2] for x in g] for k, g in by_key(data).items()}
+    rows_of = {(x.k, x.ord): x.value for x in rows.lot2dol(df, ["k"], "i", ["t", "i"], hot_rows=hot_rows).collect()}
+    assert rows_of == {(k, n): x[2] for k, g in by_key(data).items() for n, x in enumerate(g)}
 
 
-def test_order_must_be_numeric(spark):
-    df = spark.createDataFrame([("a", "x")] * 3, "k string, t string")
-    with pytest.raises(TypeError):
-        rows.pairwise(df, ["k"], ["t"], "t", hot_rows=1)
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "double"])
+@pytest.mark.parametrize("hot_rows", [1, 10**6])
+def test_any_order_at_any_size(spark, kind, hot_rows):
+    """The same rows whether a key counts as hot or not; NULLs come first."""
+    days = [None if i % 7 == 0 else f"20{i % 13 + 10}-01-0{i % 9 + 1}" for i in range(200)]
+    df = spark.createDataFrame([("a", d, i) for i, d in enumerate(days)], "k string, d string, i int")
+    order = F.length("d") + F.col("i") % 5 if kind == "double" else F.col("d")
+    df = df.withColumn("d", order.cast(kind))
+    got = rows.pairwise(df, ["k"], ["d", "i"], "i", hot_rows=hot_rows).collect()
+    placed = sorted(df.collect(), key=lambda r: (r.d is not None, r.d if r.d is not None else 0, r.i))
+    after = {a.i: b.i for a, b in zip(placed, placed[1:])}
+    assert {r.i: r.next for r in got} == {r.i: after.get(r.i) for r in placed}
 
 
-def test_hot_key_is_cut(events):
-    _, df = events
-    cut = rows._cut_hot_keys(df, ["k"], ["t", "i"], 100)
-    sizes = cut.df.groupBy("k", "_slice").count()
-    assert sizes.where("k = 'hot'").count() > 50
-    assert sizes.where("k = 'a'").select("_slice").distinct().count() >= 1
+def test_hot_key_with_ties_is_cut_evenly(spark):
+    df = spark.range(100_000).selectExpr("'hot' k", "1 t", "id i")
+    cut = rows._cut_hot_keys(df, ["k"], ["t", "i"], 10_000)
+    sizes = [r["count"] for r in cut.df.groupBy("k", "_slice").count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) >= 10 and max(sizes) < 2 * 100_000 / len(sizes)
 
 
 def test_dol2lot(spark):
@@ -108,10 +117,16 @@ def test_flatten_json(spark):
     ]
     df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, j string")
     got = {(x.id, x.path): x.value for x in rows.flatten_json(df, "j").collect()}
+    as_variant = rows.flatten_json(df.withColumn("j", F.parse_json("j")), "j").collect()
+    assert {(x.id, x.path): x.value for x in as_variant} == got
     text = lambda v: None if v is None else str(v).lower() if isinstance(v, bool) else str(v)
     assert got == {(i, k): text(v) for i, d in enumerate(docs) for k, v in flat(d).items()}
-    with pytest.raises(Exception, match="nested deeper"):
-        rows.flatten_json(df, "j", max_depth=1).collect()
+    deep = "[" * 3000 + "7" + "]" * 3000
+    odd = [(0, '{"a_b": 1, "a": {"b": 2.50}}'), (1, '{"a": '), (2, None), (3, deep), (4, "5"), (5, "{}"), (6, "[" * 10**6)]
+    got = {r.id: (r.path, r.value, r.reject_reason) for r in rows.flatten_json(spark.createDataFrame(odd, "id int, j string"), "j").collect()}
+    assert got[0] == ("a_b", "2.50", None) and got[1][2] == "not JSON" and got[2][2] == "no document"
+    assert got[3] == ("_".join("0" * 3000), "7", None) or got[3][2] == "nested too deep to read"
+    assert got[4] == (None, "5", None) and 5 not in got and got[6][2]
 
 
 def test_array_functions(spark):
