@@ -5,6 +5,7 @@ and returns a struct: the page is read once and the other columns stay in the JV
 Filter and prune before, and drop the page text right after.
 """
 
+import re
 from functools import reduce
 from operator import and_
 
@@ -49,18 +50,21 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
 
 
 def may_hold(html: Column, path: tuple[Rule, ...]) -> Column:
-    """False only for pages that cannot have a match, by plain text search in the JVM.
+    """False only for pages that cannot have a match, by patterns in the JVM.
 
-    A class or attribute value a rule asks for must be in the markup as it is, unless
+    A class must stand in a class attribute and an attribute value after its name, unless
     letters are written as character references.
     """
-    words = []
+    there = []
     for rule in path:
-        words += rule.all_class
-        words += rule.any_class if len(rule.any_class) == 1 else ()
-        words += [rule.attr[2]] if rule.attr and rule.attr[1] != "exists" else ()
-    there = [html.contains(w) for w in words if w.replace("-", "").isalnum() and w.isascii()]
-    return reduce(and_, there, F.lit(True)) | html.contains("&#")
+        some = [rule.any_class] if rule.any_class else []
+        for words in [*some, *[(c,) for c in rule.all_class]]:
+            there.append(f"(?i:class)\\s*=[^>]*(?:{'|'.join(map(re.escape, words))})")
+        if rule.attr:
+            name, how, value = rule.attr
+            after = "" if how == "exists" else "\\s*=[^>]*" + re.escape(value)
+            there.append(f"(?i:{re.escape(name)}){after}")
+    return reduce(and_, [html.rlike(p) for p in there], F.lit(True)) | html.contains("&#")
 
 
 def extract_fields(df: DataFrame, html_col: str, fields: dict[str, Field]) -> DataFrame:

@@ -58,24 +58,37 @@ def attach_listing_context(
 
 
 def follow_pagination(
-    links: DataFrame, seeds: DataFrame, max_depth: int | None = None
+    links: DataFrame, seeds: DataFrame, max_depth: int | None = None, per_seed: bool = True
 ) -> DataFrame:
-    """L4: pages reached from each seed through next links: `seed`, `url`, `depth`.
+    """L4: pages reached through next links: `seed`, `url`, `depth`.
 
     `links` holds `url`, `next_url` (NULL at the end), `seeds` holds `seed`. Each round
-    doubles the jump length, so a chain of n pages takes log2(n) rounds, and every round
-    is cut off by a checkpoint. A page met again ends the chain, and so does `max_depth`
-    where given.
+    doubles the jump length, so a chain of n pages takes log2(n) rounds, each cut off by one
+    checkpoint that holds jumps and reached pages. A page met again ends the chain, and so
+    does `max_depth` where given. Without `per_seed` a page counts once however many seeds
+    reach it (`seed` is NULL), so that seeds of one chain do not multiply its pages.
     """
-    jump = cut_lineage(
-        links.where(F.col("next_url").isNotNull())
-        .groupBy("url")
-        .agg(F.min("next_url").alias("next_url"))
-    )
-    reached = cut_lineage(
-        seeds.select("seed", F.col("seed").alias("url"), F.lit(0).cast("long").alias("depth"))
-        .distinct()
+    seed = F.col("seed") if per_seed else F.lit(None).cast("string")
+    at = F.lit(None).cast("long")
+    jump = links.where(F.col("next_url").isNotNull()).groupBy("url").agg(
+        F.min("next_url").alias("next_url")
     )
+    start = seeds.select(
+        seed.alias("seed"), F.col("seed").alias("url"), F.lit(0).cast("long").alias("depth")
+    ).distinct()
+    blank = F.lit(None).cast("string")
+
+    def kept(jump: DataFrame, reached: DataFrame) -> tuple[DataFrame, DataFrame]:
+        both = jump.select(blank.alias("seed"), "url", "next_url", at.alias("depth")).unionByName(
+            reached.select("seed", "url", blank.alias("next_url"), "depth")
+        )
+        both = cut_lineage(both)
+        return (
+            both.where("depth is null").select("url", "next_url"),
+            both.where("depth is not null").select("seed", "url", "depth"),
+        )
+
+    jump, reached = kept(jump, start)
     length, pages = 1, reached.count()
     while max_depth is None or length <= max_depth:
         further = reached.join(jump, "url").select(
@@ -83,15 +96,12 @@ def follow_pagination(
         )
         if max_depth is not None:
             further = further.where(F.col("depth") <= max_depth)
-        reached = cut_lineage(
-            reached.unionByName(further).groupBy("seed", "url").agg(F.min("depth").alias("depth"))
-        )
-        grown = reached.count()
-        if grown == pages:
-            break
-        pages, length = grown, length * 2
+        grown = reached.unionByName(further).groupBy("seed", "url").agg(F.min("depth").alias("depth"))
         after = jump.select(F.col("url").alias("next_url"), F.col("next_url").alias("_far"))
-        jump = cut_lineage(
-            jump.join(after, "next_url").select("url", F.col("_far").alias("next_url"))
-        )
+        longer = jump.join(after, "next_url").select("url", F.col("_far").alias("next_url"))
+        jump, reached = kept(longer, grown)
+        now = reached.count()
+        if now == pages:
+            break
+        pages, length = now, length * 2
     return reached

@@ -34,7 +34,7 @@ class Rule:
 class Field:
     """Where a value is and what to take from there.
 
-    `take` is one of `first_text`, `all_text`, `string`, `norm_text`, `html`,
+    `take` is one of `first_text`, `all_text`, `string`, `all_string`, `norm_text`, `html`,
     `all_html`, `attr:NAME`, `all_attr:NAME`, or `rows` (one struct of `sub` fields
     per matched element).
     """
@@ -98,7 +98,7 @@ class Page:
         self.runs = []
         self.by_tag = {}
         self.found = {}  # elements by path prefix and context, shared by the fields
-        self._attributes, self._texts = {}, {}
+        self._attributes, self._texts, self._numbers, self._firsts = {}, {}, {}, {}
         self._read()
 
     def _read(self):
@@ -185,14 +185,30 @@ class Page:
     def markup(self, i):
         return self.text[self.elements[i][BEGIN] : self.elements[i][END]]
 
-    def siblings_before(self, i):
-        """Earlier siblings, in document order."""
-        parent, found = self.elements[i][PARENT], []
-        j = parent + 1
-        while j < i:
-            found.append(j)
+    def number(self, i):
+        """Place of an element among its siblings of the same tag, from 1."""
+        parent = self.elements[i][PARENT]
+        numbers = self._numbers.get(parent)
+        if numbers is None:
+            numbers, seen = {}, {}
+            for j in self.children(parent):
+                tag = self.elements[j][TAG]
+                seen[tag] = numbers[j] = seen.get(tag, 0) + 1
+            self._numbers[parent] = numbers
+        return numbers[i]
+
+    def first_child(self, parent, name, test):
+        """The first child for which `test` holds; looked for once per `name`."""
+        key = (parent, name)
+        if key not in self._firsts:
+            self._firsts[key] = next((j for j in self.children(parent) if test(j)), None)
+        return self._firsts[key]
+
+    def children(self, parent):
+        j, end = parent + 1, self.elements[parent][LAST]
+        while j <= end:
+            yield j
             j = self.elements[j][LAST] + 1
-        return found
 
 
 def _tests(rule):
@@ -234,9 +250,7 @@ def _tests(rule):
     if rule.nth is not None:
 
         def is_nth(page, i):
-            tag = page.elements[i][TAG]
-            same = [j for j in page.siblings_before(i) if page.elements[j][TAG] == tag]
-            return len(same) + 1 == rule.nth
+            return page.number(i) == rule.nth
 
         tests.append(is_nth)
     if rule.has is not None:
@@ -246,10 +260,11 @@ def _tests(rule):
         earlier, tag = _tests(rule.after), rule.after.tag
 
         def is_after(page, i):
-            return any(
-                tag in (None, page.elements[j][TAG]) and all(t(page, j) for t in earlier)
-                for j in page.siblings_before(i)
+            first = page.first_child(
+                page.elements[i][PARENT], rule.after,
+                lambda j: tag in (None, page.elements[j][TAG]) and all(t(page, j) for t in earlier),
             )
+            return first is not None and first < i
 
         tests.append(is_after)
     return tests
@@ -322,6 +337,8 @@ def reader(field, prefixes=None):
             return [t for i in found for t in page.own_texts(i)]
         if what == "all_html":
             return [page.markup(i) for i in found]
+        if what == "all_string":
+            return [page.string(i) for i in found]
         if what == "html":
             return page.markup(found[0]) if found else default
         if what in ("attr", "all_attr"):

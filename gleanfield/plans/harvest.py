@@ -1,17 +1,21 @@
 """Captured pages of a site to normalised event records."""
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanfield.functions.collections import zip_positional
+from gleanfield.functions.collections import amap, first_link_with_prefix
 from gleanfield.functions.urls import absolutise
 from gleanfield.operators.gazetteer import Gazetteer
 from gleanfield.operators.html import fields_of, may_hold
-from gleanfield.operators.listing import attach_listing_context, follow_pagination
+from gleanfield.operators.listing import (
+    attach_listing_context, calendar_seed, dedupe_requests, follow_pagination,
+)
 from gleanfield.operators.markup import Field, Rule
 from gleanfield.session import cut_lineage, small_side
 from gleanfield.sources.io import merge_by_name
-from gleanfield.sources.sites import SITES, map_site
+from gleanfield.sources.sites import SITES, Site, map_site
 
 
 def harvest(name: str, pages: DataFrame, gazetteer: Gazetteer) -> DataFrame:
@@ -31,68 +35,113 @@ def harvest(name: str, pages: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     return site.stages(gazetteer)(events)
 
 
+def next_of(site: Site) -> tuple[Field, Column]:
+    """Where a listing page names the next one, and that value as an address."""
+    attr, before = site.next_number or ("href", "")
+    value = F.col("n")
+    if before:
+        return Field(site.next_page, f"attr:{attr}"), F.concat(F.lit(before), value)
+    return Field(site.next_page, "attr:href"), _target(site.base_url, value)
+
+
+def _target(base_url: str, href: Column) -> Column:
+    return F.when(href.startswith("/"), absolutise(base_url, href)).otherwise(href)
+
+
 def next_links(
     pages: DataFrame, path: tuple[Rule, ...], base_url: str = "", number: tuple[str, str] = ()
 ) -> DataFrame:
     """`url`, `next_url` of the pages that have a next one; others may be missing or NULL."""
+    site = replace(SITES["events_calendar"], base_url=base_url, next_page=path, next_number=number)
+    field, address = next_of(site)
     pages = pages.where(may_hold(F.col("body"), path))
-    attr, before = number or ("href", "")
-    href = fields_of(F.col("body"), {"n": Field(path, f"attr:{attr}")})["n"]
-    if before:
-        return pages.select("url", F.concat(F.lit(before), href).alias("next_url"))
-    return pages.select(
-        "url",
-        F.when(href.startswith("/"), absolutise(base_url, href)).otherwise(href).alias("next_url"),
+    found = pages.select("url", fields_of(F.col("body"), {"n": field})["n"].alias("n"))
+    return found.select("url", address.alias("next_url"))
+
+
+def first_pages(site: Site, spark: SparkSession, today: Column | None = None) -> DataFrame:
+    """`seed`: addresses of a site's first listing pages."""
+    if not site.months:
+        return spark.createDataFrame([(site.base_url + site.events_path,)], "seed string")
+    start = F.current_date() if today is None else today
+    one = spark.range(1)
+    return calendar_seed(one, site.base_url, site.events_path, start, site.months).select(
+        F.col("url").alias("seed")
     )
 
 
 def harvest_details(
     name: str, pages: DataFrame, gazetteer: Gazetteer, seeds: DataFrame | None = None,
-    max_depth: int | None = None,
+    max_depth: int | None = None, today: Column | None = None,
 ) -> DataFrame:
     """Listing pages, their pagination and links, then the detail pages joined by URL.
 
     `pages` (`url`, `body`) holds listing and detail pages; `seeds` (`seed`) names the first
-    listing pages, by default the site's own.
+    listing pages, by default the site's own (a calendar begins with the month of `today`).
+    A page captured more than once counts once, whichever capture that is.
+
+    Bodies are scanned twice. The first scan reads those that look like a listing page, by
+    patterns in the JVM, and keeps what they list, which is narrow; the second takes the
+    detail pages that are wanted. Sites with records on the listing itself need the first only.
     """
     site = SITES[name]
-    spark = pages.sparkSession
-    if seeds is None:
-        seeds = spark.createDataFrame([(site.base_url + site.events_path,)], "seed string")
+    seeds = first_pages(site, pages.sparkSession, today) if seeds is None else seeds
+    fields = {}
     if site.next_page:
-        following = next_links(pages, site.next_page, site.base_url, site.next_number)
-        listed = follow_pagination(following, seeds, max_depth)
-        listed = listed.select("url").distinct()
+        fields["n"], next_url = next_of(site)
+    if site.entry:
+        fields["e"] = Field(site.entry, "rows", sub=site.fields)
     else:
-        listed = seeds.select(F.col("seed").alias("url")).distinct()
-    listing = pages.join(small_side(listed), "url", "left_semi")
-    found = {"href": Field(site.links, "all_attr:href")}
-    if name == "swiss_biotech":
-        found["organizer"] = Field(
-            (Rule("ul", any_class=("details-list",)), Rule("span")), "rows",
-            sub={"text": Field((), "string")},
-        )
-    links = listing.select(F.col("url").alias("_page"), fields_of(F.col("body"), found).alias("_f"))
-    if name == "swiss_biotech":
-        organizers = F.transform(
-            "_f.organizer", lambda o: F.substring_index(o["text"], ":", -1)
-        )
-        pairs = zip_positional(F.col("_f.href"), organizers, ("href", "organizer"))
-        links = links.select("_page", F.posexplode(pairs).alias("_pos", "_l")).select(
-            "_page", "_pos", "_l.*"
+        fields["href"] = Field(site.links, "all_attr:href")
+        fields |= {f"b_{k}": f for k, f in site.beside.items()}
+    listing_path = site.entry or site.links
+    like_listing = may_hold(F.col("body"), listing_path)
+    if site.next_page:
+        like_listing |= may_hold(F.col("body"), site.next_page)
+    first = small_side(seeds.select(F.col("seed").alias("url")).distinct())
+    candidates = pages.where(like_listing)
+    if not site.next_page:
+        candidates = candidates.join(first, "url", "left_semi")
+    scanned = candidates.select("url", fields_of(F.col("body"), fields).alias("_f")).select("url", "_f.*")
+    scanned = cut_lineage(dedupe_requests(scanned))
+    listing = scanned
+    if site.next_page:
+        reached = follow_pagination(
+            scanned.select("url", next_url.alias("next_url")), seeds, max_depth, per_seed=False
         )
-    else:
-        links = links.select(F.explode("_f.href").alias("href"))
-    target = F.when(F.col("href").startswith("/"), absolutise(site.base_url, F.col("href")))
-    # Listing pages are read once; what they list is narrow.
-    links = cut_lineage(links.withColumn("url", F.coalesce(target, "href")).drop("href"))
-    wanted = cut_lineage(links.select("url").distinct())
-    details = pages.join(small_side(wanted), "url", "left_semi")
-    if "organizer" in links.columns:
-        details = attach_listing_context(details, links, ["organizer"], order=["_page", "_pos"])
+        listing = scanned.join(small_side(reached.select("url").distinct()), "url", "left_semi")
+    if site.entry:
+        raw = listing.select("url", F.posexplode("e").alias("row_index", "raw"))
+        return site.stages(gazetteer)(site.project(site, raw, gazetteer))
+    links = cut_lineage(_links(site, listing))
+    wanted = links.select("url").distinct()
+    details = dedupe_requests(pages.join(small_side(wanted), "url", "left_semi"))
+    context = [k for k in site.beside if k]
+    if context:
+        details = attach_listing_context(details, links, context, order=["_page", "_pos"])
     return site.stages(gazetteer)(map_site(name, details, gazetteer))
 
 
+def _links(site: Site, listing: DataFrame) -> DataFrame:
+    """`_page`, `_pos`, `url` and what stands beside each link followed."""
+    hrefs = F.col("href")
+    if site.link_prefix:
+        hrefs = F.array_compact(F.array(first_link_with_prefix(hrefs, site.link_prefix)))
+    names = list(site.beside)
+    lists = [F.transform(F.col(f"b_{k}"), lambda x: F.substring_index(x, ":", -1)) for k in names]
+    # One list by another, cut to the shortest: surplus links are not followed.
+    def pair(h, *more):
+        beside = [m.alias(k or "_entry") for k, m in zip(names, more)]
+        return F.struct(h.alias("href"), *beside)
+
+    pairs = amap(pair, hrefs, *lists) if lists else F.transform(hrefs, lambda h: pair(h))
+    found = listing.select(F.col("url").alias("_page"), F.posexplode(pairs).alias("_pos", "_l"))
+    return found.select(
+        "_page", "_pos", _target(site.base_url, F.col("_l.href")).alias("url"),
+        *[F.col(f"_l.{k}") for k in names if k],
+    )
+
+
 def merge_sources(events: list[DataFrame]) -> DataFrame:
     """Event tables of several sources as one."""
     return merge_by_name(events)

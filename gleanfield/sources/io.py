@@ -21,7 +21,7 @@ def page_source(
 ) -> DataFrame:
     """Captured pages as `source, url, body` (plus `columns`).
 
-    Input with fewer splits than cores is spread by URL; larger input is read as it lies.
+    Input with fewer splits than cores is spread evenly; larger input is read as it lies.
     """
     pages = spark.read.parquet(path)
     origin = F.col("source") if source is None and "source" in pages.columns else F.lit(source)
@@ -29,15 +29,15 @@ def page_source(
         origin.cast("string").alias("source"), "url", F.col(body).cast("string").alias("body"),
         *(columns or []),
     )
-    return spread(pages, "url")
+    return spread(pages)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
     """Repartition a plain scan whose few splits would leave cores idle."""
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def _split_quoted(documents: pa.Array) -> pa.Array:
@@ -60,16 +60,17 @@ def _split_quoted(documents: pa.Array) -> pa.Array:
 _quoted_rows = arrow_udf(_split_quoted, ArrayType(ArrayType(StringType())))
 
 
-def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
+def csv_body_rows(df: DataFrame, body_col: str, keep_missing: bool = False) -> DataFrame:
     """S3: a CSV document per row to one row per record: `row_no`, `rec`, `overflow`.
 
     Line 1 names the fields and is split at every comma, quotes or not. A short record has
     NULLs, a long one leaves its surplus in `overflow`. Only documents that hold quotes
     (or lone carriage returns) travel to Python. A document that is not CSV gives one row
-    of NULLs.
+    of NULLs, and so does a NULL document if `keep_missing`.
     """
     keep = [c for c in df.columns if c != body_col]
     body = F.col(body_col)
+    missing = body.isNull()
     header = F.split(F.btrim(F.split_part(body, F.lit("\n"), F.lit(1)), F.lit(" \t\r\n")), ",")
     lines = F.transform(F.split(body, "\n"), lambda x: F.regexp_replace(x, "\r$", ""))
     plain = F.transform(
@@ -78,9 +79,9 @@ def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
     hard = body.contains('"') | body.rlike("\r(?!\n)")
     unreadable = F.array(F.lit(None).cast("array<string>"))
     quoted = F.coalesce(_quoted_rows(F.when(hard, body)), unreadable)
-    rows = F.when(hard, quoted).otherwise(plain)
+    rows = F.when(missing, unreadable).when(hard, quoted).otherwise(plain)
     # The document itself stays below the explode; its field names travel with each record.
-    parsed = df.where(body.isNotNull()).select(
+    parsed = (df if keep_missing else df.where(~missing)).select(
         *keep, header.alias("_header"), rows.alias("_rows")
     )
     width = F.size("_header")
@@ -107,10 +108,11 @@ def csv_body_rows(df: DataFrame, body_col: str) -> DataFrame:
 
 
 def json_list_rows(
-    df: DataFrame, body_col: str, entry: StructType
+    df: DataFrame, body_col: str, entry: StructType, keep_unreadable: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Documents `{"message": [...], "list": [...]}` to one row per list entry, and one
-    row per message. An unreadable document gives a message too."""
+    row per message. An unreadable document gives a message too; if `keep_unreadable`, it and
+    a NULL document also give a row without `row_index`."""
     keep = [c for c in df.columns if c != body_col]
     shape = StructType(
         [
@@ -122,7 +124,15 @@ def json_list_rows(
     parsed = df.withColumn(
         "_doc", F.from_json(body_col, shape, {"columnNameOfCorruptRecord": "_bad"})
     )
-    rows = parsed.select(*keep, F.posexplode("_doc.list").alias("row_index", "_e"))
+    entries, place = F.col("_doc.list"), F.col("_i")
+    if keep_unreadable:
+        lost = F.col("_doc._bad").isNotNull() | F.col(body_col).isNull()
+        entries = F.when(lost, F.array(F.lit(None).cast(entry))).otherwise(entries)
+        place = F.when(~F.col("_lost"), place)
+        parsed = parsed.withColumn("_lost", lost)
+    rows = parsed.withColumn("_list", entries).select(
+        "*", F.posexplode("_list").alias("_i", "_e")
+    ).select(*keep, place.alias("row_index"), "_e")
     messages = F.concat(
         F.coalesce("_doc.message", F.array().cast("array<string>")),
         F.when(F.col("_doc._bad").isNotNull(), F.array(F.lit("unreadable document"))).otherwise(
@@ -151,7 +161,8 @@ def write_events_csv(
 
     The header names the fields any record fills, in record order; an absent value is an
     empty cell. Unless `columns` names them, the records are checkpointed and looked at
-    once. All partitions write in parallel, whatever the size of a source.
+    once. All partitions write in parallel, whatever the size of a source. A run written
+    before under the same name is replaced; other runs in the folder stay.
     """
     if columns is None:
         df = cut_lineage(df)
@@ -161,7 +172,7 @@ def write_events_csv(
     file = F.concat_ws("__", "source", F.lit(tag or time_tag()))
     (
         df.select(*columns, file.alias("file"))
-        .write.mode("append").partitionBy("file")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file")
         .options(**CSV_OPTIONS, emptyValue="", nullValue="")
         .csv(out_dir)
     )
@@ -173,23 +184,35 @@ def merge_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def csv_headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by header line, from one pass over all files (folders stand for the files in them)."""
+    lines = spark.read.text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
+    )
+    # A file's first block lies in one task, which reads it in order.
+    first = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("line"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file").toLocalIterator():
+        line = row["line"].removeprefix("\ufeff").rstrip("\r")
+        header = tuple(next(csv.reader([line]), ()))
+        groups.setdefault(header, []).append(row["file"])
+    return groups
+
+
 def read_csv_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """CSV files with differing headers as one table of text columns.
 
     Files with equal headers are scanned together, so the plan grows with the number of
     headers, not of files. A row longer than its header fails the job.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.options(**CSV_OPTIONS, multiLine="true").csv(path).columns)
-        groups.setdefault(header, []).append(path)
     frames = []
-    for header, members in groups.items():
+    for header, members in csv_headers(spark, paths).items():
         shape = StructType([StructField(c, StringType()) for c in [*header, "_overflow"]])
         rows = spark.read.options(**CSV_OPTIONS, multiLine="true").schema(shape).csv(members)
-        checked = F.when(
-            F.col("_overflow").isNotNull(), F.raise_error(F.lit("row longer than its header"))
-        ).otherwise(F.col(header[0]))
+        long = F.col("_overflow").isNotNull()
+        checked = F.when(long, F.raise_error(F.lit("row longer than its header"))).otherwise(
+            F.col(f"`{header[0]}`")
+        )
         frames.append(rows.select(checked.alias(header[0]), *[F.col(f"`{c}`") for c in header[1:]]))
     return merge_by_name(frames)
 

@@ -33,6 +33,9 @@ class Site:
     fields: dict[str, Field] = field(default_factory=dict)
     entry: tuple[Rule, ...] = ()  # records on the listing page itself
     links: tuple[Rule, ...] = ()  # links to detail pages
+    link_prefix: str = ""  # of a page's links only the first that begins like this counts
+    beside: dict[str, Field] = field(default_factory=dict)  # lists the links are zipped with
+    months: int = 0  # the listing is a calendar of that many months from the current one
     next_page: tuple[Rule, ...] = ()  # link to the next listing page
     next_number: tuple[str, str] = ()  # its attribute with a page number, address before that
     keeps_newlines: bool = False
@@ -301,6 +304,7 @@ AUSBIOTECH = Site(
         "date": _label("Date:"),
     },
     links=(Rule("td", any_class=("eventsCalenderDayHasEvents",)), _LINK),
+    months=24,
     constants={"country": "Australia", "city": "", "currency": "AUD"},
 )
 # The Scottish site is labelled with the Australian country and currency; override
@@ -309,6 +313,9 @@ IBIOIC = replace(
     AUSBIOTECH, source="IBioIC", base_url="http://www.ibioic.com",
     events_path="/news_and_events/events/d8/",
     links=(Rule("div", any_class=("item-feature-text", "item-list")), Rule("span"), _LINK),
+    # One link per entry: surplus links of the page are not followed.
+    beside={"": Field((Rule("div", any_class=("item-feature-text", "item-list")),), "all_attr:class")},
+    months=0,
 )
 
 # -- JSON -----------------------------------------------------------------------------
@@ -340,6 +347,7 @@ def _bio_partner(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     return _record(
         df,
         {
+            "unreadable_document": F.col("raw").isNull(),
             "no_type": _raw("classification").isNull(),
             "bad_start": _bad(_raw("start_date"), start),
             "bad_end": _bad(_raw("end_date"), end),
@@ -420,6 +428,10 @@ SWISS_BIOTECH = Site(
         Rule("a", attr=("data-page", "exists", ""), own_text="\u2192"),
     ),
     next_number=("data-page", "https://www.swissbiotech.org/events/?pg="),
+    # Host details may be missing on the detail page, so the listing's go along.
+    beside={
+        "organizer": Field((Rule("ul", any_class=("details-list",)), Rule("span")), "all_string")
+    },
 )
 
 # -- CSV ------------------------------------------------------------------------------
@@ -434,6 +446,7 @@ def _solebury_trout(site: Site, df: DataFrame, gazetteer: Gazetteer) -> DataFram
     return _record(
         df,
         {
+            "unreadable_document": F.col("raw").isNull(),
             "bad_date": start.isNull() | end.isNull(),
             "no_location": _raw("Location").isNull(),
         },
@@ -446,6 +459,7 @@ SOLEBURY_TROUT = Site(
     "Solebury Trout", "https://www.soleburytrout.com",
     "/lifesciences/calendar?qs_industry[]=life_sciences&keyword=&qs_time=4", _solebury_trout,
     links=(Rule("a", attr=("href", "prefix", "/events/csv")),),
+    link_prefix="/events/csv",
     keeps_newlines=True,
 )
 
@@ -556,15 +570,16 @@ def map_site(name: str, df: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     """Records in `body` (entry markup, detail page, JSON or CSV document) to events.
 
     `url` is the page's address; `organizer` (info boxes) and `row_index` (grid pages) may
-    come along from the listing.
+    come along from the listing. A document that cannot be read gives one rejected record.
     """
     site = SITES[name]
+    keep = [c for c in df.columns if c != "body"]
     if site is BIO_PARTNER:
-        rows, _ = json_list_rows(df, "body", JSON_ENTRY)
-        keep = [c for c in df.columns if c != "body"]
-        raw = rows.select(*keep, F.struct(*JSON_ENTRY.names).alias("raw"))
+        rows, _ = json_list_rows(df, "body", JSON_ENTRY, keep_unreadable=True)
+        entry = F.when(F.col("row_index").isNotNull(), F.struct(*JSON_ENTRY.names))
+        raw = rows.select(*keep, entry.alias("raw"))
     elif site is SOLEBURY_TROUT:
-        raw = csv_body_rows(df, "body").withColumnRenamed("rec", "raw").drop("overflow")
+        raw = csv_body_rows(df, "body", keep_missing=True).withColumnRenamed("rec", "raw").drop("overflow")
     elif site is GLOBAL_SCIENCE_MEETINGS and "row_index" in df.columns:
         raw = df.withColumn("raw", grid_row(F.col("body"), F.col("row_index"))).drop("body")
     else:

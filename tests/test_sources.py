@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanfield.__main__ import main
+from gleanfield.operators.gazetteer import Gazetteer
 from gleanfield.operators.stages import accepted, rejected
 from gleanfield.plans.harvest import harvest, harvest_details, merge_sources
 from gleanfield.schema import EVENT_COLUMNS, REJECT, conform
@@ -148,7 +149,7 @@ def test_bio_partner(spark, gazetteer):
         country="United Kingdom", city="Bath", venue="Hall", ticket_deadline="2019-05-25",
         contact_email="e@x", source="Bio Partner",
     )]
-    assert sorted(bad) == ["bad_deadline", "no_start"]
+    assert sorted(bad) == ["bad_deadline", "no_start", "unreadable_document"]
     df = spark.createDataFrame([(1, json.dumps(doc)), (2, "not json")], "id int, body string")
     _, warnings = gio.json_list_rows(df, "body", JSON_ENTRY)
     assert sorted(map(tuple, warnings.collect())) == [(1, "careful"), (2, "unreadable document")]
@@ -327,3 +328,58 @@ def test_page_source_and_stream(spark, gazetteer, tmp_path):
     out = spark.read.parquet(str(tmp_path / "events"))
     assert [r.id for r in out.collect()] == ["bioexpo__boston__2019-06-03"] * 3
     assert set(out.columns) <= {*EVENT_COLUMNS, REJECT}
+
+
+def test_stream_with_a_large_gazetteer(spark, gazetteer, tmp_path):
+    """Thousands of written forms are searched by the same plan, so the stream keeps no state."""
+    many = spark.range(3000).selectExpr(
+        "cast(id as int) ord", "'Land' || id || 'x' name", "'C' || id || 'y' alpha_2"
+    )
+    entry = """<div class="event"><div class="event_title"><h3>A Summit</h3></div><div class="event_date"><b>25 Jun 19-26 Jun 19</b></div>
+    <div class="event_desc">Hall<br>Town Land2999x<br>-<br>About<br></div><div class="event_web"><a href="http://w.org/">w</a></div></div>"""
+    spark.createDataFrame([(URL, entry)], "url string, body string").write.parquet(str(tmp_path / "pages"))
+    harvest_stream(
+        "uk_biotech_database", page_stream(spark, str(tmp_path / "pages")), Gazetteer(many, gazetteer.subdivisions),
+        str(tmp_path / "events"), str(tmp_path / "cp"),
+    ).awaitTermination()
+    row = spark.read.parquet(str(tmp_path / "events")).first()
+    assert (row.city.strip(), row.country) == ("Town", "Land2999x")
+
+
+def test_a_rerun_replaces_and_headers_may_differ(spark, tmp_path):
+    first = spark.sql("select 'BIO' source, 'a.b, c' name, 'x' city")
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        gio.write_events_csv(first, out, "t")
+    gio.write_events_csv(spark.sql("select 'BIA' source, 'n' name"), out, "t")
+    got = [r.asDict() for r in gio.read_csv_files(spark, [f"{out}/file=BIO__t"]).collect()]
+    assert got == [{"source": "BIO", "name": "a.b, c", "city": "x"}]
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "1.csv").write_text('name,"the.city"\nn1,c1\n')
+    (folder / "2.csv").write_text("the.city,name\r\nc2,n2\r\n")
+    got = gio.read_csv_files(spark, [str(folder)])
+    assert sorted((r["name"], r["the.city"]) for r in got.collect()) == [("n1", "c1"), ("n2", "c2")]
+
+
+def test_size_check_gathers_sums_only(spark):
+    """Nothing but one row of sums per partition meets in one task."""
+    import contextlib
+    import io as text
+
+    from gleanfield.session import small_side
+
+    seen = []
+    kind = type(spark.range(1))
+    real = kind.first
+    kind.first = lambda self: (seen.append(self), real(self))[1]
+    try:
+        small_side(spark.range(1000).repartition(8))
+    finally:
+        kind.first = real
+    out = text.StringIO()
+    with contextlib.redirect_stdout(out):
+        seen[0].explain("simple")
+    plan = out.getvalue()
+    before, after = plan.split("Exchange SinglePartition", 1)
+    assert "Limit" not in plan and "partial_count" in after.split("\n")[1]
