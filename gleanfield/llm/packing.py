@@ -2,6 +2,7 @@
 
 import itertools
 import os
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -17,14 +18,29 @@ from gleanfield.llm.common import short_batches, stored
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, __part int, __rank long"
 )
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
+CLOSING = b".,;:!?"
+
+
+class Numbers(dict):
+    """Words by number, in the order they are met; `new` has those met since it was last emptied."""
+
+    def __init__(self, words=()):
+        super().__init__(zip(words, itertools.count()))
+        self.new = []
+
+    def __missing__(self, word):
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
 
 
 class WordTokens:
     """Ids of texts, each distinct word tokenised once.
 
-    The tokenizer never looks across white space, so ids of a text are those of
-    its words. The cache starts anew above `CACHED_WORDS`: this changes no id.
+    The tokenizer never looks across white space nor lets case count, so ids of a text are those
+    of its lower-case words. Above `CACHED_WORDS` words seen only once since the last time are
+    forgotten; this changes no id.
     """
 
     def __init__(self, path: str):
@@ -32,37 +48,102 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self):
-        self.index, self.ids, self.starts = {}, np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def learn(self, words: list[bytes]):
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        ids = [x.ids for x in found]
-        at = len(self.index)
-        self.index.update(zip(words, range(at, at + len(words))))
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))
-        self.ids = np.concatenate([self.ids, flat])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.index, self.ids = Numbers(), np.empty(0, np.uint32)
+        # by number: where the word's ids are, and how often it was met
+        self.starts, self.lengths, self.uses = (np.empty(0, np.int64) for _ in range(3))
+
+    def forget(self):
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > CACHED_WORDS // 2:
+            keep = np.sort(np.argsort(self.uses, kind="stable")[-CACHED_WORDS // 2 :])
+        words = list(self.index)
+        self.index = Numbers(words[i] for i in keep.tolist())
+        self.ids = self.ids[spans(self.starts[keep], self.lengths[keep])]
+        self.lengths = self.lengths[keep]
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.uses = np.zeros(len(keep), np.int64)
+
+    def learn(self):
+        """Find the ids of new words. Closing marks after a letter or digit are tokens of their own, so
+        such a word is looked up in two parts."""
+        index, new = self.index, self.index.new
+        first = len(index) - len(new)
+        letters, others, parts, split = [], [], [], []
+        for number, word in enumerate(new, first):  # parts met for the first time are appended on the way
+            stem = word.rstrip(CLOSING)
+            if len(stem) < len(word) and (stem[-1:].isalnum() or stem[-4:].decode(errors="ignore")[-1:].isalnum()):
+                split.append(number)
+                parts += (index[stem], index[word[len(stem) :]])
+            elif word.isalpha() or only_letters(word.decode()):
+                letters.append(number)
+            else:
+                others.append(number)
+        grown = len(index)
+        starts, lengths = (np.concatenate([x, np.zeros(grown - first, np.int64)]) for x in (self.starts, self.lengths))
+        held = [self.ids]
+        end = len(self.ids)
+
+        def add(numbers, flat, own):
+            nonlocal end
+            held.append(flat)
+            lengths[numbers] = own
+            starts[numbers] = end + np.cumsum(own) - own
+            end += len(flat)
+
+        for i in range(0, len(letters), 20_000):
+            # words of letters only are told apart in one text by the ids that end them
+            some = letters[i : i + 20_000]
+            text = b" ".join([new[n - first] for n in some]).decode()
+            flat = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.closes[flat])
+            if len(ends) == len(some):
+                add(some, flat, np.diff(ends, prepend=-1))
+            else:  # a letter that the tokenizer takes for something else
+                others += some
+        for i in range(0, len(others), 20_000):
+            some = others[i : i + 20_000]
+            found = self.tokenizer.encode_batch([new[n - first].decode() for n in some], add_special_tokens=False)
+            lists = [x.ids for x in found]
+            own = np.fromiter(map(len, lists), np.int64, len(lists))
+            add(some, np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(own.sum())), own)
+        if split:
+            known = np.concatenate(held)
+            held = [known]
+            part = np.array(parts)
+            add(split, known[spans(starts[part], lengths[part])], lengths[part].reshape(-1, 2).sum(1))
+        self.ids, self.starts, self.lengths = np.concatenate(held), starts, lengths
+        self.uses = np.concatenate([self.uses, np.zeros(grown - first, np.int64)])
+        index.new = []
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where each text's ids end."""
         if len(self.index) > CACHED_WORDS:
-            self.clear()
-        words = [t.split() for t in texts]
+            self.forget()
+        # a special token is known by its exact letters
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         flat = list(itertools.chain.from_iterable(words))
-        new = list(set(flat).difference(self.index))
-        for i in range(0, len(new), 50_000):
-            self.learn(new[i : i + 50_000])
         where = np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
-        lengths = np.diff(self.starts)[where]
+        if self.index.new:
+            self.learn()
+        self.uses += np.bincount(where, minlength=len(self.uses))
+        lengths = self.lengths[where]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.starts[where] - (ends - lengths), lengths)
         last_word = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
-        return self.ids[at], np.concatenate([[0], ends])[last_word]
+        return self.ids[spans(self.starts[where], lengths)], np.concatenate([[0], ends])[last_word]
+
+
+def only_letters(word: str) -> bool:
+    """Whether a word is one run of letters for the tokenizer, which composes and lower-cases it."""
+    return word.isalpha() and unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Positions of ranges that begin at `starts`, one after another."""
+    ends = np.cumsum(lengths)
+    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - lengths), lengths)
 
 
 _tokens: dict[str, WordTokens] = {}
