@@ -184,22 +184,28 @@ def fit(x: np.ndarray, y: np.ndarray, bins=48, rounds=120, pairs=8, pair_rounds=
     return model
 
 
-def learn(features: DataFrame, labels: DataFrame, sample_rows: int = 30_000, held_out: tuple[int, int] = (3, 1)) -> Tables:
-    """Fit on at most `sample_rows` labelled rows, taken in the order of a hash of the id.
+def chosen(labels: DataFrame, sample_rows: int, held_out: tuple[int, int]) -> DataFrame:
+    """doc_id and quality of at most `sample_rows` labels, taken in the order of a hash of the id.
 
-    Rows whose crc32(doc_id) modulo `held_out[0]` is `held_out[1]` are never learned from. Labels
-    other than 0 and 1 and null ids are left out; an id labelled both ways counts as 1.
+    Ids whose crc32 modulo `held_out[0]` is `held_out[1]` are never taken, nor are labels other
+    than 0 and 1 and null ids; an id labelled both ways counts as 1.
     """
     marks = (
         labels.where("quality in (0, 1) and doc_id is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
     )
-    rows = (
-        features.where(remainder(F.col("doc_id"), held_out[0]) != held_out[1]).join(marks, "doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows).select("features", "quality").toArrow()
+    learned = marks.where(remainder(F.col("doc_id"), held_out[0]) != held_out[1])
+    return stored(learned.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
+
+
+def learn(features: DataFrame, labels: DataFrame) -> Tables:
+    """Fit on the rows of `features` that have one of the labels (`chosen`), one per id."""
+    marked = features.join(F.broadcast(labels), "doc_id").groupBy("doc_id").agg(
+        F.min("features").alias("features"), F.max("quality").alias("quality")
     )
-    x = np.array(rows.column(0).to_pylist(), float).reshape(-1, len(FEATURES))
-    return fit(x, rows.column(1).to_numpy().astype(float))
+    rows = marked.toArrow().sort_by("doc_id")
+    x = np.array(rows.column("features").to_pylist(), float).reshape(-1, len(FEATURES))
+    return fit(x, rows.column("quality").to_numpy().astype(float))
 
 
 def apply_tables(features: DataFrame, model: Tables) -> DataFrame:
@@ -221,7 +227,7 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 30_000) -> Da
     rows. Without labels of both kinds every score is their share, or a half.
     """
     features = stored(with_features(docs))
-    scored = apply_tables(features, learn(features, labels, sample_rows))
+    scored = apply_tables(features, learn(features, chosen(labels, sample_rows, (3, 1))))
     return scored.select(
         "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
@@ -231,9 +237,12 @@ def quality(docs: DataFrame, labels: DataFrame, sample_rows: int = 30_000) -> Da
 def keep_good(docs: DataFrame, labels: DataFrame, sample_rows: int = 30_000) -> DataFrame:
     """Rows of `docs` whose text scores 0.5 or more, all columns as they were.
 
-    Texts are scored where they lie: no row of `docs` is shuffled.
+    Texts are scored where they lie, and those learned from are found by a broadcast of at most
+    `sample_rows` ids: no row of `docs` is shuffled.
     """
-    model = learn(stored(with_features(docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi"))), labels, sample_rows)
+    marks = chosen(labels, sample_rows, (3, 1))
+    marked = docs.join(F.broadcast(marks.select("doc_id")), "doc_id", "left_semi")
+    model = learn(stored(with_features(marked)), marks)
     score = F.pandas_udf(lambda texts: pd.Series(model.score(np.array([text_features(t or b"") for t in texts], float).reshape(-1, len(FEATURES)))), "double")
     short_batches(docs.sparkSession)
     return docs.where(score(F.col("text").cast("binary")) >= 0.5)
