@@ -29,7 +29,8 @@ TREES, VALUES = 16, 8  # values of 16 bits in each tree's order
 SKETCH = 64  # bytes of the signature compared within a region
 # Sketches of 64 values agree in 0.8 +- 0.05 of them at a similarity of 0.8; 0.575 is 4.5 deviations below.
 LOOKS_SIMILAR = 0.575
-GIANT_ROWS, GIANT_BYTES = 3000, 48 << 20
+# Clusters above either are verified by several tasks, in blocks of BLOCK_ROWS texts.
+GIANT_ROWS, GIANT_BYTES, BLOCK_ROWS = 3000, 48 << 20, 250
 
 _rng = np.random.default_rng(8)
 MULTIPLY = _rng.integers(1, 2**63, TREES * VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -360,34 +361,47 @@ def verified_giants(members: DataFrame, shingle: int, percent: int) -> DataFrame
     counts = compared.groupBy("cluster", "lead").agg(F.sum(F.col("linked").cast("long")).alias("n"), F.count(F.lit(1)).alias("rows"))
     best = counts.groupBy("cluster").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"), F.max("rows").alias("rows"))
     left = compared.join(best, ["cluster", "lead"])
-    blocks = F.ceil(F.col("rows") / 1000)
-    members_of = left.select("cluster", "class", "text", F.pmod(F.xxhash64("class"), blocks).alias("block"), F.lit(False).alias("ask"))
+    blocks = F.ceil(F.col("rows") / BLOCK_ROWS)
+    # where all are linked with the best lead, there is nothing left to ask
+    open_ = stored(left.where("not linked").select("cluster").distinct())
+    left = left.join(open_, "cluster", "left_semi")
+    members_of = left.select("cluster", "class", "text", F.pmod(F.xxhash64("class"), blocks).alias("block"), F.lit(False).alias("ask"), "linked")
     asking = left.where("not linked").select(
-        "cluster", "class", "text", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.lit(True).alias("ask")
+        "cluster", "class", "text", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("block"), F.lit(True).alias("ask"), "linked"
     )
 
     def block_links(batches):
+        """Of all links of an asking text one to each group of the block's members, which then are one group: a
+        block gives no more links than it has texts."""
         shingles = Shingles(shingle)
-        at, links, names = None, None, []
-        held_rows = []
+        at, links, label = None, None, []
+        sets, names, joined = [], [], []
 
         for batch in batches:
             found = []
-            for c, block, ask, name, text in zip(*(x.to_pylist() for x in batch.columns)):
+            for c, block, ask, in_lead, name, text in zip(*(x.to_pylist() for x in batch.columns)):
                 if (c, block) != at:
-                    at, links, held_rows, names = (c, block), None, [], []
+                    at, links = (c, block), None
+                    sets, names, joined = [], [], []
                 held = shingles.of(text or b"")
                 if not ask:  # a block's members come first
-                    held_rows.append(held)
+                    sets.append(held)
                     names.append(name)
-                elif held_rows:
-                    links = links or SetLinks(held_rows, percent)
-                    found += [(name, names[i]) for i in links.of(held) if names[i] != name]
+                    joined.append(in_lead)
+                elif sets:
+                    if links is None:
+                        links = SetLinks(sets, percent)
+                        # all members linked with the lead are one group
+                        label = np.where(joined, -1, np.arange(len(names)))
+                    hit = links.of(held)
+                    groups, first = np.unique(label[hit], return_index=True)
+                    found += [(name, names[hit[i]]) for i in first if names[hit[i]] != name]
+                    label[np.isin(label, groups)] = groups[0] if len(groups) else 0
             if found:
                 yield two_longs([[x for x, _ in found]], [[y for _, y in found]])
 
     asked = (
-        members_of.unionByName(asking).select("cluster", "block", "ask", "class", "text")
+        members_of.unionByName(asking).select("cluster", "block", "ask", "linked", "class", "text")
         .repartition("cluster", "block").sortWithinPartitions("cluster", "block", "ask").mapInArrow(block_links, "class long, group long")
     )
     pairs = hits.unionByName(asked.select(F.col("class").alias("a"), F.col("group").alias("b"))).where("a <> b")
@@ -431,8 +445,11 @@ def near_copies(
     decided = stored(decided)
     least = decided.join(classes.select("class", "doc_id"), "class").groupBy("group").agg(F.min("doc_id").alias("component_id"))
     moved = decided.join(least, "group").select("class", "component_id")
-    whole = classes.select("class", F.col("doc_id").alias("own")).join(moved, "class", "left").select(
-        "class", F.coalesce("component_id", "own").alias("component_id")
+    # stored, so that the last join is one that Spark may split where many documents are of one class
+    whole = stored(
+        classes.select("class", F.col("doc_id").alias("own")).join(moved, "class", "left").select(
+            "class", F.coalesce("component_id", "own").alias("component_id")
+        )
     )
     placed = found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class")).join(whole, "class", "left")
     component = F.coalesce("component_id", "doc_id")

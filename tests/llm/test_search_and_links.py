@@ -145,6 +145,7 @@ def planted(seed=5, families=12):
 def test_stars_and_chains(spark, monkeypatch, limits):
     """The same links whether clusters are verified in a task or by blocks, regions whole or cut."""
     monkeypatch.setattr(forest, "GIANT_ROWS", limits[0])
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 7)
     rows = planted()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = found_components(forest.near_copies(docs, region=limits[1]))
