@@ -1,21 +1,21 @@
 """Near-duplicate documents by an LSH forest over MinHash signatures.
 
 1. Texts become sets of word shingles; equal sets are one class from then on.
-2. Each class has one entry per tree: its MinHash values in that tree's order. All
-   entries are sorted. Classes that share a tree's first `depth` values form a region; a region
-   of more than `region` classes is told apart by as many further values as it
-   takes. Within a region, and between neighbours by longest common prefix where a region had to
-   be cut, pairs whose signatures look similar are connected.
+2. Each class has one entry per tree: its first `depth` MinHash values in that tree's order. All
+   entries are sorted. Classes that share them form a region, in which pairs whose signatures look
+   similar are connected. Where more than `region` classes of a region are not yet connected with its
+   others, all its members are dealt anew by more values, in as many more trees as it takes
+   for the same chance to meet; at the last level all pairs that are left are compared.
 3. Connected classes are a cluster: every link between different texts lies within one, but not all
    of a cluster need be linked. Links are decided on the full sets.
 
 A pair at similarity s shares a region in one of the trees with probability
-1 - (1 - s^depth)^trees: 0.99999 at 0.8 with the defaults, unless its region is cut deeper.
+1 - (1 - s^depth)^trees: 0.99999 at 0.8 with the defaults, and with as much at each of the deeper levels.
 """
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from gleanfield.llm.common import short_batches, stored
 
 TREES, VALUES = 16, 8  # values of 16 bits in each tree's order
+DEEPER = (5, 8, 12)  # values in a tree of the levels for large regions
 SKETCH = 64  # bytes of the signature compared within a region
 # Sketches of 64 values agree in 0.8 +- 0.05 of them at a similarity of 0.8; 0.575 is 4.5 deviations below.
 LOOKS_SIMILAR = 0.575
@@ -126,85 +127,175 @@ def similar_groups(sketch: np.ndarray) -> np.ndarray:
         label = new
 
 
-def region_edges(keys: np.ndarray, sketch: np.ndarray, first: int, region: int, window: int) -> Iterator[tuple[int, int]]:
-    """Connected rows of one sorted region, as (row, first row of its group)."""
-    n = len(keys)
-    if n <= region or first >= keys.shape[1]:
-        for a in range(0, n, region):
-            groups = similar_groups(sketch[a : a + region])
-            for i in np.flatnonzero(groups != np.arange(len(groups))):
-                yield a + int(i), a + int(groups[i])
-    else:
-        cuts = [0, *(np.flatnonzero(np.diff(keys[:, first].astype(np.int32))) + 1).tolist(), n]
-        for a, b in itertools.pairwise(cuts):
-            if b - a > 1:
-                for i, j in region_edges(keys[a:b], sketch[a:b], first + 1, region, 0):
-                    yield a + i, a + j
-    if n > region:  # the region was cut: neighbours across the cuts
-        for step in range(1, window + 1):
-            near = (sketch[step:] == sketch[:-step]).mean(1) >= LOOKS_SIMILAR
-            for i in np.flatnonzero(near):
-                yield int(i) + step, int(i)
+def trees_at(depth: int) -> int:
+    """How many random choices of `depth` of all values it takes for a pair at a similarity of 0.8 to agree in one
+    of them with probability 0.99999."""
+    held, trees = TREES * VALUES, TREES
+    chances = [math.comb(held, a) * 0.8**a * 0.2 ** (held - a) for a in range(held + 1)]
+    agree = [math.comb(a, depth) / math.comb(held, depth) for a in range(held + 1)]
+    while sum(c * (1 - g) ** trees for c, g in zip(chances, agree)) > 1e-5:
+        trees = math.ceil(trees * 1.05)
+    return trees
+
+
+def entries_of(classes: DataFrame, depth: int) -> DataFrame:
+    """tree, key, class and sketch: for each class its key, `depth` random values, in each of `trees_at(depth)` trees."""
+    rng = np.random.default_rng(depth)
+    chosen = np.array([rng.permutation(TREES * VALUES)[:depth] for _ in range(trees_at(depth))])
+
+    def compute(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            values = fixed(table.column("values"), 2 * TREES * VALUES).view(">u2").reshape(-1, TREES * VALUES)
+            for tree, places in enumerate(chosen):
+                keys = np.ascontiguousarray(values[:, places])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(keys), tree)), pa.array([k.tobytes() for k in keys], pa.binary()), batch.column(0), batch.column(1)],
+                    names=["tree", "key", "class", "sketch"],
+                )
 
+    return classes.select("class", "sketch", "values").mapInArrow(compute, "tree long, key binary, class long, sketch binary")
 
-def connected(classes: DataFrame, depth: int, region: int, window: int = 4) -> DataFrame:
-    """Pairs (a, b) of classes that look similar, at most a few per class and tree.
 
-    Entries are dealt by ranges of the sorted order, so a region of any size
-    spreads over tasks; where a range ends within a region, the region is cut there.
+def region_links(entries: DataFrame, region: int) -> DataFrame:
+    """Of `entries` (tree, key, class, sketch): rows with `mate`, a class that looks similar, and rows without one, the
+    members of open regions.
+
+    Entries are dealt by ranges of their order, so a region of any size spreads over tasks. A region of at most
+    `region` classes within a task is compared whole. All others, and those that a range may cut, are open:
+    they are compared in pieces here, and their members are given out too.
     """
-    size = 2 * VALUES
-    trees = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
-        t.alias("tree"), F.substring("values", t * size + 1, F.lit(size)).alias("key"))))
-    entries = classes.select("class", F.col("sketch"), trees.alias("at")).select(
-        "at.tree", "at.key", "class", "sketch"
-    )
-    entries = entries.repartitionByRange("tree", "key", "class").sortWithinPartitions("tree", "key", "class")
+    order = F.xxhash64("class", "tree")
+    entries = entries.withColumn("turn", order).repartitionByRange("tree", "key", "turn").sortWithinPartitions("tree", "key", "turn").drop("turn")
 
     def compute(batches):
-        rest = None
+        rest, opened = None, True  # a task's first region may have begun in another
         for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            yield from edges(table, False)
-            rest = table.slice(open_from(table))
+            table = pa.Table.from_batches([batch])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            cuts = starts(table)
+            yield from out(table, cuts, opened)
+            if len(cuts) > 1:
+                opened = False
+            rest = table.slice(cuts[-1])
+            while rest.num_rows > 4 * region:  # a part of a long one
+                yield from out(rest.slice(0, region), [0, region], True)
+                rest, opened = rest.slice(region), True
         if rest is not None:
-            yield from edges(rest, True)
-
-    def arrays(table):
-        tree = table.column("tree").to_numpy()
-        keys = fixed(table.column("key"), size).view(">u2").reshape(-1, VALUES)
-        return tree, keys
+            yield from out(rest, [0, rest.num_rows], True)
 
     def starts(table):
-        tree, keys = arrays(table)
-        head = keys[:, :depth]
-        new = (tree[1:] != tree[:-1]) | (head[1:] != head[:-1]).any(1)
-        return np.concatenate([[0], np.flatnonzero(new) + 1])
-
-    def open_from(table):
-        """Where the last region begins: it may go on in the next batch. One of very many rows is cut."""
-        at = int(starts(table)[-1])
-        return at if table.num_rows - at < 64 * region else table.num_rows - window
-
-    def edges(table, last):
-        cuts = starts(table).tolist()
-        cuts.append(table.num_rows)
-        if not last and table.num_rows - cuts[-2] < 64 * region:
-            cuts.pop()
-        _, keys = arrays(table)
+        tree, key = (table.column(c).to_numpy(zero_copy_only=False) for c in ("tree", "key"))
+        new = (tree[1:] != tree[:-1]) | (key[1:] != key[:-1])
+        return [0, *(np.flatnonzero(new) + 1).tolist()]
+
+    def out(table, cuts, opened):
         sketch = fixed(table.column("sketch"), SKETCH).reshape(-1, SKETCH)
         names = table.column("class").to_numpy()
-        found = []
+        at, mates, members = [], [], []
         for a, b in itertools.pairwise(cuts):
-            if b - a > 1:
-                found += [(a + i, a + j) for i, j in region_edges(keys[a:b], sketch[a:b], depth, region, window)]
-        if found:
-            at = np.array(found)
-            x, y = names[at[:, 0]], names[at[:, 1]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], names=["a", "b"])
+            if opened or b - a > region:
+                members.append(np.arange(a, b))
+            opened = False
+            for c in range(a, b, region) if b - a > 1 else ():
+                groups = similar_groups(sketch[c : min(b, c + region)])
+                joined = np.flatnonzero(groups != np.arange(len(groups)))
+                at.append(c + joined)
+                mates.append(names[c + groups[joined]])
+        if at:
+            links = table.take(np.concatenate(at)).append_column("mate", pa.array(np.concatenate(mates), pa.int64()))
+            yield from links.combine_chunks().to_batches()
+        if members:
+            rows = table.take(np.concatenate(members))
+            rows = rows.append_column("mate", pa.nulls(rows.num_rows, pa.int64()))
+            yield from rows.combine_chunks().to_batches()
+
+    entries.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
+    return entries.mapInArrow(compute, "tree long, key binary, class long, sketch binary, mate long")
+
+
+def asked_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) between what asks and the members it looks similar to, within `rows` (tree, key, block, ask,
+    component, class, sketch): one to each component of a block, which then are one."""
+    rows = rows.repartition("tree", "key", "block").sortWithinPartitions("tree", "key", "block", "ask")
+
+    def compute(batches):
+        at, held, sketch, label = None, [], None, None
+        for batch in batches:
+            found = []
+            for tree, key, block, ask, component, name, own in zip(*(x.to_pylist() for x in batch.columns)):
+                if (tree, key, block) != at:
+                    at, held, sketch = (tree, key, block), [], None
+                if not ask:
+                    held.append((name, component, own))
+                elif held:
+                    if sketch is None:
+                        sketch = np.frombuffer(b"".join(x for _, _, x in held), np.uint8).reshape(-1, SKETCH)
+                        label = np.unique([c for _, c, _ in held], return_inverse=True)[1]
+                    hit = np.flatnonzero((sketch == np.frombuffer(own, np.uint8)).mean(1) >= LOOKS_SIMILAR)
+                    groups, first = np.unique(label[hit], return_index=True)
+                    found += [(name, held[hit[i]][0]) for i in first if held[hit[i]][0] != name]
+                    if len(groups) > 1:
+                        label[np.isin(label, groups)] = groups[0]
+            if found:
+                a, b = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return rows.select("tree", "key", "block", "ask", "component", "class", "sketch").mapInArrow(compute, "a long, b long")
+
 
-    classes.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    return entries.mapInArrow(compute, "a long, b long").distinct()
+def grown(clusters: DataFrame, edges: DataFrame) -> DataFrame:
+    """`clusters` (node, component) with those that `edges` (a, b) connect put together."""
+    of = clusters.select(F.col("node").alias("at"), "component")
+    for end in ("a", "b"):
+        edges = edges.join(of.withColumnRenamed("at", end), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    edges = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    moved = stored(components(edges))
+    to = moved.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    kept = clusters.join(to, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return stored(kept.unionByName(moved.join(clusters.select("node"), "node", "left_anti")))
+
+
+def connected(classes: DataFrame, depth: int, region: int) -> DataFrame:
+    """node and component of the classes that look similar to another, directly or by others.
+
+    Within a region only classes of different components are left to compare. In an open region, if at most
+    `region` classes are not of its main component, they are compared with all. The members of other open regions
+    go to a level of its own with more values and as many more trees as keep what two copies have to
+    meet in; at the last level all that are not of the main component are compared with all.
+    """
+    size = 2 * VALUES
+    trees = F.explode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.struct(
+        t.cast("long").alias("tree"), F.substring("values", t * size + 1, F.lit(2 * depth)).alias("key"))))
+    entries = classes.select("class", "sketch", trees.alias("at")).select("at.tree", "at.key", "class", "sketch")
+    clusters = None
+    deeper = [d for d in DEEPER if d > depth]
+    while True:
+        found = stored(region_links(entries, region))
+        mates = found.where("mate is not null").select(F.greatest("class", "mate").alias("a"), F.least("class", "mate").alias("b")).distinct()
+        clusters = stored(components(mates)) if clusters is None else grown(clusters, mates)
+        members = found.where("mate is null").drop("mate").join(
+            clusters.select(F.col("node").alias("class"), "component"), "class", "left"
+        ).withColumn("component", F.coalesce("component", "class"))
+        counts = members.groupBy("tree", "key", "component").agg(F.count(F.lit(1)).alias("n"))
+        regions = counts.groupBy("tree", "key").agg(
+            F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("component", F.struct("n", "component")).alias("main")
+        ).where(F.col("all") > F.col("most"))
+        left = stored(members.join(regions, ["tree", "key"]))
+        if not left.limit(1).count():
+            return clusters
+        few = F.col("all") - F.col("most") <= region if deeper else F.lit(True)
+        near = left.where(few)
+        blocks = F.ceil(F.col("all") / region)
+        inside = near.withColumn("block", F.pmod(F.xxhash64("class"), blocks)).withColumn("ask", F.lit(False))
+        asking = near.where("component <> main").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).withColumn("ask", F.lit(True))
+        clusters = grown(clusters, stored(asked_links(inside.unionByName(asking)).distinct()))
+        if not deeper:
+            return clusters
+        far = stored(left.where(~few).select("class").distinct())
+        if not far.limit(1).count():
+            return clusters
+        entries = entries_of(classes.join(far, "class", "left_semi"), deeper.pop(0))
 
 
 def fixed(column: pa.ChunkedArray, width: int) -> np.ndarray:
@@ -428,7 +519,7 @@ def near_copies(
     classes = stored(
         named.groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("values").alias("values"), F.first("sketch").alias("sketch"))
     )
-    clusters = stored(components(connected(classes, depth, region)))
+    clusters = connected(classes, depth, region)
     # cluster sizes decide who verifies them
     grouped = clusters.join(classes.select(F.col("class").alias("node"), "doc_id"), "node").select(
         F.col("component").alias("cluster"), F.col("node").alias("class"), "doc_id"

@@ -152,6 +152,20 @@ def test_stars_and_chains(spark, monkeypatch, limits):
     assert got == brute_components(rows)
 
 
+def test_pairs_in_a_large_region_are_connected(spark):
+    """Isolated pairs at 0.8 whose region is far above the limit at every depth: all values in the trees are the same."""
+    rng = np.random.default_rng(3)
+    sketches = rng.integers(0, 256, (20, forest.SKETCH), dtype=np.uint8)
+    copies = sketches.copy()
+    copies[:, rng.permutation(forest.SKETCH)[:12]] += 1
+    names = rng.permutation(40).tolist()
+    values = bytes(2 * forest.TREES * forest.VALUES)
+    rows = [(n, values, x.tobytes()) for n, x in zip(names, np.concatenate([sketches, copies]))]
+    classes = spark.createDataFrame(rows, "class long, values binary, sketch binary")
+    got = {r["node"]: r["component"] for r in forest.connected(classes, 3, 8).collect()}
+    assert got == {n: min(pair) for pair in zip(names[:20], names[20:]) for n in pair}
+
+
 def test_near_copies_of_odd_documents(spark):
     docs = odd_documents(spark)
     rows = forest.near_copies(docs).collect()
