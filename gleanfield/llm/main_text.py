@@ -2,7 +2,7 @@
 
 Words score positive and tags negative; the run with the largest sum is found in one scan. Weights come
 from labelled pages, those that mark their text themselves (`LABELS`): a tag costs more the more often it
-stands outside the marked text, and words count against a run when they lie in an element whose
+stands outside the marked text, and words count nothing when they lie in an element whose
 name or class is seen mostly outside. The marks are used for learning only.
 """
 
@@ -177,18 +177,11 @@ def learn(pages: DataFrame) -> Weights:
 
 def extract(page: str, weights: Weights) -> str:
     """The text of the best run: blocks joined by an empty line, references decoded, words of
-    outside elements left out."""
+    outside elements left out. Those and the tags among them score nothing, so that a box of any length costs a run
+    no more than its end tag."""
     parts, scores = [], []
     known: dict[tuple[str, ...], bool] = {}
     for text, names, tag in read(page):
-        if text is None:
-            if tag.strip("/") in LABELS:  # the marks are not looked at
-                score = LEAST
-            else:
-                score = weights.tags.get(tag, UNSEEN if tag.strip("/") not in INLINE else LEAST)
-            parts.append((None, tag))
-            scores.append(score)
-            continue
         outside = known.get(names)
         if outside is None:
             in_text = False
@@ -200,9 +193,18 @@ def extract(page: str, weights: Weights) -> str:
                 else:
                     outside |= name in weights.outside or is_aside(name)
             known[names] = outside
-        n = len(text.split())
+        if text is None:
+            if outside:
+                score = 0.0
+            elif tag.strip("/") in LABELS:  # the marks are not looked at
+                score = LEAST
+            else:
+                score = weights.tags.get(tag, UNSEEN if tag.strip("/") not in INLINE else LEAST)
+            parts.append((None, tag))
+            scores.append(score)
+            continue
         parts.append((None if outside else text, ""))
-        scores.append(-float(n) if outside else float(n))
+        scores.append(0.0 if outside else float(len(text.split())))
     best, total, first, start, stop = 0.0, 0.0, 0, 0, 0
     for i, score in enumerate(scores):
         if total <= 0:

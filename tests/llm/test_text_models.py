@@ -243,6 +243,14 @@ def test_broken_pages(page, text):
     assert extract(page, Weights()) == text
 
 
+@pytest.mark.parametrize("box", ["<div class='advert'><p>{}</p></div>", "<aside><ul>{}</ul></aside>"])
+@pytest.mark.parametrize("before, after", [(20, 200), (200, 20)])
+def test_long_box_within_a_text_parts_nothing(box, before, after):
+    lead, end = "lead " * before, "end " * after
+    page = f"<nav><a>Home</a></nav><article><p>{lead}</p>{box.format('<li>buy this now</li>' * 60)}<p>{end}</p></article>"
+    assert extract(page, Weights()).split("\n\n") == [lead.strip(), end.strip()]
+
+
 def test_pages_of_the_table(spark):
     pages = table(spark, "pages", SMALL)
     rows = {r["page_id"]: r for r in main_text.main_text(pages).collect()}
