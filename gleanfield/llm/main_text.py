@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,13 +46,26 @@ SECTIONS = set("header section div table ul ol dl figure".split())
 
 @dataclass
 class Weights:
-    """Scores of tags (at most `LEAST`) and the names whose words are no main text."""
+    """Scores of tags (at most `LEAST`) and the names whose words are no main text; `totals` are the words and tags
+    of the pages learned from, inside and outside."""
 
     tags: dict[str, float] = field(default_factory=lambda: dict(LISTED))
     outside: set[str] = field(default_factory=set)
+    totals: dict[str, tuple[int, int]] = field(default_factory=dict, compare=False, repr=False)
+
+    def add(self, kind: str, name: str, inside: int, outside: int) -> None:
+        if kind == "words":
+            if inside * 20 < outside:
+                self.outside.add(name)
+            return
+        all_in, all_out = self.totals[kind]
+        odds = np.log((inside + 0.5) / (all_in + 1)) - np.log((outside + 0.5) / (all_out + 1))
+        self.tags[name] = float(min(LEAST, max(WORST, odds)))
 
 
 LEAST, UNSEEN, WORST = -0.05, -0.25, -4.0
+# Names with this share of all words (or tags) are at hand in each task, those of the rest are joined.
+COMMON = 1e-5
 # Before anything is learned: lists and cells are more often outside.
 LISTED = {name: -1.0 for tag in ("ul", "ol", "li", "td", "th", "option") for name in (tag, "/" + tag)}
 
@@ -127,10 +141,16 @@ def counts_of(page: str) -> Counter | None:
 
 
 def learn(pages: DataFrame) -> Weights:
-    """Weights from all labelled pages of `pages` (html).
+    """Weights of common names from all labelled pages of `pages` (html), see `learned`."""
+    return learned(pages)[0]
+
 
-    Names of less than a hundred-thousandth of all words are left out, so what reaches the
-    driver is bounded. Without labelled pages the fixed names are all there is.
+def learned(pages: DataFrame) -> tuple[Weights, DataFrame, set[tuple[str, str]]]:
+    """Weights from all labelled pages of `pages` (html), rarer names, and the common ones as (kind, name).
+
+    Names of at least a hundred-thousandth of all words reach the driver, so what does is bounded;
+    kind, name, inside and outside of the rarer ones that count are rows of a table. Without labelled
+    pages the fixed names are all there is.
     """
 
     def compute(batches):
@@ -160,19 +180,26 @@ def learn(pages: DataFrame) -> Weights:
     words = sums.where("kind = 'words' and name = ''").first()
     tags = sums.where("kind = 'tags'").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).first()
     if words is None:
-        return Weights()
-    rare = 1e-5 * (words["inside"] + words["outside"])
-    many = 1e-5 * ((tags["inside"] or 0) + (tags["outside"] or 0))
-    limit = F.when(F.col("kind") == "words", rare).otherwise(many)
-    weights = Weights()
-    for row in sums.where((F.col("name") != "") & (F.col("inside") + F.col("outside") >= limit)).collect():
-        of = words if row["kind"] == "words" else tags
-        odds = np.log((row["inside"] + 0.5) / (of["inside"] + 1)) - np.log((row["outside"] + 0.5) / (of["outside"] + 1))
-        if row["kind"] == "tags":
-            weights.tags[row["name"]] = float(min(LEAST, max(WORST, odds)))
-        elif row["inside"] * 20 < row["outside"]:
-            weights.outside.add(row["name"])
-    return weights
+        return Weights(), sums.limit(0), set()
+    weights = Weights(totals={"tags": (tags["inside"] or 0, tags["outside"] or 0)})
+    limits = COMMON * (words["inside"] + words["outside"]), COMMON * sum(weights.totals["tags"])
+    enough = F.col("inside") + F.col("outside") >= F.when(F.col("kind") == "words", limits[0]).otherwise(limits[1])
+    named = sums.where("name <> ''")
+    common = set()
+    for row in named.where(enough).collect():
+        weights.add(*row)
+        common.add((row["kind"], row["name"]))
+    return weights, named.where(~enough).where("kind = 'tags' or inside * 20 < outside"), common
+
+
+def names_in(page: str) -> set[tuple[str, str]]:
+    """(kind, name) of all that a weight may be known of."""
+    found = set()
+    for _, names, tag in read(page):
+        found.update(("words", name) for name in names if not is_label(name))
+        if tag and tag.strip("/") not in LABELS:
+            found.add(("tags", tag))
+    return found
 
 
 def extract(page: str, weights: Weights) -> str:
@@ -238,7 +265,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     and urls stay; repeated rows get a row each; an empty table gives no rows;
     further columns are not looked at.
     """
-    weights = learn(pages)
+    weights, rare, common = learned(pages)
+    columns = "page_id long, url string, text string, n_chars long"
+    plain = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
 
     def compute(batches):
         for batch in batches:
@@ -248,7 +277,48 @@ def main_text(pages: DataFrame) -> DataFrame:
                 names=["page_id", "url", "text", "n_chars"],
             )
 
+    def first(batches):
+        """Pages without rarer names are done; of others the names to ask for go on."""
+        row, part = 0, TaskContext.get().partitionId() << 40
+        for batch in batches:
+            texts, asked = [], []
+            for page in batch.column(2).to_pylist():
+                names = sorted(names_in(page or "") - common)
+                asked.append([{"kind": k, "name": n} for k, n in names])
+                texts.append(None if names else extract(page or "", weights))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(part + row, part + row + len(texts)), pa.int64()), batch.column(0), batch.column(1),
+                    pa.array([p if t is None else None for p, t in zip(batch.column(2).to_pylist(), texts)], pa.string()),
+                    pa.array(texts, pa.string()), pa.array([None if t is None else len(t) for t in texts], pa.int64()), pa.array(asked, ASKED),
+                ],
+                names=["row", "page_id", "url", "html", "text", "n_chars", "asked"],
+            )
+            row += len(texts)
+
+    def second(batches):
+        for batch in batches:
+            texts = []
+            for page, more in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                own = Weights(dict(weights.tags), set(weights.outside), weights.totals) if more else weights
+                for x in more or ():
+                    own.add(x["kind"], x["name"], x["inside"], x["outside"])
+                texts.append(extract(page, own))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())],
+                names=["page_id", "url", "text", "n_chars"],
+            )
+
     short_batches(pages.sparkSession, 256)
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")).mapInArrow(
-        compute, "page_id long, url string, text string, n_chars long"
-    )
+    if not rare.limit(1).count():
+        return plain.mapInArrow(compute, columns)
+    read_once = stored(plain.mapInArrow(
+        first, "row long, page_id long, url string, html string, text string, n_chars long, asked array<struct<kind: string, name: string>>"
+    ))
+    asked = read_once.select("row", F.explode("asked").alias("x")).select("row", "x.kind", "x.name")
+    found = asked.join(rare, ["kind", "name"]).groupBy("row").agg(F.collect_list(F.struct("kind", "name", "inside", "outside")).alias("more"))
+    rest = read_once.where("text is null").join(found, "row", "left").select("page_id", "url", "html", "more")
+    return read_once.where("text is not null").select("page_id", "url", "text", "n_chars").unionByName(rest.mapInArrow(second, columns))
+
+
+ASKED = pa.list_(pa.struct([("kind", pa.string()), ("name", pa.string())]))

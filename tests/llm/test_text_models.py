@@ -280,3 +280,17 @@ def test_weights_come_from_labelled_pages(spark):
     assert "class=promoted" in weights.outside
     assert main_text.learn(pages.selectExpr("replace(html, 'article', 'div') html")) == Weights()
     assert "no use" not in extract(odd.format("some words of no use " * 9, "the text itself " * 2).replace("article", "section"), weights)
+
+
+def test_names_of_few_words_are_learned_in_a_large_table(spark):
+    """A box name of three words among 600,000 counts as it does in a small table, and only for pages that use it."""
+    labelled = "<body><p class='{}'>three box words</p><article><p>{}</p></article></body>"
+    asking = "<body><section><p class='{}'>some words in a box</p><p>the text itself</p></section></body>"
+    rows = [(1, labelled.format("zq", "text " * 50)), (2, labelled.format("big", "long text " * 300_000)), (3, asking.format("zq")), (4, asking.format("other")), (None, asking.format("zq"))]
+    for rows in (rows, rows[:1] + rows[2:]):
+        df = spark.createDataFrame([(i, "u", h) for i, h in rows], "page_id long, url string, html string")
+        got = main_text.main_text(df).collect()
+        assert len(got) == len(rows)
+        texts = {r["page_id"]: r["text"] for r in got}
+        assert texts[3] == texts[None] == "the text itself"
+        assert texts[4] == "some words in a box\n\nthe text itself" and texts[1].strip() == ("text " * 50).strip()
