@@ -20,6 +20,10 @@ from gleanfield.functions.text import strip
 from gleanfield.operators import markup
 from gleanfield.operators.markup import Field, Rule
 
+# From an attribute's name into its value; one in quotes may hold a ">".
+VALUE = "\\s*=(?:[^>]*|\\s*\"[^\"]*|\\s*'[^']*)"
+
+
 def _struct(fields: dict[str, Field]) -> StructType:
     return StructType([StructField(name, _type(field)) for name, field in fields.items()])
 
@@ -59,10 +63,10 @@ def may_hold(html: Column, path: tuple[Rule, ...]) -> Column:
     for rule in path:
         some = [rule.any_class] if rule.any_class else []
         for words in [*some, *[(c,) for c in rule.all_class]]:
-            there.append(f"(?i:class)\\s*=[^>]*(?:{'|'.join(map(re.escape, words))})")
+            there.append(f"(?i:class){VALUE}(?:{'|'.join(map(re.escape, words))})")
         if rule.attr:
             name, how, value = rule.attr
-            after = "" if how == "exists" else "\\s*=[^>]*" + re.escape(value)
+            after = "" if how == "exists" else VALUE + re.escape(value)
             there.append(f"(?i:{re.escape(name)}){after}")
     return reduce(and_, [html.rlike(p) for p in there], F.lit(True)) | html.contains("&#")
 

@@ -74,3 +74,12 @@ def test_may_hold(spark):
     got = df.select(h.may_hold(F.col("html"), path).alias("m")).collect()
     assert [r.m for r in got] == [True, False, True, False]
     assert df.where(h.may_hold(F.col("html"), (Rule("a"),))).count() == 4
+
+
+def test_may_hold_reads_quoted_values_whole(spark):
+    path = (Rule("b", any_class=("x-y",), attr=("title", "contains", "next")),)
+    pages = ["<b class='a>b x-y' title=\"1 > next\">t</b>", "<b class=\"a>b x-y\" title='> next'>t</b>", "<b class='a' title='> x'>x-y next</b>"]
+    df = spark.createDataFrame([(p,) for p in pages], "html string")
+    got = df.select(h.may_hold(F.col("html"), path).alias("m")).collect()
+    assert [r.m for r in got] == [True, True, False]
+    assert [take(path, page=p) for p in pages] == ["t", "t", None]
