@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanfield.llm import cuckoo, forest, gam, language, main_text, mixing, ngram_model, packing, revisits, vantage
+from gleanfield.llm import cuckoo, forest, gam, language, main_text, merkle, mixing, ngram_model, packing, revisits, sql, vantage
 from gleanfield.session import configure
 
 QUERIES, ORACLES = {}, {}
@@ -11,14 +11,14 @@ QUERIES, ORACLES = {}, {}
 TOKENIZER_CONF = "spark.gleanfield.tokenizer"
 
 
-def query(sql: str | None = None):
+def query(oracle: str | None = None):
     def register(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
             return fn(Tables(configure(spark), folder))
 
         QUERIES[fn.__name__] = run
-        if sql is not None:
-            ORACLES[fn.__name__] = sql
+        if oracle is not None:
+            ORACLES[fn.__name__] = oracle
         return fn
 
     return register
@@ -149,3 +149,8 @@ from judged
 def op5_warc_revisits(t):
     found = revisits.resolve(captures(t))
     return found.withColumn("headers", revisits.header_text(F.col("headers")))
+
+
+@query(sql.MERKLE)
+def op11_merkle_manifest(t):
+    return merkle.audit(t.documents)
