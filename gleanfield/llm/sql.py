@@ -56,3 +56,20 @@ select p.doc_id, p.leaf, u.subroot, t.h root, sha256(u.proof) proof_sha256, u.h
 from placed p join upper u on u.lang is not distinct from p.lang and u.leaf_place = p.place and u.n = 1
 join tops t on t.n = 1
 """
+
+REPEATS = r"""
+with docs as (
+  select row_number() over () rid, doc_id, coalesce(doc_id, -9223372036854775808) id,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') words
+  from documents),
+starts as (select rid, id, words, unnest(range(1, len(words) - 18)) s from docs),
+windows as (select rid, id, s, array_to_string(words[s:s + 19], ' ') w from starts),
+judged as (select rid, s, row(id, s) > min(row(id, s)) over (partition by w) later from windows),
+gone as (select distinct rid, unnest(range(s, s + 20)) p from judged where later),
+placed as (select rid, unnest(words) word, generate_subscripts(words, 1) p from docs),
+kept as (
+  select p.rid, string_agg(p.word, ' ' order by p.p) kept, count(*) n
+  from placed p anti join gone g on g.rid = p.rid and g.p = p.p group by p.rid)
+select d.doc_id, len(d.words) n_words, len(d.words) - coalesce(k.n, 0) n_removed, sha256(coalesce(k.kept, '')) kept_sha256
+from docs d left join kept k using (rid)
+"""
