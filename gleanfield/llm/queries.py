@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanfield.llm import cuckoo, forest, gam, language, main_text, merkle, mixing, ngram_model, packing, repeats, revisits, sql, vantage
+from gleanfield.llm import cuckoo, dialogue, forest, gam, language, main_text, merkle, mixing, ngram_model, packing, repeats, revisits, sql, vantage
 from gleanfield.session import configure
 
 QUERIES, ORACLES = {}, {}
@@ -160,3 +160,8 @@ def op11_merkle_manifest(t):
 def op13_repeated_windows(t):
     found = repeats.drop_repeats(t.documents)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query(sql.REPAIR)
+def op12_conversation_repair(t):
+    return dialogue.report(t.conversations)

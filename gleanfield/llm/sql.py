@@ -73,3 +73,66 @@ kept as (
 select d.doc_id, len(d.words) n_words, len(d.words) - coalesce(k.n, 0) n_removed, sha256(coalesce(k.kept, '')) kept_sha256
 from docs d left join kept k using (rid)
 """
+
+
+def repair_options() -> str:
+    """Each edit of a turn, after an insertion or not: state, insertion, state then, edit, initial asked for, state after."""
+    keep = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    role = {2: "user", 3: "assistant"}
+    rows = [(p, "", "", "D", "", p, "") for p in after]
+    for p in after:
+        for at, label, inserted in ((p, "", ""), (after[p], "I", role[after[p]] + ":")):
+            rows += [(p, label, inserted, "K", r, q, "") for (m, r), q in keep.items() if m == at]
+            rows.append((p, label, inserted, "R", "", after[at], role[after[at]]))
+    return ", ".join(map(str, rows))
+
+
+REPAIR = rf"""
+with recursive source as (
+  select conv_id, turn, coalesce(role, ' ') role, coalesce(text, ' ') text,
+    {crc32("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 kind
+  from conversations),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end role,
+    case when kind = 1 then '' when kind = 2 then translate(text, '.!?', '') else text end text,
+    unnest(range(case when kind = 3 then 2 else 1 end)) copy
+  from source where kind <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text), copy) i from damaged),
+turns as (
+  select *, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank'
+      when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') then 'truncated' end fault,
+    lag(role[1:1]) over (partition by conv_id order by i) || role[1:1] pair, count(*) over (partition by conv_id) n
+  from placed),
+options(p, ins, inserted, e, r, q, becomes) as (values {repair_options()}),
+paths as (
+  select distinct conv_id, n, 0::bigint i, 0 p, row(0::bigint, '', []::varchar[]) best from turns
+  union all
+  select v.conv_id, v.n, v.i + 1, o.q,
+    min(row(
+      v.best[1] + 3 * len(o.ins) + case o.e when 'K' then 0 when 'R' then 3 else 4 end
+        + case when o.e <> 'D' and t.fault = 'truncated' then 3 else 0 end,
+      v.best[2] || o.ins || o.e,
+      v.best[3] || case when o.ins = '' then [] else [o.inserted] end
+        || case o.e when 'D' then [] when 'K' then [t.role || ':' || t.text] else [o.becomes || ':' || t.text] end))
+  from paths v join turns t on t.conv_id is not distinct from v.conv_id and t.i = v.i + 1 join options o on o.p = v.p
+  where (o.e = 'D' or t.fault is null or t.fault = 'truncated') and (o.e <> 'K' or o.r = t.role[1:1])
+  group by v.conv_id, v.n, v.i, o.q),
+tails(p, tail, lines) as (values (0, '', []::varchar[]), (1, 'II', ['user:', 'assistant:']), (2, 'I', ['assistant:']), (3, '', [])),
+chosen as (
+  select conv_id, min(row(best[1] + 3 * len(tail), best[2] || tail, best[3] || lines)) best
+  from paths join tails using (p) where i = n group by conv_id),
+counted as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) gaps, count_if(fault = 'blank') blank,
+    count_if(fault = 'duplicate') duplicate, count_if(fault = 'truncated') truncated,
+    count_if(pair not in ('su', 'ua', 'au')) illegal
+  from turns group by conv_id),
+ids as (select distinct conv_id from conversations)
+select d.conv_id, coalesce(c.gaps, 0) gaps, coalesce(c.blank, 0) blank, coalesce(c.duplicate, 0) duplicate,
+  coalesce(c.truncated, 0) truncated, coalesce(c.illegal, 0) illegal, coalesce(b.best[1], 0) cost,
+  coalesce(b.best[2], '') audit, sha256(coalesce(array_to_string(b.best[3], chr(10)), '')) repaired_sha256
+from ids d left join counted c on c.conv_id is not distinct from d.conv_id
+left join chosen b on b.conv_id is not distinct from d.conv_id
+"""
