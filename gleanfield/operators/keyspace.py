@@ -1,4 +1,4 @@
-"""Refinement of search terms whose result list is capped."""
+"""Refinement of search terms whose result list is capped, one step or until none is."""
 
 from functools import reduce
 
@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanfield.functions.urls import pack_url, unpack_url
+from gleanfield.session import cut_lineage
 
 # Fixed value: characters a term may be extended with.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789"
@@ -114,3 +115,59 @@ def refine_capped_queries(
     return longer.select(
         *df.columns, "term", pack_url(F.col("_parts").withField("query", query)).alias("new_url")
     )
+
+
+def refine_to_end(
+    seeds: DataFrame, captured: DataFrame, url_col: str, capped: Column, query_param: str,
+    max_length: int | None = None, **combinations,
+) -> DataFrame:
+    """K2 to the end: capped results are refined, the new URLs looked up, and those still capped refined again.
+
+    `seeds` holds the first URLs, `captured` the results at hand, with `capped` telling on each of its rows
+    whether its list is cut off; a URL captured more than once is capped if any capture is. Gives `url`, `term`,
+    `parent` (the URL it was made from, the least of several), `depth` and `outcome`:
+
+    - `complete`: captured and not capped
+    - `refined`: capped, and asked again with longer terms
+    - `stuck`: capped, and no longer term may be asked: it has no such parameter, is `max_length` long, or
+      the bounds of the combinations leave none
+    - `missing`: not among the captured results, so what it would give is not known
+
+    A URL is asked once however often it comes up again, so terms that lead back to each other end. Only captured
+    URLs are refined, so the loop ends at the latest when all of them have been asked. Each
+    level is one join with the results and one with what was asked before, cut off by a checkpoint.
+    """
+    results = cut_lineage(
+        captured.groupBy(F.col(url_col).alias("url"))
+        .agg(F.max(F.coalesce(capped, F.lit(False))).alias("_capped")).where("url is not null")
+    )
+
+    def longer(level: DataFrame) -> DataFrame:
+        found = refine_capped_queries(level, "url", F.col("_capped"), query_param, **combinations)
+        if max_length is not None:
+            found = found.where(F.length("term") <= max_length)
+        return found.where(F.col("new_url") != F.col("url"))
+
+    asked = seeds.select(
+        F.col(url_col).alias("url"), F.lit(None).cast("string").alias("parent"), F.lit(0).alias("depth")
+    ).where("url is not null").distinct()
+    levels: list[DataFrame] = []
+    while True:
+        level = cut_lineage(asked.join(results, "url", "left"))
+        if levels and level.isEmpty():
+            break
+        levels.append(level)
+        seen = reduce(DataFrame.unionByName, levels)
+        new = longer(level).groupBy("new_url").agg(F.min("url").alias("parent"))
+        asked = new.select(
+            F.col("new_url").alias("url"), "parent", F.lit(len(levels)).alias("depth")
+        ).join(seen, "url", "left_anti")
+    went_on = longer(seen).select("url", F.lit(True).alias("_on")).distinct()
+    outcome = (
+        F.when(F.col("_capped").isNull(), "missing").when(~F.col("_capped"), "complete")
+        .when(F.col("_on"), "refined").otherwise("stuck")
+    )
+    term = F.get(F.filter(unpack_url(F.col("url")).query, lambda p: p["k"] == query_param), F.lit(0))["v"]
+    return seen.join(went_on, "url", "left").select(
+        "url", term.alias("term"), "parent", "depth", outcome.alias("outcome")
+    )

@@ -426,6 +426,37 @@ def q_refine(t):
     return out.select("page_id", "term", "new_url")
 
 
+# Searches by the beginning of a customer's code, cut off above twelve hits. A seventh of the codes are
+# the same, so that those searches never end; results of some terms have not been captured.
+CODES = """
+select case when c_custkey % 7 = 0 then '0000' else rpad(reverse(cast(c_custkey as varchar(20))), 4, '5') end code
+from customer"""
+SEARCHES = f"""
+select substr(code, 1, n) term, 'https://find.example/list?q=' || substr(code, 1, n) || '&p=1' url, count(*) hits
+from ({CODES}) cross join (select 1 n union all select 2 union all select 3 union all select 4) lengths
+group by substr(code, 1, n) having substr(code, 1, n) not like '_9'"""
+
+
+@query(f"""
+with recursive searches as ({SEARCHES}),
+walk as (
+  select cast(d as varchar) term, null::varchar parent, 0 depth from range(10) r(d)
+  union all
+  select w.term || d, s.url, w.depth + 1 from walk w join searches s using (term), range(10) r(d)
+  where s.hits > 12 and length(w.term) < 3)
+select 'https://find.example/list?q=' || w.term || '&p=1' url, w.term, w.parent, w.depth,
+  case when s.hits is null then 'missing' when s.hits <= 12 then 'complete' when length(w.term) < 3 then 'refined' else 'stuck' end outcome
+from walk w left join searches s using (term)""")
+def q_refine_to_end(t):
+    """K2 until no search is capped, not captured, or cannot be made longer"""
+    t.customer.createOrReplaceTempView("customer")
+    searches = t.spark.sql(SEARCHES)
+    seeds = t.spark.range(10).selectExpr("'https://find.example/list?q=' || id || '&p=1' url")
+    return keyspace.refine_to_end(
+        seeds, searches, "url", F.col("hits") > 12, "q", max_length=3, alphabet="0123456789"
+    )
+
+
 # -- stages -----------------------------------------------------------------------------
 
 

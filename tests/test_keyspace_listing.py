@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from gleanfield.operators import listing
-from gleanfield.operators.keyspace import refine_capped_queries, string_combinations
+from gleanfield.operators.keyspace import refine_capped_queries, refine_to_end, string_combinations
 
 
 def terms(spark, seed, **kw):
@@ -52,6 +52,45 @@ def test_refine(spark):
     assert sorted(r.term for r in deeper.collect()) == ["aaa", "aab", "aba", "abb", "abcda", "abcdb"]
 
 
+def refined(spark, seeds, results, **kw):
+    u = "http://x/s?q="
+    seeds = spark.createDataFrame([(s if s is None else u + s,) for s in seeds], "url string")
+    captured = spark.createDataFrame([(t if t is None else u + t, c, "x") for t, c in results], "url string, capped boolean, outcome string")
+    got = refine_to_end(seeds, captured, "url", F.col("capped"), "q", **kw).collect()
+    assert all(r.url == u + r.term for r in got) and len({r.url for r in got}) == len(got)
+    return {r.term: (r.parent and r.parent.removeprefix(u), r.depth, r.outcome) for r in got}
+
+
+def test_refine_to_the_end(spark):
+    """Three levels; `bb` stays capped as long as terms may grow, `ab` was never captured."""
+    results = [("a", True), ("b", True), ("aa", True), ("aaa", False), ("aab", True), ("ba", False), ("bb", True), ("bba", True), ("bbb", None)]
+    assert refined(spark, ["a", "b", "a", None], [*results, (None, True)], alphabet="ab", max_length=3) == {
+        "a": (None, 0, "refined"), "b": (None, 0, "refined"),
+        "aa": ("a", 1, "refined"), "ab": ("a", 1, "missing"), "ba": ("b", 1, "complete"), "bb": ("b", 1, "refined"),
+        "aaa": ("aa", 2, "complete"), "aab": ("aa", 2, "stuck"), "bba": ("bb", 2, "stuck"), "bbb": ("bb", 2, "complete"),
+    }
+    endless = refined(spark, ["a"], [("a" * n, True) for n in range(1, 6)], alphabet="a")
+    assert endless["aaaaa"][2] == "refined" and endless["aaaaaa"] == ("aaaaa", 5, "missing")
+
+
+def test_terms_that_come_up_again_are_asked_once(spark):
+    """`ach` is a variant's child of `a` and a child of `ac`; the seed `ac` is asked as a seed."""
+    results = [("a", True), ("ac", True), ("ac", False), ("ach", True), ("acc", False)]
+    got = refined(spark, ["a", "ac"], results, alphabet="ch", variants={"c": ["ch"]}, max_length=3)
+    assert got == {
+        "a": (None, 0, "refined"), "ac": (None, 0, "refined"), "ah": ("a", 1, "missing"), "ach": ("a", 1, "stuck"),
+        "acc": ("ac", 1, "complete"),
+    }
+
+
+def test_refinement_without_a_way_on(spark):
+    assert refined(spark, ["a"], [("a", True)], alphabet="a", start="b") == {"a": (None, 0, "stuck")}
+    assert refined(spark, [], [("a", True)]) == {} and refined(spark, ["a"], []) == {"a": (None, 0, "missing")}
+    seeds = spark.createDataFrame([("http://x/s?p=1",)], "url string")
+    got = refine_to_end(seeds, seeds, "url", F.lit(True), "q").collect()
+    assert [tuple(r) for r in got] == [("http://x/s?p=1", None, None, 0, "stuck")]
+
+
 def test_calendar(spark):
     df = spark.sql("select 1 id, date'2019-11-15' d")
     got = listing.calendar_seed(df, "http://x", "/c", F.col("d"), 3).collect()
