@@ -5,15 +5,16 @@ which entry wins where several match. Lookup sides are reduced to one row per co
 the join and broadcast only when small.
 """
 
-import json
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanfield.functions.text import capitalize, strip
-from gleanfield.session import small_side
+from gleanfield.session import cut_lineage, small_side
+
+GRAM = 3  # characters by which written forms are looked up in texts
 
 # ISO short names that differ from the English display names of the JVM.
 ISO_NAMES = """
@@ -131,10 +132,28 @@ class Gazetteer:
         )
 
     @cached_property
-    def _last_tokens(self) -> DataFrame:
-        """Each written form with the last country it stands for."""
-        forms = self.country_tokens().groupBy("token")
-        return small_side(forms.agg(F.max_by("name", "ord").alias("name"), F.max("ord").alias("ord")))
+    def _last_forms(self) -> DataFrame:
+        """Each written form with the last country it stands for, and the length of its grams."""
+        last = self.country_tokens().groupBy(F.col("token").alias("_token")).agg(
+            F.max(F.struct(F.col("ord").alias("_ord"), F.col("name").alias("_name"))).alias("_last")
+        )
+        return last.select("_token", "_last.*", F.least(F.length("_token"), F.lit(GRAM)).alias("_n"))
+
+    @cached_property
+    def _gram_lengths(self) -> list[int]:
+        """The lengths of grams in use, `GRAM` of them at most."""
+        return sorted(r["_n"] for r in self._last_forms.select("_n").distinct().collect())
+
+    @cached_property
+    def _forms_by_gram(self) -> DataFrame:
+        """Each written form under the one of its grams that the fewest forms have."""
+        grams = F.array_distinct(F.coalesce(*[F.when(F.col("_n") == n, _grams(F.col("_token"), n)) for n in range(1, GRAM + 1)]))
+        listed = self._last_forms.withColumn("_gram", F.explode(grams))
+        shared = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_forms"))
+        rarest = listed.join(shared, "_gram").groupBy("_token").agg(
+            F.min_by("_gram", F.struct("_forms", "_gram")).alias("_gram"), F.first("_ord").alias("_ord"), F.first("_name").alias("_name")
+        )
+        return small_side(cut_lineage(rarest))
 
 
 def _first(tokens: DataFrame, key: Column, *values: str) -> DataFrame:
@@ -194,17 +213,29 @@ def city_state_or_country(df: DataFrame, column: str, gazetteer: Gazetteer) -> D
 def country_in_text(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFrame:
     """The last country of which any written form occurs in the text (case-sensitive).
 
-    Adds `place STRUCT<city, country>`; the city is the text before the country's name. The
-    written forms, which a gazetteer has few of beside the rows, are searched in place: one
-    narrow plan for every gazetteer, without a shuffle or state.
+    Adds `place STRUCT<city, country>`; the city is the text before the country's name. Each
+    written form is listed under its rarest gram (three characters, or the whole of a shorter
+    form), each distinct text asks for its distinct grams, and only the pairs that meet are
+    compared. The result is joined back to the rows. The grouping per text needs a whole table:
+    a stream takes it batch by batch (see `streaming.pages`).
     """
-    written = json.dumps([r.asDict() for r in gazetteer._last_tokens.collect()])
-    listed = F.from_json(F.lit(written), "array<struct<ord bigint, name string, token string>>")
-    hits = F.filter(listed, lambda f: F.contains(F.col(column), f["token"]))
-    last = F.array_max(F.transform(hits, lambda f: F.struct(f["ord"], f["name"])))
-    found = df.withColumn("_country", last["name"])
+    text = df.select(F.col(column).alias("_text")).where(F.col(column) != "").distinct()
+    grams = reduce(
+        F.concat, [_grams(F.col("_text"), n) for n in gazetteer._gram_lengths], F.array().cast("array<string>")
+    )
+    asked = text.select("_text", F.explode(F.array_distinct(grams)).alias("_gram"))
+    hits = asked.join(gazetteer._forms_by_gram, "_gram").where(F.contains("_text", "_token"))
+    last = hits.groupBy("_text").agg(F.max(F.struct("_ord", "_name"))["_name"].alias("_country"))
+    found = df.join(last, F.col(column) == F.col("_text"), "left")
     named = F.split_part(F.col(column), F.col("_country"), F.lit(1))
     place = F.struct(
         F.coalesce(named, F.col(column)).alias("city"), F.col("_country").alias("country")
     )
     return found.select(*df.columns, F.when(F.col(column).isNotNull(), place).alias("place"))
+
+
+def _grams(text: Column, n: int) -> Column:
+    """All runs of `n` characters."""
+    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
+    found = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
+    return F.coalesce(found, F.array().cast("array<string>"))

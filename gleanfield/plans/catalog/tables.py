@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gleanfield.functions import urls
 from gleanfield.operators import html, keyspace, listing, rows, stages
-from gleanfield.operators.gazetteer import city_state_or_country, country_in_text, normalize_place
+from gleanfield.operators.gazetteer import Gazetteer, city_state_or_country, country_in_text, normalize_place
 from gleanfield.operators.markup import Field, Rule
 from gleanfield.plans.catalog.registry import query
 from gleanfield.plans.harvest import next_links
@@ -385,6 +385,27 @@ def q_country_in_text(t):
     return country_in_text(raw, "loc", t.gazetteer()).select("c_custkey", "place.*")
 
 
+PORTS = "'Port ' || cast({k} as varchar(20)) || chr(cast(65 + {k} % 26 as int))"
+
+
+@query(f"""
+with texts as (select c_custkey, c_mktsegment || ', ' || {PORTS.format(k='c_custkey * 3')} || case when c_custkey % 5 = 0 then ' or P' || cast(c_custkey as varchar) || '.' else '' end loc from customer),
+places as (select o_orderkey ord, {PORTS.format(k='o_orderkey')} name, 'P' || cast(o_orderkey as varchar) || '.' alpha_2 from orders),
+last as (select loc, arg_max(name, ord) country from texts join (select ord, name, unnest([name, alpha_2]) token from places) on contains(loc, token) group by loc)
+select c_custkey, string_split(t.loc, country)[1] city, country from texts t left join last on t.loc = last.loc""")
+def q_country_many_forms(t):
+    """P3 with two written forms for every order: a gazetteer that grows with the data"""
+    places = t.orders.selectExpr(
+        "o_orderkey ord", PORTS.format(k="o_orderkey") + " name", "'P' || cast(o_orderkey as string) || '.' alpha_2"
+    )
+    subdivisions = t.gazetteer().subdivisions
+    texts = t.customer.selectExpr(
+        "c_custkey", f"c_mktsegment || ', ' || {PORTS.format(k='c_custkey * 3')} || "
+        "if(c_custkey % 5 = 0, ' or P' || cast(c_custkey as string) || '.', '') loc",
+    )
+    return country_in_text(texts, "loc", Gazetteer(places, subdivisions)).select("c_custkey", "place.*")
+
+
 # -- key space --------------------------------------------------------------------------
 
 

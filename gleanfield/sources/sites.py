@@ -19,6 +19,7 @@ from gleanfield.operators.html import fields_of, fragment_text
 from gleanfield.operators.markup import Field, Rule
 from gleanfield.operators.stages import Stage, standard_stages
 from gleanfield.schema import EVENT_COLUMNS, REJECT, event_columns
+from gleanfield.session import cut_lineage
 from gleanfield.sources.io import csv_body_rows, json_list_rows
 
 Project = Callable[["Site", DataFrame, Gazetteer], DataFrame]
@@ -40,6 +41,7 @@ class Site:
     next_number: tuple[str, str] = ()  # its attribute with a page number, address before that
     keeps_newlines: bool = False
     constants: dict[str, str] = field(default_factory=dict)
+    by_batch: bool = False  # the mapping groups rows, so a stream is mapped batch by batch
 
     def stages(self, gazetteer: Gazetteer) -> Stage:
         return standard_stages(self.source, gazetteer, newlines=not self.keeps_newlines)
@@ -232,7 +234,9 @@ def _uk_biotech_database(site: Site, df: DataFrame, gazetteer: Gazetteer) -> Dat
         when=dates.two_digit_year_pair(_raw("date")),
     )
     part = lambda i: F.get(parts, F.lit(i))
-    placed = country_in_text(df.withColumn("_location", part(1)), "_location", gazetteer)
+    # the lookup reads the rows twice, the pages behind them are read once
+    located = cut_lineage(df.withColumn("_location", part(1)))
+    placed = country_in_text(located, "_location", gazetteer)
     person = F.when(F.size(contact) > 1, text.after_last_tag(F.get(contact, F.lit(0)))).otherwise("")
     return _record(
         placed,
@@ -259,6 +263,7 @@ UK_BIOTECH_DATABASE = Site(
         "event_url": Field((Rule("div", any_class=("event_web",)), _LINK), "attr:href"),
     },
     entry=(Rule("div", any_class=("event",)),),
+    by_batch=True,
 )
 
 # -- label lists ----------------------------------------------------------------------

@@ -6,6 +6,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from gleanfield.operators.gazetteer import Gazetteer
 from gleanfield.plans.harvest import harvest
+from gleanfield.sources.sites import SITES
 
 PAGE_SCHEMA = StructType([StructField("url", StringType()), StructField("body", StringType())])
 
@@ -25,11 +26,17 @@ def harvest_stream(
 ) -> StreamingQuery:
     """Write a site's events (rejects included, with their reason) as Parquet, each page once.
 
-    No operator of the chain keeps state: gazetteers are static sides, the rest is per row.
+    No operator of the chain keeps state. Most chains work per row and go through the file sink;
+    where a mapping groups rows, each batch is mapped as a table and written to a folder of its
+    own, which a batch that is run again replaces.
     """
-    events = harvest(name, pages, gazetteer)
-    return (
-        events.writeStream.format("parquet").outputMode("append")
-        .option("path", out_dir).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    if SITES[name].by_batch:
+
+        def write(batch: DataFrame, number: int) -> None:
+            harvest(name, batch, gazetteer).write.mode("overwrite").parquet(f"{out_dir}/batch={number}")
+
+        sink = pages.writeStream.foreachBatch(write)
+    else:
+        events = harvest(name, pages, gazetteer)
+        sink = events.writeStream.format("parquet").outputMode("append").option("path", out_dir)
+    return sink.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -71,6 +71,26 @@ def test_country_in_text_against_brute_force(spark, gazetteer):
     assert got == {t: brute(t, real) for t in texts}
 
 
+def test_country_in_text_of_many_forms(spark, gazetteer):
+    """50,000 forms of one to seven characters, some of them inside others; the plan holds none of them."""
+    forms = [(i, f"L{i}", f"{i:x}", "é" if i == 7 else None) for i in range(25_000)]
+    many = g.Gazetteer(
+        spark.createDataFrame(forms, "ord int, name string, alpha_2 string, sign string"), gazetteer.subdivisions
+    )
+    texts = ["Hall, L24999", "L2", "x 61a7 L3", "only é", "none", "", None, "None?", "L1 L2 L3", "ffff" * 500, "L1 L2 L3"]
+
+    def brute(text):
+        hits = [(i, name) for i, *names in forms for name in names[:1] if any(t and t in text for t in names)]
+        country = max(hits)[1] if hits else None
+        return (text.split(country)[0] if country else text, country)
+
+    got = g.country_in_text(spark.createDataFrame([(t, "y") for t in texts], "loc string, name string"), "loc", many)
+    assert "L24998" not in got._jdf.queryExecution().toString()
+    rows = got.collect()
+    assert len(rows) == len(texts) and {r.name for r in rows} == {"y"}
+    assert {r.loc: r.place and tuple(r.place) for r in rows} == {t: None if t is None else brute(t) for t in texts}
+
+
 def test_event_type(spark):
     rows = [("Expo", "Any", None), (None, "Forum and Conference", None), ("", "Day", "A Workshop"),
             (None, "Day", "of course"), (None, "SUMMIT", None)]
