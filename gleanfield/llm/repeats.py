@@ -180,6 +180,11 @@ def packed(shards: np.ndarray, kind: int, columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays + [bytes_of(c) for c in columns], names=NAMES)
 
 
+def unpacked(table: pa.Table, names: list[str], kind: int) -> list[np.ndarray]:
+    rows = table.filter(pc.equal(table.column("kind"), kind))
+    return [np.frombuffer(b"".join(rows.column(n).to_pylist()), KINDS[NAMES.index(n) - 2]) for n in names]
+
+
 def compare(docs: DataFrame, shards: int, window: int, base: int, length: int) -> DataFrame:
     """doc_id, key and the places (word positions) whose window of `length` words is answered by `told`.
 
@@ -225,12 +230,12 @@ def compare(docs: DataFrame, shards: int, window: int, base: int, length: int) -
                 yield packed((heads[0] % np.uint64(shards)).astype(np.int64), 0, heads)
 
     def answers(_, table):
-        def of(kind: int, names: list[str]) -> list[np.ndarray]:
-            rows = table.filter(pc.equal(table.column("kind"), kind))
-            return [np.frombuffer(b"".join(rows.column(n).to_pylist()), KINDS[NAMES.index(n) - 2]) for n in names]
+        columns, _, answered = told(unpacked(table, NAMES[2:], 0), last)
+        found = [np.concatenate([c[answered], k]) for c, k in zip(columns[2:], unpacked(table, NAMES[4:], 1))]
+        return pa.Table.from_batches([packed(np.mod(found[1], shards), 1, [None, None, *found])])
 
-        columns, _, answered = told(of(0, NAMES[2:]), last)
-        ids, keys, at = [np.concatenate([c[answered], k]) for c, k in zip(columns[2:], of(1, NAMES[4:]))]
+    def by_document(_, table):
+        ids, keys, at = unpacked(table, NAMES[4:], 1)
         order = np.lexsort((at, ids, keys))
         ids, keys, at = ids[order], keys[order], at[order]
         first = runs(keys, ids)
@@ -241,9 +246,8 @@ def compare(docs: DataFrame, shards: int, window: int, base: int, length: int) -
         ]
         return pa.Table.from_arrays(found, names=["key", "doc_id", "places"])
 
-    found = docs.mapInArrow(places, ENTRY).groupBy("shard")
-    answered = found.applyInArrow(answers, "key long, doc_id long, places array<int>")
-    return answered.groupBy("key", "doc_id").agg(F.flatten(F.collect_list("places")).alias("places"))
+    answered = docs.mapInArrow(places, ENTRY).groupBy("shard").applyInArrow(answers, ENTRY)
+    return answered.groupBy("shard").applyInArrow(by_document, "key long, doc_id long, places array<int>")
 
 
 def with_likely(docs: DataFrame, found: DataFrame) -> DataFrame:
