@@ -34,23 +34,33 @@ INLINE = set(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
     "small span strike strong sub sup time tt u var wbr".split()
 )
-# never part of a text, whatever was learned
+# elements that are no part of a text
 ASIDE = set("nav footer aside form menu dialog button fieldset head".split())
-ASIDE_WORDS = re.compile(
-    r"^(ads?|advert\w*|adv|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|"
-    r"subscribe|signup|nav\w*|menu|breadcrumbs?|sidebar|side|aside|footer|masthead|comments?|disqus|replies|respond|"
-    r"share|sharing|social|related|recommended|widget|toolbar|pagination|pager|login|search|complementary|contentinfo)$"
+# What names mostly stand for while nothing has been learned of them: a word of the first list, alone, at the end of
+# a name (`site-footer`) or before words of the second only (`share-buttons`); `no-sidebar` and the like tell a state.
+ASIDE_WORDS = set(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsors sponsored promo promos promotion banner banners "
+    "cookie cookies consent gdpr notice notices alert alerts popup modal newsletter subscribe signup nav navbar navigation "
+    "navi menu menus breadcrumb breadcrumbs sidebar side aside footer masthead comment comments disqus replies respond "
+    "share sharing social related recommended widget widgets toolbar pagination pager login search complementary "
+    "contentinfo".split()
 )
+BESIDE_WORDS = set(
+    "area bar block body box btn button buttons container content cookies footer form header icon icons inner item items "
+    "left link links list main outer panel post posts primary right secondary section signup thread title top wrap wrapper".split()
+)
+STATE_WORDS = set("no not has with without is are hide hidden show open closed js".split())
 SECTIONS = set("header section div table ul ol dl figure".split())
 
 
 @dataclass
 class Weights:
-    """Scores of tags (at most `LEAST`) and the names whose words are no main text; `totals` are the words and tags
-    of the pages learned from, inside and outside."""
+    """Scores of tags (at most `LEAST`), the names whose words are no main text, and the names that sound so but mostly
+    hold a page's text; `totals` are the words and tags of the pages learned from, inside and outside."""
 
     tags: dict[str, float] = field(default_factory=lambda: dict(LISTED))
     outside: set[str] = field(default_factory=set)
+    inside: set[str] = field(default_factory=set)
     totals: dict[str, tuple[int, int]] = field(default_factory=dict, compare=False, repr=False)
 
     def add(self, kind: str, name: str, inside: int, outside: int) -> None:
@@ -58,6 +68,10 @@ class Weights:
             if inside * 20 < outside:
                 self.outside.add(name)
             return
+        if kind == "body":
+            if inside > outside:
+                self.inside.add(name)
+            return
         all_in, all_out = self.totals[kind]
         odds = np.log((inside + 0.5) / (all_in + 1)) - np.log((outside + 0.5) / (all_out + 1))
         self.tags[name] = float(min(LEAST, max(WORST, odds)))
@@ -66,6 +80,7 @@ class Weights:
 LEAST, UNSEEN, WORST = -0.05, -0.25, -4.0
 # Names with this share of all words (or tags) are at hand in each task, those of the rest are joined.
 COMMON = 1e-5
+COUNTS = "kind = 'tags' or kind = 'words' and inside * 20 < outside or kind = 'body' and inside > outside"
 # Before anything is learned: lists and cells are more often outside.
 LISTED = {name: -1.0 for tag in ("ul", "ol", "li", "td", "th", "option") for name in (tag, "/" + tag)}
 
@@ -81,63 +96,131 @@ def names_of(tag: str, attributes: str) -> list[str]:
 
 
 def is_aside(name: str) -> bool:
-    kind, _, word = name.partition("=")
-    return kind in ASIDE if not word else any(ASIDE_WORDS.match(w) for w in re.split(r"[-_]+", word))
+    """Whether a name that nothing is known of mostly stands for what is no main text."""
+    _, _, word = name.partition("=")
+    first, *more = re.split(r"[-_]+", word.strip("-_"))
+    if not more:
+        return first in ASIDE_WORDS
+    if first in STATE_WORDS:
+        return False
+    return more[-1] in ASIDE_WORDS or first in ASIDE_WORDS and all(w in BESIDE_WORDS for w in more)
 
 
 def is_label(name: str) -> bool:
     return name in LABELS or name == "itemprop=articlebody"
 
 
-def read(page: str):
-    """The page as (text, names around it, None) and (None, names around it, tag), end tags with a slash."""
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    names: tuple[str, ...] = ()
-    at = 0
-    for found in TOKEN.finditer(page):
-        if found.start() > at:
-            yield page[at : found.start()], names, None
-        at = found.end()
-        _, end, tag, attributes, end2, tag2, attributes2 = found.groups()
-        tag = tag or tag2
-        if not tag:
-            continue
-        tag, end, attributes = tag.lower(), end or end2, attributes or attributes2
+class Page:
+    """A page's elements, in the order they begin, and its events (element, text, tag): one of the two is None.
+
+    Element 0 is the page. `fresh` are the names of an element that no element around it has.
+    """
+
+    def __init__(self, page: str):
+        self.parents, self.names, self.tags = [0], [()], [""]
+        self.fresh: list[tuple[str, ...]] = [()]
+        self.events: list[tuple[int, str | None, str | None]] = []
+        self.stack, self.open_tags, self.open_names = [0], Counter(), Counter()
+        at = 0
+        for found in TOKEN.finditer(page):
+            if found.start() > at:
+                self.events.append((self.stack[-1], page[at : found.start()], None))
+            at = found.end()
+            _, end, tag, attributes, end2, tag2, attributes2 = found.groups()
+            tag = tag or tag2
+            if tag:
+                self.tag(tag.lower(), bool(end or end2), attributes or attributes2 or "")
+        if at < len(page):
+            self.events.append((self.stack[-1], page[at:], None))
+        size = len(self.parents)
+        self.words = [0] * size
+        for element, text, _ in self.events:
+            if text is not None:
+                self.words[element] += len(text.split())
+        self.inside = [False] * size
+        for e in range(size):
+            self.inside[e] = self.inside[self.parents[e]] or any(map(is_label, self.names[e]))
+
+    def tag(self, tag: str, end: bool, attributes: str) -> None:
         if end:
-            if any(open_ == tag for open_, _ in stack):
-                while stack.pop()[0] != tag:
+            if self.open_tags[tag]:
+                while self.pop() != tag:
                     pass
-                names = stack[-1][1] if stack else ()
-            yield None, names, "/" + tag
-            continue
-        if tag not in INLINE and stack and stack[-1][0] == "p":  # a block ends a paragraph
-            stack.pop()
-            names = stack[-1][1] if stack else ()
-        if tag not in VOID and not (attributes or "").rstrip().endswith("/"):
-            own = names_of(tag, attributes or "")
+            self.events.append((self.stack[-1], None, "/" + tag))
+            return
+        if tag not in INLINE and self.tags[self.stack[-1]] == "p":  # a block ends a paragraph
+            self.pop()
+        if tag not in VOID and not attributes.rstrip().endswith("/"):
+            own = names_of(tag, attributes)
             if own or tag not in INLINE:
-                names = names + tuple(own) if own else names
-                stack.append((tag, names))
-        yield None, names, tag
-    if at < len(page):
-        yield page[at:], names, None
+                self.fresh.append(tuple({n for n in own if not self.open_names[n]}))
+                self.open_names.update(own)
+                self.open_tags[tag] += 1
+                self.parents.append(self.stack[-1])
+                self.names.append(tuple(own))
+                self.tags.append(tag)
+                self.stack.append(len(self.tags) - 1)
+        self.events.append((self.stack[-1], None, tag))
+
+    def pop(self) -> str:
+        element = self.stack.pop()
+        self.open_names.subtract(self.names[element])
+        self.open_tags[self.tags[element]] -= 1
+        return self.tags[element]
+
+    def summed(self, values: list) -> list:
+        """What each element and the elements in it have of `values`."""
+        total = list(values)
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parents[e]] += total[e]
+        return total
+
+    def outside(self, weights: Weights) -> list[bool]:
+        """Whether each element is no main text: as its tag, what was learned of its names, or else their words say.
+
+        Names count nothing where an element holds most of the page: its text mark and half of the words, or
+        without a mark four fifths of them (learned names: 19 of 20). Names that nothing is learned of count nothing beside
+        one that was learned to hold texts.
+        """
+        fixed = [False] * len(self.tags)
+        for e in range(1, len(fixed)):
+            tag = self.tags[e]
+            fixed[e] = fixed[self.parents[e]] or tag in ASIDE and tag != "form" or tag == "header" and not self.inside[e]
+        held = self.summed([0 if f else n for f, n in zip(fixed, self.words)])
+        marks = [any(map(is_label, names)) and not any(is_aside(n) for n in names) for names in self.names]
+        marks = self.summed(marks)
+        out = [False] * len(fixed)
+        for e in range(1, len(out)):
+            tag, names = self.tags[e], self.names[e]
+            if out[self.parents[e]] or fixed[e]:
+                out[e] = True
+            elif tag not in ("html", "body"):
+                share = held[e] / held[0] if held[0] else 0.0
+                if share < (0.5 if marks[e] else 0.95) and any(n in weights.outside for n in names):
+                    out[e] = True
+                elif share < (0.5 if marks[e] else 0.8) and not any(n in weights.inside for n in names):
+                    out[e] = tag == "form" or any("=" in n and is_aside(n) for n in names)
+        return out
 
 
 def counts_of(page: str) -> Counter | None:
     """Of a labelled page: (kind, name, inside) with the number of words or tags; None for others."""
-    counts, labelled = Counter(), False
-    for text, names, tag in read(page):
-        inside = any(map(is_label, names))
-        labelled |= inside
-        if text is not None:
-            n = len(text.split())
-            if n:
-                for name in {*names, ""}:
-                    if not is_label(name):
-                        counts["words", name, inside] += n
-        elif tag.strip("/") not in LABELS:
-            counts["tags", tag, inside] += 1
-    return counts if labelled else None
+    p = Page(page)
+    if not any(p.inside):
+        return None
+    counts = Counter()
+    for element, text, tag in p.events:
+        if text is None and tag.strip("/") not in LABELS:
+            counts["tags", tag, p.inside[element]] += 1
+    for inside in (True, False):
+        words = p.summed([n if i == inside else 0 for n, i in zip(p.words, p.inside)])
+        for names, n in zip([("",), *p.fresh[1:]], words):
+            for name in names:
+                if n and not is_label(name):
+                    counts["words", name, inside] += n
+                    if is_aside(name):
+                        counts["body", name, inside and n * 2 >= words[0]] += n
+    return counts
 
 
 def learn(pages: DataFrame) -> Weights:
@@ -183,55 +266,44 @@ def learned(pages: DataFrame) -> tuple[Weights, DataFrame, set[tuple[str, str]]]
         return Weights(), sums.limit(0), set()
     weights = Weights(totals={"tags": (tags["inside"] or 0, tags["outside"] or 0)})
     limits = COMMON * (words["inside"] + words["outside"]), COMMON * sum(weights.totals["tags"])
-    enough = F.col("inside") + F.col("outside") >= F.when(F.col("kind") == "words", limits[0]).otherwise(limits[1])
+    enough = F.col("inside") + F.col("outside") >= F.when(F.col("kind") == "tags", limits[1]).otherwise(limits[0])
     named = sums.where("name <> ''")
     common = set()
     for row in named.where(enough).collect():
         weights.add(*row)
         common.add((row["kind"], row["name"]))
-    return weights, named.where(~enough).where("kind = 'tags' or inside * 20 < outside"), common
+    return weights, named.where(~enough).where(COUNTS), common
 
 
 def names_in(page: str) -> set[tuple[str, str]]:
     """(kind, name) of all that a weight may be known of."""
-    found = set()
-    for _, names, tag in read(page):
-        found.update(("words", name) for name in names if not is_label(name))
-        if tag and tag.strip("/") not in LABELS:
-            found.add(("tags", tag))
-    return found
+    p = Page(page)
+    names = {name for names in p.names for name in names if not is_label(name)}
+    found = {("words", name) for name in names} | {("body", name) for name in names if is_aside(name)}
+    return found | {("tags", tag) for _, _, tag in p.events if tag and tag.strip("/") not in LABELS}
 
 
 def extract(page: str, weights: Weights) -> str:
     """The text of the best run: blocks joined by an empty line, references decoded, words of
     outside elements left out. Those and the tags among them score nothing, so that a box of any length costs a run
-    no more than its end tag."""
+    no more than its end tag. The work grows with the page's length, however deep its elements lie."""
+    p = Page(page)
+    away = p.outside(weights)
     parts, scores = [], []
-    known: dict[tuple[str, ...], bool] = {}
-    for text, names, tag in read(page):
-        outside = known.get(names)
-        if outside is None:
-            in_text = False
-            outside = False
-            for name in names:
-                in_text |= is_label(name)
-                if name == "header":  # of the page, not of its text
-                    outside |= not in_text
-                else:
-                    outside |= name in weights.outside or is_aside(name)
-            known[names] = outside
-        if text is None:
-            if outside:
-                score = 0.0
-            elif tag.strip("/") in LABELS:  # the marks are not looked at
-                score = LEAST
-            else:
-                score = weights.tags.get(tag, UNSEEN if tag.strip("/") not in INLINE else LEAST)
-            parts.append((None, tag))
-            scores.append(score)
+    for element, text, tag in p.events:
+        outside = away[element]
+        if text is not None:
+            parts.append((None if outside else text, ""))
+            scores.append(0.0 if outside else float(len(text.split())))
             continue
-        parts.append((None if outside else text, ""))
-        scores.append(0.0 if outside else float(len(text.split())))
+        if outside:
+            score = 0.0
+        elif tag.strip("/") in LABELS:  # the marks are not looked at
+            score = LEAST
+        else:
+            score = weights.tags.get(tag, UNSEEN if tag.strip("/") not in INLINE else LEAST)
+        parts.append((None, tag))
+        scores.append(score)
     best, total, first, start, stop = 0.0, 0.0, 0, 0, 0
     for i, score in enumerate(scores):
         if total <= 0:
@@ -300,7 +372,7 @@ def main_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             texts = []
             for page, more in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                own = Weights(dict(weights.tags), set(weights.outside), weights.totals) if more else weights
+                own = Weights(dict(weights.tags), set(weights.outside), set(weights.inside), weights.totals) if more else weights
                 for x in more or ():
                     own.add(x["kind"], x["name"], x["inside"], x["outside"])
                 texts.append(extract(page, own))

@@ -1,7 +1,10 @@
 """Language identification, language model, quality classifier and main text."""
 
+import html
 import itertools
 import math
+import re
+import time
 import zlib
 from collections import Counter
 
@@ -251,15 +254,63 @@ def test_long_box_within_a_text_parts_nothing(box, before, after):
     assert extract(page, Weights()).split("\n\n") == [lead.strip(), end.strip()]
 
 
+def cut_by_hand(page):
+    """The text of a page of the table: what stands between the tags of its article, as its template is known."""
+    article = page.split("<article>")[1].split("</article>")[0]
+    blocks = re.split(r"</?(?:p|h1|h2|ul|ol|li|div|blockquote)>", article.replace("<br>", " "))
+    plain = [" ".join(html.unescape(re.sub(r"</?(?:b|i|a|em)\b[^>]*>", "", b)).split()) for b in blocks]
+    return "\n\n".join(b for b in plain if b)
+
+
 def test_pages_of_the_table(spark):
     pages = table(spark, "pages", SMALL)
     rows = {r["page_id"]: r for r in main_text.main_text(pages).collect()}
     for r in pages.collect():
-        article = r["html"].split("<article>")[1].split("</article>")[0]
-        want = extract(f"<p>{article}</p>", Weights())
+        want = cut_by_hand(r["html"])
         assert rows[r["page_id"]]["text"] == want and rows[r["page_id"]]["n_chars"] == len(want)
 
 
+ARTICLE = "<article><h1>A title</h1><p>" + "word " * 39 + "end.</p><p>" + "more " * 40 + "</p></article>"
+WHOLE = ["A title", "word " * 39 + "end.", ("more " * 40).strip()]
+
+
+@pytest.mark.parametrize("name", "no-sidebar has-sidebar comments-open nav-open text-navy with-banner page-menu menu comments".split())
+def test_names_of_a_whole_page_say_nothing_of_its_text(name):
+    page = f"<body class='{name}'><nav>x</nav><div class='sidebar'>out out out</div>{ARTICLE}<div class='share-buttons'>out</div></body>"
+    assert extract(page, Weights()).split("\n\n") == WHOLE
+    assert extract(page.replace("body", "div"), Weights()).split("\n\n") == WHOLE
+    assert extract(page.replace("<article", f"<article class={name}-policy"), Weights()).split("\n\n") == WHOLE
+
+
+@pytest.mark.parametrize("name", ["class=text-navy", "id=side-effects", "id=related-work", "class=no-ads"])
+def test_names_of_a_block_that_only_sound_alike(name):
+    assert extract(ARTICLE.replace("<p>", f"<p {name}>", 1), Weights()).split("\n\n") == WHOLE
+
+
+@pytest.mark.parametrize("name", "ad site-footer cookie-bar main-nav share-buttons related-posts comment-list comments".split())
+def test_names_of_boxes(name):
+    box = f"<div class='{name}'><p>{'out ' * 30}</p></div>"
+    page = f"<div>{ARTICLE.replace('article', 'div')}{box}<p>Last words.</p></div>{box}"
+    assert extract(page, Weights()).split("\n\n") == [*WHOLE, "Last words."]
+
+
+def test_a_name_learned_to_hold_texts_does(spark):
+    """`promo` holds the articles of these pages, so its box of another page stays; `ad` was learned nowhere."""
+    labelled = "<body><article><div class='promo'><p>{}</p></div></article></body>"
+    weights = main_text.learn(spark.createDataFrame([(labelled.format("the text itself " * 20),)] * 3, "html string"))
+    assert weights.inside == {"class=promo"}
+    page = "<div><p>" + "a b " * 20 + "</p><p class='promo'>kept here</p><p class='ad'>gone here</p><p>the end</p></div>"
+    assert "kept here" in extract(page, weights) and "gone" not in extract(page, weights)
+
+
+@pytest.mark.parametrize("page", ["<div class='c'>{}</div>", "<div>{}</b>", "<p class='x'>{}</i>"])
+def test_deep_pages_take_time_by_their_length(page):
+    opened, _, closed = page.partition("{}")
+    started = time.perf_counter()
+    assert extract(opened * 20_000 + "text " * 50 + closed * 20_000, Weights()).count("text") >= 50
+    assert time.perf_counter() - started < 10  # some 0.7 s; depth times length took minutes
+
+
 def test_odd_pages(spark):
     df = spark.createDataFrame(
         [(1, "u", None, 1, "x"), (2, None, "", 2, None), (None, "u", PAGE, 3, "t"), (None, "u", PAGE, 3, "t"), (4, "u", "<p>" + "long text &amp; " * 200_000, 0, "")],
