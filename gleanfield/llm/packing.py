@@ -67,14 +67,14 @@ class WordTokens:
         self.uses = np.zeros(len(keep), np.int64)
 
     def learn(self):
-        """Find the ids of new words. Closing marks after a letter or digit are tokens of their own, so
-        such a word is looked up in two parts."""
+        """Find the ids of new words. Closing marks after what stays a letter or digit for the tokenizer are tokens of
+        their own, so such a word is looked up in two parts."""
         index, new = self.index, self.index.new
         first = len(index) - len(new)
         letters, others, parts, split = [], [], [], []
         for number, word in enumerate(new, first):  # parts met for the first time are appended on the way
             stem = word.rstrip(CLOSING)
-            if len(stem) < len(word) and (stem[-1:].isalnum() or stem[-4:].decode(errors="ignore")[-1:].isalnum()):
+            if len(stem) < len(word) and ends_plain(stem):
                 split.append(number)
                 parts += (index[stem], index[word[len(stem) :]])
             elif word.isalpha() or only_letters(word.decode()):
@@ -140,6 +140,17 @@ def only_letters(word: str) -> bool:
     return word.isalpha() and unicodedata.is_normalized("NFC", word) and word.lower().isalpha()
 
 
+def ends_plain(stem: bytes) -> bool:
+    """Whether a word ends in a letter or digit that composing and lower-casing leave one.
+
+    Letters beyond the Cyrillic ones are not asked for, as which they are differs between versions of Unicode.
+    """
+    if stem[-1:].isalnum():
+        return True
+    last = stem[-4:].decode(errors="ignore")[-1:].lower()
+    return len(last) == 1 and last < "\u0530" and unicodedata.category(last)[0] in "LN" and unicodedata.is_normalized("NFC", last)
+
+
 def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions of ranges that begin at `starts`, one after another."""
     ends = np.cumsum(lengths)

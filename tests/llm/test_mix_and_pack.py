@@ -1,5 +1,6 @@
 """Mixing and packing: sums, brute force and round trips."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -163,3 +164,30 @@ def test_patterns_hold_every_length():
         assert held == histogram
         assert sum(c for c, _ in patterns) <= 1.02 * sum(n * c for n, c in histogram.items()) / 100 + 1
     assert packing.pack_patterns({}, 100) == []
+
+
+ODD = "İ\u0307\u0301\u0338ıßŉΣςﬁ²½①\u00a0\u2009\u3000\u200b中文の한각\u1100\u1161ا١𝒜\U0001f600\U0001f1e9\u00ad\ufeff\x00\x1f\x85ЙйЙÅÅ\u1e9eǅ\u0345ᾳ\ua7dc\u0530Ա"
+
+
+def test_ids_of_any_text_are_the_tokenizers():
+    """Random texts of marks that join, letters that change in lower case, white space of all kinds and special tokens."""
+    rng = random.Random(4)
+    plain, tokens = Tokenizer.from_file(PATH), packing.WordTokens(PATH)
+    alphabet = [*ODD, *ODD, *"aAzZ'09.,;:!?-_|<>\"", *" \t\n", "'s", "'ll", "<|endoftext|>", "<|", "e\u0301", "é", "ö"]
+
+    def char():
+        while 0xD800 <= (c := rng.randrange(0x30000)) < 0xE000:
+            pass
+        return chr(c)
+
+    def text(i):
+        if i % 4 == 0:
+            return "".join(char() if rng.random() < 0.5 else rng.choice(" .,a") for _ in range(rng.randrange(12)))
+        return "".join(rng.choices(alphabet, k=rng.randrange(14)))
+
+    texts = ["İ,", "foo İ, bar", "İstanbul,", "a\u0338.", "Σ. ΑΣ, Σ!", "", " ", "K,", *map(text, range(20_000))]
+    for a in range(0, len(texts), 500):
+        some = texts[a : a + 500]
+        ids, ends = tokens.encode([t.encode() for t in some])
+        got = [x.tolist() for x in np.split(ids, ends[:-1])]
+        assert got == [x.ids for x in plain.encode_batch(some, add_special_tokens=False)]
