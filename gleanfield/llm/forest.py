@@ -20,7 +20,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanfield.llm.common import short_batches, stored
@@ -87,7 +87,7 @@ def class_of(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, shingle: int) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, n_shingles, class (null for an empty set), the values,
+    """Per row of `docs` (doc_id, text): doc_id, a hash of the text, n_shingles, class (null for an empty set), the values,
     and as sketch the lower bytes of the first SKETCH values."""
 
     def compute(batches):
@@ -102,16 +102,23 @@ def signatures(docs: DataFrame, shingle: int) -> DataFrame:
                 values.append(found)
                 sketches.append(found and found[1 : 2 * SKETCH : 2])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), pa.array(values, pa.binary()), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "class", "values", "sketch"],
+                [
+                    batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()),
+                    pa.array(values, pa.binary()), pa.array(sketches, pa.binary()),
+                ],
+                names=["doc_id", "text_hash", "n_shingles", "class", "values", "sketch"],
             )
 
     short_batches(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-        compute, "doc_id long, n_shingles long, class long, values binary, sketch binary"
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), text_hash()).mapInArrow(
+        compute, "doc_id long, text_hash long, n_shingles long, class long, values binary, sketch binary"
     )
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.col("text").cast("string")).alias("text_hash")
+
+
 def similar_groups(sketch: np.ndarray) -> np.ndarray:
     """For each row of `sketch` the first row it is connected with by rows that look similar."""
     n = len(sketch)
@@ -514,6 +521,11 @@ def near_copies(
     null and they are kept. Repeated rows have the same component. An empty
     table gives no rows; further columns are not looked at.
     """
+    return judged(docs, shingle, percent, depth, region).drop("text_hash")
+
+
+def judged(docs: DataFrame, shingle: int, percent: int, depth: int, region: int) -> DataFrame:
+    """What `near_copies` tells, with each row's text_hash."""
     found = stored(signatures(docs, shingle))
     named = found.where("class is not null and doc_id is not null")
     classes = stored(
@@ -542,14 +554,18 @@ def near_copies(
             "class", F.coalesce("component_id", "own").alias("component_id")
         )
     )
-    placed = found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class")).join(whole, "class", "left")
+    placed = found.select("doc_id", "text_hash", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("class")).alias("class")).join(whole, "class", "left")
     component = F.coalesce("component_id", "doc_id")
     return placed.select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
     )
 
 
-def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
-    """`docs` with one document of each group of near copies, all columns as they were."""
-    dropped = near_copies(docs, **how).where("not kept").select("doc_id").distinct()
-    return docs.join(stored(dropped), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+def drop_near_copies(docs: DataFrame, shingle: int = 2, percent: int = 80, depth: int = 3, region: int = 512) -> DataFrame:
+    """`docs` with one document of each group of near copies, all columns as they were.
+
+    A row goes by its id and text, so another text that shares the id of a copy stays.
+    """
+    dropped = judged(docs, shingle, percent, depth, region).where("not kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
+    copy = (F.col("doc_id") == F.col("__id")) & (text_hash() == F.col("__text"))
+    return docs.join(stored(dropped.distinct()), copy, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -240,3 +240,11 @@ def test_index_inserts_deletes_and_grows():
     assert twin not in index
 
 
+
+
+def test_a_text_that_shares_the_id_of_a_copy_stays(spark):
+    rows = [(1, "a b c d e f g", "x"), (2, "a b c d e f g", "y"), (2, "another text altogether", "z"), (None, "a b c d e f g", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, text_hash string")
+    got = forest.drop_near_copies(docs, shingle=5)
+    assert got.columns == docs.columns
+    assert sorted(map(repr, (tuple(r) for r in got.collect()))) == sorted(map(repr, [rows[0], rows[2], rows[3]]))
