@@ -114,22 +114,16 @@ def tilts(histogram: DataFrame, wanted: DataFrame, most: float, rounds: int = 60
     return state.select("source", "source_size", "target", "mean", F.round("tilt", 9).alias("tilt"))
 
 
-def mix(
-    docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3.0, 1.0, 2.0), most: int = 2
+def allotted(
+    sized: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3.0, 1.0, 2.0), most: int = 2
 ) -> DataFrame:
-    """How often each row of `docs` (doc_id, text, source) is taken.
-
-    Returns doc_id, source, size, source_size, target, rate, copies (0 to `most`) and
-    taken (copies times size). Rates are rounded within bins of about
-    `BIN_ROWS` rows of one source, longest first, what a rounding left over going on
-    to the next: a bin's words are off by about half its shortest document.
+    """How often the rows of `sized` (doc_id, source, size, mark) are taken, one row for all that are equal.
 
-    A null text counts as empty and is not taken; null sources are a source of
-    their own, the last; repeated rows are rounded each on their own; an empty table
-    gives no rows; further columns are not looked at.
+    Adds source_size, target, rate, n (rows that are equal) and copies, of all `n` together. Equal rows are
+    counted before they meet, so a group of any size is one entry of a bin.
     """
-    sized = stored(docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), words(F.col("text")).alias("size")))
-    histogram = stored(sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
+    sized = stored(sized.groupBy("source", "doc_id", "size", "mark").agg(F.count(F.lit(1)).alias("n")))
+    histogram = stored(sized.groupBy("source", "size").agg(F.sum("n").alias("n")))
     sources = histogram.groupBy("source").agg(
         F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("rows")
     )
@@ -139,44 +133,73 @@ def mix(
         sources.select(F.col("source").alias("__source"), "rows"), F.col("source").eqNullSafe(F.col("__source"))
     ).drop("source")
     rated = sized.join(solved, F.col("source").eqNullSafe(F.col("__source"))).select(
-        "doc_id", "source", "size", "source_size", "target",
+        "doc_id", "source", "size", "mark", "n", "source_size", "target",
         rate(F.col("tilt"), F.col("size"), F.col("mean"), most).alias("rate"),
-        F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("rows") / BIN_ROWS)).alias("bin"),
+        F.pmod(F.xxhash64("doc_id", "size", "mark"), F.ceil(F.col("rows") / BIN_ROWS)).alias("bin"),
     )
     binned = rated.groupBy("source", "bin").agg(
         F.first("source_size").alias("source_size"), F.first("target").alias("target"),
-        F.sort_array(F.collect_list(F.struct("size", "doc_id", "rate")), asc=False).alias("rows"),
+        F.sort_array(F.collect_list(F.struct("size", "doc_id", "rate", "mark", "n")), asc=False).alias("rows"),
     )
 
     def rounded(state, row):
-        need = state["left"] + row["rate"] * row["size"]
-        copies = F.when(row["size"] > 0, F.least(F.lit(float(most)), F.greatest(F.lit(0.0), F.round(need / row["size"])))).otherwise(0.0)
-        taken = F.struct(row["doc_id"].alias("doc_id"), row["size"].alias("size"), row["rate"].alias("rate"), copies.cast("long").alias("copies"))
+        need = state["left"] + row["rate"] * row["size"] * row["n"]
+        bound = F.least(row["n"].cast("double") * most, F.greatest(F.lit(0.0), F.round(need / row["size"])))
+        copies = F.when(row["size"] > 0, bound).otherwise(0.0)
+        taken = F.struct(*[row[c].alias(c) for c in ("doc_id", "size", "rate", "mark", "n")], copies.cast("long").alias("copies"))
         return F.struct((need - copies * row["size"]).alias("left"), F.array_append(state["rows"], taken).alias("rows"))
 
-    none = F.expr("cast(array() as array<struct<doc_id: bigint, size: bigint, rate: double, copies: bigint>>)")
+    none = F.expr("cast(array() as array<struct<doc_id: bigint, size: bigint, rate: double, mark: bigint, n: bigint, copies: bigint>>)")
     out = F.aggregate("rows", F.struct(F.lit(0.0).alias("left"), none.alias("rows")), rounded, lambda s: s["rows"])
     return binned.select("source", "source_size", "target", F.explode(out).alias("row")).select(
-        "row.doc_id", "source", "row.size", "source_size", "target", "row.rate", "row.copies",
-        (F.col("row.copies") * F.col("row.size")).alias("taken"),
+        "source", "source_size", "target", "row.*"
+    )
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, source and size of each row of `docs`, the row itself, and as mark a hash of it."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.select(
+        F.col("doc_id").cast("long"), F.col("source").cast("string"), words(F.col("text")).alias("size"), F.struct(*columns).alias("row"),
+        F.xxhash64(*columns).alias("mark"),
+    )
+
+
+def counted(df: DataFrame, n: Column, name: str) -> DataFrame:
+    """Each row of `df` `n` times, numbered from 0; no array is longer than a thousand of them or a thousandth of `n`."""
+    blocks = df.withColumn("__block", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / 1000))))
+    low = F.col("__block") * 1000
+    return blocks.withColumn(name, F.explode(F.sequence(low, F.least(low + 999, n - 1)))).drop("__block")
+
+
+def mix(
+    docs: DataFrame, share: float = 1.5, weights: tuple[float, ...] = (3.0, 1.0, 2.0), most: int = 2
+) -> DataFrame:
+    """How often each row of `docs` (doc_id, text, source) is taken.
+
+    Returns doc_id, source, size, source_size, target, rate, copies (0 to `most`) and
+    taken (copies times size). Rates are rounded within bins of about
+    `BIN_ROWS` documents of one source, longest first, what a rounding left over going on
+    to the next: a bin's words are off by about half its shortest document.
+
+    A null text counts as empty and is not taken; null sources are a source of
+    their own, the last; rows that are equal in all columns are rounded together, and their copies differ by
+    one at most; an empty table gives no rows; further columns only tell rows apart.
+    """
+    each = counted(allotted(keyed(docs).drop("row"), share, weights, most), F.col("n"), "place")
+    copies = F.floor(F.col("copies") / F.col("n")) + F.when(F.col("place") < F.col("copies") % F.col("n"), 1).otherwise(0)
+    return each.withColumn("copies", copies).select(
+        "doc_id", "source", "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
 
 
 def repeat_rows(docs: DataFrame, **how) -> DataFrame:
-    """`docs` as mixed: every row as often as `mix` takes it, all columns as they were.
+    """`docs` as mixed: every row as often as it is taken, all columns as they were.
 
-    Rows that share id, source and size get the copies of those rows in any order.
+    Rows that are equal in all columns are reduced to one before they meet, and that one is repeated for all.
     """
-    columns = docs.columns
-    key = F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("size").cast("string"), F.col("source").cast("string"))
-    taken = mix(docs, **how).select(key.alias("__key"), "copies")
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row")
-    rows = docs.select(row, words(F.col("text")).alias("__size")).selectExpr(
-        "__row", "__row.doc_id", "__row.source", "__size size", "xxhash64(__row.text) __hash"
-    ).select("__row", "__hash", key.alias("__key"))
-    turn = Window.partitionBy("__key")
-    taken = taken.withColumn("__turn", F.row_number().over(turn.orderBy("copies"))).where("copies > 0")
-    rows = rows.withColumn("__turn", F.row_number().over(turn.orderBy("__hash")))
-    return rows.join(taken, ["__key", "__turn"]).select(
-        F.explode(F.array_repeat("__row", F.col("copies").cast("int"))).alias("__row")
-    ).select(*[F.col(f"__row.`{c}`") for c in columns])
+    key = F.concat_ws("/", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.col("mark").cast("string"), F.col("source"))
+    rows = keyed(docs).select("row", key.alias("__key")).groupBy("__key").agg(F.first("row").alias("row"))
+    taken = allotted(keyed(docs).drop("row"), **how).where("copies > 0").select(key.alias("__key"), "copies")
+    taken = counted(rows.join(taken, "__key"), F.col("copies"), "place")
+    return taken.select(*[F.col(f"row.`{c}`") for c in docs.columns])

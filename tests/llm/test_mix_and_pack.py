@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import no_documents, odd_documents, table, words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gleanfield.llm import mixing, packing
@@ -86,6 +87,20 @@ def test_repeated_rows_follow_the_mix(spark):
     assert mixing.repeat_rows(no_documents(spark)).count() == 0
 
 
+def test_a_million_equal_rows(spark):
+    """They are one entry of a bin, and their copies differ by one at most."""
+    equal = spark.range(1_000_000).selectExpr("cast(null as bigint) doc_id", "'one two three' text", "'a' source")
+    others = spark.range(500).selectExpr("id doc_id", "repeat('w ', cast(id % 40 as int)) text", "if(id % 2 = 0, 'a', 'b') source")
+    docs = equal.unionByName(others)
+    mixed = mixing.mix(docs)
+    copies = {r["copies"]: r["count"] for r in mixed.where("doc_id is null").groupBy("copies").count().collect()}
+    assert sum(copies.values()) == 1_000_000 and max(copies) - min(copies) <= 1
+    sums = mixed.groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(sums) == 2 and all(abs(r["taken"] - r["target"]) <= 0.01 * r["target"] + 40 for r in sums)
+    taken = sum(r["copies"] for r in mixed.where("doc_id is not null").collect()) + sum(c * n for c, n in copies.items())
+    assert mixing.repeat_rows(docs).count() == taken
+
+
 @pytest.mark.parametrize("sizes", [{"a": 10, "b": 1000, None: 5}, {"a": 0, "b": 7}, {"x": 3}, {"a": 1, "b": 1, "c": 1, "d": 100}])
 def test_targets_share_the_excess(spark, sizes):
     df = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
