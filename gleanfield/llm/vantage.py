@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 from gleanfield.llm.common import stored
 
 LEAF_ROWS = 64
+# Distances come from squares, so near zero they are off by up to this share of the longest vector.
+SLACK = 2e-6
 SHARD_ROWS = 16_000
 SAMPLE_ROWS = 20_000
 
@@ -135,29 +137,48 @@ def as_queries(vectors: np.ndarray, longest: float) -> np.ndarray:
     return np.concatenate([scaled, np.zeros((len(vectors), 1))], 1)
 
 
-def search(points: np.ndarray, tree: Tree, queries: np.ndarray, worst: np.ndarray, k: int, factor: float):
-    """For each query up to k rows of `points` nearer than `worst`, as (rows, distances), -1 where there are fewer."""
-    n = len(queries)
-    rows = np.full((n, k), -1, np.int64)
-    best = np.repeat(worst[:, None], k, 1)
-    bound = tree.bounds(queries)
+def reach(score: np.ndarray, length: np.ndarray, longest: float) -> np.ndarray:
+    """The distance at which a vector scores that much for a query of that length, rounding errors added."""
+    with np.errstate(invalid="ignore"):
+        square = 2 * longest**2 - 2 * longest * score / length
+    return np.where(np.isneginf(score), np.inf, np.sqrt(np.maximum(square, 0.0))) + SLACK * longest
+
+
+def search(
+    tree: Tree, own: np.ndarray, first: np.ndarray, ask: np.ndarray, worst: np.ndarray, k: int, factor: float, longest: float
+):
+    """For each query up to k rows of `own`, which `tree` holds lengthened, that score at least `worst`, as (rows, scores), -1 where there are fewer.
+
+    They are the best by score, the sum of products in double precision, then by the smaller of `first`. A leaf is
+    left out only if all in it score less.
+    """
+    n = len(ask)
+    rows, ids = np.full((n, k), -1, np.int64), np.full((n, k), np.iinfo(np.int64).max)
+    best = np.full((n, k), -np.inf)
+    length = np.sqrt((ask * ask).sum(1))
+    close = 1e-12 * longest * length
+    bound = tree.bounds(as_queries(ask, longest))
     order = np.argsort(bound, 1)
     open_ = np.arange(n)
     for turn in range(order.shape[1]):
-        leaf = order[open_, turn]
-        open_ = open_[bound[open_, leaf] * factor <= best[open_, -1]]
+        limit = np.maximum(best[open_, -1], worst[open_])
+        open_ = open_[bound[open_, order[open_, turn]] * factor <= reach(limit, length[open_], longest)]
         if not len(open_):
             break
         leaf = order[open_, turn]
         by_leaf = np.argsort(leaf, kind="stable")
-        for own in np.split(by_leaf, np.flatnonzero(np.diff(leaf[by_leaf])) + 1):
-            asked, members = open_[own], tree.leaves[leaf[own[0]]]
-            found = distances(queries[asked], points[members])
-            both = np.concatenate([best[asked], found], 1)
-            names = np.concatenate([rows[asked], np.broadcast_to(members, found.shape)], 1)
-            keep = np.argsort(both, 1, kind="stable")[:, :k]
-            best[asked] = np.take_along_axis(both, keep, 1)
-            rows[asked] = np.take_along_axis(names, keep, 1)
+        for group in np.split(by_leaf, np.flatnonzero(np.diff(leaf[by_leaf])) + 1):
+            asked, members = open_[group], tree.leaves[leaf[group[0]]]
+            limit = np.maximum(best[asked, -1], worst[asked])
+            i, j = np.nonzero(ask[asked] @ own[members].T >= (limit - close[asked])[:, None])
+            found = np.full((len(asked), len(members)), -np.inf)
+            exact = (ask[asked[i]] * own[members[j]]).sum(1)
+            found[i, j] = np.where(exact >= worst[asked[i]], exact, -np.inf)
+            scores = np.concatenate([best[asked], found], 1)
+            names = np.concatenate([rows[asked], np.where(np.isneginf(found), -1, members)], 1)
+            seconds = np.concatenate([ids[asked], np.broadcast_to(first[members], found.shape)], 1)
+            keep = np.lexsort((seconds, -scores), axis=1)[:, :k]
+            best[asked], rows[asked], ids[asked] = (np.take_along_axis(x, keep, 1) for x in (scores, names, seconds))
     return rows, best
 
 
@@ -195,33 +216,36 @@ def spanned(placed: DataFrame, top: Tree, longest: float) -> Tree:
     return top
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, factor: float = 2.0) -> DataFrame:
+def nearest(
+    vectors: DataFrame, is_query, k: int = 20, factor: float = 2.0, shard_rows: int | None = None
+) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest rows found for each query row.
 
     `vectors` has vec_id and embedding, `is_query` is a condition on vec_id. Nearest is the largest inner
     product in double precision, ties go to the smaller vec_id, a row with the query's own id is
     left out. Equal vectors are searched, and found, as one: of a vector's copies the k + 1 smallest ids
-    are enough, so a vector held by very many rows costs no more than any other.
+    are enough, so a vector held by very many rows costs no more than any other. A shard has about `shard_rows`
+    vectors; one that more fall into than a sample foretold is searched in parts of that size.
 
     Rows whose vector is null, empty, zero, holds null or non-finite components, or is of another length
     than most, and rows without an id, take no part. Repeated rows count once. An empty
     table gives no rows; further columns are not looked at.
     """
-    spark = vectors.sparkSession
+    spark, shard_rows = vectors.sparkSession, shard_rows or SHARD_ROWS
     rows = clean(vectors)
     few = rows.withColumn("turn", F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))).where(F.col("turn") <= k + 1)
     classes = stored(
         few.groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).select(F.col("ids")[0].alias("class"), "ids", "v")
     )
     # several ids may share their smallest one only if an id has several vectors
-    classes = stored(classes.withColumn("class", F.xxhash64("class", "v")))
+    classes = stored(classes.withColumns({"first": F.col("class"), "class": F.xxhash64("class", "v")}))
     asking = stored(rows.where(is_query).join(classes.select("class", "v"), "v").select("vec_id", "class"))
     size = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).alias("longest")).first()
-    result = "query long, class long, score double, far double"
+    result = "query long, class long, score double"
     if not size["n"]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     longest = size["longest"]
-    shards = max(1, -(-size["n"] // SHARD_ROWS))
+    shards = max(1, -(-size["n"] // shard_rows))
     sample = classes.select("v").orderBy(F.xxhash64("v")).limit(SAMPLE_ROWS if shards > 1 else 2).toArrow()
     points = lengthened(matrix(sample.column(0)), longest)
     top = Tree.build(points, max(2, len(points) // shards))
@@ -231,50 +255,58 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, factor: float = 2.0) -> D
         for batch in batches:
             own = matrix(pa.chunked_array([batch.column("v")]))
             home = shared.value.home(lengthened(own, longest)) if len(own) else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int64())], names=["class", "v", "shard"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int64())], names=["class", "first", "v", "shard"])
 
-    placed = stored(classes.select("class", "v").mapInArrow(assign, "class long, v array<double>, shard long"))
+    placed = classes.select("class", "first", "v").mapInArrow(assign, "class long, first long, v array<double>, shard long")
+    placed = stored(placed)
+    # a shard that more vectors fall into than the sample foretold is searched in parts
+    crowded = stored(placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("parts")))
+    placed = placed.join(F.broadcast(crowded), "shard").withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")))
     queries = asking.select("class").distinct().join(placed.select("class", "v"), "class").select(F.col("class").alias("query"), "v")
 
     def first_shard(batches):
         for batch in batches:
             own = matrix(pa.chunked_array([batch.column("v")]))
             home = shared.value.home(as_queries(own, longest)) if len(own) else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int64()), pa.array([np.inf] * len(own), pa.float64())], names=["query", "v", "shard", "worst"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home, pa.int64()), pa.array([-np.inf] * len(own), pa.float64())], names=["query", "v", "shard", "worst"])
 
     asked = "query long, v array<double>, shard long, worst double"
 
     def in_shard(held: pa.Table, wanted: pa.Table) -> pa.Table:
-        names = ["query", "class", "score", "far"]
+        names = ["query", "class", "score"]
         if not held.num_rows or not wanted.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64())], names=names)
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=names)
         own, ask = matrix(held.column("v")), matrix(wanted.column("v"))
-        points = lengthened(own, longest)
-        tree = Tree.build(points, LEAF_ROWS)
-        found, query, class_, score, far = held.column("class").to_numpy(), [], [], [], []
+        classes, first = held.column("class").to_numpy(), held.column("first").to_numpy()
         ids, worst = wanted.column("query").to_numpy(), wanted.column("worst").to_numpy()
+        tree = Tree.build(lengthened(own, longest), LEAF_ROWS)
+        found = []
         for a in range(0, len(ask), 2000):
-            at, d = search(points, tree, as_queries(ask[a : a + 2000], longest), worst[a : a + 2000], k + 1, factor)
+            at, score = search(tree, own, first, ask[a : a + 2000], worst[a : a + 2000], k + 1, factor, longest)
             i, j = np.nonzero(at >= 0)
-            query.append(ids[a + i])
-            class_.append(found[at[i, j]])
-            score.append((ask[a + i] * own[at[i, j]]).sum(1))
-            far.append(d[i, j])
-        return pa.table([pa.array(np.concatenate(x)) for x in (query, class_, score, far)], names=names)
+            found.append((ids[a + i], classes[at[i, j]], score[i, j]))
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*found)], names=names)
 
     def searched(wanted: DataFrame) -> DataFrame:
         # a shard asked by very many queries is searched in blocks of them
         blocks = wanted.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / 20_000).alias("blocks"))
-        several = placed.join(blocks, "shard").select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "class", "v")
-        dealt = wanted.join(blocks, "shard").select("shard", F.pmod(F.xxhash64("query"), F.col("blocks")).alias("block"), "query", "v", "worst")
-        return several.groupBy("shard", "block").cogroup(dealt.groupBy("shard", "block")).applyInArrow(in_shard, result)
+        blocks = blocks.join(crowded, "shard")
+        several = placed.join(blocks.drop("parts"), "shard").select(
+            "shard", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "class", "first", "v"
+        )
+        dealt = wanted.join(blocks, "shard").select(
+            "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+            F.pmod(F.xxhash64("query"), F.col("blocks")).alias("block"), "query", "v", "worst",
+        )
+        key = ["shard", "part", "block"]
+        return several.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInArrow(in_shard, result)
 
     near = stored(searched(queries.mapInArrow(first_shard, asked)))
     found = near
     if shards > 1:
-        # the distance of the (k + 1)-th best so far
-        ranked = near.withColumn("turn", F.row_number().over(Window.partitionBy("query").orderBy("far", "class")))
-        worst = ranked.groupBy("query").agg(F.max(F.when(F.col("turn") == k + 1, F.col("far"))).alias("worst"))
+        # the score of the (k + 1)-th best so far
+        ranked = near.withColumn("turn", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"))))
+        worst = ranked.groupBy("query").agg(F.max(F.when(F.col("turn") == k + 1, F.col("score"))).alias("worst"))
         span = spark.sparkContext.broadcast(spanned(placed, top, longest))
 
         def other_shards(batches):
@@ -284,10 +316,10 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, factor: float = 2.0) -> D
                     continue
                 ask = as_queries(own, longest)
                 home, worst = shared.value.home(ask), batch.column("worst").to_numpy(zero_copy_only=False).copy()
-                worst[np.isnan(worst)] = np.inf
+                worst[np.isnan(worst)] = -np.inf
                 bound = span.value.bounds(ask)
                 bound[np.arange(len(own)), home] = np.inf
-                i, j = np.nonzero(bound * factor <= worst[:, None])
+                i, j = np.nonzero(bound * factor <= reach(worst, np.sqrt((own * own).sum(1)), longest)[:, None])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("query").take(pa.array(i)), batch.column("v").take(pa.array(i)), pa.array(j.astype(np.int64)), pa.array(worst[i])],
                     names=["query", "v", "shard", "worst"],

@@ -69,6 +69,39 @@ def test_copies_and_unusable_vectors(spark, small_shards):
     assert vantage.nearest(df.limit(0), "vec_id % 20 = 0").count() == 0
 
 
+def check_exact(spark, rows, **how):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found_nearest(vantage.nearest(df, "vec_id % 20 = 0", factor=1.0, **how)) == brute_nearest(rows)
+
+
+def test_ties_go_to_the_smaller_id_over_all_shards(spark, small_shards):
+    """499 different vectors score 1 against (1, 0); integer vectors tie in any number."""
+    rng = np.random.default_rng(5)
+    order = rng.permutation(499).tolist()
+    check_exact(spark, [(0, [1.0, 0.0])] + [(i + 1, [1.0, float(y)]) for i, y in enumerate(order)])
+    check_exact(spark, [(i, [float(x) for x in v]) for i, v in enumerate(rng.integers(-2, 3, (400, 4))) if v.any()])
+
+
+def test_crowded_shards_are_searched_in_parts(spark, small_shards, monkeypatch):
+    """Shards come from 12 of 900 vectors, most of which lie in one place."""
+    monkeypatch.setattr(vantage, "SAMPLE_ROWS", 12)
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.normal(size=(100, 3)), 1 + 1e-3 * rng.normal(size=(800, 3))])
+    sizes, split = [], vantage.Tree.build
+
+    def build(points, leaf_rows, seed=1):
+        tree = split(points, leaf_rows, seed)
+        sizes.append(len(tree.leaves))
+        return tree
+
+    monkeypatch.setattr(vantage.Tree, "build", build)
+    rows = [(i, x.tolist()) for i, x in enumerate(points)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got, want = found_nearest(vantage.nearest(df, "vec_id % 20 = 0", factor=1.0, shard_rows=40)), brute_nearest(rows)
+    assert {q: [i for i, _ in x] for q, x in got.items()} == {q: [i for i, _ in x] for q, x in want.items()}
+    assert len(sizes) == 1 and sizes[0] <= 12  # the driver's only tree is the sample's
+
+
 def test_tree_bounds_hold():
     points = np.random.default_rng(3).normal(size=(300, 5))
     tree = vantage.Tree.build(points, 10)
