@@ -70,6 +70,11 @@ def first_pages(site: Site, spark: SparkSession, today: Column | None = None) ->
     )
 
 
+def link_fields(site: Site) -> dict[str, Field]:
+    """The links of a listing page and the lists beside them."""
+    return {"href": Field(site.links, "all_attr:href")} | {f"b_{k}": f for k, f in site.beside.items()}
+
+
 def harvest_details(
     name: str, pages: DataFrame, gazetteer: Gazetteer, seeds: DataFrame | None = None,
     max_depth: int | None = None, today: Column | None = None,
@@ -92,8 +97,7 @@ def harvest_details(
     if site.entry:
         fields["e"] = Field(site.entry, "rows", sub=site.fields)
     else:
-        fields["href"] = Field(site.links, "all_attr:href")
-        fields |= {f"b_{k}": f for k, f in site.beside.items()}
+        fields |= link_fields(site)
     listing_path = site.entry or site.links
     like_listing = may_hold(F.col("body"), listing_path)
     if site.next_page:
@@ -113,7 +117,7 @@ def harvest_details(
     if site.entry:
         raw = listing.select("url", F.posexplode("e").alias("row_index", "raw"))
         return site.stages(gazetteer)(site.project(site, raw, gazetteer))
-    links = cut_lineage(_links(site, listing))
+    links = cut_lineage(listed_links(site, listing))
     wanted = links.select("url").distinct()
     details = dedupe_requests(pages.join(small_side(wanted), "url", "left_semi"))
     context = [k for k in site.beside if k]
@@ -122,8 +126,11 @@ def harvest_details(
     return site.stages(gazetteer)(map_site(name, details, gazetteer))
 
 
-def _links(site: Site, listing: DataFrame) -> DataFrame:
-    """`_page`, `_pos`, `url` and what stands beside each link followed."""
+def listed_links(site: Site, listing: DataFrame, *also: str) -> DataFrame:
+    """`_page`, `_pos`, `url` and what stands beside each link followed, and the columns `also` of its page.
+
+    `listing` holds `href` and the lists beside it as `fields_of` reads them.
+    """
     hrefs = F.col("href")
     if site.link_prefix:
         hrefs = F.array_compact(F.array(first_link_with_prefix(hrefs, site.link_prefix)))
@@ -135,9 +142,9 @@ def _links(site: Site, listing: DataFrame) -> DataFrame:
         return F.struct(h.alias("href"), *beside)
 
     pairs = amap(pair, hrefs, *lists) if lists else F.transform(hrefs, lambda h: pair(h))
-    found = listing.select(F.col("url").alias("_page"), F.posexplode(pairs).alias("_pos", "_l"))
+    found = listing.select(F.col("url").alias("_page"), *also, F.posexplode(pairs).alias("_pos", "_l"))
     return found.select(
-        "_page", "_pos", _target(site.base_url, F.col("_l.href")).alias("url"),
+        "_page", "_pos", *also, _target(site.base_url, F.col("_l.href")).alias("url"),
         *[F.col(f"_l.{k}") for k in names if k],
     )
 
