@@ -1,16 +1,18 @@
-"""Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
+"""Language-model scores from log-frequency Bloom filters of quantised n-gram counts.
 
 A count is quantised on a logarithmic scale; an n-gram of level q is put into the filter q times, each
 time together with a level from 1 to q. Asking for level 1, 2, ... until one is
-missing gives the level back, never too low, seldom too high. Word and word-pair counts and
-the counts of what followed a word are held like this.
+missing gives the level back, never too low, seldom too high.
 
-    P(w | v) = (c(v w) - DISCOUNT) / c(v) + (1 - (followed(v) - DISCOUNT * types(v)) / c(v)) * P(w)
+    P(w | v) = (c(v w) + MU * P(w)) / (c(v) + MU),    P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1))
 
-where followed(v) is the count of v's pairs in the filter and types(v) the number of different ones; the first
-term is 0 for a pair that is not there. P(w) is c(w) / N for a word in
-the filter; all other words of the training text share evenly, with one more for all unseen words, what
-is left. The end of a text is a word too, and the word before a text's first is that end.
+Every word and every pair of the training texts counts, however rare, so what is held grows with the corpus.
+Common words and very common pairs, of which there is a bounded number at any size, are in one filter
+that all workers get. All else is in shards: a document's pairs go to the shard of their second
+word, which counts them, fills its filter, asks it and sends back a sum per document. As the words before the words
+of a text are its own words once more, the sum over c(v) + MU is one over c(w) + MU, so a shard needs no
+other word's count. Pairs of a common second word, whose count all workers have, are spread by the whole pair.
+The end of a text is a word too, and the word before a text's first is that end.
 """
 
 import itertools
@@ -19,7 +21,6 @@ from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -31,15 +32,13 @@ from gleanfield.llm.common import remainder, short_batches, stored
 END = b""  # no word is empty
 STEP = 2**0.25  # ratio of neighbouring levels
 HASHES, BITS_PER_ENTRY = 6, 10
-DISCOUNT = 0.75
-# Words and pairs in the filter make up at least RARE of the training tokens each, so there are at most
-# 1 / RARE of either, and their levels together at most 1 / RARE / (1 - 1 / STEP) entries.
-RARE = 2e-7
-# Words counted exactly in each task's memory for the base score; there are at most 1 / COMMON.
-COMMON = 1e-6
-WORD, PAIR, FOLLOWED, TYPES = (
-    np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
-)
+MU = 1000.0  # weight of a word's own frequency against what followed the word before it
+# Words at hand in each task make up at least COMMON of the training tokens each, so there are at most
+# 1 / COMMON, and their levels together at most 1 / COMMON / (1 - 1 / STEP) entries. Pairs at hand make
+# up HOT each and are made of words that make up TOP each.
+COMMON, TOP, HOT = 1e-6, 1e-4, 1e-5
+SHARD_TOKENS = 1 << 20
+WORD, PAIR = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -49,8 +48,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """32 bits of each word: words that can be in a kept pair are bounded by 1 / RARE."""
-    return (a >> np.uint64(32)) << np.uint64(32) | (b >> np.uint64(32))
+    return mixed(a * np.uint64(0x165667B19E3779F9) + b)
 
 
 @dataclass
@@ -64,12 +62,13 @@ class LogFrequencyFilter:
         held = [(mixed(keys ^ kind), cls.level_of(counts, least)) for kind, keys, counts in counted]
         entries = int(sum(levels.sum() for _, levels in held))
         size = 1 << max(10, (BITS_PER_ENTRY * entries).bit_length())
-        bits = np.zeros(size // 8, np.uint8)
-        filter_ = cls(least, bits)
+        filter_ = cls(least, np.zeros(size // 8, np.uint8))
+        filled = np.zeros(size, bool)
         for keys, levels in held:
             for level in range(1, int(levels.max(initial=0)) + 1):
                 for position in filter_.positions(keys[levels >= level], level):
-                    np.bitwise_or.at(bits, position >> 3, np.uint8(1) << (position & 7).astype(np.uint8))
+                    filled[position] = True
+        filter_.bits = np.packbits(filled, bitorder="little")
         return filter_
 
     @staticmethod
@@ -90,8 +89,8 @@ class LogFrequencyFilter:
             found[found] = (self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
         return found
 
-    def counts(self, kind: np.uint64, keys: np.ndarray) -> np.ndarray:
-        """Estimated counts; 0 of what is not held."""
+    def levels(self, kind: np.uint64, keys: np.ndarray) -> np.ndarray:
+        """Levels by repeated probes; 0 of what is not held."""
         keys = mixed(keys ^ kind)
         level = np.zeros(len(keys), np.int64)
         open_ = np.arange(len(keys))
@@ -100,10 +99,18 @@ class LogFrequencyFilter:
             probe += 1
             open_ = open_[self.has(keys[open_], probe)]
             level[open_] = probe
-        # the middle of a level's range, which is a single count while steps are shorter than 1
-        low = self.least * STEP ** (level - 1)
-        first, last = np.ceil(low - 1e-9), np.ceil(low * STEP - 1e-9) - 1
-        return np.where(level > 0, np.sqrt(np.maximum(first, 1) * np.maximum(last, np.maximum(first, 1))), 0.0)
+        return level
+
+    def counts(self, kind: np.uint64, keys: np.ndarray) -> np.ndarray:
+        """Estimated counts; 0 of what is not held."""
+        return count_of(self.levels(kind, keys), self.least)
+
+
+def count_of(level: np.ndarray, least: float) -> np.ndarray:
+    """The middle of a level's range, which is a single count while steps are shorter than 1."""
+    low = least * STEP ** (level.astype(np.float64) - 1)
+    first, last = np.ceil(low - 1e-9), np.ceil(low * STEP - 1e-9) - 1
+    return np.where(level > 0, np.sqrt(np.maximum(first, 1) * np.maximum(last, np.maximum(first, 1))), 0.0)
 
 
 def tokens(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
@@ -185,106 +192,50 @@ def with_previous(place: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[end], place[:-1]]), place
 
 
-def pair_counts(train: DataFrame, words: LogFrequencyFilter, least: float, total: int) -> DataFrame:
-    """key and n of word pairs seen at least `least` times. Pairs of words seen less often cannot be among
-    them and are not counted. Within a task pairs are summed and sent in sorted blocks, one per bucket."""
-    spark = train.sparkSession
-    shared = spark.sparkContext.broadcast(words)
-    buckets = 1 << max(8, (total >> 21).bit_length())
-    shift = np.uint64(64 - buckets.bit_length() + 1)
+def top_pairs(train: DataFrame, words: LogFrequencyFilter, enough: float) -> DataFrame:
+    """key and n of the pairs of words that are counted `enough` times each, summed within a task first."""
+    shared = train.sparkSession.sparkContext.broadcast(words)
 
     def compute(batches):
-        cache = Words(lambda hashes: [shared.value.has(mixed(hashes ^ WORD), 1)])
-        held, size = [], 0
+        cache = Words(lambda hashes: [shared.value.counts(WORD, hashes) >= enough])
+        keys, n = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
             for some in text_slices([t or b"" for t in batch.column(0).to_pylist()]):
                 flat, _ = tokens(some)
                 place = cache.of(flat)
-                hashes, held_word = cache.columns
+                hashes, top = cache.columns
                 a, b = with_previous(place, cache.index[END])
-                both = held_word[a] & held_word[b]
-                keys, n = np.unique(pair_key(hashes[a[both]], hashes[b[both]]), return_counts=True)
-                held.append((keys, n))
-                size += len(keys)
-                if size > 4_000_000:
-                    held = [merged(held)]
-                    size = len(held[0][0])
-                    if size > 3_000_000:
-                        yield blocks(held)
-                        held, size = [], 0
-        if held:
-            yield blocks(held)
-
-    def blocks(held):
-        keys, n = merged(held)
-        spread = mixed(keys)
-        order = np.argsort(spread, kind="stable")
-        keys, n, bucket = keys[order], n[order], (spread[order] >> shift).astype(np.int64)
-        names, first = np.unique(bucket, return_index=True)
-        cuts = [*first.tolist(), len(keys)]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(names, pa.int64()),
-                pa.array([keys[a:b].tobytes() for a, b in itertools.pairwise(cuts)], pa.binary()),
-                pa.array([packed(n[a:b]) for a, b in itertools.pairwise(cuts)], pa.binary()),
-            ],
-            names=["bucket", "keys", "n"],
-        )
-
-    def total_of(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, n = merged([(np.frombuffer(k, np.uint64), unpacked(c)) for k, c in zip(rows["keys"], rows["n"])])
-        enough = n >= least
-        return pd.DataFrame({"key": keys[enough].view(np.int64), "n": n[enough]})
-
-    short_batches(spark)
-    return train.mapInArrow(compute, "bucket long, keys binary, n binary").groupBy("bucket").applyInPandas(total_of, "key long, n long")
-
-
-def merged(parts):
-    keys, where = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(where, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
-
-
-def packed(n: np.ndarray) -> bytes:
-    """Counts in a byte each if they fit, in eight otherwise."""
-    return n.astype(np.uint8).tobytes() + b"1" if n.max(initial=0) < 256 else n.astype(np.int64).tobytes() + b"8"
+                both = top[a] & top[b]
+                more, times = np.unique(pair_key(hashes[a[both]], hashes[b[both]]), return_counts=True)
+                keys, where = np.unique(np.concatenate([keys, more]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([n, times]), len(keys)).astype(np.int64)
+                if len(keys) > 500_000:
+                    yield out(keys, n)
+                    keys, n = keys[:0], n[:0]
+        yield out(keys, n)
+
+    def out(keys, n):
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
-
-def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data[:-1], np.uint8 if data[-1:] == b"1" else np.int64).astype(np.int64)
+    short_batches(train.sparkSession)
+    return train.mapInArrow(compute, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Model:
+    """What all workers have: common words and pairs in the filter, and common words exactly for the base score."""
+
     filter: LogFrequencyFilter
-    types: LogFrequencyFilter  # of the words that start pairs
-    exact: dict[bytes, int]  # counts of common words
+    exact: dict[bytes, int]
     tokens: int
     distinct: int
-    rest: float  # probability of each word that is not in the filter
 
     def cache(self) -> Words:
-        def describe(hashes):
-            starts = hashes >> np.uint64(32)
-            types = self.types.counts(TYPES, starts)
-            return [self.filter.counts(WORD, hashes), np.maximum(self.filter.counts(FOLLOWED, starts) - DISCOUNT * types, 0.0)]
-
-        return Words(describe)
-
-    def probabilities(self, cache: Words, place: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability after the one before it."""
-        hashes, count, kept = cache.columns
-        word = np.where(count > 0, count / max(self.tokens, 1), self.rest)[place]
-        before, after = with_previous(place, cache.index[END])
-        keys, where = np.unique(pair_key(hashes[before], hashes[after]), return_inverse=True)
-        asked = np.zeros(len(keys), bool)
-        asked[where[(count[before] > 0) & (count[after] > 0)]] = True
-        pairs = np.zeros(len(keys))
-        pairs[asked] = self.filter.counts(PAIR, keys[asked])
-        of = np.maximum(count[before], 1e-9)
-        share = np.minimum(kept[before] / of, 1.0)
-        pair = np.minimum(np.maximum(pairs[where] - DISCOUNT, 0.0) / of, share)
-        return np.log10(np.maximum(pair + (1 - share) * word, 1e-300))
+        return Words(lambda hashes: [self.filter.levels(WORD, hashes)])
+
+    def share(self, count: np.ndarray) -> np.ndarray:
+        """P(w) of a word counted so often."""
+        return (count + 0.5) / (self.tokens + 0.5 * (self.distinct + 1))
 
 
 def learn(docs: DataFrame, held_out: tuple[int, int]) -> tuple[Model, DataFrame]:
@@ -292,23 +243,66 @@ def learn(docs: DataFrame, held_out: tuple[int, int]) -> tuple[Model, DataFrame]
     counts = stored(vocabulary(train))
     got = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = got["n"] or 0, got["v"]
-    least = max(1.0, RARE * total)
-    # at most 1 / RARE rows
-    kept = counts.where(F.col("n") >= least).toArrow()
+    least = max(1.0, COMMON * total)
+    kept = counts.where(F.col("n") >= least).toArrow()  # at most 1 / COMMON rows
     names, n = kept.column("token").to_pylist(), kept.column("n").to_numpy()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
     words = LogFrequencyFilter.build(least, [(WORD, hashes, n)])
-    pairs = pair_counts(train, words, least, total).toArrow()
+    pairs = top_pairs(train, words, TOP * total).where(F.col("n") >= max(least, HOT * total)).toArrow()  # at most 1 / HOT rows
     keys, pair_n = pairs.column("key").to_numpy().view(np.uint64), pairs.column("n").to_numpy()
-    starts, where = np.unique(keys >> np.uint64(32), return_inverse=True)
-    followed, types = np.bincount(where, pair_n, len(starts)), np.bincount(where, minlength=len(starts))
-    whole = LogFrequencyFilter.build(least, [(WORD, hashes, n), (PAIR, keys, pair_n), (FOLLOWED, starts, followed)])
-    kinds = LogFrequencyFilter.build(1.0, [(TYPES, starts, types)])
-    left = max(1.0, total - float(whole.counts(WORD, hashes).sum())) / max(total, 1)
-    common = n >= COMMON * total
-    exact = {names[i]: int(n[i]) for i in np.flatnonzero(common)}
-    rest = left / (distinct - len(names) + 1)
-    return Model(whole, kinds, exact, int(total), int(distinct), rest), counts
+    whole = LogFrequencyFilter.build(least, [(WORD, hashes, n), (PAIR, keys, pair_n)])
+    exact = dict(zip(names, n.tolist()))
+    return Model(whole, exact, int(total), int(distinct)), counts
+
+
+# Rows between tasks: to the shards (kind 0 pairs of common second words, 1 of others, 2 a slice's documents), and back.
+SENT = "shard long, slice long, kind int, low binary, high binary, level binary, doc binary, word binary, docs binary"
+BACK = "slice long, shard long, doc binary, sums binary, docs binary"
+TRAINED = np.uint16(1 << 15)
+RARE_TYPE = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int32())]))
+
+
+def rows_of(schema: str, rows: list[dict]) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.RecordBatch.from_pylist(rows, pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")]))
+
+
+def base_of(model: Model, flat: list[bytes]) -> tuple[float, int, list[dict]]:
+    """The exact sum over a text's common words, their number, and its other words."""
+    base, seen, rare = 0.0, 0, []
+    for word, n in Counter(flat).items():
+        c = model.exact.get(word)
+        if c is None:
+            rare.append({"token": word, "n": n})
+        else:
+            base += n * math.log10(c + 0.5)
+            seen += n
+    return base, seen, rare
+
+
+def pairs_of(model: Model, cache: Words, texts: list[bytes], trained: np.ndarray, top: float):
+    """The tokens of some texts and their numbers, what of each score needs no shard, and the pairs for the shards:
+    second word's level (0 of a rare one) and hash, the pair's hash, and the document."""
+    flat, sizes = tokens(texts)
+    place = cache.of(flat)
+    hashes, level = cache.columns
+    before, _ = with_previous(place, cache.index[END])
+    doc = np.repeat(np.arange(len(texts)), sizes).astype(np.uint16)
+    count = count_of(level, model.filter.least)
+    common = level > 0
+    local = np.where(common, -np.log10(count + MU), 0.0)[place]
+    keys = pair_key(hashes[before], hashes[place])
+    asked = np.flatnonzero((count[before] >= top) & (count[place] >= top) & common[before] & common[place])
+    distinct, where = np.unique(keys[asked], return_inverse=True)
+    known = model.filter.counts(PAIR, distinct)[where]
+    held = asked[known > 0]
+    local[held] += np.log10(known[known > 0] + MU * model.share(count[place[held]]))
+    ends = np.cumsum(sizes)
+    sums = np.add.reduceat(local, ends - sizes)
+    open_ = np.ones(len(flat), bool)
+    open_[held] = False
+    doc = doc | np.where(trained, TRAINED, np.uint16(0))[doc]
+    return flat, sizes, sums, (level[place][open_].astype(np.uint8), hashes[place][open_], keys[open_], doc[open_])
 
 
 def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
@@ -316,7 +310,7 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
 
     Learns from the rows whose crc32(doc_id) modulo `held_out[0]` is not
     `held_out[1]`. base_score is exact: counts of common words are at hand in each task, those of
-    the rest are joined. score is the model's, from the filter alone.
+    the rest are joined. score is the model's, from the filters alone.
 
     A null text counts as empty, which has the one token of its end. A null
     doc_id stays null; repeated rows get a row each; an empty table gives no
@@ -325,47 +319,109 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
     spark = docs.sparkSession
     model, counts = learn(docs, held_out)
     shared = spark.sparkContext.broadcast(model)
+    top = TOP * model.tokens
+    shards = 1 << max(8, (model.tokens // SHARD_TOKENS).bit_length())
+    shift = np.uint64(64 - shards.bit_length() + 1)
 
-    def compute(batches):
-        own, row = shared.value, 0
+    def send(batches):
+        own = shared.value
         cache = own.cache()
-        part = TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 24
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            texts = [t or b"" for t in batch.column(1).to_pylist()]
+            ids, trained = batch.column(0), batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             at = 0
-            for some in text_slices(texts):
-                flat, sizes = tokens(some)
-                place = cache.of(flat)
-                logs = own.probabilities(cache, place)
-                ends = np.cumsum(sizes)
-                sums = np.add.reduceat(logs, ends - sizes)
-                out = []
-                for size, end in zip(sizes.tolist(), ends.tolist()):
-                    base, seen, rare = 0.0, 0, []
-                    for word, n in Counter(flat[end - size : end]).items():
-                        c = own.exact.get(word)
-                        if c is None:
-                            rare.append({"token": word, "n": n})
-                        else:
-                            base += n * math.log10(c + 0.5)
-                            seen += n
-                    out.append((base, seen, rare))
+            for some in text_slices([t or b"" for t in batch.column(1).to_pylist()]):
                 m = len(some)
-                yield pa.RecordBatch.from_arrays(
+                flat, sizes, sums, sent = pairs_of(own, cache, some, trained[at : at + m], top)
+                ends = np.cumsum(sizes).tolist()
+                base = [base_of(own, flat[end - size : end]) for size, end in zip(sizes.tolist(), ends)]
+                table = pa.table(
                     [
-                        pa.array(range(part + row, part + row + m), pa.int64()), pa.array(ids[at : at + m], pa.int64()),
-                        pa.array(sizes, pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[0] for x in out]),
-                        pa.array(sums), pa.array([x[2] for x in out], RARE_TYPE),
+                        ids[at : at + m], pa.array(sizes, pa.int64()), pa.array([b[1] for b in base], pa.int64()), pa.array([b[0] for b in base]),
+                        pa.array(sums), pa.array([b[2] for b in base], RARE_TYPE),
                     ],
-                    names=["row", "doc_id", "n_tokens", "seen", "base", "score", "rare"],
+                    names=["doc_id", "n_tokens", "seen", "base", "score", "rare"],
                 )
-                at, row = at + m, row + m
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, table.schema) as stream:
+                    stream.write_table(table)
+                out = [{"shard": number * 2654435761 % 2**32 % shards, "slice": number, "kind": 2, "docs": sink.getvalue().to_pybytes()}]
+                yield rows_of(SENT, out + list(packed(number, *sent)))
+                at, number = at + m, number + 1
+
+    def packed(number, level, word, key, doc):
+        """A row per shard, its pairs in the order of their hashes."""
+        spread = np.where(level > 0, key, mixed(word)) >> shift
+        for kind, own in enumerate((level > 0, level == 0)):
+            order = np.flatnonzero(own)
+            rest = key[order] & np.uint64((1 << 40) - 1)
+            order = order[np.lexsort((rest, spread[order]))]
+            cuts = np.flatnonzero(np.diff(spread[order], prepend=-1)).tolist() if len(order) else []
+            for a, z in zip(cuts, [*cuts[1:], len(order)]):
+                at = order[a:z]
+                columns = {"low": key[at].astype(np.uint32), "high": (key[at] >> np.uint64(32)).astype(np.uint8), "doc": doc[at]}
+                columns |= {"word": word[at]} if kind else {"level": level[at]}
+                yield {"shard": int(spread[at[0]]), "slice": number, "kind": kind} | {n: c.tobytes() for n, c in columns.items()}
+
+    def answer(_, rows):
+        own, kinds = shared.value, rows.column("kind").to_numpy()
+        answers, parts = [], []
+
+        def column(name, kind, at):
+            return np.concatenate([np.empty(0, kind), *[np.frombuffer(x, kind) for x in at.column(name).to_pylist()]])
+
+        for kind in (0, 1):
+            at = rows.filter(pa.array(kinds == kind))
+            key = column("high", np.uint8, at).astype(np.uint64) << np.uint64(32) | column("low", np.uint32, at)
+            doc = column("doc", np.uint16, at)
+            times = [len(x) // 2 for x in at.column("doc").to_pylist()]
+            slice_ = np.repeat(at.column("slice").to_numpy(), times)
+            trained = (doc & TRAINED) > 0
+            pairs, where = np.unique(key, return_inverse=True)
+            seen = np.bincount(where[trained], minlength=len(pairs))
+            counted = [(PAIR, pairs[seen > 0], seen[seen > 0])]
+            if kind:
+                words, of = np.unique(column("word", np.uint64, at), return_inverse=True)
+                met = np.bincount(of[trained], minlength=len(words))
+                counted.append((WORD, words[met > 0], met[met > 0]))
+            held = LogFrequencyFilter.build(1.0, counted)
+            found = held.counts(PAIR, pairs)[where]
+            if kind:
+                count = held.counts(WORD, words)[of]
+                logs = np.log10(found + MU * own.share(count)) - np.log10(count + MU)
+            else:
+                count = count_of(column("level", np.uint8, at), own.filter.least)
+                logs = np.log10(found + MU * own.share(count))
+            parts.append((slice_, doc & ~TRAINED, logs))
+        slice_, doc, logs = (np.concatenate(x) for x in zip(*parts))
+        names, where = np.unique(slice_, return_inverse=True)
+        cells, of = np.unique(where.astype(np.uint64) << np.uint64(16) | doc, return_inverse=True)
+        sums = np.bincount(of, logs, len(cells)).astype(np.float32)
+        doc = (cells & np.uint64(0xFFFF)).astype(np.uint16)
+        cuts = np.searchsorted((cells >> np.uint64(16)).astype(np.int64), np.arange(len(names) + 1)).tolist()
+        shard = rows.column("shard")[0].as_py()
+        for name, a, z in zip(names.tolist(), cuts, cuts[1:]):
+            answers.append({"slice": name, "shard": shard, "doc": doc[a:z].tobytes(), "sums": sums[a:z].tobytes()})
+        for row in rows.filter(pa.array(kinds == 2)).select(["slice", "docs"]).to_pylist():
+            answers.append(row | {"shard": -1})
+        return pa.Table.from_batches([rows_of(BACK, answers)])
+
+    def total(_, rows):
+        rows = sorted(rows.to_pylist(), key=lambda r: r["shard"])  # sums in one order, whatever the shards'
+        table = pa.ipc.open_stream(rows[0]["docs"]).read_all()
+        score = table.column("score").to_numpy().copy()
+        for r in rows[1:]:
+            score[np.frombuffer(r["doc"], np.uint16)] += np.frombuffer(r["sums"], np.float32)
+        row = (rows[0]["slice"] << 16) + np.arange(len(table))
+        table = table.set_column(table.column_names.index("score"), "score", pa.array(score))
+        return table.add_column(0, "row", pa.array(row))
 
     short_batches(spark)
+    trained = remainder(F.col("doc_id"), held_out[0]) != held_out[1]
+    sent = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary"), trained).mapInArrow(send, SENT)
     first = stored(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(
-            compute, "row long, doc_id long, n_tokens long, seen long, base double, score double, rare array<struct<token: binary, n: int>>"
+        sent.groupBy("shard").applyInArrow(answer, BACK).groupBy("slice").applyInArrow(
+            total, "row long, doc_id long, n_tokens long, seen long, base double, score double, rare array<struct<token: binary, n: int>>"
         )
     )
     rare = first.select("row", F.explode("rare").alias("x")).select("row", "x.token", F.col("x.n").alias("times"))
@@ -379,6 +435,3 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
         (F.col("seen") + F.coalesce("seen_rare", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("base_rare", F.lit(0.0)) - F.col("n_tokens") * each).alias("base_score"), "score",
     )
-
-
-RARE_TYPE = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int32())]))
