@@ -57,9 +57,29 @@ US: VA Virginia|VT Vermont|WA Washington|WI Wisconsin|WV West Virginia|WY Wyomin
 """
 
 
+# The same of further European countries. They come after the others, so that a code that
+# several countries have (`GA`, `MD`) stands for what most listings mean by it.
+MORE_SUBDIVISIONS = """
+AT: 1 Burgenland|2 Kärnten|3 Niederösterreich|4 Oberösterreich|5 Salzburg|6 Steiermark|7 Tirol|8 Vorarlberg|9 Wien
+BE: BRU Brussels Hoofdstedelijk Gewest|VLG Vlaams Gewest|WAL Wallonne, Région
+ES: AN Andalucía|AR Aragón|AS Asturias, Principado de|CB Cantabria|CL Castilla y León|CM Castilla-La Mancha
+ES: CN Canarias|CT Catalunya|EX Extremadura|GA Galicia|IB Illes Balears|MC Murcia, Región de|MD Madrid, Comunidad de
+ES: NC Navarra, Comunidad Foral de|PV País Vasco|RI La Rioja|VC Valenciana, Comunidad
+FR: ARA Auvergne-Rhône-Alpes|BFC Bourgogne-Franche-Comté|BRE Bretagne|CVL Centre-Val de Loire|GES Grand-Est
+FR: HDF Hauts-de-France|IDF Île-de-France|NAQ Nouvelle-Aquitaine|NOR Normandie|OCC Occitanie
+FR: PAC Provence-Alpes-Côte-d'Azur|PDL Pays-de-la-Loire
+IE: C Connaught|L Leinster|M Munster|U Ulster
+IT: 21 Piemonte|23 Valle d'Aosta|25 Lombardia|32 Trentino-Alto Adige|34 Veneto|36 Friuli Venezia Giulia
+IT: 42 Liguria|45 Emilia-Romagna|52 Toscana|55 Umbria|57 Marche|62 Lazio|65 Abruzzo|67 Molise|72 Campania
+IT: 75 Puglia|77 Basilicata|78 Calabria|82 Sicilia|88 Sardegna
+NL: DR Drenthe|FL Flevoland|FR Fryslân|GE Gelderland|GR Groningen|LI Limburg|NB Noord-Brabant|NH Noord-Holland
+NL: OV Overijssel|UT Utrecht|ZE Zeeland|ZH Zuid-Holland
+"""
+
+
 def default_countries(spark: SparkSession) -> DataFrame:
-    """ISO countries as the JVM knows them, in the order of their three-letter codes."""
-    locale = spark._jvm.java.util.Locale
+    """ISO countries as the JVM knows them, in the order of their three-letter codes, with their numeric codes."""
+    locale, region = spark._jvm.java.util.Locale, spark._jvm.com.ibm.icu.util.Region
     names = dict(
         entry.split(" ", 1) for line in ISO_NAMES.strip().splitlines() for entry in line.split("|")
     )
@@ -68,22 +88,28 @@ def default_countries(spark: SparkSession) -> DataFrame:
         place = locale("", alpha_2)
         display = place.getDisplayCountry(locale.ENGLISH)
         name = names.get(alpha_2, display)
-        rows.append((place.getISO3Country(), alpha_2, name, display if display != name else None))
+        numeric = region.getInstance(alpha_2).getNumericCode()
+        rows.append(
+            (place.getISO3Country(), alpha_2, f"{numeric:03}" if numeric > 0 else None, name, display if display != name else None)
+        )
     rows = [(i, *row) for i, row in enumerate(sorted(rows))]
     return spark.createDataFrame(
-        rows, "ord int, alpha_3 string, alpha_2 string, name string, common_name string"
+        rows, "ord int, alpha_3 string, alpha_2 string, numeric string, name string, common_name string"
     )
 
 
 def default_subdivisions(spark: SparkSession) -> DataFrame:
     rows = []
-    for line in ISO_SUBDIVISIONS.strip().splitlines():
-        country, entries = line.split(": ", 1)
-        for entry in entries.split("|"):
-            suffix, name = entry.split(" ", 1)
-            rows.append((f"{country}-{suffix}", name, country))
+    for table in (ISO_SUBDIVISIONS, MORE_SUBDIVISIONS):
+        listed = []
+        for line in table.strip().splitlines():
+            country, entries = line.split(": ", 1)
+            for entry in entries.split("|"):
+                suffix, name = entry.split(" ", 1)
+                listed.append((f"{country}-{suffix}", name, country))
+        rows += sorted(listed)
     return spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(sorted(rows))],
+        [(i, *row) for i, row in enumerate(rows)],
         "ord int, code string, name string, alpha_2 string",
     )
 
@@ -102,6 +128,20 @@ class Gazetteer:
     def default(cls, spark: SparkSession) -> "Gazetteer":
         return cls(default_countries(spark), default_subdivisions(spark))
 
+    @classmethod
+    def read(cls, spark: SparkSession, subdivisions: str, countries: str | None = None) -> "Gazetteer":
+        """Tables of one's own from CSV files with a header, whole lists of ISO 3166 say.
+
+        `subdivisions` has ord, code, name and alpha_2, `countries` (by default the JVM's) has ord, name, alpha_2 and
+        whatever else a country is written as.
+        """
+
+        def table(path: str) -> DataFrame:
+            found = spark.read.csv(path, header=True, quote='"', escape='"')
+            return found.withColumn("ord", F.col("ord").cast("int"))
+
+        return cls(table(countries) if countries else default_countries(spark), table(subdivisions))
+
     def country_tokens(self) -> DataFrame:
         """Every written form: `token`, `name`, `alpha_2`, `ord`."""
         forms = [c for c, t in self.countries.dtypes if t == "string"]

@@ -286,6 +286,22 @@ def q_json_rows(t):
     return _json(t)[0].select("event_id", F.col("row_index").cast("long").alias("row_index"), "title", "k")
 
 
+@query("""
+select event_id, 0::bigint row_index, event_type title, cast(user_id as double) n, event_type as tag, '[1,2]' mixed from events
+union all select event_id, 1, cast(user_id as varchar), user_id + 0.5, null, '{"a":"b"}' from events""")
+def q_json_rows_inferred(t):
+    """S4 with entries that nothing is declared of, of mixed types"""
+    doc = F.expr(
+        """concat('{"message": [], "list": [{"title": "', event_type, '", "n": ', user_id, ', "tags": ["x", "', event_type, '"], "mixed": [1, 2]}, """
+        """{"title": ', user_id, ', "n": ', user_id, '.5, "mixed": {"a": "b"}}]}')"""
+    )
+    rows = io.json_list_rows_inferred(t.bodies("events").select("event_id", doc.alias("body")), "body")
+    return rows.select(
+        "event_id", F.col("row_index").cast("long").alias("row_index"), "entry.title", F.col("entry.n").cast("double").alias("n"),
+        F.get("entry.tags", F.lit(1)).alias("tag"), "entry.mixed",
+    )
+
+
 @query("""
 select event_id, case when event_type = 'error' then 'unreadable document' else event_type end as message
 from (select event_id, event_type from events)""")

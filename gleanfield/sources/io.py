@@ -2,6 +2,7 @@
 
 import csv
 import io
+import re
 from datetime import datetime
 from functools import reduce
 
@@ -9,7 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType, DataType, NullType, StringType, StructField, StructType, VariantType,
+)
 
 from gleanfield.schema import EVENT_COLUMNS
 from gleanfield.session import cut_lineage
@@ -143,6 +146,33 @@ def json_list_rows(
     return rows.select(*keep, "row_index", "_e.*"), warnings
 
 
+def json_list_rows_inferred(df: DataFrame, body_col: str) -> DataFrame:
+    """S4 without a declared entry: `row_index` and `entry`, a struct whose fields all entries of `df` have told.
+
+    One pass over the documents merges the schemas of their entries; a field that is a number here and a decimal there
+    becomes the wider one, one that has no common type is given as text (of lists and objects: their JSON), and so is one that
+    is always null. A field an entry lacks is NULL, an entry that is not an object gives an `entry` of NULLs, a
+    document that cannot be read or has no list gives no row. Without any object `entry` has no fields.
+    """
+    keep = [c for c in df.columns if c != body_col]
+    listed = F.try_variant_get(F.try_parse_json(F.col(body_col)), "$.list", "array<variant>")
+    rows = df.select(*keep, F.posexplode(listed).alias("row_index", "_e"))
+    objects = F.when(F.schema_of_variant("_e").startswith("OBJECT"), F.col("_e"))
+    told = rows.agg(F.schema_of_variant_agg(objects)).first()[0]
+    shape = DataType.fromDDL(re.sub(r"\bOBJECT<", "STRUCT<", told)) if told.startswith("OBJECT<") else StructType()
+    named = F.try_variant_get("_e", "$", "map<string, variant>")
+    fields = []
+    for name in shape.fieldNames():
+        kind, value = shape[name].dataType, named[F.lit(name)]
+        if isinstance(kind, VariantType):
+            value = F.when(~F.is_variant_null(value), F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value)))
+        else:
+            value = F.try_variant_get(value, "$", "string" if isinstance(kind, NullType) else kind.simpleString())
+        fields.append(value.alias(name))
+    entry = F.struct(*fields) if fields else F.lit(None).cast("struct<>")
+    return rows.select(*keep, "row_index", entry.alias("entry"))
+
+
 def time_tag() -> str:
     return datetime.now().strftime("%Y_%m_%d__%H_%M_%S")
 

@@ -383,3 +383,19 @@ def test_size_check_gathers_sums_only(spark):
     plan = out.getvalue()
     before, after = plan.split("Exchange SinglePartition", 1)
     assert "Limit" not in plan and "partial_count" in after.split("\n")[1]
+
+
+def test_json_lists_without_a_declared_entry(spark):
+    docs = [
+        (1, '{"list": [{"a": 1, "b": "x", "c\'d e": null}, {"a": 2.5, "b": 7, "z": {"k": [1, "t"]}}, 5, null, "text"]}'),
+        (2, '{"message": ["m"], "list": []}'), (3, "{cut"), (4, None), (5, '{"list": [{"a": -3, "b": null}]}'), (6, '{"list": 9}'), (7, "[1]"),
+    ]
+    got = gio.json_list_rows_inferred(spark.createDataFrame(docs, "entry_id int, body string"), "body")
+    assert [f.name for f in got.schema["entry"].dataType] == ["a", "b", "c'd e", "z"]
+    rows = [(r.entry_id, r.row_index, *r.entry) for r in got.orderBy("entry_id", "row_index").collect()]
+    assert [(i, n, a is not None and float(a), b, c) for i, n, a, b, c, _ in rows] == [
+        (1, 0, 1.0, "x", None), (1, 1, 2.5, "7", None), (1, 2, False, None, None), (1, 3, False, None, None), (1, 4, False, None, None), (5, 0, -3.0, None, None),
+    ]
+    assert rows[1][5] is not None and rows[0][5] is None
+    none = gio.json_list_rows_inferred(spark.createDataFrame(docs[1:4], "entry_id int, body string"), "body")
+    assert none.count() == 0 and none.columns == ["entry_id", "row_index", "entry"]

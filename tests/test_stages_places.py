@@ -64,7 +64,7 @@ def test_country_in_text_against_brute_force(spark, gazetteer):
     got = g.country_in_text(df, "loc", small).collect()
     assert {r.loc: r.place and tuple(r.place) for r in got} == expected
     real = sorted(gazetteer.countries.collect(), key=lambda r: r.ord)
-    real = [(r.ord, r.name, r.alpha_2, r.alpha_3, r.common_name) for r in real]
+    real = [(r.ord, r.name, r.alpha_2, r.alpha_3, r.common_name, r.numeric) for r in real]
     texts = ["Lyon France", "London United Kingdom", "Seoul South Korea", "USA IN"]
     df = spark.createDataFrame([(t,) for t in texts], "loc string")
     got = {r.loc: tuple(r.place) for r in g.country_in_text(df, "loc", gazetteer).collect()}
@@ -91,6 +91,24 @@ def test_country_in_text_of_many_forms(spark, gazetteer):
     assert {r.loc: r.place and tuple(r.place) for r in rows} == {t: None if t is None else brute(t) for t in texts}
 
 
+def test_numeric_codes_and_further_subdivisions(spark, gazetteer):
+    rows = [("250", None), ("036", "nsw"), ("IT", "25"), ("FR", "FR-IDF"), ("NL", "nh"), ("US", "NH"), ("ES", "MD"), ("999", "x")]
+    df = spark.createDataFrame(rows, "country string, state string")
+    got = [(r.country, r.state) for r in g.normalize_place(df, gazetteer).collect()]
+    assert got[:3] == [("France", None), ("Australia", "nsw"), ("Italy", "Lombardia")]
+    assert got[3:] == [("France", "FR-IDF"), ("Netherlands", "Noord-Holland"), ("United States", "New Hampshire"), ("Spain", "Madrid, Comunidad de"), ("999", "x")]
+    places = spark.createDataFrame([("Atlanta, GA",), ("Milano, Lombardia",), ("Linz, Oberösterreich",)], "loc string")
+    found = [tuple(r.place) for r in g.city_state_or_country(places, "loc", gazetteer).collect()]
+    assert found == [("Atlanta", "Georgia", "United States"), ("Milano", "Lombardia", "Italy"), ("Linz", "Oberösterreich", "Austria")]
+
+
+def test_gazetteer_of_files(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('ord,code,name,alpha_2\n1,JP-13,"Tokyo, To",JP\n2,IN-KA,Karnataka,IN\n')
+    read = g.Gazetteer.read(spark, str(tmp_path / "s.csv"))
+    df = spark.createDataFrame([("JPN", "13"), ("IN", "ka")], "country string, state string")
+    assert [tuple(r) for r in g.normalize_place(df, read).collect()] == [("Japan", "Tokyo, To"), ("India", "Karnataka")]
+
+
 def test_event_type(spark):
     rows = [("Expo", "Any", None), (None, "Forum and Conference", None), ("", "Day", "A Workshop"),
             (None, "Day", "of course"), (None, "SUMMIT", None)]
