@@ -31,7 +31,7 @@ SKETCH = 64  # bytes of the signature compared within a region
 # Sketches of 64 values agree in 0.8 +- 0.05 of them at a similarity of 0.8; 0.575 is 4.5 deviations below.
 LOOKS_SIMILAR = 0.575
 # Clusters above either are verified by several tasks, in blocks of BLOCK_ROWS texts.
-GIANT_ROWS, GIANT_BYTES, BLOCK_ROWS = 3000, 48 << 20, 250
+GIANT_ROWS, GIANT_BYTES, BLOCK_ROWS = 2000, 32 << 20, 250
 
 _rng = np.random.default_rng(8)
 MULTIPLY = _rng.integers(1, 2**63, TREES * VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -52,7 +52,7 @@ class Shingles:
 
     def of(self, text: bytes) -> np.ndarray:
         words = text.lower().split()
-        if len(self.words) > 500_000:
+        if len(self.words) > 200_000:
             self.words.clear()
         known, get = self.words, self.words.get
         hashes = []
