@@ -147,7 +147,7 @@ def vocabulary(train: DataFrame) -> DataFrame:
         for batch in batches:
             for some in text_slices([t or b"" for t in batch.column(0).to_pylist()]):
                 held.update(tokens(some)[0])
-                if len(held) > 400_000:
+                if len(held) > 200_000:
                     yield from out(held)
                     held = Counter()
         yield from out(held)
@@ -165,7 +165,7 @@ class Words:
     """What is known of a task's words, each distinct word looked up once.
 
     `columns` has the words' hashes and what `describe` says of them; the cache
-    starts anew above 400,000 words.
+    starts anew above 200,000 words.
     """
 
     def __init__(self, describe):
@@ -178,7 +178,7 @@ class Words:
 
     def of(self, flat: list[bytes]) -> np.ndarray:
         """Places of `flat` in the columns."""
-        if len(self.index) > 400_000:
+        if len(self.index) > 200_000:
             self.clear()
         new = list(set(flat).difference(self.index))
         if new:
