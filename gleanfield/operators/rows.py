@@ -24,6 +24,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 from gleanfield.session import cut_lineage, small_side
 
 HOT_ROWS = 5_000_000
+RANGE_ROWS = 10_000  # rows of hot keys in a range at least, however low the threshold
 _SLICE = "_slice"
 
 
@@ -63,7 +64,7 @@ def _cut_hot_keys(df: DataFrame, keys: list[str], order: list[str], hot_rows: in
         return _Sliced(df.withColumn(_SLICE, F.lit(-1)), None, keys)
     named = small_side(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys]))
     shuffles = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = max(shuffles, -(-total // hot_rows))
+    ranges = max(shuffles, -(-total // max(hot_rows, RANGE_ROWS)))
     rows = df.join(named, _same(df, named, keys, "_h_"), "left_semi")
     # Kept, since what lies in which range must not change between two readings.
     rows = cut_lineage(

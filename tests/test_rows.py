@@ -173,3 +173,10 @@ def test_soft_update(spark, records, modes, expected):
     maps = [F.from_json(f"r{i}", "map<string,variant>") for i in range(len(records))]
     out = df.select(F.to_json(c.soft_update(maps, *modes)).alias("j")).first().j
     assert json.loads(out) == expected
+
+
+def test_a_low_threshold_makes_no_more_ranges(events, spark):
+    _, df = events
+    cut = rows._cut_hot_keys(df, ["k"], ["t", "i"], 1)
+    assert cut.hot.count() == df.count()
+    assert cut.hot.rdd.getNumPartitions() <= int(spark.conf.get("spark.sql.shuffle.partitions"))
