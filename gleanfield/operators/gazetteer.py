@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from gleanfield.functions.text import capitalize, strip
 from gleanfield.session import cut_lineage, small_side
 
-GRAM = 3  # characters by which written forms are looked up in texts
+GRAM = 3  # characters at the beginning of written forms by which they are looked up in texts
 
 # ISO short names that differ from the English display names of the JVM.
 ISO_NAMES = """
@@ -173,27 +173,25 @@ class Gazetteer:
 
     @cached_property
     def _last_forms(self) -> DataFrame:
-        """Each written form with the last country it stands for, and the length of its grams."""
+        """Each written form with the last country it stands for."""
         last = self.country_tokens().groupBy(F.col("token").alias("_token")).agg(
             F.max(F.struct(F.col("ord").alias("_ord"), F.col("name").alias("_name"))).alias("_last")
         )
-        return last.select("_token", "_last.*", F.least(F.length("_token"), F.lit(GRAM)).alias("_n"))
+        return small_side(cut_lineage(last.select("_token", "_last.*")))
 
     @cached_property
-    def _gram_lengths(self) -> list[int]:
-        """The lengths of grams in use, `GRAM` of them at most."""
-        return sorted(r["_n"] for r in self._last_forms.select("_n").distinct().collect())
+    def _form_lengths(self) -> DataFrame:
+        """The lengths of the written forms that begin with the same `GRAM` characters; shorter forms begin with themselves."""
+        lengths = self._last_forms.groupBy(F.left("_token", F.lit(GRAM)).alias("_gram")).agg(
+            F.collect_set(F.length("_token")).alias("_lengths")
+        )
+        return small_side(cut_lineage(lengths))
 
     @cached_property
-    def _forms_by_gram(self) -> DataFrame:
-        """Each written form under the one of its grams that the fewest forms have."""
-        grams = F.array_distinct(F.coalesce(*[F.when(F.col("_n") == n, _grams(F.col("_token"), n)) for n in range(1, GRAM + 1)]))
-        listed = self._last_forms.withColumn("_gram", F.explode(grams))
-        shared = listed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_forms"))
-        rarest = listed.join(shared, "_gram").groupBy("_token").agg(
-            F.min_by("_gram", F.struct("_forms", "_gram")).alias("_gram"), F.first("_ord").alias("_ord"), F.first("_name").alias("_name")
-        )
-        return small_side(cut_lineage(rarest))
+    def _gram_lengths(self) -> list[int]:
+        """The lengths of beginnings in use, `GRAM` of them at most."""
+        found = self._form_lengths.select(F.length("_gram").alias("n")).distinct().collect()
+        return sorted(r["n"] for r in found)
 
 
 def _first(tokens: DataFrame, key: Column, *values: str) -> DataFrame:
@@ -254,19 +252,23 @@ def country_in_text(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFra
     """The last country of which any written form occurs in the text (case-sensitive).
 
     Adds `place STRUCT<city, country>`; the city is the text before the country's name. Each
-    written form is listed under its rarest gram (three characters, or the whole of a shorter
-    form), each distinct text asks for its distinct grams, and only the pairs that meet are
-    compared. The result is joined back to the rows. The grouping per text needs a whole table:
-    a stream takes it batch by batch (see `streaming.pages`).
+    distinct text is looked through place by place: the three characters there (or the fewer of a
+    shorter form) say how long the forms are that begin so, and the runs of those lengths are
+    joined to the forms. So a text asks for few runs, however many forms there are, and each meets
+    one form at most. The result is joined back to the rows. The grouping per text needs a whole
+    table: a stream takes it batch by batch (see `streaming.pages`).
     """
     text = df.select(F.col(column).alias("_text")).where(F.col(column) != "").distinct()
     grams = reduce(
-        F.concat, [_grams(F.col("_text"), n) for n in gazetteer._gram_lengths], F.array().cast("array<string>")
+        F.concat, [_grams(F.col("_text"), n) for n in gazetteer._gram_lengths], F.array().cast(_GRAMS)
     )
-    asked = text.select("_text", F.explode(F.array_distinct(grams)).alias("_gram"))
-    hits = asked.join(gazetteer._forms_by_gram, "_gram").where(F.contains("_text", "_token"))
+    begun = text.select("_text", F.explode(grams).alias("_g")).select("_text", "_g.*")
+    asked = begun.join(gazetteer._form_lengths, "_gram").select("_text", "_at", F.explode("_lengths").alias("_n"))
+    runs = asked.select("_text", F.expr("substring(_text, _at, _n)").alias("_token"))
+    hits = runs.join(gazetteer._last_forms, "_token")
     last = hits.groupBy("_text").agg(F.max(F.struct("_ord", "_name"))["_name"].alias("_country"))
-    found = df.join(last, F.col(column) == F.col("_text"), "left")
+    # as many rows as there are texts: the driver does not broadcast them
+    found = df.join(last.hint("merge"), F.col(column) == F.col("_text"), "left")
     named = F.split_part(F.col(column), F.col("_country"), F.lit(1))
     place = F.struct(
         F.coalesce(named, F.col(column)).alias("city"), F.col("_country").alias("country")
@@ -274,8 +276,11 @@ def country_in_text(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFra
     return found.select(*df.columns, F.when(F.col(column).isNotNull(), place).alias("place"))
 
 
+_GRAMS = "array<struct<_at:int,_gram:string>>"
+
+
 def _grams(text: Column, n: int) -> Column:
-    """All runs of `n` characters."""
+    """All runs of `n` characters with their places, from 1."""
     starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1))
-    found = F.transform(starts, lambda i: F.substring(text, i, F.lit(n)))
-    return F.coalesce(found, F.array().cast("array<string>"))
+    found = F.transform(starts, lambda i: F.struct(i.alias("_at"), F.substring(text, i, F.lit(n)).alias("_gram")))
+    return F.coalesce(found, F.array()).cast(_GRAMS)

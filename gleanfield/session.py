@@ -56,7 +56,9 @@ def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20
     """Hint `df` for broadcast when its rows and bytes, counted in full, prove it small.
 
     Each partition is reduced to one row of sums, so nothing large meets in one task. A larger
-    side gets no hint: the join then shuffles, and adaptive execution splits its hot keys.
+    side is hinted for a merge join, or Spark's estimate, which knows neither how well a file is
+    compressed nor what `explode` makes of a row, could still have the driver broadcast it.
+    The join then shuffles, and adaptive execution splits its hot keys.
     """
     if df.isStreaming:
         return df
@@ -64,4 +66,4 @@ def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20
     seen = df.agg(
         F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")
     ).first()
-    return F.broadcast(df) if seen.rows <= max_rows and seen.bytes <= max_bytes else df
+    return F.broadcast(df) if seen.rows <= max_rows and seen.bytes <= max_bytes else df.hint("merge")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from gleanfield.operators import gazetteer as g
 from gleanfield.operators import stages
 from gleanfield.schema import EVENT_COLUMNS, EVENT_SCHEMA, REJECT
+from gleanfield.session import small_side
 
 
 def event(**values):
@@ -154,3 +155,25 @@ def test_compose(spark):
     assert stages.compose({b: [2, 0.5], a: 1, c: None})(df).first().s == "bab"
     with pytest.raises(TypeError):
         stages.compose({a: "1"})
+
+
+def _joins(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_side_not_proven_small_is_not_broadcast(spark):
+    side = spark.range(1000).withColumnRenamed("id", "k")
+    assert "BroadcastExchange" not in _joins(spark.range(1000).join(small_side(side, max_rows=10), F.col("id") == F.col("k")))
+    assert "BroadcastExchange" in _joins(spark.range(1000).join(small_side(side), F.col("id") == F.col("k")))
+
+
+def test_texts_looked_through_for_countries_are_not_broadcast(spark):
+    forms = spark.range(200_001).selectExpr("cast(id as int) ord", "'Port ' || id || 'X' name", "'P' || id || '.' alpha_2")
+    texts = spark.range(5).selectExpr("element_at(array('a Port 7X b', 'Port 17X or P9.', 'P9', '', null), cast(id + 1 as int)) loc")
+    found = g.country_in_text(texts, "loc", g.Gazetteer(forms, forms.limit(0)))
+    small = _joins(found).split("BroadcastExchange")[1:]
+    assert len(small) <= 1 and all("_lengths" in plan for plan in small)
+    places = {r.loc: r.place and tuple(r.place) for r in found.collect()}
+    assert places == {
+        "a Port 7X b": ("a ", "Port 7X"), "Port 17X or P9.": ("", "Port 17X"), "P9": ("P9", None), "": ("", None), None: None,
+    }
