@@ -43,10 +43,13 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
     result = _struct(fields)
     arrow_type = to_arrow_type(result)
     page_reader = markup.page_reader
+    made = []  # one reader for all batches of a task, as it remembers attributes
 
     @arrow_udf(result)
     def extract(pages: pa.Array) -> pa.Array:
-        read = page_reader(fields)
+        if not made:
+            made.append(page_reader(fields))
+        read = made[0]
         records = [read(p.as_py()) if p.is_valid else None for p in pages]
         return pa.array(records, type=arrow_type)
 
