@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanfield.session import cut_lineage
+from gleanfield.session import stored
 
 
 def calendar_seed(
@@ -64,7 +64,7 @@ def follow_pagination(
 
     `links` holds `url`, `next_url` (NULL at the end), `seeds` holds `seed`. Each round
     doubles the jump length, so a chain of n pages takes log2(n) rounds, each cut off by one
-    checkpoint that holds jumps and reached pages. A page met again ends the chain, and so
+    stored table that holds jumps and reached pages. A page met again ends the chain, and so
     does `max_depth` where given. Without `per_seed` a page counts once however many seeds
     reach it (`seed` is NULL), so that seeds of one chain do not multiply its pages.
     """
@@ -82,7 +82,7 @@ def follow_pagination(
         both = jump.select(blank.alias("seed"), "url", "next_url", at.alias("depth")).unionByName(
             reached.select("seed", "url", blank.alias("next_url"), "depth")
         )
-        both = cut_lineage(both)
+        both = stored(both)
         return (
             both.where("depth is null").select("url", "next_url"),
             both.where("depth is not null").select("seed", "url", "depth"),
@@ -91,14 +91,14 @@ def follow_pagination(
     jump, reached = kept(jump, start)
     length, pages = 1, reached.count()
     while max_depth is None or length <= max_depth:
-        further = reached.join(jump, "url").select(
+        further = reached.join(jump.hint("merge"), "url").select(
             "seed", F.col("next_url").alias("url"), (F.col("depth") + length).alias("depth")
         )
         if max_depth is not None:
             further = further.where(F.col("depth") <= max_depth)
         grown = reached.unionByName(further).groupBy("seed", "url").agg(F.min("depth").alias("depth"))
         after = jump.select(F.col("url").alias("next_url"), F.col("next_url").alias("_far"))
-        longer = jump.join(after, "next_url").select("url", F.col("_far").alias("next_url"))
+        longer = jump.join(after.hint("merge"), "next_url").select("url", F.col("_far").alias("next_url"))
         jump, reached = kept(longer, grown)
         now = reached.count()
         if now == pages:

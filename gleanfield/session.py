@@ -1,6 +1,7 @@
 """Session settings, lineage cuts and the size check behind every broadcast."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +42,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Only a local master may fall back to a temporary folder: executors of a
     cluster do not share one.
     """
+    _checkpoint_folder(df)
+    return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Files below the checkpoint folder, read again: what a loop hands from round to round.
+
+    A checkpoint keeps Spark's estimate of its size. A join's estimate is a product, so its digits
+    double with each round, until planning takes longer than the work.
+    """
+    spark = df.sparkSession
+    folder = f"{_checkpoint_folder(df)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def _checkpoint_folder(df: DataFrame) -> str:
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         folder = sc.getConf().get("spark.checkpoint.dir")
@@ -49,7 +67,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             folder = tempfile.mkdtemp(prefix="gleanfield-checkpoint-")
         sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    return sc.getCheckpointDir()
 
 
 def small_side(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 64 << 20) -> DataFrame:

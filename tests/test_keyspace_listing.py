@@ -125,3 +125,10 @@ def test_dedupe_and_context(spark):
     )
     got = listing.attach_listing_context(detail, entries, ["organizer"], order=["i"])
     assert sorted(map(tuple, got.collect())) == [("u", "listed"), ("w", "own"), ("z", None)]
+
+
+def test_estimated_size_does_not_grow_with_the_rounds_of_pagination(spark):
+    links = spark.range(600).selectExpr("'p' || id url", "if(id < 599, 'p' || (id + 1), null) next_url")
+    reached = listing.follow_pagination(links, spark.sql("select 'p0' seed"), per_seed=False)
+    assert reached.count() == 600
+    assert reached._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2**64
