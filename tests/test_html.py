@@ -83,3 +83,10 @@ def test_may_hold_reads_quoted_values_whole(spark):
     got = df.select(h.may_hold(F.col("html"), path).alias("m")).collect()
     assert [r.m for r in got] == [True, True, False]
     assert [take(path, page=p) for p in pages] == ["t", "t", None]
+
+
+def test_references_cut_short_stay_as_written():
+    text = Page('<h1>a &amp b &ampx; &am &quot; &eacute;&#233 &#x41; &copy</h1>')
+    link = Page('<a href="/?a=1&copy=2&amp;b&para">x</a>')
+    assert reader(Field((Rule("h1"),)))(text) == 'a &amp b &ampx; &am " éé A &copy'
+    assert reader(Field((Rule("a"),), "attr:href"))(link) == "/?a=1&copy=2&b&para"
