@@ -12,6 +12,7 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import StringType
 
 from gleanfield.functions.binding import let
+from gleanfield.operators.markup import decoded
 
 # The characters Python's str.strip() removes.
 BLANKS = (
@@ -87,9 +88,18 @@ def _unescape(text: pa.Array) -> pa.Array:
     return pa.array([None if t is None else unescape(t) for t in text.to_pylist()], pa.string())
 
 
-def html_unescape(text: Column) -> Column:
-    """Only values holding `&` travel to Python."""
-    return F.coalesce(_unescape(F.when(text.contains("&"), text)), text)
+@arrow_udf(StringType())
+def _unescape_whole(text: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else decoded(t) for t in text.to_pylist()], pa.string())
+
+
+def html_unescape(text: Column, whole: bool = False) -> Column:
+    """Only values holding `&` travel to Python.
+
+    With `whole` a named reference must end in `;`, as in the texts of page fields; else `&amp` counts too.
+    """
+    read = _unescape_whole if whole else _unescape
+    return F.coalesce(read(F.when(text.contains("&"), text)), text)
 
 
 def br_parts(markup: Column) -> Column:

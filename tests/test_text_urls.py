@@ -127,3 +127,8 @@ def test_places(column):
     assert [tuple(v) for v in got] == [("Basel", "CH"), ("Basel", None), ("", None)]
     got = column(places.venue_city, ["Hall 1, London", "Hall 1", "", "a, b, c"])
     assert [v and tuple(v) for v in got] == [("Hall 1", "London"), ("Hall 1", ""), ("", ""), None]
+
+
+def test_unescape_whole_references_only(column):
+    values = ["a &amp; &amp b &quot", "&copy; &#233; &bogus;", None]
+    assert column(lambda c: text.html_unescape(c, whole=True), values) == ["a & &amp b &quot", "© é &bogus;", None]
