@@ -42,16 +42,15 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
     """
     result = _struct(fields)
     arrow_type = to_arrow_type(result)
-    page_reader = markup.page_reader
-    made = []  # one reader for all batches of a task, as it remembers attributes
+    values_reader, arrow_structs = markup.values_reader, markup.arrow_structs
+    made = []  # one reader for all batches of a task, as it remembers layouts and attributes
 
     @arrow_udf(result)
     def extract(pages: pa.Array) -> pa.Array:
         if not made:
-            made.append(page_reader(fields))
+            made.append(values_reader(fields))
         read = made[0]
-        records = [read(p.as_py()) if p.is_valid else None for p in pages]
-        return pa.array(records, type=arrow_type)
+        return arrow_structs([None if p is None else read(p) for p in pages.to_pylist()], arrow_type)
 
     return extract.asNondeterministic()(html)
 

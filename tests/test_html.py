@@ -1,4 +1,7 @@
+import pyarrow as pa
+
 from gleanfield.operators import html as h
+from gleanfield.operators import markup
 from gleanfield.operators.markup import TAG, Field, Page, Rule, reader
 from pyspark.sql import functions as F
 
@@ -90,3 +93,47 @@ def test_references_cut_short_stay_as_written():
     link = Page('<a href="/?a=1&copy=2&amp;b&para">x</a>')
     assert reader(Field((Rule("h1"),)))(text) == 'a &amp b &ampx; &am " éé A &copy'
     assert reader(Field((Rule("a"),), "attr:href"))(link) == "/?a=1&copy=2&b&para"
+
+
+def test_pages_of_one_layout_are_read_by_rules_once(monkeypatch):
+    read_as_tree, trees = markup.Page, []
+    monkeypatch.setattr(markup, "Page", lambda *a: trees.append(a) or read_as_tree(*a))
+    label = lambda text: Rule("li", has=Rule("label", child=True, own_text=text))
+    fields = {
+        "name": Field((Rule("h1"),)), "href": Field((Rule("a", any_class=("w",)),), "attr:href"),
+        "when": Field((label("Date & Time:"),), "string"), "markup": Field((Rule("ul"),), "html"),
+        "rows": Field((Rule("li"),), "rows", sub={"t": Field((), "norm_text"), "l": Field((Rule("label"),), "all_text")}),
+        "code": Field((Rule("script"),), "string"), "bare": Field((Rule("b", no_text=True, after=Rule("h1")),), "attr:id", "-"),
+    }
+    page = "<h1>{}</h1><a class='{}' href='{}'>x</a><ul><li><label>{}</label> {}<li>2</ul><script>{}</script><b id=q{}>{}</b>"
+    read = markup.page_reader(fields)
+    plain = lambda text: {k: reader(f)(read_as_tree(text)) for k, f in fields.items()}
+    label_text = ["Date &amp; Time:", "Date & Time:", "Date &#38; Time:", "Other", "&amp;", ""]
+    made = [
+        page.format(name, css, f"/{n}?a=1&amp;b={n}", label_text[n % 6], n, code, n, bare)
+        for n in range(12) for name in ("A &amp; b", f"n{n}", "") for css in ("w", "x w", "v") for code in ("a&amp;b", "") for bare in ("", "t")
+    ]
+    for text in made:
+        assert read(text) == plain(text), text
+    made_trees = len(trees)
+    assert made_trees <= 4 * 2 * 2 * 2 * 2 * 2 and [read(text) for text in made] == [plain(text) for text in made]
+    assert len(trees) == made_trees
+
+
+def test_layouts_remembered_are_bounded(monkeypatch):
+    monkeypatch.setattr(markup, "_LAYOUT_TOKENS", 40)
+    layouts = markup._Layouts({"b": Field((Rule("b"),))})
+    for n in range(30):
+        text = "<b>" * n + "x"
+        pieces = markup._TOKEN.split(text)
+        layouts.of(text, pieces)
+        assert layouts.tokens <= 42 + n and len(layouts.known) <= 40
+
+
+def test_arrow_of_rows_within_rows():
+    kind = pa.struct([("a", pa.string()), ("r", pa.list_(pa.struct([("t", pa.list_(pa.string())), ("s", pa.list_(pa.struct([("u", pa.string())])))])))])
+    records = [["x", [[["1", None], [["p"], [None]]], [[], []]]], None, [None, []]]
+    assert markup.arrow_structs(records, kind).to_pylist() == [
+        {"a": "x", "r": [{"t": ["1", None], "s": [{"u": "p"}, {"u": None}]}, {"t": [], "s": []}]}, None, {"a": None, "r": []},
+    ]
+    assert markup.arrow_structs([], kind).to_pylist() == [] and markup.arrow_structs([None], kind).to_pylist() == [None]
