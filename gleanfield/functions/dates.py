@@ -23,10 +23,15 @@ def _groups(text: Column, pattern: str, count: int, body) -> Column:
     One regex pass per value: the groups are written side by side and split again.
     """
     marks = _SEP.join(f"${i}" for i in range(1, count + 1))
-    found = F.split(F.regexp_replace(text, f"^{pattern}$", marks), _SEP)
+    found = let(
+        F.split(F.regexp_replace(text, f"^{pattern}$", marks), _SEP),
+        lambda parts: F.when(F.size(parts) == count, parts),
+    )
     return let(
-        F.transform(F.when(F.size(found) == count, found), lambda g: F.nullif(g, F.lit(""))),
-        lambda groups: body(*[F.get(groups, F.lit(i)) for i in range(count)]),
+        F.transform(found, lambda g: F.nullif(g, F.lit(""))),
+        lambda groups: F.when(
+            groups.isNotNull(), body(*[F.get(groups, F.lit(i)) for i in range(count)])
+        ),
     )
 
 
@@ -106,10 +111,15 @@ def day_month_range(text: Column) -> Column:
     cut = F.regexp_replace(
         F.regexp_replace(_tidy(text), r"^\p{L}\S* ", ""), r"(?s) [^ :]*:.*$", ""
     )
-    read = lambda *p: let(
-        F.concat_ws(" ", *p),
-        lambda day: F.coalesce(F.try_to_date(day, "d MMMM yyyy"), F.try_to_date(day, "d MMM yyyy")),
-    )
+    full = lambda day: F.try_to_date(day, "d MMMM yyyy")
+    short = lambda day: F.try_to_date(day, "d MMM yyyy")
+
+    # A failed attempt costs more than all else, and of three letters no full name but May is read.
+    def read(day, month, year):
+        return let(
+            F.concat_ws(" ", day, month, year),
+            lambda text: F.when(F.length(month) == 3, short(text)).otherwise(F.coalesce(full(text), short(text))),
+        )
 
     def span(d1, m1, y1, d2, m2, y2):
         start = read(d1, F.coalesce(m1, m2), F.coalesce(y1, y2))

@@ -1,5 +1,7 @@
 """URL functions, evaluated wholly in the JVM."""
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -123,8 +125,11 @@ def is_url(text: Column) -> Column:
 
 
 _CLEANED = "trim(LEADING '{leading}' FROM translate({c}, '\\t\\r\\n', ''))"
+# What cleaning leaves as it is: nothing to decode, no `;`, and a query of at most one key, which is kept.
+_CLEAN_ALREADY = r"^[a-z][a-z0-9]*+://[A-Za-z0-9.\-]++(?:/[A-Za-z0-9._\-/]*+)?(?:\?(?!{prefix})[A-Za-z0-9._\-]++=[A-Za-z0-9._\-]++)?\z"
 _CLEAN_URL = """
-CASE WHEN contains({c}, '://') AND {cleaned} RLIKE r'{is_url}' THEN
+CASE WHEN NOT contains({c}, '://') OR {c} RLIKE r'{clean_already}' THEN {c}
+WHEN {cleaned} RLIKE r'{is_url}' THEN
   transform(
     array(split(regexp_replace({cleaned}, r'{cut}', '$1\\u0001$2\\u0001$3\\u0001$4'), '\\u0001')),
     part -> concat(
@@ -166,6 +171,7 @@ def clean_url(column: str, prefix: str = "utm") -> Column:
         _CLEAN_URL.format(
             c=c, cleaned=_CLEANED.format(c=c, leading=leading), is_url=_IS_URL, cut=_CUT,
             empty_params=_EMPTY_PARAMS, prefix=prefix,
+            clean_already=_CLEAN_ALREADY.format(prefix=re.escape(prefix)),
         )
     )
 

@@ -132,3 +132,15 @@ def test_places(column):
 def test_unescape_whole_references_only(column):
     values = ["a &amp; &amp b &quot", "&copy; &#233; &bogus;", None]
     assert column(lambda c: text.html_unescape(c, whole=True), values) == ["a & &amp b &quot", "© é &bogus;", None]
+
+
+def test_clean_urls_are_left_as_they_are(column):
+    left = ["http://x.org", "http://x.org/a/b-c_d.html", "https://x.org/?id=7", "http://x.org?id=a.b-c"]
+    changed = {
+        "http://x.org/?utm_source=7": "http://x.org/", "http://x.org/a?": "http://x.org/a", "http://x.org/a;": "http://x.org/a",
+        "HTTP://x.org/": "http://x.org/", "http://x.org/a\n": "http://x.org/a", "http://x.org/?a=1&a=2": "http://x.org/?a=1",
+        "http://x.org/?a=": "http://x.org/", "http://x.org/?a=b c": "http://x.org/?a=b+c",
+    }
+    shortcut = re.compile(urls._CLEAN_ALREADY.format(prefix="utm").replace(r"\z", r"\Z"))
+    assert all(map(shortcut.match, left)) and not any(map(shortcut.match, changed))
+    assert column(lambda c: urls.clean_url("v"), [*left, *changed]) == [*left, *changed.values()]
