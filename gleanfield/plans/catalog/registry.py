@@ -19,7 +19,7 @@ def query(sql: str | None = None):
 
     def register(fn):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(Tables(configure(spark), folder))
+            return fn(Tables(configure(spark, task_bytes="16m"), folder))
 
         QUERIES[fn.__name__] = run
         if sql is not None:

@@ -15,9 +15,17 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def configure(spark: SparkSession, task_bytes: str | None = None) -> SparkSession:
+    """`task_bytes` is what a shuffle hands to one task: less than Spark's 64 MB where the work on small rows is long."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    if task_bytes is None:
+        spark.conf.unset(TASK_BYTES)
+    else:
+        spark.conf.set(TASK_BYTES, task_bytes)
     return spark
 
 
