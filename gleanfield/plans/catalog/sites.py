@@ -309,8 +309,9 @@ def _flow(name, listing, details, gazetteer, **how):
     """Accepted events; every detail page was captured twice, and so was every listing."""
     from gleanfield.operators.stages import accepted
 
-    pages = listing.unionByName(details)
-    out = accepted(harvest_details(name, pages.unionByName(pages), gazetteer, **how))
+    # a body is written once for both captures
+    pages = listing.unionByName(details).withColumn("capture", F.explode(F.array(F.lit(1), F.lit(2))))
+    out = accepted(harvest_details(name, pages.drop("capture"), gazetteer, **how))
     return out.withColumn("start_date", F.col("start"))
 
 
