@@ -164,8 +164,8 @@ def vocabulary(train: DataFrame) -> DataFrame:
 class Words:
     """What is known of a task's words, each distinct word looked up once.
 
-    `columns` has the words' hashes and what `describe` says of them; the cache
-    starts anew above 200,000 words.
+    `columns` has the words' hashes and what `describe` says of the words and hashes; the
+    cache starts anew above 200,000 words.
     """
 
     def __init__(self, describe):
@@ -174,7 +174,7 @@ class Words:
 
     def clear(self):
         none = np.empty(0, np.uint64)
-        self.index, self.columns = {}, [none, *self.describe(none)]
+        self.index, self.columns = {}, [none, *self.describe([], none)]
 
     def of(self, flat: list[bytes]) -> np.ndarray:
         """Places of `flat` in the columns."""
@@ -184,7 +184,7 @@ class Words:
         if new:
             self.index.update(zip(new, itertools.count(len(self.index))))
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, new), np.uint64, len(new))
-            self.columns = [np.concatenate(x) for x in zip(self.columns, [hashes, *self.describe(hashes)])]
+            self.columns = [np.concatenate(x) for x in zip(self.columns, [hashes, *self.describe(new, hashes)])]
         return np.fromiter(map(self.index.__getitem__, flat), np.int64, len(flat))
 
 
@@ -192,29 +192,30 @@ def with_previous(place: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([[end], place[:-1]]), place
 
 
-def top_pairs(train: DataFrame, words: LogFrequencyFilter, enough: float) -> DataFrame:
-    """key and n of the pairs of words that are counted `enough` times each, summed within a task first."""
-    shared = train.sparkSession.sparkContext.broadcast(words)
+def top_pairs(train: DataFrame, names: list[bytes], hashes: np.ndarray) -> DataFrame:
+    """key and n of the pairs that two of the words `names` make, summed within a task first."""
+    shared = train.sparkSession.sparkContext.broadcast((dict(zip(names, itertools.count())), hashes))
 
     def compute(batches):
-        cache = Words(lambda hashes: [shared.value.counts(WORD, hashes) >= enough])
-        keys, n = np.empty(0, np.uint64), np.empty(0, np.int64)
+        index, _ = shared.value
+        pairs, n = np.empty(0, np.int64), np.empty(0, np.int64)
         for batch in batches:
             for some in text_slices([t or b"" for t in batch.column(0).to_pylist()]):
                 flat, _ = tokens(some)
-                place = cache.of(flat)
-                hashes, top = cache.columns
-                a, b = with_previous(place, cache.index[END])
-                both = top[a] & top[b]
-                more, times = np.unique(pair_key(hashes[a[both]], hashes[b[both]]), return_counts=True)
-                keys, where = np.unique(np.concatenate([keys, more]), return_inverse=True)
-                n = np.bincount(where, np.concatenate([n, times]), len(keys)).astype(np.int64)
-                if len(keys) > 500_000:
-                    yield out(keys, n)
-                    keys, n = keys[:0], n[:0]
-        yield out(keys, n)
-
-    def out(keys, n):
+                place = np.fromiter(map(index.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+                a, b = with_previous(place, index.get(END, -1))
+                both = (a >= 0) & (b >= 0)
+                more, times = np.unique(a[both] << 32 | b[both], return_counts=True)
+                pairs, where = np.unique(np.concatenate([pairs, more]), return_inverse=True)
+                n = np.bincount(where, np.concatenate([n, times]), len(pairs)).astype(np.int64)
+                if len(pairs) > 500_000:
+                    yield out(pairs, n)
+                    pairs, n = pairs[:0], n[:0]
+        yield out(pairs, n)
+
+    def out(pairs, n):
+        _, hashes = shared.value
+        keys = pair_key(hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF])
         return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     short_batches(train.sparkSession)
@@ -231,7 +232,13 @@ class Model:
     distinct: int
 
     def cache(self) -> Words:
-        return Words(lambda hashes: [self.filter.levels(WORD, hashes)])
+        """Words with their levels, and log10(c + 0.5) by their exact counts, NaN of those not common."""
+
+        def describe(names, hashes):
+            exact = np.fromiter((self.exact.get(name, -1) for name in names), np.int64, len(names))
+            return [self.filter.levels(WORD, hashes), np.where(exact < 0, np.nan, np.log10(np.maximum(exact, 0) + 0.5))]
+
+        return Words(describe)
 
     def share(self, count: np.ndarray) -> np.ndarray:
         """P(w) of a word counted so often."""
@@ -248,7 +255,9 @@ def learn(docs: DataFrame, held_out: tuple[int, int]) -> tuple[Model, DataFrame]
     names, n = kept.column("token").to_pylist(), kept.column("n").to_numpy()
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, names), np.uint64, len(names))
     words = LogFrequencyFilter.build(least, [(WORD, hashes, n)])
-    pairs = top_pairs(train, words, TOP * total).where(F.col("n") >= max(least, HOT * total)).toArrow()  # at most 1 / HOT rows
+    top = words.counts(WORD, hashes) >= TOP * total
+    pairs = top_pairs(train, [names[i] for i in np.flatnonzero(top)], hashes[top])
+    pairs = pairs.where(F.col("n") >= max(least, HOT * total)).toArrow()  # at most 1 / HOT rows
     keys, pair_n = pairs.column("key").to_numpy().view(np.uint64), pairs.column("n").to_numpy()
     whole = LogFrequencyFilter.build(least, [(WORD, hashes, n), (PAIR, keys, pair_n)])
     exact = dict(zip(names, n.tolist()))
@@ -267,25 +276,27 @@ def rows_of(schema: str, rows: list[dict]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist(rows, pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in schema.split(", ")]))
 
 
-def base_of(model: Model, flat: list[bytes]) -> tuple[float, int, list[dict]]:
-    """The exact sum over a text's common words, their number, and its other words."""
-    base, seen, rare = 0.0, 0, []
-    for word, n in Counter(flat).items():
-        c = model.exact.get(word)
-        if c is None:
-            rare.append({"token": word, "n": n})
-        else:
-            base += n * math.log10(c + 0.5)
-            seen += n
-    return base, seen, rare
+def base_of(cache: Words, place: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.ListArray]:
+    """For each text, whose words are at `place` in the cache: the exact sum over its common words, their number, and its other words."""
+    base = cache.columns[2][place]
+    rare = np.isnan(base)
+    starts = np.cumsum(sizes) - sizes
+    of = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)[rare]
+    met, n = np.unique(of << np.uint64(32) | place[rare].astype(np.uint64), return_counts=True)
+    cuts = np.searchsorted(met >> np.uint64(32), np.arange(len(sizes) + 1, dtype=np.uint64))
+    names = list(cache.index)
+    words = pa.array([names[i] for i in (met & np.uint64(0xFFFFFFFF)).tolist()], pa.binary())
+    listed = pa.StructArray.from_arrays([words, pa.array(n.astype(np.int32))], fields=list(RARE_TYPE.value_type))
+    others = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), listed, type=RARE_TYPE)
+    return np.add.reduceat(np.where(rare, 0.0, base), starts), np.add.reduceat(~rare, starts, dtype=np.int64), others
 
 
 def pairs_of(model: Model, cache: Words, texts: list[bytes], trained: np.ndarray, top: float):
-    """The tokens of some texts and their numbers, what of each score needs no shard, and the pairs for the shards:
+    """The places of some texts' tokens and their numbers, what of each score needs no shard, and the pairs for the shards:
     second word's level (0 of a rare one) and hash, the pair's hash, and the document."""
     flat, sizes = tokens(texts)
     place = cache.of(flat)
-    hashes, level = cache.columns
+    hashes, level, _ = cache.columns
     before, _ = with_previous(place, cache.index[END])
     doc = np.repeat(np.arange(len(texts)), sizes).astype(np.uint16)
     count = count_of(level, model.filter.least)
@@ -302,7 +313,7 @@ def pairs_of(model: Model, cache: Words, texts: list[bytes], trained: np.ndarray
     open_ = np.ones(len(flat), bool)
     open_[held] = False
     doc = doc | np.where(trained, TRAINED, np.uint16(0))[doc]
-    return flat, sizes, sums, (level[place][open_].astype(np.uint8), hashes[place][open_], keys[open_], doc[open_])
+    return place, sizes, sums, (level[place][open_].astype(np.uint8), hashes[place][open_], keys[open_], doc[open_])
 
 
 def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
@@ -332,14 +343,10 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
             at = 0
             for some in text_slices([t or b"" for t in batch.column(1).to_pylist()]):
                 m = len(some)
-                flat, sizes, sums, sent = pairs_of(own, cache, some, trained[at : at + m], top)
-                ends = np.cumsum(sizes).tolist()
-                base = [base_of(own, flat[end - size : end]) for size, end in zip(sizes.tolist(), ends)]
+                place, sizes, sums, sent = pairs_of(own, cache, some, trained[at : at + m], top)
+                base, seen, rare = base_of(cache, place, sizes)
                 table = pa.table(
-                    [
-                        ids[at : at + m], pa.array(sizes, pa.int64()), pa.array([b[1] for b in base], pa.int64()), pa.array([b[0] for b in base]),
-                        pa.array(sums), pa.array([b[2] for b in base], RARE_TYPE),
-                    ],
+                    [ids[at : at + m], pa.array(sizes, pa.int64()), pa.array(seen), pa.array(base), pa.array(sums), rare],
                     names=["doc_id", "n_tokens", "seen", "base", "score", "rare"],
                 )
                 sink = pa.BufferOutputStream()
@@ -355,7 +362,7 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
         for kind, own in enumerate((level > 0, level == 0)):
             order = np.flatnonzero(own)
             rest = key[order] & np.uint64((1 << 40) - 1)
-            order = order[np.lexsort((rest, spread[order]))]
+            order = order[np.argsort(spread[order] << np.uint64(40) | rest)]  # of 2^24 shards at most
             cuts = np.flatnonzero(np.diff(spread[order], prepend=-1)).tolist() if len(order) else []
             for a, z in zip(cuts, [*cuts[1:], len(order)]):
                 at = order[a:z]

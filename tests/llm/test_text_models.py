@@ -371,3 +371,20 @@ def test_names_of_few_words_are_learned_in_a_large_table(spark):
         texts = {r["page_id"]: r["text"] for r in got}
         assert texts[3] == texts[None] == "the text itself"
         assert texts[4] == "some words in a box\n\nthe text itself" and texts[1].strip() == ("text " * 50).strip()
+
+
+def test_base_of_some_texts_equals_a_count_word_by_word():
+    m = ngram_model
+    exact = {m.END: 3, b"a": 5, b"b": 1}
+    words = m.LogFrequencyFilter.build(1.0, [(m.WORD, np.arange(3, dtype=np.uint64), np.array(list(exact.values())))])
+    cache = m.Model(words, exact, 9, 3).cache()
+    texts = [b"a b A zz zz q", b"", b"q", b"a"]
+    cache.of([b"unheard"])
+    flat, sizes = m.tokens(texts)
+    base, seen, rare = m.base_of(cache, cache.of(flat), sizes)
+    ends = np.cumsum(sizes)
+    for text, end, size, total, known, others in zip(texts, ends, sizes, base, seen, rare.to_pylist()):
+        counted = Counter(flat[end - size : end])
+        assert math.isclose(total, sum(n * math.log10(exact[w] + 0.5) for w, n in counted.items() if w in exact))
+        assert known == sum(n for w, n in counted.items() if w in exact), text
+        assert {r["token"]: r["n"] for r in others} == {w: n for w, n in counted.items() if w not in exact}
