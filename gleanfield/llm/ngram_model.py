@@ -126,8 +126,8 @@ def training(docs: DataFrame, held_out: tuple[int, int]) -> DataFrame:
     return docs.where(learned).select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
-def text_slices(texts: list[bytes], most: int = 4 << 20):
-    """Texts in lists of about `most` bytes."""
+def text_slices(texts: list[bytes], most: int = 2 << 20):
+    """Texts in lists of about `most` bytes: a slice's tokens and what is said of them take some 30 times that."""
     held, size = [], 0
     for t in texts:
         if held and size + len(t) > most:
@@ -316,6 +316,36 @@ def pairs_of(model: Model, cache: Words, texts: list[bytes], trained: np.ndarray
     return place, sizes, sums, (level[place][open_].astype(np.uint8), hashes[place][open_], keys[open_], doc[open_])
 
 
+def sent_rows(model: Model, cache: Words, ids: pa.Array, texts: list[bytes], trained: np.ndarray, top: float, number: int, shards: int) -> pa.RecordBatch:
+    """The rows of SENT of the slice `number`. What it is made of is let go before the next slice."""
+    place, sizes, sums, sent = pairs_of(model, cache, texts, trained, top)
+    base, seen, rare = base_of(cache, place, sizes)
+    table = pa.table(
+        [ids, pa.array(sizes, pa.int64()), pa.array(seen), pa.array(base), pa.array(sums), rare],
+        names=["doc_id", "n_tokens", "seen", "base", "score", "rare"],
+    )
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as stream:
+        stream.write_table(table)
+    own = {"shard": number * 2654435761 % 2**32 % shards, "slice": number, "kind": 2, "docs": sink.getvalue().to_pybytes()}
+    return rows_of(SENT, [own, *packed(number, *sent, shards)])
+
+
+def packed(number: int, level: np.ndarray, word: np.ndarray, key: np.ndarray, doc: np.ndarray, shards: int):
+    """A row per shard, its pairs in the order of their hashes."""
+    spread = np.where(level > 0, key, mixed(word)) >> np.uint64(64 - shards.bit_length() + 1)
+    for kind, own in enumerate((level > 0, level == 0)):
+        order = np.flatnonzero(own)
+        rest = key[order] & np.uint64((1 << 40) - 1)
+        order = order[np.argsort(spread[order] << np.uint64(40) | rest)]  # of 2^24 shards at most
+        cuts = np.flatnonzero(np.diff(spread[order], prepend=-1)).tolist() if len(order) else []
+        for a, z in zip(cuts, [*cuts[1:], len(order)]):
+            at = order[a:z]
+            columns = {"low": key[at].astype(np.uint32), "high": (key[at] >> np.uint64(32)).astype(np.uint8), "doc": doc[at]}
+            columns |= {"word": word[at]} if kind else {"level": level[at]}
+            yield {"shard": int(spread[at[0]]), "slice": number, "kind": kind} | {n: c.tobytes() for n, c in columns.items()}
+
+
 def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score per row of `docs` (doc_id, text).
 
@@ -332,7 +362,6 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     top = TOP * model.tokens
     shards = 1 << max(8, (model.tokens // SHARD_TOKENS).bit_length())
-    shift = np.uint64(64 - shards.bit_length() + 1)
 
     def send(batches):
         own = shared.value
@@ -343,32 +372,9 @@ def score(docs: DataFrame, held_out: tuple[int, int] = (5, 1)) -> DataFrame:
             at = 0
             for some in text_slices([t or b"" for t in batch.column(1).to_pylist()]):
                 m = len(some)
-                place, sizes, sums, sent = pairs_of(own, cache, some, trained[at : at + m], top)
-                base, seen, rare = base_of(cache, place, sizes)
-                table = pa.table(
-                    [ids[at : at + m], pa.array(sizes, pa.int64()), pa.array(seen), pa.array(base), pa.array(sums), rare],
-                    names=["doc_id", "n_tokens", "seen", "base", "score", "rare"],
-                )
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema) as stream:
-                    stream.write_table(table)
-                out = [{"shard": number * 2654435761 % 2**32 % shards, "slice": number, "kind": 2, "docs": sink.getvalue().to_pybytes()}]
-                yield rows_of(SENT, out + list(packed(number, *sent)))
+                yield sent_rows(own, cache, ids[at : at + m], some, trained[at : at + m], top, number, shards)
                 at, number = at + m, number + 1
-
-    def packed(number, level, word, key, doc):
-        """A row per shard, its pairs in the order of their hashes."""
-        spread = np.where(level > 0, key, mixed(word)) >> shift
-        for kind, own in enumerate((level > 0, level == 0)):
-            order = np.flatnonzero(own)
-            rest = key[order] & np.uint64((1 << 40) - 1)
-            order = order[np.argsort(spread[order] << np.uint64(40) | rest)]  # of 2^24 shards at most
-            cuts = np.flatnonzero(np.diff(spread[order], prepend=-1)).tolist() if len(order) else []
-            for a, z in zip(cuts, [*cuts[1:], len(order)]):
-                at = order[a:z]
-                columns = {"low": key[at].astype(np.uint32), "high": (key[at] >> np.uint64(32)).astype(np.uint8), "doc": doc[at]}
-                columns |= {"word": word[at]} if kind else {"level": level[at]}
-                yield {"shard": int(spread[at[0]]), "slice": number, "kind": kind} | {n: c.tobytes() for n, c in columns.items()}
+            pa.default_memory_pool().release_unused()
 
     def answer(_, rows):
         own, kinds = shared.value, rows.column("kind").to_numpy()

@@ -5,10 +5,12 @@ import itertools
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import no_documents, odd_documents, table, words
 
@@ -388,3 +390,21 @@ def test_base_of_some_texts_equals_a_count_word_by_word():
         assert math.isclose(total, sum(n * math.log10(exact[w] + 0.5) for w, n in counted.items() if w in exact))
         assert known == sum(n for w, n in counted.items() if w in exact), text
         assert {r["token"]: r["n"] for r in others} == {w: n for w, n in counted.items() if w not in exact}
+
+
+def test_sending_pairs_holds_one_short_slice(spark):
+    """A worker's memory follows its slice, however much text its batch has."""
+    texts = [" ".join(f"w{(i * 7919 + j * j) % 20_000}" for j in range(2_000)).encode() for i in range(700)]
+    assert sum(map(len, texts)) > 8 << 20
+    model, _ = ngram_model.learn(spark.createDataFrame([(i, t.decode()) for i, t in enumerate(texts[:20])], "doc_id long, text string"), (5, 1))
+    cache, at = model.cache(), 0
+    cache.of(ngram_model.tokens(texts)[0])
+    tracemalloc.start()
+    for number, some in enumerate(ngram_model.text_slices(texts)):
+        ids, trained = pa.array(range(at, at + len(some))), np.ones(len(some), bool)
+        sent = ngram_model.sent_rows(model, cache, ids, some, trained, ngram_model.TOP * model.tokens, number, 256)
+        assert {0, 1, 2} >= set(sent.column(2).to_pylist())
+        at += len(some)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert at == len(texts) and peak < 100 << 20
