@@ -19,6 +19,7 @@ PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, __part int, __rank long"
 )
 CACHED_WORDS = 500_000
+SLICE_BYTES = 1 << 20  # of texts tokenised at once
 CLOSING = b".,;:!?"
 
 
@@ -174,8 +175,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame
             doc_ids = batch.column(0).to_pylist()
             texts = [t or b"" for t in batch.column(1).to_pylist()]
             rows = []
-            # long batches are cut by bytes, so that a worker's memory stays bounded
-            for a, b in byte_slices(texts, 8 << 20):
+            # batches are cut by bytes, so that a worker's memory stays bounded
+            for a, b in byte_slices(texts, SLICE_BYTES):
                 ids, ends = tokens.encode(texts[a:b])
                 ids = np.insert(ids, ends, end_id).astype("<u4")
                 ends = ends + np.arange(1, b - a + 1)
@@ -192,6 +193,8 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], names=NAMES
                 )
+        # the worker outlives the task, what its batches took should not
+        pa.default_memory_pool().release_unused()
 
     short_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(cut, PIECES)

@@ -3,9 +3,11 @@
 import random
 import zlib
 from collections import Counter, defaultdict
+from unittest.mock import MagicMock
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import no_documents, odd_documents, table, words
 from pyspark.sql import functions as F
@@ -166,6 +168,25 @@ def test_words_forgotten_change_no_id(monkeypatch):
             assert ids[a:b].tolist() == whole_ids(t)[:-1], t
 
 
+def test_a_worker_tokenises_a_megabyte_at_once(spark, monkeypatch):
+    taken = []
+
+    class Tokens:
+        def encode(self, texts):
+            taken.append(sum(map(len, texts)))
+            return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+
+    monkeypatch.setitem(packing._tokens, "some", Tokens())
+    monkeypatch.setattr(packing, "TaskContext", MagicMock())
+    packing.TaskContext.get().partitionId.return_value = 0
+    docs = MagicMock()
+    packing.pieces(docs, "some", 4096, 2)
+    cut = docs.select.return_value.mapInArrow.call_args[0][0]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(30)), "text": [b"x" * 100_000] * 30})
+    assert sum(b.num_rows for b in cut(iter([batch]))) == 30
+    assert sum(taken) == 3_000_000 and max(taken) <= 1 << 20
+
+
 def test_patterns_hold_every_length():
     rng = np.random.default_rng(1)
     for most in (3, 50, 100):
