@@ -5,6 +5,7 @@ and returns a struct: the page is read once and the other columns stay in the JV
 Filter and prune before, and drop the page text right after.
 """
 
+import codecs
 import re
 from functools import reduce
 from operator import and_
@@ -55,6 +56,86 @@ def fields_of(html: Column, fields: dict[str, Field]) -> Column:
     return extract.asNondeterministic()(html)
 
 
+# Bytes of a page that come to Python at once, and characters of the blocks these are cut from, which are copies.
+SLICE, BLOCK = 128 << 10, 8 << 20
+
+
+def _cut(df: DataFrame, value: Column, last: Column, size: int, name: str) -> DataFrame:
+    """A row per `size` of `_page`, at least one, in order: their number as `name`, and whether they are the last."""
+    parts = df.select("*", F.explode(F.sequence(F.lit(0), F.coalesce(last.cast("int"), F.lit(0)))).alias(name))
+    part = F.when(last > 0, F.substring(value, F.col(name) * size + 1, F.lit(size))).otherwise(value)
+    return parts.withColumns({"_page": part, f"{name}_last": F.col(name) == F.coalesce(last, F.lit(0))})
+
+
+def _slices(df: DataFrame, names: list[str], page: Column) -> DataFrame:
+    """`_page` in slices, in order, and whether one begins and ends it. No copy of a long page is made."""
+    pages, text = df.select(*names, page.alias("_page")), F.col("_page")
+    last = F.when(F.octet_length(text) <= BLOCK, F.lit(0)).otherwise(F.floor((F.length(text) - 1) / BLOCK))
+    blocks = _cut(pages, text, last, BLOCK, "_block").withColumn("_page", text.cast("binary"))
+    slices = _cut(blocks, text, F.floor((F.greatest(F.octet_length(text), F.lit(1)) - 1) / SLICE), SLICE, "_slice")
+    return slices.select(
+        *names, "_page", ((F.col("_block") == 0) & (F.col("_slice") == 0)).alias("_begins"),
+        (F.col("_block_last") & F.col("_slice_last")).alias("_ends"),
+    )
+
+
+def read_pages(df: DataFrame, html_col: str, fields: dict[str, Field]) -> DataFrame:
+    """The other columns and one per field, with the values `fields_of` gives.
+
+    A long page comes to Python in slices. Where the fields allow (`markup.can_skim`) they are read as they come, so that
+    a page of any length takes a slice and its values; for others it is put together again.
+    """
+    keep = [f for f in df.schema if f.name != html_col]
+    names = [f.name for f in keep]
+    result = _struct(fields)
+    arrow_type = to_arrow_type(result)
+    values_reader, arrow_structs, can_skim, skimmer = (
+        markup.values_reader, markup.arrow_structs, markup.can_skim, markup.Skimmer
+    )
+
+    def read(batches):
+        whole, skims = values_reader(fields), can_skim(fields)
+        columns = [*names, *fields]
+        page = text = None  # of a page in slices: the reader, or the slices; the decoder
+        for batch in batches:
+            kept = pa.RecordBatch.from_arrays([batch.column(n) for n in names], names)
+            records, rows = [], []
+            slices = zip(*[batch.column(n).to_pylist() for n in ("_page", "_begins", "_ends")])
+            for row, (piece, first, last) in enumerate(slices):
+                if first and last:
+                    records.append(None if piece is None else whole(piece.decode()))
+                    rows.append(row)
+                elif skims:
+                    if first:
+                        page, text = skimmer(fields), codecs.getincrementaldecoder("utf-8")()
+                        values = [[] for _ in fields]
+                    page.feed(text.decode(piece, last), last)
+                    for found, field, made in zip(page.found, fields.values(), values):
+                        if field.take.startswith("all_"):
+                            made.append(pa.array(found, pa.string()))
+                            found.clear()
+                    if last:
+                        made = [
+                            pa.ListArray.from_arrays(pa.array([0, sum(map(len, v))], pa.int32()), pa.concat_arrays(v), type=t.type)
+                            if f.take.startswith("all_") else pa.array([found[0] if found else f.default], t.type)
+                            for v, f, t, found in zip(values, fields.values(), arrow_type, page.found)
+                        ]
+                        page = values = None
+                        yield pa.RecordBatch.from_arrays([*kept.slice(row, 1).columns, *made], columns)
+                else:
+                    page = [piece] if first else [*page, piece]
+                    if last:
+                        records.append(whole(b"".join(page).decode()))
+                        rows.append(row)
+                        page = None
+            if rows:
+                made = arrow_structs(records, arrow_type).flatten()
+                yield pa.RecordBatch.from_arrays([*kept.take(pa.array(rows)).columns, *made], columns)
+
+    pages = _slices(df, names, F.col(html_col))
+    return pages.mapInArrow(read, StructType([*keep, *result]))
+
+
 def may_hold(html: Column, path: tuple[Rule, ...]) -> Column:
     """False only for pages that cannot have a match, by patterns in the JVM.
 

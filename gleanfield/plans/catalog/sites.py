@@ -305,12 +305,20 @@ def q_listing_to_details(t):
 # -- whole flows: what the listing reaches, and nothing else ---------------------------
 
 
-def _flow(name, listing, details, gazetteer, **how):
-    """Accepted events; every detail page was captured twice, and so was every listing."""
+def _flow(name, listing, details, gazetteer, written=None, **how):
+    """Accepted events; every detail page was captured twice, and so was every listing.
+
+    `written` is the body of listing pages that come without one.
+    """
     from gleanfield.operators.stages import accepted
 
+    pages = listing.unionByName(details, allowMissingColumns=True)
+    if written is not None:
+        # Not deterministic, so it stays above the union and a long body goes into no row, which would be one or two copies.
+        body = F.when(F.monotonically_increasing_id() >= 0, F.coalesce("body", written))
+        pages = pages.select("url", body.alias("body"))
     # a body is written once for both captures
-    pages = listing.unionByName(details).withColumn("capture", F.explode(F.array(F.lit(1), F.lit(2))))
+    pages = pages.withColumn("capture", F.explode(F.array(F.lit(1), F.lit(2))))
     out = accepted(harvest_details(name, pages.drop("capture"), gazetteer, **how))
     return out.withColumn("start_date", F.col("start"))
 
@@ -333,15 +341,21 @@ select who || ' ' || kind as name, strftime(s, '%Y-%m-%d') as start_date from bo
 def q_flow_ausbiotech(t):
     """Thirty calendar pages, of which the seeds name the next 24 months"""
     site = SITES["ausbiotech"]
-    cell = "'<td class=\"eventsCalenderDayHasEvents\"><a href=\"/e/' || k || '\">x</a></td>'"
     month = F.expr("add_months(date '2024-11-20', cast(k % 30 as int))")
-    days = t.bookings().select(month.alias("m"), F.expr(cell).alias("cell")).groupBy("m")
-    body = F.array_join(F.collect_list("cell"), "")
+    # A page has a thirtieth of all cells, so a cell is its key alone until the page is written, and keys are gathered in
+    # pieces first: a task's pieces go to disk where there are many.
+    piece = F.shiftright(F.monotonically_increasing_id(), 16).alias("piece")
+    pieces = t.bookings().select(month.alias("m"), "k", piece).groupBy("m", "piece").agg(F.collect_list("k").alias("ks"))
+    days = pieces.groupBy("m").agg(F.flatten(F.collect_list("ks")).alias("ks"))
+    head, tail, count = F.lit('<td class="eventsCalenderDayHasEvents"><a href="/e/'), F.lit('">x</a></td>'), F.size("ks")
+    first, between, last = F.get("ks", F.lit(0)), F.slice("ks", F.lit(2), count - 2).cast("array<string>"), F.get("ks", count - 1)
+    cells = F.concat_ws('">x</a></td><td class="eventsCalenderDayHasEvents"><a href="/e/', F.concat(head, first), between, F.concat(last, tail))
+    body = F.when(count > 1, cells).when(count == 1, F.concat(head, first, tail)).otherwise("")
     address = F.format_string(site.base_url + site.events_path + "?month=%d&year=%d", F.month("m"), F.year("m"))
-    listing = days.agg(body.alias("body")).select(address.alias("url"), "body")
+    listing = days.select(address.alias("url"), "ks")
     details = _details(t, site.base_url, "/e/", _label_page())
     today = F.lit("2024-11-20").cast("date")
-    return _flow("ausbiotech", listing, details, t.gazetteer(), today=today).select("name", "start_date")
+    return _flow("ausbiotech", listing, details, t.gazetteer(), body, today=today).select("name", "start_date")
 
 
 @query(_WITH + """

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanfield.functions.collections import amap, first_link_with_prefix
 from gleanfield.functions.urls import absolutise
 from gleanfield.operators.gazetteer import Gazetteer
-from gleanfield.operators.html import fields_of, may_hold
+from gleanfield.operators.html import fields_of, may_hold, read_pages
 from gleanfield.operators.listing import (
     attach_listing_context, calendar_seed, dedupe_requests, follow_pagination,
 )
@@ -18,6 +18,10 @@ from gleanfield.sources.io import merge_by_name
 from gleanfield.sources.sites import SITES, Site, map_site
 
 
+# Bytes from which a page is long: it is read without a look by patterns first, and not shuffled unless it is wanted.
+LONG = 4 << 20
+
+
 def harvest(name: str, pages: DataFrame, gazetteer: Gazetteer) -> DataFrame:
     """Pages (`url`, `body`) that hold the records themselves, to events.
 
@@ -88,6 +92,7 @@ def harvest_details(
     Bodies are scanned twice. The first scan reads those that look like a listing page, by
     patterns in the JVM, and keeps what they list, which is narrow; the second takes the
     detail pages that are wanted. Sites with records on the listing itself need the first only.
+    Where the first meets a page above `LONG`, a third scan takes those of them that are wanted, if any.
     """
     site = SITES[name]
     seeds = first_pages(site, pages.sparkSession, today) if seeds is None else seeds
@@ -102,13 +107,21 @@ def harvest_details(
     like_listing = may_hold(F.col("body"), listing_path)
     if site.next_page:
         like_listing |= may_hold(F.col("body"), site.next_page)
-    first = small_side(seeds.select(F.col("seed").alias("url")).distinct())
-    candidates = pages.where(like_listing)
+    long = F.coalesce(F.octet_length("body") > LONG, F.lit(False))
+    first = small_side(seeds.select(F.col("seed").alias("url")).distinct().withColumn("_first", F.lit(True)))
+    # Not deterministic, so it is not pushed below what makes the pages, which would make a copy of each or make it again.
+    here = F.when(F.monotonically_increasing_id() >= 0, long | like_listing)
+    candidates = pages.where(here).select("url", "body", long.alias("_long"))
     if not site.next_page:
-        candidates = candidates.join(first, "url", "left_semi")
-    scanned = candidates.select("url", fields_of(F.col("body"), fields).alias("_f")).select("url", "_f.*")
+        # of a long page that is no seed, the address alone
+        candidates = candidates.join(first, "url", "left").where("_first or _long")
+        candidates = candidates.select("url", F.when(F.col("_first"), F.col("body")).alias("body"), "_long", "_first")
+    scanned = read_pages(candidates, "body", fields)
+    if not site.next_page:
+        # what a long page lists is sorted for the dedupe apart from the page
+        scanned = scanned.repartition("url")
     scanned = cut_lineage(dedupe_requests(scanned))
-    listing = scanned
+    listing = scanned if site.next_page else scanned.where("_first")
     if site.next_page:
         reached = follow_pagination(
             scanned.select("url", next_url.alias("next_url")), seeds, max_depth, per_seed=False
@@ -119,7 +132,15 @@ def harvest_details(
         return site.stages(gazetteer)(site.project(site, raw, gazetteer))
     links = cut_lineage(listed_links(site, listing))
     wanted = links.select("url").distinct()
-    details = dedupe_requests(pages.join(small_side(wanted), "url", "left_semi"))
+    there = scanned.where("_long").select("url")
+    if there.isEmpty():
+        details = pages.join(small_side(wanted), "url", "left_semi")
+    else:
+        details = pages.where(~long).join(small_side(wanted), "url", "left_semi")
+        named = links.join(small_side(there), "url", "left_semi").select("url").distinct()
+        if not named.isEmpty():
+            details = details.unionByName(pages.where(long).join(small_side(named), "url", "left_semi"))
+    details = dedupe_requests(details)
     context = [k for k in site.beside if k]
     if context:
         details = attach_listing_context(details, links, context, order=["_page", "_pos"])
@@ -141,10 +162,10 @@ def listed_links(site: Site, listing: DataFrame, *also: str) -> DataFrame:
         beside = [m.alias(k or "_entry") for k, m in zip(names, more)]
         return F.struct(h.alias("href"), *beside)
 
-    pairs = amap(pair, hrefs, *lists) if lists else F.transform(hrefs, lambda h: pair(h))
+    pairs = amap(pair, hrefs, *lists) if lists else hrefs
     found = listing.select(F.col("url").alias("_page"), *also, F.posexplode(pairs).alias("_pos", "_l"))
     return found.select(
-        "_page", "_pos", *also, _target(site.base_url, F.col("_l.href")).alias("url"),
+        "_page", "_pos", *also, _target(site.base_url, F.col("_l.href" if lists else "_l")).alias("url"),
         *[F.col(f"_l.{k}") for k in names if k],
     )
 
