@@ -305,20 +305,12 @@ def q_listing_to_details(t):
 # -- whole flows: what the listing reaches, and nothing else ---------------------------
 
 
-def _flow(name, listing, details, gazetteer, written=None, **how):
-    """Accepted events; every detail page was captured twice, and so was every listing.
-
-    `written` is the body of listing pages that come without one.
-    """
+def _flow(name, listing, details, gazetteer, **how):
+    """Accepted events; every detail page was captured twice, and so was every listing."""
     from gleanfield.operators.stages import accepted
 
-    pages = listing.unionByName(details, allowMissingColumns=True)
-    if written is not None:
-        # Not deterministic, so it stays above the union and a long body goes into no row, which would be one or two copies.
-        body = F.when(F.monotonically_increasing_id() >= 0, F.coalesce("body", written))
-        pages = pages.select("url", body.alias("body"))
     # a body is written once for both captures
-    pages = pages.withColumn("capture", F.explode(F.array(F.lit(1), F.lit(2))))
+    pages = listing.unionByName(details).withColumn("capture", F.explode(F.array(F.lit(1), F.lit(2))))
     out = accepted(harvest_details(name, pages.drop("capture"), gazetteer, **how))
     return out.withColumn("start_date", F.col("start"))
 
@@ -352,10 +344,13 @@ def q_flow_ausbiotech(t):
     cells = F.concat_ws('">x</a></td><td class="eventsCalenderDayHasEvents"><a href="/e/', F.concat(head, first), between, F.concat(last, tail))
     body = F.when(count > 1, cells).when(count == 1, F.concat(head, first, tail)).otherwise("")
     address = F.format_string(site.base_url + site.events_path + "?month=%d&year=%d", F.month("m"), F.year("m"))
-    listing = days.select(address.alias("url"), "ks")
     details = _details(t, site.base_url, "/e/", _label_page())
+    pages = days.select(address.alias("url"), "ks").unionByName(details, allowMissingColumns=True)
+    # Not deterministic, so it stays above the union and a long body goes into no row, which would be one or two copies.
+    written = F.when(F.monotonically_increasing_id() >= 0, F.when(F.col("ks").isNotNull(), body).otherwise(F.col("body")))
+    pages = pages.select("url", written.alias("body"))
     today = F.lit("2024-11-20").cast("date")
-    return _flow("ausbiotech", listing, details, t.gazetteer(), body, today=today).select("name", "start_date")
+    return _flow("ausbiotech", pages, pages.limit(0), t.gazetteer(), today=today).select("name", "start_date")
 
 
 @query(_WITH + """
